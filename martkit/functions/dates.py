@@ -25,7 +25,7 @@ def _c(c: ColumnOrName) -> Column:
 def parse_date(c: ColumnOrName, formats: tuple[str, ...] = US_DATE_FORMATS) -> Column:
     """Locale-tolerant date parse (TRY_PARSE ... USING 'en-US'): the first format that parses wins."""
     text = F.trim(_c(c))
-    return F.coalesce(*[F.try_to_date(text, F.lit(fmt)) for fmt in formats])
+    return F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
 
 
 def safe_date(c: ColumnOrName) -> Column:
@@ -58,7 +58,7 @@ def date_key(c: ColumnOrName, unknown: int | None = UNKNOWN_DATE_KEY) -> Column:
 def key_to_date(c: ColumnOrName) -> Column:
     """yyyymmdd int -> DATE (special keys -1 / 99991231 -> NULL / 9999-12-31)."""
     k = _c(c)
-    return F.when(k > 0, F.try_to_date(k.cast("string"), F.lit("yyyyMMdd")))
+    return F.when(k > 0, F.try_to_date(k.cast("string"), "yyyyMMdd"))
 
 
 def first_of_year(year: ColumnOrName) -> Column:
