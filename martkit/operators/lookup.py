@@ -9,9 +9,10 @@ Join strategy:
 * ``broadcast=True`` is for dimensions whose size is bounded by construction (static code
   tables); an ``int`` broadcasts only after counting at most that many rows
   (``bounded_broadcast``); ``None`` leaves the choice to AQE's runtime size statistics;
-* for shuffle joins the fact rows with a NULL join key skip the join entirely (they can
-  never match), so the NULL/unknown group cannot become one giant skewed task; AQE's
-  skew-join splitting handles hot non-NULL keys on the streamed (fact) side;
+* for shuffle joins, fact rows with a NULL join key (they can never match) are salted
+  over many partitions in the same pass, so the NULL/unknown group cannot become one giant
+  skewed task; AQE's skew-join splitting handles hot non-NULL keys on the streamed (fact)
+  side of the left outer join;
 * effective-dated lookups keep the equality in the join condition and the validity range
   as a residual predicate, so they plan as hash / sort-merge joins, never nested loops.
 """
@@ -71,7 +72,7 @@ class Lookup:
     extra: Sequence[str] = field(default_factory=tuple)  # other dim columns to carry over
 
 
-def _dim_side(lk: Lookup, tag: str) -> tuple[DataFrame, list[str]]:
+def _dim_side(lk: Lookup, tag: str) -> tuple[DataFrame, list[str], bool]:
     cols = []
     for i, (_, dcol) in enumerate(lk.on):
         c = F.col(dcol)
@@ -84,16 +85,23 @@ def _dim_side(lk: Lookup, tag: str) -> tuple[DataFrame, list[str]]:
         cols.append(F.col(e).alias(f"_{tag}_x_{e}"))
         extra_names.append(e)
     side = lk.dim.select(*cols)
+    broadcasted = False
     if lk.broadcast is True:
-        side = F.broadcast(side)
+        side, broadcasted = F.broadcast(side), True
     elif isinstance(lk.broadcast, int) and not isinstance(lk.broadcast, bool):
-        side = bounded_broadcast(side, lk.broadcast)
-    return side, extra_names
+        n = side.limit(lk.broadcast + 1).count()
+        if n <= lk.broadcast:
+            side, broadcasted = F.broadcast(side), True
+    return side, extra_names, broadcasted
+
+
+# NULL-key fact rows are spread over this many salt values in a shuffle join.
+NULL_SALT_BUCKETS = 256
 
 
 def lookup(fact: DataFrame, lk: Lookup, tag: str | None = None) -> DataFrame:
     tag = tag or f"lk_{lk.out}"
-    side, extra = _dim_side(lk, tag)
+    side, extra, broadcasted = _dim_side(lk, tag)
     fact_keys = []
     work = fact
     for i, (fcol, _) in enumerate(lk.on):
@@ -108,6 +116,22 @@ def lookup(fact: DataFrame, lk: Lookup, tag: str | None = None) -> DataFrame:
         fc, dc = work[fk], side[f"_{tag}_k{i}"]
         eq = fc.eqNullSafe(dc) if lk.null_safe else fc == dc
         cond = eq if cond is None else cond & eq
+    salted = not broadcasted and not lk.null_safe
+    if salted:
+        # A NULL key never matches, but hash partitioning would send every NULL-key row to
+        # one reducer.  An extra equi-join column spreads them out in the same single pass:
+        # 0 for every dimension row and every fact row with a key, 1..N for NULL-key fact
+        # rows (by the task's input partition, which a retried task reproduces exactly).
+        # The dimension's 0 is computed from its data so the optimizer cannot fold it into
+        # a residual predicate (which would drop it from the shuffle key).
+        any_null = None
+        for fk in fact_keys:
+            c = F.col(fk).isNull()
+            any_null = c if any_null is None else any_null | c
+        spread = F.pmod(F.spark_partition_id(), F.lit(NULL_SALT_BUCKETS)) + 1
+        work = work.withColumn(f"_{tag}_fs", F.when(any_null, spread).otherwise(F.lit(0)).cast("bigint"))
+        side = side.withColumn(f"_{tag}_ds", F.pmod(F.xxhash64(F.col(f"_{tag}_k0")), F.lit(1)))
+        cond = cond & (work[f"_{tag}_fs"] == side[f"_{tag}_ds"])
     if lk.asof is not None:
         d = work[f"_{tag}_d"]
         upper = d <= side[f"_{tag}_exp"] if lk.interval == "closed" else d < side[f"_{tag}_exp"]
@@ -116,31 +140,12 @@ def lookup(fact: DataFrame, lk: Lookup, tag: str | None = None) -> DataFrame:
     key_expr = F.col(f"_{tag}_key")
     if lk.default is not None:
         key_expr = F.coalesce(key_expr, F.lit(lk.default).cast(lk.dim.schema[lk.key].dataType))
-    helpers = fact_keys + ([f"_{tag}_d"] if lk.asof is not None else [])
-
-    def finish(joined: DataFrame) -> DataFrame:
-        out = joined.withColumn(lk.out, key_expr)
-        for e in extra:
-            out = out.withColumn(e, F.col(f"_{tag}_x_{e}"))
-        drop = helpers + [c for c in side.columns]
-        return out.drop(*drop)
-
-    shuffle_join = lk.broadcast is None or (isinstance(lk.broadcast, int) and not isinstance(lk.broadcast, bool))
-    if shuffle_join and not lk.null_safe:
-        # NULL keys can never match: route them around the join (no NULL-key hot partition).
-        has_null = None
-        for fk in fact_keys:
-            c = F.col(fk).isNull()
-            has_null = c if has_null is None else has_null | c
-        nulls = work.filter(has_null)
-        rest = work.filter(~has_null)
-        joined = finish(rest.join(side, cond, "left"))
-        bypass = nulls
-        for c in side.columns:
-            bypass = bypass.withColumn(c, F.lit(None).cast(side.schema[c].dataType))
-        bypass = finish(bypass)
-        return joined.unionByName(bypass)
-    return finish(work.join(side, cond, "left"))
+    helpers = fact_keys + ([f"_{tag}_d"] if lk.asof is not None else []) + ([f"_{tag}_fs"] if salted else [])
+
+    out = work.join(side, cond, "left").withColumn(lk.out, key_expr)
+    for e in extra:
+        out = out.withColumn(e, F.col(f"_{tag}_x_{e}"))
+    return out.drop(*(helpers + side.columns))
 
 
 def resolve_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
