@@ -477,3 +477,25 @@ def fact_posting_lifecycle(staged_jobs: DataFrame, calendar: DataFrame, dims: Ma
     fresh = append_keyed(existing, merged.filter(F.col("LifecycleFactKey").isNull()).drop("LifecycleFactKey"),
                          ["OpeningID"], "LifecycleFactKey")
     return keyed.unionByName(fresh.select(*existing.columns))
+
+
+# --- Q7: post-load data-quality report of the job-opening staging ---------------------------
+
+def job_openings_dq_report(staged_jobs: DataFrame) -> DataFrame:
+    """Expected-zero checks on the loaded postings (NULL critical fields, salary range, date
+    order) as (check, violations) rows, computed in one aggregate pass."""
+    from martkit.operators.quality import check_rules
+    rules = [Rule("null_critical_fields", F.col("opening_id").isNotNull() & F.col("posting_date").isNotNull() &
+                  F.col("employment_type").isNotNull(), null_passes=False),
+             Rule("salary_range", F.col("salary_min_hourly") <= F.col("salary_max_hourly")),
+             Rule("date_order", F.col("closing_date") >= F.col("posting_date"))]
+    return check_rules(staged_jobs, rules).withColumnRenamed("rule", "check")
+
+
+def job_openings_summary(staged_jobs: DataFrame) -> DataFrame:
+    """Postings and average salaries by employment type, most frequent first."""
+    return staged_jobs.groupBy("employment_type").agg(
+        F.count(F.lit(1)).alias("postings"),
+        F.avg("salary_min_hourly").cast("decimal(18,2)").alias("avg_salary_min"),
+        F.avg("salary_max_hourly").cast("decimal(18,2)").alias("avg_salary_max")).orderBy(F.desc("postings"),
+                                                                                          "employment_type")

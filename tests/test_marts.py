@@ -248,3 +248,12 @@ def test_failure_gates_later_marts(spark, tmp_path):
         runner.run_all(raw=None)  # no staged agency: the common mart fails, nothing else runs
     assert not store.exists("DimUrbanArea")
     assert store.read("etl_load_audit").filter("status = 'FAILED'").count() == 1
+
+
+def test_job_openings_dq_report(warehouse):
+    store, *_ = warehouse
+    jobs = store.read("stg_job_openings")
+    rep = dict((r.check, r.violations) for r in workforce.job_openings_dq_report(jobs).collect())
+    assert rep == {"null_critical_fields": 0, "salary_range": 0, "date_order": 0}
+    top = workforce.job_openings_summary(jobs).first()
+    assert (top.employment_type, top.postings) == ("Full-Time", 2)
