@@ -256,8 +256,9 @@ def dim_safety_incident_load(staged_events: DataFrame, existing: DataFrame) -> D
 # --- shared lookups ------------------------------------------------------------------------
 
 def _date_lookup(calendar: DataFrame, col: str | Column, out: str, default: int | None = -1) -> Lookup:
+    # Calendar: bounded by its date range, not by data volume -> broadcast.
     return Lookup(calendar.filter(F.col("DateKey") > 0), [(col, "FullDate")], "DateKey", out, default=default,
-                  broadcast=SMALL_DIM_ROWS)
+                  broadcast=True)
 
 
 def _agency_lookup(agency: DataFrame, ntd: str | Column, asof: Column, interval: str = "closed") -> Lookup:

@@ -327,8 +327,9 @@ def _lookups(dims: Mapping[str, DataFrame], date_col: str | Column, ntd: str, mo
 
 
 def _date_key_lookup(calendar: DataFrame, col: str | Column, out: str, default: int | None = -1) -> Lookup:
+    # Calendar: bounded by its date range, not by data volume -> broadcast.
     return Lookup(calendar.filter(F.col("DateKey") > 0), [(col, "FullDate")], "DateKey", out, default=default,
-                  broadcast=SMALL_DIM_ROWS)
+                  broadcast=True)
 
 
 def _append(existing: DataFrame, rows: DataFrame, grain: list[str], key_col: str, batch_id, source_system,

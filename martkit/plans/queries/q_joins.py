@@ -16,9 +16,8 @@ from martkit.operators.lookup import Lookup, mapped_key, resolve_keys
 from martkit.plans.queries.inputs import SQL_CALENDAR_DATES, SQL_CUSTOMER_DIM, customer_dim_v2, order_calendar
 from martkit.plans.queries.registry import query, table
 
-# Dimensions whose size is bounded by the calendar (a few hundred years of days) or by a
-# code list are broadcast after a row-count check; customer-sized ones are left to AQE.
-CALENDAR_MAX_ROWS = 200_000
+# A calendar is bounded by its date range (366 rows per year), not by data volume, so it is
+# broadcast as is; dimensions that grow with the data get a row-count check or AQE.
 
 
 @query("lookup_unknown_member", sql="""
@@ -108,7 +107,7 @@ def role_playing_dates(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("order_date"))
     fact = o.join(ships, o["o_orderkey"] == ships["l_orderkey"], "left")
     roles = [("order_date", "order_date_key"), ("first_ship", "first_ship_key"), ("last_ship", "last_ship_key")]
-    fact = resolve_keys(fact, [Lookup(cal, [(src, "FullDate")], "DateKey", out, broadcast=CALENDAR_MAX_ROWS)
+    fact = resolve_keys(fact, [Lookup(cal, [(src, "FullDate")], "DateKey", out, broadcast=True)
                                for src, out in roles])
     return fact.select("o_orderkey", "order_date_key", "first_ship_key", "last_ship_key")
 
