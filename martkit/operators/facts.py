@@ -9,6 +9,7 @@ violation the source system hits).
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,22 @@ from pyspark.sql import functions as F
 from martkit.operators.joins import anti_join, semi_join
 
 
+@dataclass
+class FactChange:
+    """What one fact load writes.
+
+    ``append``: only the new rows, added to the current version (the existing files are
+    never rewritten - the normal, incremental case for transaction and periodic facts);
+    ``replace``: a complete next snapshot (reloads, and accumulating snapshots whose rows
+    change in place)."""
+
+    rows: DataFrame
+    mode: str = "append"
+
+    def next_snapshot(self, existing: DataFrame) -> DataFrame:
+        return existing.unionByName(self.rows) if self.mode == "append" else self.rows
+
+
 def with_lineage(df: DataFrame, batch_id: int | None = None, source_system: str | None = None,
                  load_ts: Column | None = None, batch_col: str = "BatchID", source_col: str = "SourceSystem",
                  inserted_col: str = "InsertedDate", updated_col: str | None = None) -> DataFrame:

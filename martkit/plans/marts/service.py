@@ -19,7 +19,7 @@ from martkit.functions import dates as dt
 from martkit.functions.spec import Col, project
 from martkit.operators.aggregates import arg_max, mode_per_group, sum_zero
 from martkit.operators.dedup import keep_first
-from martkit.operators.facts import accumulating_replace, new_rows, reload_by_grain, with_lineage
+from martkit.operators.facts import FactChange, accumulating_replace, new_rows, reload_by_grain, with_lineage
 from martkit.operators.keys import append_keyed
 from martkit.operators.lookup import Lookup, drop_unresolved, resolve_keys, year_start_lookup
 from martkit.operators.reshape import align_metrics, unpivot_years
@@ -278,16 +278,19 @@ def _urban_lookup(urban: DataFrame, col: str | Column, asof: Column) -> Lookup:
 
 
 def _publish_rows(existing: DataFrame, rows: DataFrame, grain: list[str], key_col: str, reload: bool,
-                  batch_id: int | None, source_system: str, load_ts: Column | None) -> DataFrame:
-    """Idempotent append (or reload by grain) of resolved fact rows, with lineage columns
-    and fact surrogate keys after the current maximum."""
+                  batch_id: int | None, source_system: str, load_ts: Column | None) -> FactChange:
+    """Idempotent append (only rows whose grain is new, keyed after the current maximum,
+    with lineage columns) or, when reloading, the next snapshot with the reloaded grain
+    replaced."""
     incoming = rows if reload else new_rows(existing, rows, grain)
     incoming = with_lineage(incoming, batch_id, source_system, load_ts, batch_col="ETL_BatchID",
                             source_col="RecordSourceSystem", inserted_col="ETL_InsertDate") \
         .withColumn("ETL_UpdateDate", F.lit(None).cast("timestamp"))
     keyed = append_keyed(existing, incoming, grain, key_col)
     keyed = keyed.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema.fields])
-    return reload_by_grain(existing, keyed, grain) if reload else existing.unionByName(keyed)
+    if reload:
+        return FactChange(reload_by_grain(existing, keyed, grain), "replace")
+    return FactChange(keyed, "append")
 
 
 # --- L23: annual service performance (periodic snapshot) ---------------------------------
@@ -309,7 +312,7 @@ def empty_fact_annual(spark) -> DataFrame:
 def fact_annual_service_performance(metrics: Mapping[str, DataFrame], calendar: DataFrame, agency: DataFrame,
                                     mode: DataFrame, tos: DataFrame, urban: DataFrame, existing: DataFrame,
                                     batch_id: int | None = None, source_system: str = "NTD_Annual_Performance",
-                                    reload: bool = False, load_ts: Column | None = None) -> DataFrame:
+                                    reload: bool = False, load_ts: Column | None = None) -> FactChange:
     """Every staged metric unpivoted (year columns -> rows), aligned on
     (year, agency, mode, service) in ONE conditional aggregate, the urban area taken as
     the most frequent code of that key, keys resolved as of January 1st of the year, rows
@@ -365,7 +368,7 @@ def fact_major_safety_event(staged_events: DataFrame, calendar: DataFrame, agenc
                             tos: DataFrame, urban: DataFrame, event_type: DataFrame, incident: DataFrame,
                             existing: DataFrame, batch_id: int | None = None,
                             source_system: str = "NTD_Major_Safety_Events", reload: bool = False,
-                            load_ts: Column | None = None) -> DataFrame:
+                            load_ts: Column | None = None) -> FactChange:
     """One row per incident, every dimension resolved (as of the event date for the
     SCD2 ones, null-safe on the 4-column event type, cast id for the incident), appended
     once per incident id (degenerate dimension) or reloaded."""
@@ -419,7 +422,7 @@ def empty_fact_availability(spark) -> DataFrame:
 def fact_service_availability(staged_ams: DataFrame, calendar: DataFrame, agency: DataFrame, mode: DataFrame,
                               tos: DataFrame, existing: DataFrame, batch_id: int | None = None,
                               source_system: str = "NTD_Agency_Mode_Service", reload: bool = False,
-                              load_ts: Column | None = None) -> DataFrame:
+                              load_ts: Column | None = None) -> FactChange:
     """Distinct service periods (duplicate periods collapse), actual-service rows only,
     keys resolved as of the start date, a known start date and agency required, open end
     -> 99991231, appended when the (null-safe) period grain is new."""
@@ -463,7 +466,7 @@ def empty_fact_lifecycle(spark) -> DataFrame:
 
 def fact_service_lifecycle(annual: DataFrame, availability: DataFrame, safety: DataFrame, calendar: DataFrame,
                            existing: DataFrame, batch_id: int | None = None,
-                           source_system: str = "NTD_Service_Lifecycle", load_ts: Column | None = None) -> DataFrame:
+                           source_system: str = "NTD_Service_Lifecycle", load_ts: Column | None = None) -> FactChange:
     """L26/C16+C13: one row per agency x mode x service.  First / latest observed year,
     the peak year of each measure (ties -> later year) and its value, latest values,
     NULL-as-0 totals, span of calendar years (unknown dates excluded), most frequent urban
@@ -508,5 +511,5 @@ def fact_service_lifecycle(annual: DataFrame, availability: DataFrame, safety: D
     keyed_old = merged.filter(F.col("ServiceLifecycleKey").isNotNull())
     fresh = append_keyed(existing, merged.filter(F.col("ServiceLifecycleKey").isNull()).drop("ServiceLifecycleKey"),
                          LIFECYCLE_KEY, "ServiceLifecycleKey")
-    return keyed_old.unionByName(fresh.select(*existing.columns))
+    return FactChange(keyed_old.unionByName(fresh.select(*existing.columns)), "replace")
 

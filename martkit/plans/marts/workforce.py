@@ -18,7 +18,7 @@ from martkit.functions import cleanse as cl
 from martkit.functions import dates as dt
 from martkit.functions.spec import normalise_headers
 from martkit.operators.dedup import dedup_grain, keep_first, latest_per_key
-from martkit.operators.facts import accumulating_conditional, new_rows, with_lineage
+from martkit.operators.facts import FactChange, accumulating_conditional, new_rows, with_lineage
 from martkit.operators.keys import append_keyed
 from martkit.operators.lookup import Lookup, drop_unresolved, mapped_key, resolve_keys, year_start_lookup
 from martkit.operators.quality import Rule, split_rejects
@@ -333,14 +333,14 @@ def _date_key_lookup(calendar: DataFrame, col: str | Column, out: str, default:
 
 
 def _append(existing: DataFrame, rows: DataFrame, grain: list[str], key_col: str, batch_id, source_system,
-            load_ts, lineage: bool = True) -> DataFrame:
+            load_ts, lineage: bool = True) -> FactChange:
     inc = new_rows(existing, rows, grain)
     if lineage:
         inc = with_lineage(inc, batch_id, source_system, load_ts, batch_col="ETL_BatchID",
                            source_col="RecordSourceSystem", inserted_col="ETL_InsertDate") \
             .withColumn("ETL_UpdateDate", F.lit(None).cast("timestamp"))
     keyed = append_keyed(existing, inc, grain, key_col)
-    return existing.unionByName(keyed.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema.fields]))
+    return FactChange(keyed.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema.fields]), "append")
 
 
 # --- L19: job posting (transaction fact) ----------------------------------------------------
@@ -363,7 +363,7 @@ def latest_postings(staged_jobs: DataFrame) -> DataFrame:
 
 def fact_job_posting(staged_jobs: DataFrame, calendar: DataFrame, dims: Mapping[str, DataFrame],
                      existing: DataFrame, batch_id=None, source_system: str = "HR_Job_Openings",
-                     load_ts=None) -> DataFrame:
+                     load_ts=None) -> FactChange:
     """Latest row per opening, every key resolved as of the posting date, appended once
     per opening id."""
     p = latest_postings(staged_jobs)
@@ -405,7 +405,7 @@ def _year_start(unified: DataFrame, calendar: DataFrame) -> DataFrame:
 
 def fact_employee_snapshot(unified: DataFrame, calendar: DataFrame, dims: Mapping[str, DataFrame],
                            existing: DataFrame, batch_id=None, source_system: str = "NTD_Employees",
-                           load_ts=None) -> DataFrame:
+                           load_ts=None) -> FactChange:
     """Unified rows resolved as of January 1st of the report year, additive measures
     summed to the declared grain (operator / non-operator rows of one grain combine),
     hours per employee recomputed with a zero guard, appended when the grain is new."""
@@ -428,7 +428,7 @@ def empty_fact_labor_coverage(spark) -> DataFrame:
 
 
 def fact_labor_coverage(unified: DataFrame, calendar: DataFrame, dims: Mapping[str, DataFrame],
-                        existing: DataFrame) -> DataFrame:
+                        existing: DataFrame) -> FactChange:
     """Distinct coverage grain with hours > 0 -> keys (as of Jan 1st) -> dedup of
     the resolved grain -> agency required -> appended when new (null-safe grain)."""
     g = unified.filter(F.col("HoursWorked") > 0).select("ReportYear", "NTD_ID", "ModeCode", "TOSCode",
@@ -454,7 +454,7 @@ def empty_fact_posting_lifecycle(spark) -> DataFrame:
 
 
 def fact_posting_lifecycle(staged_jobs: DataFrame, calendar: DataFrame, dims: Mapping[str, DataFrame],
-                           existing: DataFrame) -> DataFrame:
+                           existing: DataFrame) -> FactChange:
     """One row per opening with three role-playing milestone dates (posting,
     filled - kept only when not before posting -, closing).  Matched openings keep a known
     milestone when the new one is unknown and take the new measures / status; new
@@ -477,7 +477,7 @@ def fact_posting_lifecycle(staged_jobs: DataFrame, calendar: DataFrame, dims: Ma
     keyed = merged.filter(F.col("LifecycleFactKey").isNotNull())
     fresh = append_keyed(existing, merged.filter(F.col("LifecycleFactKey").isNull()).drop("LifecycleFactKey"),
                          ["OpeningID"], "LifecycleFactKey")
-    return keyed.unionByName(fresh.select(*existing.columns))
+    return FactChange(keyed.unionByName(fresh.select(*existing.columns)), "replace")
 
 
 # --- Q7: post-load data-quality report of the job-opening staging ---------------------------

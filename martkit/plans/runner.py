@@ -1,6 +1,8 @@
 """Mart runners (G1-G7): ordered loader steps with skip flags, two failure policies and one
 audit row per step.  Plain Python on the driver; every step is a Spark job that reads the
-published inputs and publishes a complete next snapshot (``SnapshotStore``).
+published inputs and writes its table through the ``SnapshotStore``: dimensions publish a
+complete next snapshot, facts append only their new rows (``FactChange``) unless a reload
+or an accumulating snapshot replaces the table.
 
 * ``fail_fast``            stop at the first failing step and raise
 * ``continue_then_raise``  run every step, then raise if any failed
@@ -70,6 +72,13 @@ class MartRunner:
             return 0
         return self.store.read(name).count()
 
+    def _write(self, name: str, change) -> None:
+        """Apply a ``FactChange``: append the delta, or publish a complete next snapshot."""
+        if change.mode == "append":
+            self.store.append(name, change.rows)
+        else:
+            self.store.publish(name, change.rows)
+
     def _table(self, name: str, empty: Callable[[SparkSession], DataFrame]) -> DataFrame:
         return self.store.read(name) if self.store.exists(name) else empty(self.spark)
 
@@ -206,25 +215,25 @@ class MartRunner:
             metrics = {m: self.store.read(f"stg_ts_{m}") for m in service.CURRENT_METRICS
                        if self.store.exists(f"stg_ts_{m}")}
             cur = self._table("Fact_Annual_Service_Performance", service.empty_fact_annual)
-            self.store.publish("Fact_Annual_Service_Performance", service.fact_annual_service_performance(
+            self._write("Fact_Annual_Service_Performance", service.fact_annual_service_performance(
                 metrics, d["calendar"], d["agency"], d["mode"], d["service_type"], d["urban"], cur,
                 reload=self.reload, **kw))
 
         def safety():
             cur = self._table("Fact_Major_Safety_Event", service.empty_fact_safety)
-            self.store.publish("Fact_Major_Safety_Event", service.fact_major_safety_event(
+            self._write("Fact_Major_Safety_Event", service.fact_major_safety_event(
                 self.store.read("stg_major_safety_event"), d["calendar"], d["agency"], d["mode"], d["service_type"],
                 d["urban"], d["event_type"], d["incident"], cur, reload=self.reload, **kw))
 
         def availability():
             cur = self._table("Fact_Service_Availability", service.empty_fact_availability)
-            self.store.publish("Fact_Service_Availability", service.fact_service_availability(
+            self._write("Fact_Service_Availability", service.fact_service_availability(
                 self.store.read("stg_agency_mode_service"), d["calendar"], d["agency"], d["mode"],
                 d["service_type"], cur, reload=self.reload, **kw))
 
         def lifecycle():
             cur = self._table("Fact_Service_Lifecycle_Accumulating", service.empty_fact_lifecycle)
-            self.store.publish("Fact_Service_Lifecycle_Accumulating", service.fact_service_lifecycle(
+            self._write("Fact_Service_Lifecycle_Accumulating", service.fact_service_lifecycle(
                 self.store.read("Fact_Annual_Service_Performance"), self.store.read("Fact_Service_Availability"),
                 self.store.read("Fact_Major_Safety_Event"), d["calendar"], cur, **kw))
 
@@ -258,22 +267,22 @@ class MartRunner:
 
         def posting():
             cur = self._table("FactJobPosting", workforce.empty_fact_job_posting)
-            self.store.publish("FactJobPosting", workforce.fact_job_posting(
+            self._write("FactJobPosting", workforce.fact_job_posting(
                 self.store.read("stg_job_openings"), cal, d, cur, batch_id=self.batch_id, load_ts=self.load_ts))
 
         def snapshot():
             cur = self._table("FactEmployeeSnapshot", workforce.empty_fact_employee_snapshot)
-            self.store.publish("FactEmployeeSnapshot", workforce.fact_employee_snapshot(
+            self._write("FactEmployeeSnapshot", workforce.fact_employee_snapshot(
                 self.store.read("stg_employee_unified"), cal, d, cur, batch_id=self.batch_id, load_ts=self.load_ts))
 
         def coverage():
             cur = self._table("FactAgencyLaborCoverage", workforce.empty_fact_labor_coverage)
-            self.store.publish("FactAgencyLaborCoverage", workforce.fact_labor_coverage(
+            self._write("FactAgencyLaborCoverage", workforce.fact_labor_coverage(
                 self.store.read("stg_employee_unified"), cal, d, cur))
 
         def lifecycle():
             cur = self._table("FactJobPostingLifecycle", workforce.empty_fact_posting_lifecycle)
-            self.store.publish("FactJobPostingLifecycle", workforce.fact_posting_lifecycle(
+            self._write("FactJobPostingLifecycle", workforce.fact_posting_lifecycle(
                 self.store.read("stg_job_openings"), cal, d, cur))
 
         has_jobs = self.store.exists("stg_job_openings")
