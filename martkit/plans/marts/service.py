@@ -20,7 +20,7 @@ from martkit.functions.spec import Col, project
 from martkit.operators.aggregates import arg_max, mode_per_group, sum_zero
 from martkit.operators.dedup import keep_first
 from martkit.operators.facts import FactChange, accumulating_replace, new_rows, reload_by_grain, with_lineage
-from martkit.operators.keys import append_keyed
+from martkit.operators.keys import assign_keys_hashed
 from martkit.operators.lookup import Lookup, drop_unresolved, resolve_keys, year_start_lookup
 from martkit.operators.reshape import align_metrics, unpivot_years
 from martkit.operators.scd import insert_new, scd1_upsert, scd2_apply
@@ -286,7 +286,7 @@ def _publish_rows(existing: DataFrame, rows: DataFrame, grain: list[str], key_co
     incoming = with_lineage(incoming, batch_id, source_system, load_ts, batch_col="ETL_BatchID",
                             source_col="RecordSourceSystem", inserted_col="ETL_InsertDate") \
         .withColumn("ETL_UpdateDate", F.lit(None).cast("timestamp"))
-    keyed = append_keyed(existing, incoming, grain, key_col)
+    keyed = assign_keys_hashed(incoming, grain, key_col, existing=existing)
     keyed = keyed.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema.fields])
     if reload:
         return FactChange(reload_by_grain(existing, keyed, grain), "replace")
@@ -509,7 +509,7 @@ def fact_service_lifecycle(annual: DataFrame, availability: DataFrame, safety: D
     incoming = incoming.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema.fields])
     merged = accumulating_replace(existing, incoming, LIFECYCLE_KEY, retain=["ServiceLifecycleKey", "ETL_InsertDate"])
     keyed_old = merged.filter(F.col("ServiceLifecycleKey").isNotNull())
-    fresh = append_keyed(existing, merged.filter(F.col("ServiceLifecycleKey").isNull()).drop("ServiceLifecycleKey"),
-                         LIFECYCLE_KEY, "ServiceLifecycleKey")
+    fresh = assign_keys_hashed(merged.filter(F.col("ServiceLifecycleKey").isNull()).drop("ServiceLifecycleKey"),
+                               LIFECYCLE_KEY, "ServiceLifecycleKey", existing=existing)
     return FactChange(keyed_old.unionByName(fresh.select(*existing.columns)), "replace")
 

@@ -19,7 +19,7 @@ from martkit.functions import dates as dt
 from martkit.functions.spec import normalise_headers
 from martkit.operators.dedup import dedup_grain, keep_first, latest_per_key
 from martkit.operators.facts import FactChange, accumulating_conditional, new_rows, with_lineage
-from martkit.operators.keys import append_keyed
+from martkit.operators.keys import assign_keys_hashed
 from martkit.operators.lookup import Lookup, drop_unresolved, mapped_key, resolve_keys, year_start_lookup
 from martkit.operators.quality import Rule, split_rejects
 from martkit.operators.reshape import unpivot_measures
@@ -339,7 +339,7 @@ def _append(existing: DataFrame, rows: DataFrame, grain: list[str], key_col: str
         inc = with_lineage(inc, batch_id, source_system, load_ts, batch_col="ETL_BatchID",
                            source_col="RecordSourceSystem", inserted_col="ETL_InsertDate") \
             .withColumn("ETL_UpdateDate", F.lit(None).cast("timestamp"))
-    keyed = append_keyed(existing, inc, grain, key_col)
+    keyed = assign_keys_hashed(inc, grain, key_col, existing=existing)
     return FactChange(keyed.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema.fields]), "append")
 
 
@@ -475,8 +475,8 @@ def fact_posting_lifecycle(staged_jobs: DataFrame, calendar: DataFrame, dims: Ma
                                       milestones=["PostingDateKey", "FilledDateKey", "ClosingDateKey"],
                                       measures=["DaysOpen", "OpenPositions", "HiredCount", "PostingStatus"])
     keyed = merged.filter(F.col("LifecycleFactKey").isNotNull())
-    fresh = append_keyed(existing, merged.filter(F.col("LifecycleFactKey").isNull()).drop("LifecycleFactKey"),
-                         ["OpeningID"], "LifecycleFactKey")
+    fresh = assign_keys_hashed(merged.filter(F.col("LifecycleFactKey").isNull()).drop("LifecycleFactKey"),
+                               ["OpeningID"], "LifecycleFactKey", existing=existing)
     return FactChange(keyed.unionByName(fresh.select(*existing.columns)), "replace")
 
 

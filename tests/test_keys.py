@@ -27,3 +27,23 @@ def test_max_key_floor(spark):
     df = spark.createDataFrame([(-1,), (4,)], "k int")
     assert max_key(df, "k") == 4
     assert max_key(df.filter("k < 0"), "k") == 0
+
+
+def test_hashed_keys_dense_unique_deterministic_lazy(spark):
+    from martkit.operators.keys import assign_keys_hashed
+    base = spark.range(0, 3000).select((F.col("id") * 7919 % 10007).alias("nk"), (F.col("id") % 7).alias("v"))
+    existing = spark.createDataFrame([(-1,), (41,)], "k bigint")
+    a = assign_keys_hashed(base.repartition(11), ["nk"], "k", existing=existing, buckets=8)
+    b = assign_keys_hashed(base.coalesce(1), ["nk"], "k", existing=existing, buckets=8)
+    ka = {r.nk: r.k for r in a.collect()}
+    assert ka == {r.nk: r.k for r in b.collect()}
+    assert sorted(ka.values()) == list(range(42, 3042))
+    sc = spark.sparkContext
+    sc.setJobGroup("hashed-keys-lazy", "plan only")
+    try:
+        assign_keys_hashed(base, ["nk"], "k", existing=existing, buckets=8)
+        assert list(sc.statusTracker().getJobIdsForGroup("hashed-keys-lazy")) == []  # no eager job, no checkpoint
+    finally:
+        sc.setJobGroup("", "")
+    empty = assign_keys_hashed(base, ["nk"], "k", start_after=5)
+    assert empty.agg(F.min("k")).first()[0] == 6
