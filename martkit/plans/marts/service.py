@@ -439,8 +439,10 @@ def fact_service_availability(staged_ams: DataFrame, calendar: DataFrame, agency
     rows = drop_unresolved(rows, "AgencyKey")
     # 'Ending Service' -> inactive; 'Active Service' (and anything unclear) -> active.
     fact_rows = rows.select(*AVAILABILITY_GRAIN[:-1], dt.open_ended_key("EndDateKey").alias("EndDateKey"),
-                            (F.col("service_type") != "Ending Service").alias("ServiceActiveFlag")) \
-        .dropDuplicates(AVAILABILITY_GRAIN)
+                            (F.col("service_type") != "Ending Service").alias("ServiceActiveFlag"))
+    # One row per declared grain; when an active and an ending record share it, the ending
+    # record wins (deterministically).
+    fact_rows = keep_first(fact_rows, AVAILABILITY_GRAIN, [F.col("ServiceActiveFlag").asc()])
     return _publish_rows(existing, fact_rows, AVAILABILITY_GRAIN, "ServiceAvailabilityKey", reload, batch_id,
                          source_system, load_ts)
 

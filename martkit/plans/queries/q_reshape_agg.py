@@ -328,3 +328,38 @@ def layout_union(spark: SparkSession, sf: str) -> DataFrame:
     return u.groupBy(F.col("half").cast("int").alias("half")).agg(
         F.count(F.lit(1)).alias("n"), F.count("priority").alias("n_with_priority"),
         F.sum(F.col("total_price").try_cast("double").cast("decimal(18,2)")).cast("double").alias("revenue"))
+
+
+@query("multi_measure_unpivot", sql="""
+WITH v AS (
+  SELECT l_linestatus, x.kind, x.qty, x.price
+  FROM lineitem,
+       LATERAL (VALUES
+         ('returned', CASE WHEN l_returnflag = 'R' THEN l_quantity END,
+                      CASE WHEN l_returnflag = 'R' THEN CAST(l_extendedprice AS DECIMAL(18,2)) END),
+         ('accepted', CASE WHEN l_returnflag = 'A' THEN l_quantity END,
+                      CASE WHEN l_returnflag = 'A' AND l_discount > 0 THEN CAST(l_extendedprice AS DECIMAL(18,2)) END),
+         ('discounted', NULL, CASE WHEN l_discount >= 0.05 THEN CAST(l_extendedprice AS DECIMAL(18,2)) END)
+       ) x(kind, qty, price)
+  WHERE coalesce(x.qty, CAST(x.price AS DOUBLE)) IS NOT NULL)
+SELECT l_linestatus, kind, count(*) AS n, CAST(sum(qty) AS BIGINT) AS qty, CAST(sum(price) AS DOUBLE) AS price
+FROM v GROUP BY 1, 2
+""")
+def multi_measure_unpivot(spark: SparkSession, sf: str) -> DataFrame:
+    """Multi-measure unpivot: every line fans out into (kind, quantity, price) variants and a
+    variant is kept only when one of its measures is present."""
+    from martkit.operators.reshape import unpivot_measures
+    li = table(spark, sf, "lineitem")
+    flag, disc = F.col("l_returnflag"), F.col("l_discount")
+    price = _money("l_extendedprice")
+    variants = [
+        {"kind": F.lit("returned"), "qty": F.when(flag == "R", F.col("l_quantity")), "price": F.when(flag == "R", price)},
+        {"kind": F.lit("accepted"), "qty": F.when(flag == "A", F.col("l_quantity")),
+         "price": F.when((flag == "A") & (disc > 0), price)},
+        {"kind": F.lit("discounted"), "qty": F.lit(None).cast("double"), "price": F.when(disc >= 0.05, price)},
+    ]
+    long = unpivot_measures(li, ["l_linestatus"], variants)
+    long = long.filter(F.coalesce(F.col("qty"), F.col("price").cast("double")).isNotNull())
+    return long.groupBy("l_linestatus", "kind").agg(F.count(F.lit(1)).alias("n"),
+                                                     F.sum("qty").cast("bigint").alias("qty"),
+                                                     F.sum("price").cast("double").alias("price"))
