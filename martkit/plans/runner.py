@@ -18,7 +18,7 @@ import traceback
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.functions.dates import batch_id as make_batch_id
@@ -34,19 +34,20 @@ class MartLoadError(RuntimeError):
 class StepResult:
     name: str
     status: str
-    rows_before: int = 0
-    rows_after: int = 0
+    rows_written: int = 0
+    mode: str | None = None  # "append" (only new rows written) or "replace" (whole snapshot)
     seconds: float = 0.0
     error: str | None = None
 
     @property
     def inserted(self) -> int:
-        return max(self.rows_after - self.rows_before, 0)
+        return self.rows_written if self.mode == "append" else 0
 
 
 @dataclass
 class Step:
-    """``run`` publishes one table and returns its name (rows are counted before/after)."""
+    """``run`` writes one table (named like the step unless it returns another name); the
+    audit row takes its row count from an observation on that write."""
     name: str
     run: Callable[[], str | None]
     skip: bool = False
@@ -65,19 +66,28 @@ class MartRunner:
         self.batch_id = self.batch_id or make_batch_id()
         self.audit = AuditLog(self.store)
         self.load_ts = F.lit(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
+        self._written: dict[str, tuple[str, int]] = {}
 
     # --- plumbing -----------------------------------------------------------------------
-    def _count(self, name: str | None) -> int:
-        if not name or not self.store.exists(name):
-            return 0
-        return self.store.read(name).count()
+    def _observed(self, name: str, df: DataFrame) -> tuple[DataFrame, Observation]:
+        # Row counts for the audit come out of the write job itself (no extra count action).
+        obs = Observation(f"{name}_{len(self._written)}")
+        return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+
+    def _publish(self, name: str, df: DataFrame) -> None:
+        """Publish a complete next snapshot of ``name``."""
+        observed, obs = self._observed(name, df)
+        self.store.publish(name, observed)
+        self._written[name] = ("replace", int(obs.get["rows"]))
 
     def _write(self, name: str, change) -> None:
         """Apply a ``FactChange``: append the delta, or publish a complete next snapshot."""
         if change.mode == "append":
-            self.store.append(name, change.rows)
+            observed, obs = self._observed(name, change.rows)
+            self.store.append(name, observed)
+            self._written[name] = ("append", int(obs.get["rows"]))
         else:
-            self.store.publish(name, change.rows)
+            self._publish(name, change.rows)
 
     def _table(self, name: str, empty: Callable[[SparkSession], DataFrame]) -> DataFrame:
         return self.store.read(name) if self.store.exists(name) else empty(self.spark)
@@ -90,12 +100,9 @@ class MartRunner:
                 continue
             start = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
             res = StepResult(st.name, "IN_PROGRESS")
-            table = None
             try:
-                table = st.name
-                res.rows_before = self._count(table)
-                published = st.run()
-                res.rows_after = self._count(published or table)
+                published = st.run() or st.name
+                res.mode, res.rows_written = self._written.get(published, (None, 0))
                 res.status = "SUCCESS"
             except Exception as exc:  # noqa: BLE001 - recorded, then re-raised per policy
                 res.status, res.error = "FAILED", f"{type(exc).__name__}: {exc}"
@@ -103,7 +110,7 @@ class MartRunner:
             end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
             res.seconds = (end - start).total_seconds()
             self.audit.record(self.batch_id, f"{mart}.{st.name}" if mart else st.name, self.load_date, start, end,
-                              res.status, processed=res.rows_after, inserted=res.inserted, error=res.error)
+                              res.status, processed=res.rows_written, inserted=res.inserted, error=res.error)
             results.append(res)
             if res.status == "FAILED" and policy == "fail_fast":
                 raise MartLoadError(f"{mart}: step {st.name} failed: {res.error}")
@@ -122,7 +129,7 @@ class MartRunner:
         steps = []
 
         def add(name: str, fn: Callable[[], DataFrame]):
-            steps.append(Step(name, lambda: (self.store.publish(name, fn()), name)[1]))
+            steps.append(Step(name, lambda: (self._publish(name, fn()), name)[1]))
 
         if "agency_information" in raw:
             add("stg_agency_information", lambda: service.stage_agency_information(raw["agency_information"]))
@@ -140,7 +147,7 @@ class MartRunner:
         if "job_openings" in raw:
             def jobs():
                 valid, rejects = workforce.stage_job_openings(raw["job_openings"])
-                self.store.publish("stg_job_openings_rejects", rejects)
+                self._publish("stg_job_openings_rejects", rejects)
                 return valid
             add("stg_job_openings", jobs)
         years = sorted(int(k.split("_")[1]) for k in raw if k.startswith("employees_"))
@@ -154,22 +161,22 @@ class MartRunner:
                    skip_mode=False, skip_service_type=False) -> list[StepResult]:
         def date_step():
             cur = self._table("DimDate", common.empty_dim_date)
-            self.store.publish("DimDate", common.dim_date_load(raw_calendar, cur) if raw_calendar is not None else cur)
+            self._publish("DimDate", common.dim_date_load(raw_calendar, cur) if raw_calendar is not None else cur)
 
         def agency_step():
             cur = self._table("DimAgency", common.empty_dim_agency)
             nxt = common.dim_agency_load(self.store.read("stg_agency_information"), cur, self.load_date,
                                          self.initial_effective)
-            self.store.publish("DimAgency", nxt)
+            self._publish("DimAgency", nxt)
 
         def mode_step():
-            self.store.publish("DimMode", common.dim_mode(self.spark))
+            self._publish("DimMode", common.dim_mode(self.spark))
             bad = common.verify_static_dims(self.spark).filter(~F.col("ok")).count()
             if bad:
                 raise MartLoadError("static dimension size check failed")
 
         def tos_step():
-            self.store.publish("DimServiceType", common.dim_service_type(self.spark))
+            self._publish("DimServiceType", common.dim_service_type(self.spark))
 
         return self.run_steps([Step("DimDate", date_step, skip_date), Step("DimAgency", agency_step, skip_agency),
                                Step("DimMode", mode_step, skip_mode),
@@ -179,17 +186,17 @@ class MartRunner:
     def run_service_dimensions(self, skip_urban=False, skip_event_type=False, skip_incident=False):
         def urban():
             cur = self._table("DimUrbanArea", service.empty_dim_urban_area)
-            self.store.publish("DimUrbanArea", service.dim_urban_area_load(
+            self._publish("DimUrbanArea", service.dim_urban_area_load(
                 self.store.read("stg_agency_information"), cur, self.load_date, self.initial_effective))
 
         def event_type():
             cur = self._table("DimSafetyEventType", service.empty_dim_safety_event_type)
-            self.store.publish("DimSafetyEventType", service.dim_safety_event_type_load(
+            self._publish("DimSafetyEventType", service.dim_safety_event_type_load(
                 self.store.read("stg_major_safety_event"), cur))
 
         def incident():
             cur = self._table("DimSafetyIncident", service.empty_dim_safety_incident)
-            self.store.publish("DimSafetyIncident", service.dim_safety_incident_load(
+            self._publish("DimSafetyIncident", service.dim_safety_incident_load(
                 self.store.read("stg_major_safety_event"), cur))
 
         return self.run_steps([Step("DimUrbanArea", urban, skip_urban),
@@ -246,16 +253,16 @@ class MartRunner:
     def run_workforce_dimensions(self) -> list[StepResult]:
         def emp():
             cur = self._table("DimEmploymentType", workforce.dim_employment_type_seed)
-            self.store.publish("DimEmploymentType", workforce.dim_employment_type_load(
+            self._publish("DimEmploymentType", workforce.dim_employment_type_load(
                 self.store.read("stg_job_openings"), cur))
 
         def dept():
             cur = self._table("DimDepartment", workforce.dim_department_seed)
-            self.store.publish("DimDepartment", workforce.dim_department_load(self.spark, cur))
+            self._publish("DimDepartment", workforce.dim_department_load(self.spark, cur))
 
         def role():
             cur = self._table("DimJobRole", workforce.dim_job_role_seed)
-            self.store.publish("DimJobRole", workforce.dim_job_role_load(
+            self._publish("DimJobRole", workforce.dim_job_role_load(
                 self.store.read("stg_job_openings"), cur, self.load_date, self.initial_effective))
 
         return self.run_steps([Step("DimEmploymentType", emp), Step("DimDepartment", dept), Step("DimJobRole", role)],

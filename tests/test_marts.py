@@ -239,6 +239,9 @@ def test_rerun_is_idempotent(spark, warehouse):
     assert before == after
     audit = store.read("etl_load_audit")
     assert audit.filter("status = 'FAILED'").count() == 0 and audit.select("run_id").distinct().count() == 2
+    ins = {r.run_id: r.rows_inserted for r in
+           audit.filter("procedure_name = 'service_facts.Fact_Major_Safety_Event'").collect()}
+    assert ins == {1: 3, 2: 0}  # observed on the append itself: 3 incidents, then nothing new
 
 
 def test_failure_gates_later_marts(spark, tmp_path):
