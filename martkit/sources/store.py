@@ -1,10 +1,10 @@
 """Table store: versioned snapshot publish, append / overwrite sinks, audit log.
 
-A mart table lives in ``<root>/<name>/v=<n>/`` (Parquet) plus a one-line pointer
-``<root>/<name>/_current`` naming the published version.  Publishing writes a brand-new
-version directory and only then moves the pointer, so
+A mart table lives in ``<root>/<name>/v=<n>_<token>/`` (Parquet) plus one small marker per
+published version under ``<root>/<name>/_versions/<n>`` naming its data directory.  Publishing writes a brand-new
+version directory and only then adds its marker (markers are never rewritten), so
 
-* readers never see a half-written table (the job that fails leaves the old pointer),
+* readers never see a half-written table (a job that fails leaves the old version current),
 * a load may read the current version and publish the next one in the same job - Spark
   cannot overwrite a Parquet path it is reading from,
 * a retried task/stage only rewrites files inside the new version directory.
@@ -16,6 +16,7 @@ system works (HDFS, S3, ABFS, or a local folder in tests).
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -43,41 +44,58 @@ class SnapshotStore:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    # --- pointer handling ---------------------------------------------------------
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/_current"
+    # --- version markers ------------------------------------------------------------------
+    # Publishing never rewrites or deletes a marker: version n becomes current by adding the
+    # marker ``_versions/<n>`` after its data directory is complete, and the current version
+    # is the highest marker.  A crash at any point leaves the previous version current.
+    def _markers(self, name: str) -> str:
+        return f"{self.root}/{name}/_versions"
 
-    def current_version(self, name: str) -> int | None:
+    def _current(self, name: str) -> tuple[int, str] | None:
+        """(version, data directory) of the published version, or None."""
         try:
-            row = self.spark.read.text(self._pointer(name)).first()
-        except Exception:  # no pointer yet: table never published
+            row = self.spark.read.text(f"{self._markers(name)}/*").select(
+                F.split("value", " ").alias("p")).select(
+                F.max(F.struct(F.col("p")[0].cast("int").alias("v"), F.col("p")[1].alias("d"))).alias("m")).first()
+        except Exception:  # no marker yet: table never published
+            return None
+        if row is None or row["m"] is None:
             return None
-        return int(row[0]) if row is not None else None
+        return int(row["m"]["v"]), row["m"]["d"]
+
+    def current_version(self, name: str) -> int | None:
+        cur = self._current(name)
+        return cur[0] if cur else None
 
     def exists(self, name: str) -> bool:
-        return self.current_version(name) is not None
+        return self._current(name) is not None
 
-    def path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v={version}"
+    def current_path(self, name: str) -> str:
+        cur = self._current(name)
+        if cur is None:
+            raise FileNotFoundError(f"table {name!r} has not been published")
+        return f"{self.root}/{name}/{cur[1]}"
 
     # --- read / publish -------------------------------------------------------------
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        v = self.current_version(name)
-        if v is None:
+        if self._current(name) is None:
             if schema is None:
                 raise FileNotFoundError(f"table {name!r} has not been published")
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(self.path(name, v))
+        return self.spark.read.parquet(self.current_path(name))
 
     def publish(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Write ``df`` as the next version and flip the pointer (full snapshot)."""
+        """Write ``df`` as the next version into a directory of its own (unique per
+        attempt, so a failed attempt leaves only an unreferenced orphan), then add the
+        version's marker.  Two writers racing for the same version fail on the marker."""
         v = (self.current_version(name) or 0) + 1
+        data_dir = f"v={v}_{uuid.uuid4().hex[:12]}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(self.path(name, v))
-        self.spark.createDataFrame([(str(v),)], "value string").coalesce(1) \
-            .write.mode("overwrite").text(self._pointer(name))
+        w.parquet(f"{self.root}/{name}/{data_dir}")
+        self.spark.createDataFrame([(f"{v} {data_dir}",)], "value string").coalesce(1) \
+            .write.mode("errorifexists").text(f"{self._markers(name)}/{v}")
         return v
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
@@ -88,7 +106,7 @@ class SnapshotStore:
         w = df.write.mode("append")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(self.path(name, v))
+        w.parquet(self.current_path(name))
         return v
 
     def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> int:
@@ -98,7 +116,7 @@ class SnapshotStore:
         if v is None:
             return self.publish(name, df, partition_by)
         self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.path(name, v))
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.current_path(name))
         return v
 
 

@@ -42,3 +42,16 @@ def test_entry_contract_and_oracles(spark):
         cur = con.execute(sqls[name])
         assert sorted(s.columns) == sorted(d[0] for d in cur.description)
         assert s.count() == len(cur.fetchall()), name
+
+
+def test_failed_publish_keeps_previous_version(spark, tmp_root):
+    import pytest
+    from pyspark.sql import functions as F
+    st = SnapshotStore(spark, tmp_root)
+    st.publish("t", spark.range(3))
+    bad = spark.range(5).withColumn("x", F.when(F.col("id") == 4, F.raise_error(F.lit("boom"))).otherwise(F.lit(1)))
+    with pytest.raises(Exception):
+        st.publish("t", bad)
+    assert st.current_version("t") == 1 and st.read("t").count() == 3
+    st.publish("t", spark.range(7))  # the next publish still works after the failed one
+    assert st.read("t").count() == 7
