@@ -11,7 +11,8 @@ from martkit.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("*", 8, app="martkit-tests")
+    s = local_session("*", 8, app="martkit-tests",
+                      extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="martkit-warehouse-")})
     yield s
 
 
