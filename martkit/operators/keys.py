@@ -31,10 +31,21 @@ def max_key(df: DataFrame, key_col: str, floor: int = 0) -> int:
     return max(int(m) if m is not None else floor, floor)
 
 
+def _base_row(spark, existing: DataFrame | None, key_col: str, start_after: int) -> DataFrame:
+    """One row (part -1, n = current maximum key) that seeds the offsets table lazily."""
+    if existing is None:
+        return spark.range(1).select(F.lit(-1).cast("bigint").alias("_mk_part"),
+                                     F.lit(start_after).cast("bigint").alias("_mk_n"))
+    return existing.agg(F.coalesce(F.max(F.col(key_col)), F.lit(0)).cast("bigint").alias("_m")).select(
+        F.lit(-1).cast("bigint").alias("_mk_part"), F.greatest("_m", F.lit(start_after).cast("bigint")).alias("_mk_n"))
+
+
 def assign_keys(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
                 start_after: int = 0, num_partitions: int | None = None,
-                key_type: str = "bigint") -> DataFrame:
-    """Add ``key_col`` = ``start_after`` + 1, 2, ... in ``order_by`` order.
+                key_type: str = "bigint", existing: DataFrame | None = None,
+                existing_key: str | None = None) -> DataFrame:
+    """Add ``key_col`` = base + 1, 2, ... in ``order_by`` order, where base is the largest
+    key of ``existing`` (if given, evaluated lazily inside the same plan) or ``start_after``.
 
     ``order_by`` must be a total order over the rows (a unique natural key, or the natural
     key plus tie-break columns) for the keys to be reproducible.
@@ -49,21 +60,22 @@ def assign_keys(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
                 .checkpoint(eager=True))
     counts = (tagged.groupBy(F.shiftright("_mk_id", _ROW_BITS).alias("_mk_part"))
                     .agg(F.count(F.lit(1)).alias("_mk_n")))
-    # Tiny table (one row per partition): a global window over it is cheap.
-    offsets = counts.select(
+    base = _base_row(spark, existing, existing_key or key_col, start_after)
+    # Tiny table (one row per partition + the base row): a global window over it is cheap.
+    offsets = counts.unionByName(base).select(
         "_mk_part",
         F.coalesce(F.sum("_mk_n").over(Window.orderBy("_mk_part")
                                        .rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_mk_off"))
     keyed = tagged.join(F.broadcast(offsets), F.shiftright(tagged["_mk_id"], _ROW_BITS) == offsets["_mk_part"])
-    key = (F.lit(start_after) + F.col("_mk_off") + F.col("_mk_id").bitwiseAND(F.lit(_ROW_MASK)) + 1).cast(key_type)
+    key = (F.col("_mk_off") + F.col("_mk_id").bitwiseAND(F.lit(_ROW_MASK)) + 1).cast(key_type)
     return keyed.withColumn(key_col, key).drop("_mk_id", "_mk_part", "_mk_off")
 
 
 def append_keyed(existing: DataFrame, new_rows: DataFrame, order_by: Sequence[str | Column],
                  key_col: str, key_type: str = "bigint") -> DataFrame:
     """Key ``new_rows`` after the largest key in ``existing`` (ids are never reused)."""
-    return assign_keys(new_rows, order_by, key_col, start_after=max_key(existing, key_col), key_type=key_type)
+    return assign_keys(new_rows, order_by, key_col, key_type=key_type, existing=existing)
 
 
 def assign_keys_hashed(df: DataFrame, order_by: Sequence[str], key_col: str,

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from martkit.functions.cleanse import any_differs
 from martkit.functions.dates import HIGH_DATE
 from martkit.operators.joins import anti_join
-from martkit.operators.keys import assign_keys, max_key
+from martkit.operators.keys import assign_keys
 
 NEW, CHANGE, NO_CHANGE = "NEW", "CHANGE", "NO_CHANGE"
 
@@ -45,7 +45,7 @@ def insert_new(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], key_c
     lacks are filled from ``defaults`` or NULL.
     """
     new = anti_join(src, dim, list(natural_key), null_safe=null_safe)
-    keyed = assign_keys(new, list(natural_key), key_col, start_after=max_key(dim, key_col))
+    keyed = assign_keys(new, list(natural_key), key_col, existing=dim)
     defaults = defaults or {}
     cols = []
     for f in dim.schema.fields:
@@ -80,7 +80,7 @@ def scd1_upsert(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], key_
                              .otherwise(F.col(updated_col)))
     existing = out.select(*dim.columns)
     inserts = anti_join(src, dim, nk)
-    keyed = assign_keys(inserts, nk, key_col, start_after=max_key(dim, key_col))
+    keyed = assign_keys(inserts, nk, key_col, existing=dim)
     cols = []
     for f in dim.schema.fields:
         if f.name in keyed.columns:
@@ -211,8 +211,8 @@ def scd2_apply(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], track
             c = F.lit(None)
         new_cols.append(c.cast(f.dataType).alias(f.name))
     new_versions = j.filter(has_src & (~has_cur | expire)).select(*new_cols)
-    keyed = assign_keys(new_versions, nk, key_col, start_after=max_key(dim, key_col),
-                        key_type=dim.schema[key_col].dataType.simpleString())
+    keyed = assign_keys(new_versions, nk, key_col, key_type=dim.schema[key_col].dataType.simpleString(),
+                        existing=dim)
     return other.unionByName(existing).unionByName(keyed.select(*dim.columns))
 
 
