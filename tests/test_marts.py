@@ -260,3 +260,19 @@ def test_job_openings_dq_report(warehouse):
     assert rep == {"null_critical_fields": 0, "salary_range": 0, "date_order": 0}
     top = workforce.job_openings_summary(jobs).first()
     assert (top.employment_type, top.postings) == ("Full-Time", 2)
+
+
+def test_cli_loads_from_csv_folder(spark, tmp_path):
+    from martkit.plans import cli
+    raw, raw_cal = fixtures(spark)
+    raw_dir = tmp_path / "raw"
+    raw_dir.mkdir()
+    for name, df in list(raw.items()) + [("calendar", raw_cal)]:
+        pdf = df.toPandas()
+        pdf.to_csv(raw_dir / f"{name}.csv", index=False)
+    store_dir = str(tmp_path / "mart")
+    report = cli.main(["--raw-dir", str(raw_dir), "--store", store_dir, "--load-date", "2024-01-01",
+                       "--batch-id", "7", "--skip-workforce"], spark=spark)
+    st = SnapshotStore(spark, store_dir)
+    assert "workforce_facts" not in report and st.read("Fact_Major_Safety_Event").count() == 3
+    assert st.read("DimDate").filter("DateKey > 0").count() == 3652 + 2
