@@ -26,7 +26,8 @@ def main() -> None:
     from martkit.session import local_session
     from martkit.plans.queries import QUERIES
 
-    spark = local_session(cpus, shuffle_partitions=2 * cpus, app="martkit-bench",
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
+    spark = local_session(cpus, shuffle_partitions=parts, app="martkit-bench",
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
                                  "spark.sql.files.maxPartitionBytes": "64m"})
     names = [n for n in QUERIES if not only or n in only]
@@ -42,7 +43,7 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus, "reps": reps,
-                      "shuffle_partitions": 2 * cpus}))
+                      "shuffle_partitions": parts}))
     spark.stop()
 
 
