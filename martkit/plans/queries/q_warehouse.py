@@ -56,7 +56,7 @@ from martkit.operators.facts import (  # noqa: E402
 from martkit.operators.keys import assign_keys  # noqa: E402
 from martkit.operators.lookup import drop_unresolved, year_start_lookup  # noqa: E402
 from martkit.operators.quality import Rule, check_rules, combine_checks, not_null, referential, uniqueness  # noqa: E402
-from martkit.operators.reshape import align_metrics, pivot_wide, unpivot_years  # noqa: E402
+from martkit.operators.reshape import align_metrics, pivot_wide, unpivot_columns, unpivot_years  # noqa: E402
 from martkit.operators.scd import (  # noqa: E402
     change_counts, insert_new, scd1_counts, scd1_upsert, scd2_classify, seed_dimension, verify_static,
 )
@@ -390,18 +390,23 @@ SELECT coalesce(sk.supplier_key, -1) AS supplier_key, CAST(y.yr * 10000 + 101 AS
 FROM y LEFT JOIN sk ON sk.s_suppkey = y.l_suppkey
 """)
 def periodic_snapshot(spark: SparkSession, sf: str) -> DataFrame:
-    """Periodic snapshot from wide yearly metric tables: each metric unpivoted (years ->
-    rows), the metrics aligned on (supplier, year) in one aggregate, keys resolved, rows
-    aggregated to the declared grain and appended idempotently to the earlier snapshot."""
+    """Periodic snapshot from a wide yearly metric table: year/metric cells unpivoted to rows
+    (NULL cells dropped), the metrics aligned on (supplier, year) in one conditional
+    aggregate, keys resolved, rows aggregated to the declared grain and appended
+    idempotently to the earlier snapshot."""
     li = table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
     years = list(range(1992, 2003))
-    metrics = {"revenue": F.sum(F.col("l_extendedprice").cast("decimal(18,2)")),
-               "quantity": F.sum("l_quantity"), "n_lines": F.count(F.lit(1))}
-    longs = {}
-    for name, agg in metrics.items():
-        wide = pivot_wide(li.groupBy("l_suppkey", "year").agg(agg.cast("double").alias("v")), ["l_suppkey"],
-                          "year", years, "v", prefix="y")
-        longs[name] = unpivot_years(wide, ["l_suppkey"], [f"y{y}" for y in years], value_col="value")
+    # Stand-in for the wide yearly metric files: one pivot of the raw lines with a column per
+    # (year, metric).  All its columns are unpivoted in one Expand, so every metric branch
+    # below reads the same subtree and the raw table is scanned once (exchange reuse).
+    metrics = ["revenue", "quantity", "n_lines"]
+    wide = li.groupBy("l_suppkey").pivot("year", years).agg(
+        F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("double").alias("revenue"),
+        F.sum("l_quantity").cast("double").alias("quantity"), F.count(F.lit(1)).cast("double").alias("n_lines"))
+    cells = unpivot_columns(wide, ["l_suppkey"], [f"{y}_{m}" for y in years for m in metrics], "cell", "value")
+    cells = cells.withColumns({"year": F.substring_index("cell", "_", 1).cast("int"),
+                               "metric": F.substring("cell", 6, 64)})
+    longs = {m: cells.filter(F.col("metric") == m).select("l_suppkey", "year", "value") for m in metrics}
     aligned = align_metrics(longs, ["l_suppkey", "year"])
     keyed = resolve_keys(aligned, [Lookup(_supplier_dim(spark, sf), [("l_suppkey", "s_suppkey")], "supplier_key",
                                           "supplier_key", broadcast=1_000_000)])
