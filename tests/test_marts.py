@@ -276,3 +276,28 @@ def test_cli_loads_from_csv_folder(spark, tmp_path):
     st = SnapshotStore(spark, store_dir)
     assert "workforce_facts" not in report and st.read("Fact_Major_Safety_Event").count() == 3
     assert st.read("DimDate").filter("DateKey > 0").count() == 3652 + 2
+
+
+def test_every_fact_key_resolves(warehouse):
+    """Referential integrity (Q3) after every fact load: each foreign key - including the
+    unknown member -1 - exists in its dimension."""
+    from martkit.operators.quality import combine_checks, referential
+    store, *_ = warehouse
+    dims = {"AgencyKey": "DimAgency", "ModeKey": "DimMode", "ServiceTypeKey": "DimServiceType",
+            "UrbanAreaKey": "DimUrbanArea", "SafetyEventTypeKey": "DimSafetyEventType",
+            "EmploymentTypeKey": "DimEmploymentType", "DepartmentKey": "DimDepartment", "JobRoleKey": "DimJobRole"}
+    dates = {"DateKey", "EventDateKey", "StartDateKey", "EndDateKey", "CommitmentDateKey", "PostingDateKey",
+             "FilledDateKey", "ClosingDateKey"}
+    facts = ["Fact_Annual_Service_Performance", "Fact_Major_Safety_Event", "Fact_Service_Availability",
+             "Fact_Service_Lifecycle_Accumulating", "FactJobPosting", "FactEmployeeSnapshot",
+             "FactAgencyLaborCoverage", "FactJobPostingLifecycle"]
+    checks = []
+    for f in facts:
+        fact = store.read(f)
+        for col in fact.columns:
+            if col in dims:
+                checks.append(referential(fact, col, store.read(dims[col]), col, name=f"{f}.{col}"))
+            elif col in dates:
+                checks.append(referential(fact, col, store.read("DimDate"), "DateKey", name=f"{f}.{col}"))
+    bad = {r.check: r.violations for r in combine_checks(*checks).collect() if r.violations}
+    assert bad == {}

@@ -53,3 +53,19 @@ def test_metric_alignment_is_one_aggregate_over_union(spark):
     p = plan(align_metrics({"a": a, "b": b}, ["l_suppkey", "y"]))
     # one exchange per source aggregate; the alignment itself adds no shuffle
     assert p.count("Exchange hashpartitioning") == 2, p
+
+
+def test_salted_shuffle_lookup_matches_plain_left_join(spark):
+    fact = spark.read.parquet(f"{SF}/orders.parquet").withColumn(
+        "ck", F.when(F.col("o_orderstatus") == "P", F.lit(None)).otherwise(F.col("o_custkey")))
+    dim = spark.read.parquet(f"{SF}/customer.parquet").filter("c_acctbal >= 0").withColumn("k", F.col("c_custkey") + 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = resolve_keys(fact, [Lookup(dim, [("ck", "c_custkey")], "k", "key")]).select("o_orderkey", "key")
+        got = sorted(tuple(r) for r in out.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plain = fact.join(dim, fact["ck"] == dim["c_custkey"], "left") \
+        .select("o_orderkey", F.coalesce(F.col("k"), F.lit(-1)).alias("key"))
+    assert got == sorted(tuple(r) for r in plain.collect())
+    assert len(got) == fact.count()
