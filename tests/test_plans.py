@@ -69,3 +69,27 @@ def test_salted_shuffle_lookup_matches_plain_left_join(spark):
         .select("o_orderkey", F.coalesce(F.col("k"), F.lit(-1)).alias("key"))
     assert got == sorted(tuple(r) for r in plain.collect())
     assert len(got) == fact.count()
+
+
+def test_hot_key_lookup_is_split_by_aqe(spark):
+    """A third of the fact rows share one key: the shuffle lookup's hot partition is split by
+    AQE's skew-join handling (thresholds lowered to test scale) and results stay exact."""
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet").repartition(16)
+    fact = o.withColumn("ck", F.when(F.col("o_orderkey") % 3 == 0, F.lit(7)).otherwise(F.col("o_custkey")))
+    dim = spark.read.parquet("/root/testdata/sf0.01/customer.parquet").withColumn("k", F.col("c_custkey") + 1)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = resolve_keys(fact, [Lookup(dim, [("ck", "c_custkey")], "k", "key")]).select("o_orderkey", "ck", "key")
+        rows = out.collect()
+        p = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
+    assert "SortMergeJoin(skew=true)" in p and "AQEShuffleRead skewed" in p
+    assert len(rows) == fact.count() and all(r.key == r.ck + 1 for r in rows)
