@@ -48,9 +48,27 @@ def with_lineage(df: DataFrame, batch_id: int | None = None, source_system: str
     return out
 
 
-def new_rows(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True) -> DataFrame:
-    """The incoming rows whose grain is not yet in the fact (NOT EXISTS on the grain)."""
-    return anti_join(rows, fact, list(grain), null_safe=null_safe)
+# Incoming batches whose distinct grain fits under this many rows are checked against the
+# fact through broadcast keys (no shuffle of the fact); larger ones use a shuffle anti join.
+MAX_BROADCAST_BATCH_KEYS = 5_000_000
+
+
+def new_rows(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True,
+             max_broadcast_keys: int | None = MAX_BROADCAST_BATCH_KEYS) -> DataFrame:
+    """The incoming rows whose grain is not yet in the fact (NOT EXISTS on the grain).
+
+    A load batch is small next to a fact that grows for years, so when the batch's distinct
+    grain provably fits ``max_broadcast_keys`` rows, the fact is only *scanned*: a left-semi
+    join against the broadcast batch keys picks the few fact keys that already exist, and the
+    anti join runs against that small set.  Otherwise it is a plain (shuffle) anti join.
+    """
+    g = list(grain)
+    if max_broadcast_keys:
+        keys = rows.select(*g).distinct()
+        if keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
+            seen = semi_join(fact.select(*g), F.broadcast(keys), g, null_safe=null_safe)
+            return anti_join(rows, seen, g, null_safe=null_safe)
+    return anti_join(rows, fact, g, null_safe=null_safe)
 
 
 def append_idempotent(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True) -> DataFrame:

@@ -6,9 +6,9 @@ store table with a NOT EXISTS on the grain.  A micro-batch that is replayed afte
 failure (written but not committed in the checkpoint) therefore adds nothing the second
 time, which makes the sink effectively exactly-once.
 
-The grain check of a micro-batch reads only the existing rows whose grain appears in the
-batch (left-semi join against the broadcast batch keys, bounded by the trigger's batch
-size), so the target is scanned but never shuffled.
+The grain check of a micro-batch (``facts.new_rows``) reads only the existing rows whose
+grain appears in the batch (left-semi join against the broadcast batch keys, bounded by
+the trigger's batch size), so the target is scanned but never shuffled.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from martkit.operators.joins import anti_join
+from martkit.operators.facts import new_rows
 from martkit.session import checkpoint_dir
 from martkit.sources.store import SnapshotStore
 
@@ -32,13 +32,8 @@ def _append_batch(store: SnapshotStore, table: str, grain: Sequence[str], partit
     def run(batch: DataFrame, epoch_id: int) -> None:
         rows = batch.drop("_mk_event_ts").dropDuplicates(list(grain))
         if store.exists(table):
-            keys = rows.select(*grain).distinct()
-            n = keys.limit(MAX_BROADCAST_BATCH_KEYS + 1).count()
-            if n == 0:
-                return
-            keys = F.broadcast(keys) if n <= MAX_BROADCAST_BATCH_KEYS else keys
-            seen = store.read(table).select(*grain).join(keys, list(grain), "left_semi")
-            rows = anti_join(rows, seen, list(grain), null_safe=True)
+            rows = new_rows(store.read(table), rows, grain, null_safe=True,
+                            max_broadcast_keys=MAX_BROADCAST_BATCH_KEYS)
         store.append(table, rows, partition_by)
     return run
 
