@@ -17,6 +17,11 @@ from pyspark.sql import functions as F
 from martkit.operators.joins import anti_join, semi_join
 
 
+# Incoming batches whose distinct grain fits under this many rows are checked against the
+# fact through broadcast keys (no shuffle of the fact); larger ones use a shuffle anti join.
+MAX_BROADCAST_BATCH_KEYS = 5_000_000
+
+
 @dataclass
 class FactChange:
     """What one fact load writes.
@@ -48,11 +53,6 @@ def with_lineage(df: DataFrame, batch_id: int | None = None, source_system: str
     return out
 
 
-# Incoming batches whose distinct grain fits under this many rows are checked against the
-# fact through broadcast keys (no shuffle of the fact); larger ones use a shuffle anti join.
-MAX_BROADCAST_BATCH_KEYS = 5_000_000
-
-
 def new_rows(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True,
              max_broadcast_keys: int | None = MAX_BROADCAST_BATCH_KEYS) -> DataFrame:
     """The incoming rows whose grain is not yet in the fact (NOT EXISTS on the grain).
@@ -76,15 +76,28 @@ def append_idempotent(fact: DataFrame, rows: DataFrame, grain: Sequence[str], nu
     return fact.unionByName(new_rows(fact, rows, grain, null_safe), allowMissingColumns=True)
 
 
-def reload_by_grain(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True) -> DataFrame:
-    """Delete fact rows whose grain is being reloaded, then insert the new rows."""
-    kept = anti_join(fact, rows, list(grain), null_safe=null_safe)
+def _bounded_keys(rows: DataFrame, grain: list[str], max_rows: int | None) -> DataFrame:
+    """The distinct grain of ``rows``, broadcast-hinted when it provably fits ``max_rows``."""
+    keys = rows.select(*grain).distinct()
+    if max_rows and keys.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(keys)
+    return keys
+
+
+def reload_by_grain(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True,
+                    max_broadcast_keys: int | None = MAX_BROADCAST_BATCH_KEYS) -> DataFrame:
+    """Delete fact rows whose grain is being reloaded, then insert the new rows.
+    The reloaded keys are broadcast when they fit the bound, so the fact is not shuffled."""
+    g = list(grain)
+    kept = anti_join(fact, _bounded_keys(rows, g, max_broadcast_keys), g, null_safe=null_safe)
     return kept.unionByName(rows, allowMissingColumns=True)
 
 
-def rows_to_replace(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True) -> DataFrame:
+def rows_to_replace(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True,
+                    max_broadcast_keys: int | None = MAX_BROADCAST_BATCH_KEYS) -> DataFrame:
     """Fact rows that a reload by grain would delete (EXISTS on the grain)."""
-    return semi_join(fact, rows, list(grain), null_safe=null_safe)
+    g = list(grain)
+    return semi_join(fact, _bounded_keys(rows, g, max_broadcast_keys), g, null_safe=null_safe)
 
 
 def reload_by_batch(fact: DataFrame, rows: DataFrame, batch_col: str, batch_id: int) -> DataFrame:
