@@ -363,3 +363,43 @@ def reject_split(spark: SparkSession, sf: str) -> DataFrame:
     flagged = flag_rows(j, rules)
     return flagged.groupBy(F.coalesce(F.col("dq_reason"), F.lit("VALID")).alias("dq_reason")) \
         .agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("milestone_guard", sql="""
+WITH s AS (SELECT l_orderkey, min(CAST(l_shipdate AS DATE)) AS first_ship FROM lineitem GROUP BY 1)
+SELECT o.o_orderkey,
+       CASE WHEN s.first_ship IS NOT NULL AND s.first_ship >= CAST(o.o_orderdate AS DATE)
+            THEN CAST(strftime(s.first_ship, '%Y%m%d') AS INTEGER) END AS first_ship_key
+FROM orders o LEFT JOIN s ON s.l_orderkey = o.o_orderkey
+""")
+def milestone_guard(spark: SparkSession, sf: str) -> DataFrame:
+    """Conditional milestone: an order's first-ship date key is kept only when the ship date
+    is not before the order date (otherwise unknown)."""
+    li = table(spark, sf, "lineitem")
+    s = li.groupBy("l_orderkey").agg(F.min(F.col("l_shipdate").cast("date")).alias("first_ship"))
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("od"))
+    j = o.join(s, o["o_orderkey"] == s["l_orderkey"], "left")
+    return j.select("o_orderkey",
+                    dt.date_key(cl.keep_if_not_before("first_ship", "od"), unknown=None).alias("first_ship_key"))
+
+
+@query("text_flag_and_time", sql="""
+WITH raw AS (
+  SELECT CASE event_type WHEN 'click' THEN ' TRUE' WHEN 'view' THEN 'false ' WHEN 'error' THEN 'maybe' ELSE '' END AS flag_text,
+         CASE WHEN event_type = 'signup' THEN 'n/a' ELSE strftime(ts, '%-H:%M') END AS time_text
+  FROM events)
+SELECT CASE upper(trim(flag_text)) WHEN 'TRUE' THEN 1 WHEN 'FALSE' THEN 0 END AS flag,
+       CASE WHEN regexp_matches(trim(time_text), '^([01]?[0-9]|2[0-3]):[0-5][0-9]$')
+            THEN substring(lpad(trim(time_text), 5, '0'), 1, 2) END AS hour,
+       count(*) AS n
+FROM raw GROUP BY 1, 2
+""")
+def text_flag_and_time(spark: SparkSession, sf: str) -> DataFrame:
+    """Text booleans ('TRUE' / 'false', padded, anything else -> NULL) and time-of-day text
+    ('7:05' -> '07:05:00', invalid -> NULL) from the event stream."""
+    e = table(spark, sf, "events")
+    flag_text = (F.when(F.col("event_type") == "click", F.lit(" TRUE")).when(F.col("event_type") == "view", F.lit("false "))
+                  .when(F.col("event_type") == "error", F.lit("maybe")).otherwise(F.lit("")))
+    time_text = F.when(F.col("event_type") == "signup", F.lit("n/a")).otherwise(F.date_format("ts", "H:mm"))
+    parsed = e.select(cl.text_to_flag(flag_text).cast("int").alias("flag"), dt.safe_time(time_text).alias("t"))
+    return parsed.groupBy("flag", F.substring("t", 1, 2).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
