@@ -55,3 +55,14 @@ def test_failed_publish_keeps_previous_version(spark, tmp_root):
     assert st.current_version("t") == 1 and st.read("t").count() == 3
     st.publish("t", spark.range(7))  # the next publish still works after the failed one
     assert st.read("t").count() == 7
+
+
+def test_reload_batch_as_partition_overwrite(spark, tmp_root):
+    from pyspark.sql import functions as F
+    st = SnapshotStore(spark, tmp_root)
+    rows = spark.range(6).select(F.col("id"), (F.col("id") % 3).alias("batch_id"))
+    st.publish("f", rows, partition_by=["batch_id"])
+    st.overwrite_partitions("f", spark.createDataFrame([(100, 2), (101, 2)], "id bigint, batch_id bigint"),
+                            ["batch_id"])
+    got = sorted((r.id, r.batch_id) for r in st.read("f").collect())
+    assert got == [(0, 0), (1, 1), (3, 0), (4, 1), (100, 2), (101, 2)]
