@@ -56,7 +56,7 @@ from martkit.operators.facts import (  # noqa: E402
 from martkit.operators.keys import assign_keys  # noqa: E402
 from martkit.operators.lookup import drop_unresolved, year_start_lookup  # noqa: E402
 from martkit.operators.quality import Rule, check_rules, combine_checks, not_null, referential, uniqueness  # noqa: E402
-from martkit.operators.reshape import align_metrics, pivot_wide, unpivot_columns, unpivot_years  # noqa: E402
+from martkit.operators.reshape import align_metrics, unpivot_columns  # noqa: E402
 from martkit.operators.scd import (  # noqa: E402
     change_counts, insert_new, scd1_counts, scd1_upsert, scd2_classify, seed_dimension, verify_static,
 )
