@@ -6,8 +6,9 @@ dimension, which the store publishes atomically (``martkit.sources.store``).
 SCD2 in one pass: the *current* versions are full-outer-joined with the staged source on
 the natural key (one shuffle of each side by that key; history rows and the unknown
 member bypass the join untouched).  Each joined row yields its existing version (kept,
-expired, or corrected in place for a same-day rerun) and, for NEW / CHANGE, a new version.
-New versions get surrogate keys after the current maximum (``assign_keys``).
+expired, or corrected in place for a same-day rerun) and, for NEW / CHANGE, a new version,
+via one explode; the versions are checkpointed once so the join is not re-run.  New
+versions get surrogate keys after the current maximum (``assign_keys``).
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from martkit.functions.cleanse import any_differs
 from martkit.functions.dates import HIGH_DATE
 from martkit.operators.joins import anti_join
 from martkit.operators.keys import assign_keys
+from martkit.session import checkpoint_dir
 
 NEW, CHANGE, NO_CHANGE = "NEW", "CHANGE", "NO_CHANGE"
 
@@ -148,7 +150,7 @@ def scd2_apply(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], track
                load_date: str | _dt.date, key_col: str,
                eff_col: str = "EffectiveDate", exp_col: str = "ExpirationDate",
                cur_col: str = "CurrentFlag", initial_effective: str | _dt.date | None = None,
-               high_date: str = HIGH_DATE, unknown_key: int = -1) -> DataFrame:
+               high_date: str = HIGH_DATE, unknown_key: int = -1, materialize: bool = True) -> DataFrame:
     """Next snapshot of a type-2 dimension after loading ``src`` as of ``load_date``.
 
     * NEW member: one version, effective ``initial_effective`` (if given) else ``load_date``.
@@ -158,7 +160,9 @@ def scd2_apply(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], track
     * NO_CHANGE and members absent from ``src``: untouched.  History rows: untouched.
 
     ``src`` must be unique on ``natural_key``; columns of ``src`` that exist in the dimension
-    are carried onto new versions, other dimension columns become NULL there.
+    are carried onto new versions, other dimension columns become NULL there.  With
+    ``materialize`` (default) the versions are checkpointed once, so the current-vs-source
+    join runs once per load.
     """
     nk = list(natural_key)
     load = _date_lit(load_date)
@@ -180,8 +184,10 @@ def scd2_apply(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], track
     same_day = changed & (F.col(eff_col) == load)
     expire = changed & ~same_day
 
-    # Existing versions (kept / expired / corrected in place).
-    existing_cols = []
+    # Every joined row yields up to two versions in ONE pass: its existing version (kept,
+    # expired, or corrected in place) and, for NEW / CHANGE, a new version (key still NULL).
+    existing_cols, new_cols = [], []
+    eff_new = load if initial_effective is None else F.when(has_cur, load).otherwise(_date_lit(initial_effective))
     for f in dim.schema.fields:
         c = F.col(f.name)
         if f.name == exp_col:
@@ -191,26 +197,29 @@ def scd2_apply(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], track
         elif f.name in carried and f.name not in nk:
             c = F.when(same_day, F.col(f"_s_{f.name}")).otherwise(c)
         existing_cols.append(c.cast(f.dataType).alias(f.name))
-    existing = j.filter(has_cur).select(*existing_cols)
-
-    # New versions.
-    eff_new = load if initial_effective is None else F.when(has_cur, load).otherwise(_date_lit(initial_effective))
-    new_cols = []
-    for f in dim.schema.fields:
         if f.name == key_col:
-            continue
-        if f.name == eff_col:
-            c = eff_new
+            n = F.lit(None)
+        elif f.name == eff_col:
+            n = eff_new
         elif f.name == exp_col:
-            c = _date_lit(high_date)
+            n = _date_lit(high_date)
         elif f.name == cur_col:
-            c = F.lit(True)
+            n = F.lit(True)
         elif f.name in carried:
-            c = F.col(f"_s_{f.name}")
+            n = F.col(f"_s_{f.name}")
         else:
-            c = F.lit(None)
-        new_cols.append(c.cast(f.dataType).alias(f.name))
-    new_versions = j.filter(has_src & (~has_cur | expire)).select(*new_cols)
+            n = F.lit(None)
+        new_cols.append(n.cast(f.dataType).alias(f.name))
+    old_v = F.when(has_cur, F.struct(*existing_cols, F.lit(False).alias("_mk_new")))
+    new_v = F.when(has_src & (~has_cur | expire), F.struct(*new_cols, F.lit(True).alias("_mk_new")))
+    versions = j.select(F.explode(F.array(old_v, new_v)).alias("_v")).filter(F.col("_v").isNotNull()).select("_v.*")
+    if materialize:
+        # Cut the lineage once: the keyed new versions and the published snapshot both read
+        # this checkpoint instead of re-running the full-outer shuffle join.
+        checkpoint_dir(dim.sparkSession)
+        versions = versions.checkpoint(eager=True)
+    existing = versions.filter(~F.col("_mk_new")).drop("_mk_new")
+    new_versions = versions.filter(F.col("_mk_new")).drop("_mk_new", key_col)
     keyed = assign_keys(new_versions, nk, key_col, key_type=dim.schema[key_col].dataType.simpleString(),
                         existing=dim)
     return other.unionByName(existing).unionByName(keyed.select(*dim.columns))
