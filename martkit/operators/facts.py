@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.operators.joins import anti_join, semi_join
+from martkit.session import checkpoint_dir
 
 
 # Incoming batches whose distinct grain fits under this many rows are checked against the
@@ -54,32 +55,41 @@ def with_lineage(df: DataFrame, batch_id: int | None = None, source_system: str
 
 
 def new_rows(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True,
-             max_broadcast_keys: int | None = MAX_BROADCAST_BATCH_KEYS) -> DataFrame:
+             max_broadcast_keys: int | None = MAX_BROADCAST_BATCH_KEYS, materialize: bool = False) -> DataFrame:
     """The incoming rows whose grain is not yet in the fact (NOT EXISTS on the grain).
 
-    A load batch is small next to a fact that grows for years, so when the batch's distinct
-    grain provably fits ``max_broadcast_keys`` rows, the fact is only *scanned*: a left-semi
-    join against the broadcast batch keys picks the few fact keys that already exist, and the
-    anti join runs against that small set.  Otherwise it is a plain (shuffle) anti join.
+    A load batch is small next to a fact that grows for years, so when the batch provably has
+    at most ``max_broadcast_keys`` rows, the fact is only *scanned*: a left-semi join against
+    the broadcast batch keys picks the few fact keys that already exist, and the anti join
+    runs against that small set.  Otherwise it is a plain (shuffle) anti join.
+
+    ``materialize`` checkpoints the batch first (batch-sized write), so an expensive
+    upstream (key resolution, aggregation) is computed once for the size check and the
+    append; without it the size check re-runs the batch's plan.
     """
     g = list(grain)
-    if max_broadcast_keys:
-        keys = rows.select(*g).distinct()
-        if keys.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
-            seen = semi_join(fact.select(*g), F.broadcast(keys), g, null_safe=null_safe)
-            return anti_join(rows, seen, g, null_safe=null_safe)
+    if materialize:
+        checkpoint_dir(rows.sparkSession)
+        rows = rows.checkpoint(eager=True)
+    if max_broadcast_keys and rows.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
+        keys = F.broadcast(rows.select(*g).distinct())
+        seen = semi_join(fact.select(*g), keys, g, null_safe=null_safe)
+        return anti_join(rows, seen, g, null_safe=null_safe)
     return anti_join(rows, fact, g, null_safe=null_safe)
 
 
-def append_idempotent(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True) -> DataFrame:
+def append_idempotent(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True,
+                      materialize: bool = False) -> DataFrame:
     """Next snapshot = fact + new rows; running it twice adds nothing the second time."""
-    return fact.unionByName(new_rows(fact, rows, grain, null_safe), allowMissingColumns=True)
+    return fact.unionByName(new_rows(fact, rows, grain, null_safe, materialize=materialize),
+                            allowMissingColumns=True)
 
 
 def _bounded_keys(rows: DataFrame, grain: list[str], max_rows: int | None) -> DataFrame:
-    """The distinct grain of ``rows``, broadcast-hinted when it provably fits ``max_rows``."""
+    """The distinct grain of ``rows``, broadcast-hinted when ``rows`` provably has at most
+    ``max_rows`` rows (checked on the rows themselves, so the check can stop early)."""
     keys = rows.select(*grain).distinct()
-    if max_rows and keys.limit(max_rows + 1).count() <= max_rows:
+    if max_rows and rows.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(keys)
     return keys
 

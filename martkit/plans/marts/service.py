@@ -282,7 +282,7 @@ def _publish_rows(existing: DataFrame, rows: DataFrame, grain: list[str], key_co
     """Idempotent append (only rows whose grain is new, keyed after the current maximum,
     with lineage columns) or, when reloading, the next snapshot with the reloaded grain
     replaced."""
-    incoming = rows if reload else new_rows(existing, rows, grain)
+    incoming = rows if reload else new_rows(existing, rows, grain, materialize=True)
     incoming = with_lineage(incoming, batch_id, source_system, load_ts, batch_col="ETL_BatchID",
                             source_col="RecordSourceSystem", inserted_col="ETL_InsertDate") \
         .withColumn("ETL_UpdateDate", F.lit(None).cast("timestamp"))

@@ -334,7 +334,7 @@ def _date_key_lookup(calendar: DataFrame, col: str | Column, out: str, default:
 
 def _append(existing: DataFrame, rows: DataFrame, grain: list[str], key_col: str, batch_id, source_system,
             load_ts, lineage: bool = True) -> FactChange:
-    inc = new_rows(existing, rows, grain)
+    inc = new_rows(existing, rows, grain, materialize=True)
     if lineage:
         inc = with_lineage(inc, batch_id, source_system, load_ts, batch_col="ETL_BatchID",
                            source_col="RecordSourceSystem", inserted_col="ETL_InsertDate") \

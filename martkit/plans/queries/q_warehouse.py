@@ -416,7 +416,7 @@ def periodic_snapshot(spark: SparkSession, sf: str) -> DataFrame:
                                           F.max("quantity").cast("bigint").alias("quantity"),
                                           F.max("n_lines").cast("bigint").alias("n_lines"))
     earlier = fact_rows.filter(F.col("date_key") < 19980101)
-    return append_idempotent(earlier, fact_rows, grain)
+    return append_idempotent(earlier, fact_rows, grain, materialize=True)
 
 
 @query("lifecycle_rollup", sql="""

@@ -16,6 +16,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -30,11 +31,16 @@ MAX_BROADCAST_BATCH_KEYS = 5_000_000
 
 def _append_batch(store: SnapshotStore, table: str, grain: Sequence[str], partition_by: Sequence[str]):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        rows = batch.drop("_mk_event_ts").dropDuplicates(list(grain))
-        if store.exists(table):
-            rows = new_rows(store.read(table), rows, grain, null_safe=True,
-                            max_broadcast_keys=MAX_BROADCAST_BATCH_KEYS)
-        store.append(table, rows, partition_by)
+        # The micro-batch is used twice (size check, append): persist it for this batch only.
+        cached = batch.drop("_mk_event_ts").dropDuplicates(list(grain)).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = cached
+            if store.exists(table):
+                rows = new_rows(store.read(table), cached, grain, null_safe=True,
+                                max_broadcast_keys=MAX_BROADCAST_BATCH_KEYS)
+            store.append(table, rows, partition_by)
+        finally:
+            cached.unpersist()
     return run
 
 
