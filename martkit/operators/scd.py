@@ -62,36 +62,53 @@ def insert_new(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], key_c
 
 def scd1_upsert(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], key_col: str,
                 tracked: Sequence[str], updated_col: str | None = None,
-                load_ts: Column | None = None) -> DataFrame:
+                load_ts: Column | None = None, materialize: bool = True) -> DataFrame:
     """Overwrite tracked attributes of matched members only when one of them changed
-    (null-safe), insert unmatched source members with new keys."""
+    (null-safe), insert unmatched source members with new keys.
+
+    One full outer join on the natural key yields each existing member (updated or not) and
+    each new member in a single explode pass; with ``materialize`` the result is
+    checkpointed once, so key assignment and publishing do not re-run the join.
+    """
     nk = list(natural_key)
-    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in nk + [t for t in tracked if t not in nk]])
+    carried = [c for c in src.columns if c in dim.columns and c != key_col]
+    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in carried])
     cond = None
     for c in nk:
         eq = dim[c] == s[f"_s_{c}"]
         cond = eq if cond is None else cond & eq
-    j = dim.join(s, cond, "left")
-    matched = F.col(f"_s_{nk[0]}").isNotNull()
-    changed = matched & any_differs([(F.col(t), F.col(f"_s_{t}")) for t in tracked])
-    out = j
-    for t in tracked:
-        out = out.withColumn(t, F.when(changed, F.col(f"_s_{t}")).otherwise(F.col(t)))
-    if updated_col:
-        out = out.withColumn(updated_col, F.when(changed, load_ts if load_ts is not None else F.current_timestamp())
-                             .otherwise(F.col(updated_col)))
-    existing = out.select(*dim.columns)
-    inserts = anti_join(src, dim, nk)
-    keyed = assign_keys(inserts, nk, key_col, existing=dim)
-    cols = []
+    j = dim.join(s, cond, "full_outer")
+    has_cur = F.col(key_col).isNotNull()
+    has_src = F.col(f"_s_{nk[0]}").isNotNull()
+    changed = has_cur & has_src & any_differs([(F.col(t), F.col(f"_s_{t}")) for t in tracked])
+    ts = load_ts if load_ts is not None else F.current_timestamp()
+    old_cols, new_cols = [], []
     for f in dim.schema.fields:
-        if f.name in keyed.columns:
-            cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+        c = F.col(f.name)
+        if f.name in tracked:
+            c = F.when(changed, F.col(f"_s_{f.name}")).otherwise(c)
         elif f.name == updated_col:
-            cols.append((load_ts if load_ts is not None else F.current_timestamp()).cast(f.dataType).alias(f.name))
+            c = F.when(changed, ts).otherwise(c)
+        old_cols.append(c.cast(f.dataType).alias(f.name))
+        if f.name == key_col:
+            n = F.lit(None)
+        elif f.name == updated_col:
+            n = ts
+        elif f.name in carried:
+            n = F.col(f"_s_{f.name}")
         else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return existing.unionByName(keyed.select(*cols))
+            n = F.lit(None)
+        new_cols.append(n.cast(f.dataType).alias(f.name))
+    old_v = F.when(has_cur, F.struct(*old_cols, F.lit(False).alias("_mk_new")))
+    new_v = F.when(has_src & ~has_cur, F.struct(*new_cols, F.lit(True).alias("_mk_new")))
+    rows = j.select(F.explode(F.array(old_v, new_v)).alias("_v")).filter(F.col("_v").isNotNull()).select("_v.*")
+    if materialize:
+        checkpoint_dir(dim.sparkSession)
+        rows = rows.checkpoint(eager=True)
+    existing = rows.filter(~F.col("_mk_new")).drop("_mk_new")
+    keyed = assign_keys(rows.filter(F.col("_mk_new")).drop("_mk_new", key_col), nk, key_col,
+                        key_type=dim.schema[key_col].dataType.simpleString(), existing=dim)
+    return existing.unionByName(keyed.select(*dim.columns))
 
 
 def scd1_counts(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], tracked: Sequence[str]) -> DataFrame:
