@@ -35,6 +35,7 @@ def _t(target: str, raw: str, n: int | None = None, token: str = "None") -> Col:
 
 # --- L1: agency information ------------------------------------------------------------
 
+# Raw header names of the agency feed and the staging column lengths.
 AGENCY_INFO_SPEC = [
     _t("state_parent_ntd_id", "State/Parent NTD ID", 50), _t("ntd_id", "NTD ID", 50),
     _t("legacy_ntd_id", "Legacy NTD ID", 50), _t("agency_name", "Agency Name", 255),
@@ -72,6 +73,7 @@ def stage_agency_information(raw: DataFrame) -> DataFrame:
 
 # --- L2: agency mode / type of service ------------------------------------------------
 
+# Raw header names of the mode / type-of-service feed and staging lengths.
 AGENCY_MODE_SERVICE_SPEC = [
     _t("state_parent_ntd_id", "State/Parent NTD ID", 50), _t("ntd_id", "NTD ID", 50),
     _t("agency_name", "Agency Name", 255), _t("reporter_type", "Reporter Type", 100),
@@ -93,6 +95,7 @@ def stage_agency_mode_service(raw: DataFrame) -> DataFrame:
 
 # --- L3 / L4: yearly metric time series ------------------------------------------------
 
+# The metric files, their year ranges and (in _metric_spec) their headers.
 CURRENT_METRICS = ["drm", "fares", "opexp_total", "upt", "pmt", "vrm", "vrh", "voms"]
 ARCHIVE_METRICS = ["drm", "upt", "pmt", "vrm", "vrh", "opexp_total"]
 CURRENT_YEARS = list(range(2015, 2025))
@@ -138,6 +141,7 @@ def _int(c: str) -> Column:
     return F.col(f"`{c}`").try_cast("int")
 
 
+# Header prefixes of the passenger and employee casualty columns.
 FATALITY_PARTS = (["Transit Vehicle Rider", "People Waiting or Leaving"],
                   ["Transit Vehicle Operator", "Non-Operator Transit Employee", "Other Worker"])
 

@@ -29,6 +29,7 @@ SMALL_DIM_ROWS = 1_000_000
 
 # --- L6 / L7: yearly employee files -----------------------------------------------------
 
+# The words the employee headers are built from (see employee_layout).
 EMPLOYMENT = {"ft": "Full Time", "pt": "Part Time"}
 DEPARTMENTS = {"vehicle_operations": "Vehicle Operations", "vehicle_maintenance": "Vehicle Maintenance",
                "facility_maintenance": "Facility Maintenance", "general_administration": "General Administration"}
