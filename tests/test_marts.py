@@ -301,3 +301,16 @@ def test_every_fact_key_resolves(warehouse):
                 checks.append(referential(fact, col, store.read("DimDate"), "DateKey", name=f"{f}.{col}"))
     bad = {r.check: r.violations for r in combine_checks(*checks).collect() if r.violations}
     assert bad == {}
+
+
+def test_reload_replaces_by_grain(spark, warehouse):
+    """--reload: service facts are replaced on their grain (same row counts, new batch id)."""
+    store, runner, raw, raw_cal, _ = warehouse
+    facts = ["Fact_Annual_Service_Performance", "Fact_Major_Safety_Event", "Fact_Service_Availability"]
+    before = {t: store.read(t).count() for t in facts}
+    MartRunner(spark, store, load_date=dt.date(2024, 1, 3), batch_id=9, reload=True).run_all(
+        raw, raw_cal, skip_workforce=True)
+    for t in facts:
+        f = store.read(t)
+        assert f.count() == before[t], t
+        assert {r.ETL_BatchID for r in f.select("ETL_BatchID").distinct().collect()} == {9}, t
