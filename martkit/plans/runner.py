@@ -99,6 +99,8 @@ class MartRunner:
                 results.append(StepResult(st.name, "SKIPPED"))
                 continue
             start = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+            step_name = f"{mart}.{st.name}" if mart else st.name
+            self.audit.start(self.batch_id, step_name, self.load_date, start)
             res = StepResult(st.name, "IN_PROGRESS")
             try:
                 published = st.run() or st.name
@@ -109,7 +111,7 @@ class MartRunner:
                 traceback.print_exc()
             end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
             res.seconds = (end - start).total_seconds()
-            self.audit.record(self.batch_id, f"{mart}.{st.name}" if mart else st.name, self.load_date, start, end,
+            self.audit.record(self.batch_id, step_name, self.load_date, start, end,
                               res.status, processed=res.rows_written, inserted=res.inserted, error=res.error)
             results.append(res)
             if res.status == "FAILED" and policy == "fail_fast":

@@ -137,8 +137,9 @@ def ensure_namespace(spark: SparkSession, name: str) -> None:
 
 
 class AuditLog:
-    """One appended audit row per loader run (start and end in the same row, written
-    after the run finishes, so a failed publish still leaves a FAILED row)."""
+    """Append-only audit rows per loader step - an ``IN_PROGRESS`` row when it starts
+    and a final row (SUCCESS / FAILED, end time, counts, error) when it ends.  A step whose
+    driver died keeps only its start row; ``report`` shows the latest row of each step."""
 
     def __init__(self, store: SnapshotStore, table: str = "etl_load_audit"):
         self.store = store
@@ -152,12 +153,20 @@ class AuditLog:
         df = self.store.spark.createDataFrame([row], AUDIT_SCHEMA)
         self.store.append(self.table, df)
 
+    def start(self, run_id: int, procedure: str, load_date: _dt.date, start: _dt.datetime) -> None:
+        self.record(run_id, procedure, load_date, start, None, "IN_PROGRESS")
+
     def read(self) -> DataFrame:
         return self.store.read(self.table, AUDIT_SCHEMA)
 
+    def latest(self) -> DataFrame:
+        """The latest row of every (run, step): the final row, or the start row if none."""
+        from martkit.operators.dedup import keep_first
+        return keep_first(self.read(), ["run_id", "procedure_name"], [F.col("load_end_time").desc_nulls_last()])
+
     def report(self, newest_first: bool = True) -> DataFrame:
         """Audit summary with the run duration in seconds, newest first."""
-        a = self.read()
+        a = self.latest()
         out = a.select("procedure_name", "status", "rows_processed", "rows_inserted", "rows_updated",
                        F.date_format("load_start_time", "yyyy-MM-dd HH:mm:ss").alias("started"),
                        (F.unix_timestamp("load_end_time") - F.unix_timestamp("load_start_time"))

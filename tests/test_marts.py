@@ -240,7 +240,9 @@ def test_rerun_is_idempotent(spark, warehouse):
     audit = store.read("etl_load_audit")
     assert audit.filter("status = 'FAILED'").count() == 0 and audit.select("run_id").distinct().count() == 2
     ins = {r.run_id: r.rows_inserted for r in
-           audit.filter("procedure_name = 'service_facts.Fact_Major_Safety_Event'").collect()}
+           audit.filter("procedure_name = 'service_facts.Fact_Major_Safety_Event' AND status = 'SUCCESS'").collect()}
+    # every step has its start row and its final row
+    assert audit.filter("status = 'IN_PROGRESS'").count() == audit.filter("status <> 'IN_PROGRESS'").count()
     assert ins == {1: 3, 2: 0}  # observed on the append itself: 3 incidents, then nothing new
 
 

@@ -66,3 +66,14 @@ def test_reload_batch_as_partition_overwrite(spark, tmp_root):
                             ["batch_id"])
     got = sorted((r.id, r.batch_id) for r in st.read("f").collect())
     assert got == [(0, 0), (1, 1), (3, 0), (4, 1), (100, 2), (101, 2)]
+
+
+def test_audit_start_rows_and_latest(spark, tmp_root):
+    log = AuditLog(SnapshotStore(spark, tmp_root))
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    log.start(5, "step_a", dt.date(2024, 1, 1), t0)
+    log.record(5, "step_a", dt.date(2024, 1, 1), t0, t0 + dt.timedelta(seconds=3), "SUCCESS", processed=1)
+    log.start(5, "step_b", dt.date(2024, 1, 1), t0)  # driver died: no final row
+    latest = {r.procedure_name: r.status for r in log.latest().collect()}
+    assert latest == {"step_a": "SUCCESS", "step_b": "IN_PROGRESS"}
+    assert [r.status for r in log.report().collect()] in (["SUCCESS", "IN_PROGRESS"], ["IN_PROGRESS", "SUCCESS"])
