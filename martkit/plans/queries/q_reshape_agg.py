@@ -363,3 +363,21 @@ def multi_measure_unpivot(spark: SparkSession, sf: str) -> DataFrame:
     return long.groupBy("l_linestatus", "kind").agg(F.count(F.lit(1)).alias("n"),
                                                      F.sum("qty").cast("bigint").alias("qty"),
                                                      F.sum("price").cast("double").alias("price"))
+
+
+@query("union_key_sets", sql="""
+SELECT l_suppkey, year FROM (
+  SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem WHERE l_returnflag = 'R'
+  UNION SELECT l_suppkey, CAST(year(l_shipdate) AS INTEGER) FROM lineitem WHERE l_linestatus = 'O' AND l_discount > 0.05
+  UNION SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) FROM orders WHERE o_orderpriority = '1-URGENT') u
+""")
+def union_key_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """UNION (distinct) of the (party, year) key sets of three relations - the master grain of
+    a multi-source fact."""
+    from martkit.operators.reshape import union_distinct_keys
+    li = table(spark, sf, "lineitem").withColumn("year", F.year("l_shipdate"))
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("l_suppkey"),
+                                          F.year("o_orderdate").alias("year"), "o_orderpriority")
+    return union_distinct_keys([li.filter(F.col("l_returnflag") == "R"),
+                                li.filter((F.col("l_linestatus") == "O") & (F.col("l_discount") > 0.05)),
+                                o.filter(F.col("o_orderpriority") == "1-URGENT")], ["l_suppkey", "year"])
