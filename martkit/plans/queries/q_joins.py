@@ -12,7 +12,7 @@ from martkit.operators.aggregates import max_where, min_where
 from martkit.operators import joins as jn
 from martkit.operators.joins import anti_join, semi_join, update_from
 from martkit.operators.keys import assign_keys
-from martkit.operators.lookup import Lookup, mapped_key, resolve_keys
+from martkit.operators.lookup import Lookup, bounded_broadcast, mapped_key, resolve_keys
 from martkit.plans.queries.inputs import SQL_CALENDAR_DATES, SQL_CUSTOMER_DIM, customer_dim_v2, order_calendar
 from martkit.plans.queries.registry import query, table
 
@@ -152,7 +152,8 @@ def normalized_text_join(spark: SparkSession, sf: str) -> DataFrame:
     """Lookup on normalised text (UPPER(TRIM())) of mixed-case / padded names."""
     c = table(spark, sf, "customer")
     n = table(spark, sf, "nation")
-    raw = c.join(F.broadcast(n.select("n_nationkey", "n_name")), c["c_nationkey"] == n["n_nationkey"]).select(
+    nations = bounded_broadcast(n.select("n_nationkey", "n_name"), 10_000)
+    raw = c.join(nations, c["c_nationkey"] == nations["n_nationkey"]).select(
         "c_custkey",
         F.when(F.col("c_mktsegment") == "BUILDING", F.lower("n_name"))
          .when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.lit("  "), F.col("n_name"), F.lit(" ")))
