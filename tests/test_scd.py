@@ -86,3 +86,15 @@ def test_insert_only_and_scd1(spark):
     assert rows(up.select("k", "nk", "city")) == [(1, "A", "X2"), (2, "B", "Y"), (3, "C", "Z"), (4, "D", "W")]
     c = scd1_counts(dim, src, ["nk"], ["city", "pop"]).first()
     assert (c.inserted, c.updated, c.unchanged) == (1, 1, 0)
+
+
+def test_materialized_and_lazy_paths_agree(spark):
+    dim0 = _seed(spark)
+    day2 = spark.createDataFrame([("A", "X", 1), ("B", "Y", 2), ("C", "Q", 3), ("D", "W", 4)], SCHEMA)
+    kw = dict(eff_col="eff", exp_col="exp", cur_col="cur")
+    a = scd2_apply(dim0, day2, ["nk"], ["city", "pop"], "2024-03-01", "k", materialize=True, **kw)
+    b = scd2_apply(dim0, day2, ["nk"], ["city", "pop"], "2024-03-01", "k", materialize=False, **kw)
+    assert rows(a) == rows(b)
+    d1 = seed_dimension(_day1(spark), ["nk"], "k")
+    assert rows(scd1_upsert(d1, day2, ["nk"], "k", ["city", "pop"], materialize=True)) == \
+        rows(scd1_upsert(d1, day2, ["nk"], "k", ["city", "pop"], materialize=False))
