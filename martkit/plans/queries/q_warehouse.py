@@ -343,11 +343,11 @@ def _supplier_dim(spark: SparkSession, sf: str) -> DataFrame:
     return assign_keys(table(spark, sf, "supplier").select("s_suppkey"), ["s_suppkey"], "supplier_key")
 
 
-def _coverage(lines: DataFrame, part: DataFrame, sdim: DataFrame, cal: DataFrame) -> DataFrame:
+def _coverage(lines: DataFrame, part: DataFrame, sdim: DataFrame, cal: DataFrame, sdim_fits: bool) -> DataFrame:
     g = lines.filter(F.col("l_quantity") > 0).join(part, lines["l_partkey"] == part["p_partkey"]) \
         .select("l_suppkey", "p_type", F.year("l_shipdate").alias("year")).distinct()
     g = resolve_keys(g, [Lookup(sdim, [("l_suppkey", "s_suppkey")], "supplier_key", "supplier_key",
-                                broadcast=1_000_000)])
+                                broadcast=True if sdim_fits else None)])
     g = year_start_lookup(drop_unresolved(g, "supplier_key"), "year", cal, "year_start_key")
     return dedup_grain(g.select("supplier_key", "p_type", "year_start_key"),
                        ["supplier_key", "p_type", "year_start_key"])
@@ -374,9 +374,12 @@ def factless_coverage(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem")
     part = table(spark, sf, "part").select("p_partkey", "p_type")
     sdim = _supplier_dim(spark, sf)
+    # One size check for both coverage passes: broadcast the supplier keys only if they fit.
+    sdim_fits = sdim.limit(1_000_001).count() <= 1_000_000
     cal = order_calendar(spark, sf)
-    existing = _coverage(li.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")), part, sdim, cal)
-    incoming = _coverage(li, part, sdim, cal)
+    existing = _coverage(li.filter(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")), part, sdim, cal,
+                         sdim_fits)
+    incoming = _coverage(li, part, sdim, cal, sdim_fits)
     return new_rows(existing, incoming, ["supplier_key", "p_type", "year_start_key"])
 
 
