@@ -37,13 +37,20 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
+    errors = {}
     for n in names:  # warm-up: JIT, file listing caches, Python imports
-        run(n)
-    times = {n: round(statistics.median(run(n) for _ in range(reps)), 3) for n in names}
+        try:
+            run(n)
+        except Exception as exc:  # noqa: BLE001 - one failing query must not lose the whole report
+            errors[n] = f"{type(exc).__name__}: {str(exc)[:200]}"
+    times = {n: round(statistics.median(run(n) for _ in range(reps)), 3) for n in names if n not in errors}
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus, "reps": reps,
-                      "shuffle_partitions": parts}))
+    out = {"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",
+           "queries": times, "sf": float(m.group(1)) if m else sf_dir, "cpus": cpus, "reps": reps,
+           "shuffle_partitions": parts}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
