@@ -149,7 +149,11 @@ def lookup(fact: DataFrame, lk: Lookup, tag: str | None = None) -> DataFrame:
 
 
 def resolve_keys(fact: DataFrame, lookups: Sequence[Lookup]) -> DataFrame:
-    """Resolve every dimension key of a fact; each miss becomes the unknown member."""
+    """Resolve every dimension key of a fact; each miss becomes the unknown member.
+
+    Filter the fact *before* resolving its keys: the NULL-key salt of a shuffle lookup is
+    derived from the task's partition index, which the optimizer treats as non-deterministic,
+    so a filter on fact columns written after this call is not pushed below the join."""
     out = fact
     for i, lk in enumerate(lookups):
         out = lookup(out, lk, tag=f"lk{i}")
