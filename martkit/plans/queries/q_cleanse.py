@@ -403,3 +403,26 @@ def text_flag_and_time(spark: SparkSession, sf: str) -> DataFrame:
     time_text = F.when(F.col("event_type") == "signup", F.lit("n/a")).otherwise(F.date_format("ts", "H:mm"))
     parsed = e.select(cl.text_to_flag(flag_text).cast("int").alias("flag"), dt.safe_time(time_text).alias("t"))
     return parsed.groupBy("flag", F.substring("t", 1, 2).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("placeholder_dates", sql="""
+WITH raw AS (
+  SELECT CASE WHEN o_orderstatus = 'P' THEN '1900-01-01'
+              WHEN o_orderpriority = '5-LOW' THEN '12/30/1899'
+              WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'unknown'
+              ELSE strftime(o_orderdate, '%Y-%m-%d') END AS txt
+  FROM orders),
+p AS (SELECT coalesce(try_strptime(txt, '%m/%d/%Y'), try_strptime(txt, '%Y-%m-%d'))::DATE AS d FROM raw)
+SELECT CAST(year(CASE WHEN d IN (DATE '1900-01-01', DATE '1899-12-30') THEN NULL ELSE d END) AS INTEGER) AS year,
+       count(*) AS n
+FROM p GROUP BY 1
+""")
+def placeholder_dates(spark: SparkSession, sf: str) -> DataFrame:
+    """Date validity probe: parse, and treat the 1900-01-01 / 1899-12-30 placeholders (and
+    unparseable text) as unknown."""
+    o = table(spark, sf, "orders")
+    txt = (F.when(F.col("o_orderstatus") == "P", F.lit("1900-01-01"))
+            .when(F.col("o_orderpriority") == "5-LOW", F.lit("12/30/1899"))
+            .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("unknown"))
+            .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd")))
+    return o.groupBy(F.year(dt.valid_date(txt)).alias("year")).agg(F.count(F.lit(1)).alias("n"))
