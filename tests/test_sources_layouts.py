@@ -66,3 +66,11 @@ def test_every_employee_layout_year_stages(spark):
         n = len(workforce.employee_variants(year))
         assert u.count() == n == (14 if year <= 2018 else 16), year
         assert u.filter(F.col("HoursWorked") != 1).count() == 0
+
+
+def test_cli_discovers_only_known_feeds(spark, tmp_root):
+    from martkit.plans.cli import discover_feeds
+    for name in ("agency_information.csv", "employees_2019.csv", "ts_upt.csv", "notes.csv", "calendar.txt"):
+        with open(os.path.join(tmp_root, name), "w") as f:
+            f.write("a,b\n1,2\n")
+    assert sorted(discover_feeds(spark, tmp_root)) == ["agency_information", "employees_2019", "ts_upt"]
