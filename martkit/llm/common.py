@@ -174,3 +174,26 @@ def range_part(value: Column, bounds: list[float]) -> Column:
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]), F.lit(0),
         lambda at, s: F.when((at + s <= top) & (F.get(cuts, at + s - 1) <= v), at + s).otherwise(at))
+
+
+def components(edges: DataFrame, tag: str = "components") -> DataFrame:
+    """(node, label): the smallest node that each node of an undirected graph reaches.
+
+    ``edges`` has two long columns.  Every round takes the smallest label among neighbours, then the label of
+    that label, so chains halve; groups are pre-aggregated before they shuffle, and each round is written.
+    """
+    spark = edges.sparkSession
+    a, b = edges.columns
+    pairs = materialise(edges.select(F.col(a).alias("node"), F.col(b).alias("other")).where("node <> other").unionByName(
+        edges.select(F.col(b).alias("node"), F.col(a).alias("other")).where("node <> other")).distinct(), tag)
+    labels = materialise(pairs.groupBy("node").agg(F.least("node", F.min("other")).alias("label")), tag)
+    while True:
+        known = labels.select(F.col("node").alias("other"), F.col("label").alias("theirs"))
+        near = pairs.join(known, "other").groupBy("node").agg(F.min("theirs").alias("near"))
+        step = labels.join(near, "node").select("node", F.col("label").alias("was"),
+                                                F.least("label", "near").alias("via"))
+        jump = labels.select(F.col("node").alias("via"), F.col("label").alias("there"))
+        new = materialise(step.join(jump, "via").select("node", "was", F.least("via", "there").alias("label")), tag)
+        labels = new.select("node", "label")
+        if new.where("label < was").isEmpty():
+            return labels

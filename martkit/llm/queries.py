@@ -93,3 +93,10 @@ def op10_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martkit.llm.fingerprint import edited_pairs
 
     return edited_pairs(table(spark, sf_dir, "documents"))
+
+
+@query("op8_jaccard_join")
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martkit.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
