@@ -100,3 +100,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martkit.llm.jaccard_join import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, num=90, den=100)
+
+
+@query("op9_entropy_secrets")
+def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martkit.llm.secrets import scan
+
+    return scan(table(spark, sf_dir, "documents"))
