@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from martkit.session import checkpoint_dir
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20  # text handled at a time by the vectorised helpers
-HASH_BYTES = 4 << 20   # bytes hashed at a time, whatever a single text's length
+SLICE_BYTES = 1 << 19  # text handled at a time by the vectorised helpers
+HASH_BYTES = 1 << 20   # bytes hashed at a time, whatever a single text's length
 
 _SEP = np.zeros(256, dtype=bool)
 _SEP[[0x20, *range(0x09, 0x0E)]] = True
