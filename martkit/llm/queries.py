@@ -107,3 +107,17 @@ def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martkit.llm.secrets import scan
 
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query("op5_pigeonhole_decontamination")
+def op5_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martkit.llm.decontam import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op6_crf_language")
+def op6_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martkit.llm.langid import identify
+
+    return identify(table(spark, sf_dir, "documents"))
