@@ -121,3 +121,10 @@ def op6_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martkit.llm.langid import identify
 
     return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op2_ngram_trie")
+def op2_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martkit.llm.ngram_lm import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
