@@ -530,11 +530,9 @@ def _large_groups(members: DataFrame, words: int, t: Threshold) -> DataFrame:
     return own.join(first, "label").select("fp_a", "fp_b", "component_id")
 
 
-def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100,
-                       group_docs: int = GROUP_DOCS) -> DataFrame:
-    """Per document: doc_id, n_shingles and component_id, the smallest doc_id reachable by links J >= num/den."""
+def _labelled(docs: DataFrame, words: int, num: int, den: int, group_docs: int) -> DataFrame:
+    """doc_id, n_shingles, fp_a, fp_b (the set's print) and component_id of every row of (doc_id, text)."""
     spark = docs.sparkSession
-    docs = doc_text(docs)
     described = materialise(docs.mapInArrow(_describe(words), _DOCS), "described")
     groups = candidate_groups(docs, words, num, den)
     sizes = groups.groupBy("label").agg(F.count("*").alias("n"))
@@ -552,5 +550,43 @@ def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int
     named = materialise(reps.join(solved, ["fp_a", "fp_b"], "left").select(
         "fp_a", "fp_b", F.coalesce("component_id", "rep").alias("found")), "named")
     return described.join(named, ["fp_a", "fp_b"], "left").select(
-        "doc_id", "n_shingles",
+        "doc_id", "n_shingles", "fp_a", "fp_b",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id")).alias("component_id"))
+
+
+def jaccard_components(docs: DataFrame, words: int = 3, num: int = 90, den: int = 100,
+                       group_docs: int = GROUP_DOCS) -> DataFrame:
+    """Per document: doc_id, n_shingles and component_id, the smallest doc_id reachable by links J >= num/den."""
+    return _labelled(doc_text(docs), words, num, den, group_docs).select("doc_id", "n_shingles", "component_id")
+
+
+_PRINTS = ("martkit_print_a", "martkit_print_b")
+
+
+def _with_prints(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            fa, fb = set_prints(*shingle_sets(b.column("text"), words))
+            yield pa.RecordBatch.from_arrays([*b.columns, _long(fa), _long(fb)], names=[*b.schema.names, *_PRINTS])
+
+    return run
+
+
+def keep_one_of_each(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100,
+                     group_docs: int = GROUP_DOCS) -> DataFrame:
+    """The documents that are the smallest of their component, with all their columns; rows without a doc_id stay."""
+    docs = docs.withColumns({"doc_id": F.col("doc_id").cast("long"), "text": F.col("text").cast("string")})
+    labels = materialise(_labelled(doc_text(docs), words, num, den, group_docs), "labels")
+    keep = labels.where("doc_id = component_id").select("doc_id", "fp_a", "fp_b").distinct()
+    repeated = materialise(labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where(
+        "n > 1").select("doc_id"), "repeated")
+    out = docs.join(keep.select("doc_id").distinct(), "doc_id", "left_semi")
+    if not repeated.isEmpty():
+        # rows that share a doc_id are told apart by their sets
+        twice = docs.join(repeated, "doc_id", "left_semi")
+        ddl = ", ".join(f"`{n}` {t}" for n, t in [*twice.dtypes, *((p, "long") for p in _PRINTS)])
+        named = keep.select("doc_id", *(F.col(c).alias(p) for c, p in zip(("fp_a", "fp_b"), _PRINTS, strict=True)))
+        twice = twice.mapInArrow(_with_prints(words), ddl).join(named, ["doc_id", *_PRINTS], "left_semi")
+        out = out.join(repeated, "doc_id", "left_anti").unionByName(
+            twice.dropDuplicates(["doc_id", *_PRINTS]).select(docs.columns))
+    return out.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)

@@ -17,7 +17,7 @@ A match is found by position: ``split`` gives the text between matches, ``regexp
 lengths the code points.  Only rows with a match compute positions.
 
 Defined results: a null or empty text has no span; repeated rows are scanned each; nothing is looked up across
-rows; other columns pass by untouched in ``redact`` and are ignored in ``scan``.
+rows; other columns pass by untouched in ``redact``, whatever their names, and are ignored in ``scan``.
 """
 
 from __future__ import annotations
@@ -164,7 +164,7 @@ def _joined(spans: str) -> Column:
 
 def scan(docs: DataFrame, allow: Sequence[str] = ALLOW) -> DataFrame:
     """Per document: doc_id, counts of the base kinds, digest of the base spans and all spans."""
-    df = with_spans(docs, allow)
+    df = with_spans(docs.select("doc_id", "text"), allow)
     return df.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         *[F.size(f"_s{k}").cast("long").alias(f"n_{KINDS[k]}") for k in range(3)],
@@ -181,10 +181,13 @@ def redact(docs: DataFrame, mask: str = "[secret]", allow: Sequence[str] = ALLOW
             F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask)).alias("out"))
         ).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))),
         lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    df = with_spans(docs, allow)
+    # the documents' own columns travel as one value, so none of their names can clash
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    df = with_spans(docs.select(row, "text"), allow)
     changed = F.size("_all") > 0
     out = df.withColumn("_new", F.when(changed, built))
-    own = {"text": F.when(changed, F.col("_new")).otherwise(F.col("text"))}
+    own = {"text": F.when(changed, F.col("_new")).otherwise(F.col("_row.text"))}
     if "n_chars" in docs.columns:
-        own["n_chars"] = F.when(changed, F.length("_new").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars"))
-    return out.select(*[own[c].alias(c) if c in own else F.col(c) for c in docs.columns])
+        own["n_chars"] = F.when(changed, F.length("_new").cast(dict(docs.dtypes)["n_chars"])).otherwise(
+            F.col("_row.n_chars"))
+    return out.select(*[own[c].alias(c) if c in own else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
