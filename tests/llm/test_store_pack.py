@@ -121,11 +121,10 @@ def test_packing_keeps_every_token(spark):
     rows = best_fit_packing(hard_docs(spark), PATH, end_id=0, capacity=64).collect()
     check_packing(rows, 64)
     own = sorted((d, len(ids(t)) + 1) for d, t in HARD if d is not None and d != 4)
-    got = defaultdict(list)
+    got, whole = defaultdict(list), {d: [*ids(t), 0] for d, t in HARD}
     for r in sorted((r for r in rows if r.doc_id not in (None, 4)), key=lambda r: (r.doc_id, r.piece)):
         assert r.start == sum(got[r.doc_id]) and r.piece == len(got[r.doc_id])
-        whole = [*ids(dict(HARD)[r.doc_id]), 0]
-        assert r.ids_crc32 == crc(whole[r.start:r.start + r.length])
+        assert r.ids_crc32 == crc(whole[r.doc_id][r.start:r.start + r.length])
         got[r.doc_id].append(r.length)
     assert sorted((d, sum(x)) for d, x in got.items()) == own
     assert all(n == 64 for x in got.values() for n in x[:-1])
@@ -140,7 +139,7 @@ def test_groups_cost_little(spark):
     bound = -(-sum(sizes) // 2048)
     one = check_packing(pack(pieces, 2048).collect(), 2048)
     many = check_packing(pack(pieces, 2048, group_pieces=500).collect(), 2048)
-    assert one <= bound * 1.01 and many <= one + 8 + one * 0.01
+    assert one <= bound * 1.01 and many <= one + 8 * 6
 
 
 def test_packing_an_empty_table(spark):
