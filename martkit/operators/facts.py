@@ -8,13 +8,14 @@ violation the source system hits).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.operators.joins import anti_join, semi_join
+from martkit.operators.keys import unique_source
 from martkit.session import checkpoint_dir
 
 
@@ -54,24 +55,27 @@ def with_lineage(df: DataFrame, batch_id: int | None = None, source_system: str
     return out
 
 
+def _written_once(rows: DataFrame) -> DataFrame:
+    checkpoint_dir(rows.sparkSession)
+    return rows.checkpoint(eager=True)
+
+
 def new_rows(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True,
-             max_broadcast_keys: int | None = MAX_BROADCAST_BATCH_KEYS, materialize: bool = False) -> DataFrame:
+             max_broadcast_keys: int | None = MAX_BROADCAST_BATCH_KEYS, materialize: bool = True) -> DataFrame:
     """The incoming rows whose grain is not yet in the fact (NOT EXISTS on the grain).
 
-    A load batch is small next to a fact that grows for years, so when the batch provably has
-    at most ``max_broadcast_keys`` rows, the fact is only *scanned*: a left-semi join against
-    the broadcast batch keys picks the few fact keys that already exist, and the anti join
-    runs against that small set.  Otherwise it is a plain (shuffle) anti join.
-
-    ``materialize`` checkpoints the batch first (batch-sized write), so an expensive
-    upstream (key resolution, aggregation) is computed once for the size check and the
-    append; without it the size check re-runs the batch's plan.
+    The batch is checkpointed first (batch-sized write), so an expensive upstream (key
+    resolution, aggregation) is computed once; pass ``materialize=False`` for rows that are
+    stored or persisted already.  A load batch is small next to a fact that grows for years:
+    when it has at most ``max_broadcast_keys`` rows (a plain count of the stored batch), the
+    fact is only *scanned*: a left-semi join against the broadcast batch keys picks the few
+    fact keys that already exist, and the anti join runs against that small set.  Otherwise
+    it is a plain (shuffle) anti join.
     """
     g = list(grain)
     if materialize:
-        checkpoint_dir(rows.sparkSession)
-        rows = rows.checkpoint(eager=True)
-    if max_broadcast_keys and rows.limit(max_broadcast_keys + 1).count() <= max_broadcast_keys:
+        rows = _written_once(rows)
+    if max_broadcast_keys and rows.count() <= max_broadcast_keys:
         keys = F.broadcast(rows.select(*g).distinct())
         seen = semi_join(fact.select(*g), keys, g, null_safe=null_safe)
         return anti_join(rows, seen, g, null_safe=null_safe)
@@ -79,17 +83,17 @@ def new_rows(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe:
 
 
 def append_idempotent(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True,
-                      materialize: bool = False) -> DataFrame:
+                      materialize: bool = True) -> DataFrame:
     """Next snapshot = fact + new rows; running it twice adds nothing the second time."""
     return fact.unionByName(new_rows(fact, rows, grain, null_safe, materialize=materialize),
                             allowMissingColumns=True)
 
 
 def _bounded_keys(rows: DataFrame, grain: list[str], max_rows: int | None) -> DataFrame:
-    """The distinct grain of ``rows``, broadcast-hinted when ``rows`` provably has at most
-    ``max_rows`` rows (checked on the rows themselves, so the check can stop early)."""
+    """The distinct grain of stored ``rows``, broadcast-hinted when a plain count finds at most
+    ``max_rows`` of them."""
     keys = rows.select(*grain).distinct()
-    if max_rows and rows.limit(max_rows + 1).count() <= max_rows:
+    if max_rows and rows.count() <= max_rows:
         return F.broadcast(keys)
     return keys
 
@@ -97,19 +101,14 @@ def _bounded_keys(rows: DataFrame, grain: list[str], max_rows: int | None) -> Da
 def reload_by_grain(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True,
                     max_broadcast_keys: int | None = MAX_BROADCAST_BATCH_KEYS) -> DataFrame:
     """Delete fact rows whose grain is being reloaded, then insert the new rows.
-    The reloaded keys are broadcast when they fit the bound, so the fact is not shuffled."""
+    The rows are written once; their keys are broadcast when they fit the bound, so the fact
+    is not shuffled."""
     g = list(grain)
+    rows = _written_once(rows)
     kept = anti_join(fact, _bounded_keys(rows, g, max_broadcast_keys), g, null_safe=null_safe)
     return kept.unionByName(rows, allowMissingColumns=True)
 
 
-def rows_to_replace(fact: DataFrame, rows: DataFrame, grain: Sequence[str], null_safe: bool = True,
-                    max_broadcast_keys: int | None = MAX_BROADCAST_BATCH_KEYS) -> DataFrame:
-    """Fact rows that a reload by grain would delete (EXISTS on the grain)."""
-    g = list(grain)
-    return semi_join(fact, _bounded_keys(rows, g, max_broadcast_keys), g, null_safe=null_safe)
-
-
 def reload_by_batch(fact: DataFrame, rows: DataFrame, batch_col: str, batch_id: int) -> DataFrame:
     """Drop everything a batch loaded, then insert that batch's rows again.
 
@@ -127,18 +126,22 @@ def accumulating_conditional(existing: DataFrame, incoming: DataFrame, key: Sequ
     Matched rows: a milestone takes the incoming value unless that value is unknown (NULL or
     ``unknown``) - then the existing milestone is kept; a measure takes the incoming value
     unless it is NULL.  ``updated_col`` is refreshed only when something changed (null-safe).
-    Unmatched incoming rows are inserted; unmatched existing rows are kept.
+    Unmatched incoming rows are inserted; unmatched existing rows are kept.  Keys match
+    null-safely; incoming rows without any key part cannot be told apart and are left out
+    (``keys.key_report`` counts them), and a key that repeats among them raises.
     One full outer join on the business key.
     """
     k = list(key)
-    inc = incoming.select(*[F.col(c).alias(f"_n_{c}") for c in incoming.columns])
+    inc = unique_source(incoming, k, "accumulating load").select(
+        *[F.col(c).alias(f"_n_{c}") for c in incoming.columns], F.lit(True).alias("_mk_n"))
+    old_rows = existing.withColumn("_mk_o", F.lit(True))
     cond = None
     for c in k:
-        eq = existing[c] == inc[f"_n_{c}"]
+        eq = old_rows[c].eqNullSafe(inc[f"_n_{c}"])
         cond = eq if cond is None else cond & eq
-    j = existing.join(inc, cond, "full_outer")
-    has_old = F.col(k[0]).isNotNull()
-    has_new = F.col(f"_n_{k[0]}").isNotNull()
+    j = old_rows.join(inc, cond, "full_outer")
+    has_old = F.coalesce(F.col("_mk_o"), F.lit(False))
+    has_new = F.coalesce(F.col("_mk_n"), F.lit(False))
 
     values: dict[str, Column] = {}
     change = F.lit(False)
@@ -183,8 +186,3 @@ def accumulating_replace(existing: DataFrame, incoming: DataFrame, key: Sequence
         inc = incoming
     kept = anti_join(existing, incoming, k)
     return kept.unionByName(inc.select(*existing.columns))
-
-
-def fill_defaults(df: DataFrame, defaults: Mapping[str, object]) -> DataFrame:
-    """Default values for unresolved/missing columns (e.g. open-ended end date keys)."""
-    return df.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})

@@ -57,9 +57,11 @@ def update_from(target: DataFrame, changes: DataFrame, on: Sequence[str],
     ``set_cols`` maps a target column to a column of ``changes`` (by name) or to an
     expression over ``changes`` columns (which are visible under their own names prefixed
     with ``src_``).  ``only_if`` (over ``src_`` columns and target columns) restricts the
-    update to matching rows satisfying it.  Non-matching rows pass through unchanged;
-    ``changes`` must be unique on ``on`` (one update per target row).
+    update to matching rows satisfying it.  Non-matching rows pass through unchanged; a key
+    that repeats in ``changes`` raises (it would multiply target rows), NULL keys match nothing.
     """
+    from martkit.operators.keys import unique_source
+    changes = unique_source(changes.dropna(subset=list(on)), on, "update")
     src = changes.select(*[F.col(c).alias(f"src_{c}") for c in changes.columns])
     cond = None
     for k in on:

@@ -115,3 +115,31 @@ def assign_keys_hashed(df: DataFrame, order_by: Sequence[str], key_col: str,
     keyed = ranked.join(F.broadcast(off), ranked["_mk_b"] == off["_mk_ob"], "left")
     return keyed.withColumn(key_col, (F.col("_mk_off") + F.col("_mk_rn")).cast(key_type)) \
         .drop("_mk_b", "_mk_ob", "_mk_rn", "_mk_off")
+
+
+def unique_source(src: DataFrame, key: Sequence[str], what: str) -> DataFrame:
+    """``src`` without rows whose key parts are all NULL; a key that repeats raises when the plan runs.
+
+    The check is part of the plan (one aggregate on the key, which the following join needs
+    partitioned alike), so it costs no extra job.
+    """
+    k = list(key)
+    rest = [c for c in src.columns if c not in k]
+    any_key = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(True)) for c in k], F.lit(False))
+    grouped = src.where(any_key).groupBy(*k).agg(
+        F.count(F.lit(1)).alias("_mk_rows"), F.first(F.struct(*rest, F.lit(1).alias("_mk_one"))).alias("_mk_rest"))
+    message = F.concat(F.lit(f"{what}: key ({', '.join(k)}) repeats: "), F.to_json(F.struct(*k)))
+    # the error is a value of the row, so no projection can drop the check
+    checked = F.when(F.col("_mk_rows") > 1, F.raise_error(message).cast("int")).otherwise(F.lit(0))
+    return grouped.withColumn("_mk_check", checked).where("_mk_check = 0").select(
+        *[F.col(c) if c in k else F.col(f"_mk_rest.`{c}`").alias(c) for c in src.columns])
+
+
+def key_report(src: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row: rows without any key part, and keys that repeat."""
+    k = list(key)
+    per_key = src.groupBy(*k).agg(F.count(F.lit(1)).alias("n"))
+    no_key = F.coalesce(*[F.when(F.col(c).isNotNull(), F.lit(False)) for c in k], F.lit(True))
+    return per_key.agg(F.coalesce(F.sum(F.when(no_key, F.col("n"))), F.lit(0)).cast("bigint").alias("null_keys"),
+                       F.coalesce(F.sum(F.when(~no_key & (F.col("n") > 1), 1)), F.lit(0)).cast("bigint").alias(
+                           "repeated_keys"))

@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkit.functions.cleanse import norm_key
@@ -33,11 +33,10 @@ UNKNOWN_KEY = -1
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast-hint ``df`` only when it provably holds at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows; beyond the bound the DataFrame is
-    returned unchanged and the planner falls back to a shuffle join.
+    The check is a plain count (partial sums) of a stored table; beyond the bound the DataFrame
+    is returned unchanged and the planner falls back to a shuffle join.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 def _as_col(c: str | Column) -> Column:
@@ -72,6 +71,32 @@ class Lookup:
     extra: Sequence[str] = field(default_factory=tuple)  # other dim columns to carry over
 
 
+def _checked(side: DataFrame, lk: Lookup, tag: str) -> DataFrame:
+    """The dimension side with a check in its plan: a key that would match a fact row twice raises.
+
+    Plain lookups: a natural key must not repeat.  As-of lookups: the validity intervals of one
+    key must not overlap.  Keys with a NULL part never match under ``=`` and are left out.
+    """
+    keys = [f"_{tag}_k{i}" for i in range(len(lk.on))]
+    key = f"_{tag}_key"
+    if not lk.null_safe:
+        side = side.dropna(subset=keys)
+    shown = F.to_json(F.struct(*keys))
+    kind = side.schema[key].dataType
+    if lk.asof is None:
+        others = [c for c in side.columns if c not in keys]
+        one = side.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*others)).alias("_r"))
+        fault = F.raise_error(F.concat(F.lit(f"lookup {lk.out}: dimension key repeats: "), shown)).cast(kind)
+        return one.select(*keys, *[(F.when(F.col("_n") > 1, fault).otherwise(F.col(f"_r.{c}")) if c == key
+                                    else F.col(f"_r.{c}")).alias(c) for c in others])
+    following = F.lead(f"_{tag}_eff").over(Window.partitionBy(*keys).orderBy(f"_{tag}_eff", f"_{tag}_exp"))
+    ends = F.col(f"_{tag}_exp")
+    overlap = following <= ends if lk.interval == "closed" else following < ends
+    fault = F.raise_error(F.concat(F.lit(f"lookup {lk.out}: validity intervals overlap: "), shown)).cast(kind)
+    return side.withColumn("_over", overlap).withColumn(
+        key, F.when(F.col("_over"), fault).otherwise(F.col(key))).drop("_over")
+
+
 def _dim_side(lk: Lookup, tag: str) -> tuple[DataFrame, list[str], bool]:
     cols = []
     for i, (_, dcol) in enumerate(lk.on):
@@ -84,13 +109,12 @@ def _dim_side(lk: Lookup, tag: str) -> tuple[DataFrame, list[str], bool]:
     for e in lk.extra:
         cols.append(F.col(e).alias(f"_{tag}_x_{e}"))
         extra_names.append(e)
-    side = lk.dim.select(*cols)
+    side = _checked(lk.dim.select(*cols), lk, tag)
     broadcasted = False
     if lk.broadcast is True:
         side, broadcasted = F.broadcast(side), True
     elif isinstance(lk.broadcast, int) and not isinstance(lk.broadcast, bool):
-        n = side.limit(lk.broadcast + 1).count()
-        if n <= lk.broadcast:
+        if lk.dim.count() <= lk.broadcast:
             side, broadcasted = F.broadcast(side), True
     return side, extra_names, broadcasted
 
@@ -116,9 +140,9 @@ def lookup(fact: DataFrame, lk: Lookup, tag: str | None = None) -> DataFrame:
         fc, dc = work[fk], side[f"_{tag}_k{i}"]
         eq = fc.eqNullSafe(dc) if lk.null_safe else fc == dc
         cond = eq if cond is None else cond & eq
-    salted = not broadcasted and not lk.null_safe
+    salted = not broadcasted
     if salted:
-        # A NULL key never matches, but hash partitioning would send every NULL-key row to
+        # A NULL key never matches under ``=``, but hash partitioning would send every NULL-key row to
         # one reducer.  An extra equi-join column spreads them out in the same single pass:
         # 0 for every dimension row and every fact row with a key, 1..N for NULL-key fact
         # rows (by the task's input partition, which a retried task reproduces exactly).
@@ -130,7 +154,16 @@ def lookup(fact: DataFrame, lk: Lookup, tag: str | None = None) -> DataFrame:
             any_null = c if any_null is None else any_null | c
         spread = F.pmod(F.spark_partition_id(), F.lit(NULL_SALT_BUCKETS)) + 1
         work = work.withColumn(f"_{tag}_fs", F.when(any_null, spread).otherwise(F.lit(0)).cast("bigint"))
-        side = side.withColumn(f"_{tag}_ds", F.pmod(F.xxhash64(F.col(f"_{tag}_k0")), F.lit(1)))
+        zero = F.pmod(F.xxhash64(F.col(f"_{tag}_k0")), F.lit(1))
+        if lk.null_safe:
+            # NULL keys do match here: a dimension row with one is copied to every salt
+            null_dim = F.lit(False)
+            for i in range(len(lk.on)):
+                null_dim = null_dim | F.col(f"_{tag}_k{i}").isNull()
+            salts = F.sequence(F.lit(1), F.lit(NULL_SALT_BUCKETS)).cast("array<bigint>")
+            side = side.withColumn(f"_{tag}_ds", F.explode(F.when(null_dim, salts).otherwise(F.array(zero))))
+        else:
+            side = side.withColumn(f"_{tag}_ds", zero)
         cond = cond & (work[f"_{tag}_fs"] == side[f"_{tag}_ds"])
     if lk.asof is not None:
         d = work[f"_{tag}_d"]

@@ -14,6 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def distinct_years(df: DataFrame, year: Column) -> list[int]:
+    """The years that occur (one small value each), ascending: the columns of a yearly layout."""
+    return sorted(r["y"] for r in df.select(year.cast("int").alias("y")).distinct().collect() if r["y"] is not None)
+
+
 def unpivot_columns(df: DataFrame, ids: Sequence[str], values: Sequence[str], name_col: str,
                     value_col: str, drop_nulls: bool = True) -> DataFrame:
     """Wide value columns -> (name, value) rows.  SQL UNPIVOT drops NULL values; the

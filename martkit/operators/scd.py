@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from martkit.functions.cleanse import any_differs
 from martkit.functions.dates import HIGH_DATE
 from martkit.operators.joins import anti_join
-from martkit.operators.keys import assign_keys
+from martkit.operators.keys import assign_keys, unique_source
 from martkit.session import checkpoint_dir
 
 NEW, CHANGE, NO_CHANGE = "NEW", "CHANGE", "NO_CHANGE"
@@ -43,9 +43,11 @@ def insert_new(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], key_c
     """SCD0 / MERGE-insert-only: add source members whose natural key is not yet in the
     dimension, keyed after the current maximum.  Existing members are never changed.
 
-    ``src`` must be unique on ``natural_key``.  Columns of the dimension that the source
+    A natural key that repeats in ``src`` raises; rows without any key part are left out
+    (``keys.key_report`` counts both).  Columns of the dimension that the source
     lacks are filled from ``defaults`` or NULL.
     """
+    src = unique_source(src, natural_key, "insert-only load")
     new = anti_join(src, dim, list(natural_key), null_safe=null_safe)
     keyed = assign_keys(new, list(natural_key), key_col, existing=dim)
     defaults = defaults or {}
@@ -66,20 +68,22 @@ def scd1_upsert(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], key_
     """Overwrite tracked attributes of matched members only when one of them changed
     (null-safe), insert unmatched source members with new keys.
 
-    One full outer join on the natural key yields each existing member (updated or not) and
+    Keys match null-safely; rows without any key part are left out, a key that repeats in
+    ``src`` raises.  One full outer join on the natural key yields each existing member (updated or not) and
     each new member in a single explode pass; with ``materialize`` the result is
     checkpointed once, so key assignment and publishing do not re-run the join.
     """
     nk = list(natural_key)
     carried = [c for c in src.columns if c in dim.columns and c != key_col]
-    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in carried])
+    s = unique_source(src, nk, "type-1 load").select(*[F.col(c).alias(f"_s_{c}") for c in carried],
+                                                     F.lit(True).alias("_mk_src"))
     cond = None
     for c in nk:
-        eq = dim[c] == s[f"_s_{c}"]
+        eq = dim[c].eqNullSafe(s[f"_s_{c}"])
         cond = eq if cond is None else cond & eq
     j = dim.join(s, cond, "full_outer")
     has_cur = F.col(key_col).isNotNull()
-    has_src = F.col(f"_s_{nk[0]}").isNotNull()
+    has_src = F.coalesce(F.col("_mk_src"), F.lit(False))
     changed = has_cur & has_src & any_differs([(F.col(t), F.col(f"_s_{t}")) for t in tracked])
     ts = load_ts if load_ts is not None else F.current_timestamp()
     old_cols, new_cols = [], []
@@ -176,7 +180,9 @@ def scd2_apply(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], track
       rerun) it is corrected in place instead, keeping its key.
     * NO_CHANGE and members absent from ``src``: untouched.  History rows: untouched.
 
-    ``src`` must be unique on ``natural_key``; columns of ``src`` that exist in the dimension
+    Natural keys match null-safely, so a composite key may have NULL parts; rows of ``src``
+    without any key part are left out and a key that repeats raises (``keys.key_report``
+    counts both).  Columns of ``src`` that exist in the dimension
     are carried onto new versions, other dimension columns become NULL there.  With
     ``materialize`` (default) the versions are checkpointed once, so the current-vs-source
     join runs once per load.
@@ -188,15 +194,16 @@ def scd2_apply(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], track
     other = dim.filter(~is_current | F.col(cur_col).isNull())
 
     carried = [c for c in src.columns if c in dim.columns and c not in (key_col, eff_col, exp_col, cur_col)]
-    s = src.select(*[F.col(c).alias(f"_s_{c}") for c in carried])
+    s = unique_source(src, nk, "type-2 load").select(*[F.col(c).alias(f"_s_{c}") for c in carried],
+                                                     F.lit(True).alias("_mk_src"))
     cond = None
     for c in nk:
-        eq = current[c] == s[f"_s_{c}"]
+        eq = current[c].eqNullSafe(s[f"_s_{c}"])
         cond = eq if cond is None else cond & eq
     j = current.join(s, cond, "full_outer")
 
     has_cur = F.col(key_col).isNotNull()
-    has_src = F.col(f"_s_{nk[0]}").isNotNull()
+    has_src = F.coalesce(F.col("_mk_src"), F.lit(False))
     changed = has_cur & has_src & any_differs([(F.col(t), F.col(f"_s_{t}")) for t in tracked])
     same_day = changed & (F.col(eff_col) == load)
     expire = changed & ~same_day
@@ -242,14 +249,6 @@ def scd2_apply(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], track
     return other.unionByName(existing).unionByName(keyed.select(*dim.columns))
 
 
-def unknown_member(dim_schema_df: DataFrame, values: dict[str, object], key_col: str, key: int = -1) -> DataFrame:
-    """The special member row (key -1 'Unknown', or 99991231 'ongoing') in the dim's schema."""
-    spark = dim_schema_df.sparkSession
-    row = {f.name: values.get(f.name) for f in dim_schema_df.schema.fields}
-    row[key_col] = key
-    return spark.createDataFrame([row], dim_schema_df.schema)
-
-
 def seed_dimension(rows: DataFrame, natural_key: Sequence[str], key_col: str, specials: DataFrame | None = None,
                    eff_col: str | None = None, exp_col: str | None = None, cur_col: str | None = None,
                    effective: str = "1900-01-01", high_date: str = HIGH_DATE) -> DataFrame:

@@ -73,7 +73,7 @@ def employee_layout(year: int) -> dict[str, str]:
             for o, O in OPERATOR.items():
                 if e == "ft":
                     m[f"{e}_{o}_operating_hours"] = f"Total {E} {O} (Operating Labor) Hours Worked"
-                    m[f"{e}_{o}_capital_hours"] = f"Total {E} {O} (Capital Labor) Hours Worked"
+                    m[f"{e}_{o}_capital_hours"] = f"{E} {O} (Capital Labor) Hours Worked"
                 m[f"{e}_{o}_total_hours"] = f"Total {E} {O} Hours Worked"
                 m[f"{e}_{o}_total_count"] = f"Total {E} {O} Employee Count"
             if e == "ft":
@@ -128,14 +128,16 @@ def employee_variants(year: int) -> list[dict[str, Column]]:
         else:
             for d, dname in DEPARTMENTS.items():
                 for o, oname in (("op", "Operator"), ("nonop", "Non Operator")):
-                    # Part-time files carry no operating/capital split: the operator-type
-                    # total stands in for both (as the source layout defines it).
+                    # Part-time files carry no operating/capital split: the operator-type total
+                    # stands in for both, and the part-time total for the total hours (as the
+                    # source layout maps them).
                     op_h = f"{e}_{o}_operating_hours" if e == "ft" else f"{e}_{o}_total_hours"
                     cap_h = f"{e}_{o}_capital_hours" if e == "ft" else f"{e}_{o}_total_hours"
+                    tot_h = f"{e}_{o}_total_hours" if e == "ft" else f"{e}_total_hours"
                     out.append({"EmploymentType": F.lit(label), "DepartmentName": F.lit(dname),
                                 "OperatorType": F.lit(oname),
                                 "HoursWorked": f"{e}_{o}_{d}_hours", "EmployeeCount": f"{e}_{o}_{d}_count",
-                                "OperatingHours": op_h, "CapitalHours": cap_h, "TotalHours": f"{e}_{o}_total_hours",
+                                "OperatingHours": op_h, "CapitalHours": cap_h, "TotalHours": tot_h,
                                 "OperatingEmployees": f"{e}_{o}_total_count", "CapitalEmployees": f"{e}_{o}_total_count",
                                 "TotalEmployees": f"{e}_total_count"})
     return out
@@ -404,13 +406,33 @@ def _year_start(unified: DataFrame, calendar: DataFrame) -> DataFrame:
     return u.join(F.broadcast(fd), u["DateKey"] == fd["_dk"], "left").drop("_dk")
 
 
+def combine_operator_split(unified: DataFrame) -> DataFrame:
+    """One row per source grain: the Operator and Non Operator rows of a 2019+ file combined.
+
+    Hours and counts of the two rows add up, as do the operating / capital measures, which each
+    row carries for its own operator type.  What both rows repeat is taken once: the employee
+    total, and the total hours of part-time rows (the whole part-time total)."""
+    split = F.col("OperatorType").isNotNull()
+    repeated = {"TotalEmployees": split, "TotalHours": split & (F.col("EmploymentType") == "PartTime")}
+    zero = F.lit(0).cast("decimal(18,2)")
+
+    def combined(m: str) -> Column:
+        if m not in repeated:
+            return F.sum(m)
+        once = F.coalesce(repeated[m], F.lit(False))
+        return F.coalesce(F.max(F.when(once, F.col(m))), zero) + F.coalesce(F.sum(F.when(~once, F.col(m))), zero)
+
+    return unified.groupBy("ReportYear", "NTD_ID", "ModeCode", "TOSCode", "EmploymentType", "DepartmentName").agg(
+        *[combined(m).cast("decimal(18,2)").alias(m) for m in UNIFIED_MEASURES])
+
+
 def fact_employee_snapshot(unified: DataFrame, calendar: DataFrame, dims: Mapping[str, DataFrame],
                            existing: DataFrame, batch_id=None, source_system: str = "NTD_Employees",
                            load_ts=None) -> FactChange:
-    """Unified rows resolved as of January 1st of the report year, additive measures
-    summed to the declared grain (operator / non-operator rows of one grain combine),
-    hours per employee recomputed with a zero guard, appended when the grain is new."""
-    u = _year_start(unified, calendar)
+    """The operator split combined (``combine_operator_split``), rows resolved as of
+    January 1st of the report year, measures summed to the declared grain, hours per
+    employee recomputed with a zero guard, appended when the grain is new."""
+    u = _year_start(combine_operator_split(unified), calendar)
     emp = mapped_key("EmploymentType", EMPLOYMENT_LABEL_TO_NAME, "Unknown Employment Type")
     rows = resolve_keys(u, _lookups(dims, "_fd", "NTD_ID", "ModeCode", "TOSCode", emp, "DepartmentName"))
     agg = rows.groupBy(*SNAPSHOT_GRAIN).agg(*[F.sum(m).cast("decimal(18,2)").alias(m) for m in UNIFIED_MEASURES])

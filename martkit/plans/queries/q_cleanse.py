@@ -159,7 +159,7 @@ def code_strip_suffix(spark: SparkSession, sf: str) -> DataFrame:
     """Code extraction: substring after the 'Brand#' prefix; decimal suffix stripped from a
     code that went through a float ('900.1' -> '900')."""
     p = table(spark, sf, "part")
-    return p.select("p_partkey", F.substring("p_brand", 7, 1 << 20).alias("brand_no"),
+    return p.select("p_partkey", F.expr("substring(p_brand, 7)").alias("brand_no"),
                     cl.strip_decimal_suffix(F.col("p_retailprice").cast("string")).alias("price_code"))
 
 

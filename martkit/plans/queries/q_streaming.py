@@ -19,16 +19,14 @@ SELECT event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users,
 FROM events GROUP BY 1
 """)
 def stream_idempotent_append(spark: SparkSession, sf: str) -> DataFrame:
-    """The events file consumed as a Structured Streaming source (availableNow), de-duplicated
-    on event_id within a watermark on ts, appended micro-batch by micro-batch with a NOT
-    EXISTS on event_id into a store table under the cluster's checkpoint folder, then
+    """The events file consumed as a Structured Streaming source (availableNow), appended
+    micro-batch by micro-batch with a NOT EXISTS on event_id into a store table under the cluster's checkpoint folder, then
     summarised from that table."""
     schema = table(spark, sf, "events").schema
     root = f"{checkpoint_dir(spark)}/martkit-events-{uuid.uuid4().hex}"
     store = SnapshotStore(spark, root)
     stream = parquet_stream(spark, sf, schema, file_glob="events.parquet")
-    q = append_stream(stream, store, "events_fact", ["event_id"], event_time="ts", watermark="1 day",
-                      checkpoint_location=f"{root}/_stream_checkpoint")
+    q = append_stream(stream, store, "events_fact", ["event_id"], checkpoint_location=f"{root}/_stream_checkpoint")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -154,8 +154,9 @@ class MartRunner:
             add("stg_job_openings", jobs)
         years = sorted(int(k.split("_")[1]) for k in raw if k.startswith("employees_"))
         if years:
+            # every staged year, not only those of this run's feed
             add("stg_employee_unified", lambda: workforce.unify_employees(
-                {y: self.store.read(f"stg_employees_{y}") for y in years}))
+                {int(n.rsplit("_", 1)[1]): self.store.read(n) for n in self.store.names("stg_employees_")}))
         return self.run_steps(steps, "fail_fast", "staging")
 
     # --- G1: common dimensions ----------------------------------------------------------------
@@ -163,7 +164,11 @@ class MartRunner:
                    skip_mode=False, skip_service_type=False) -> list[StepResult]:
         def date_step():
             cur = self._table("DimDate", common.empty_dim_date)
-            self._publish("DimDate", common.dim_date_load(raw_calendar, cur) if raw_calendar is not None else cur)
+            nxt = common.dim_date_load(raw_calendar, cur) if raw_calendar is not None else cur
+            special = [-1, 99991231]
+            if nxt.where(~F.col("DateKey").isin(special)).isEmpty():
+                raise MartLoadError("the calendar has no real date: facts could not resolve any")
+            self._publish("DimDate", nxt)
 
         def agency_step():
             cur = self._table("DimAgency", common.empty_dim_agency)

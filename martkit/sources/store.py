@@ -1,10 +1,13 @@
 """Table store: versioned snapshot publish, append / overwrite sinks, audit log.
 
-A mart table lives in ``<root>/<name>/v=<n>_<token>/`` (Parquet) plus one small marker per
-published version under ``<root>/<name>/_versions/<n>`` naming its data directory.  Publishing writes a brand-new
-version directory and only then adds its marker (markers are never rewritten), so
-
-* readers never see a half-written table (a job that fails leaves the old version current),
+A mart table lives in data directories ``<root>/<name>/v=<n>_<token>/`` (Parquet) plus one small
+marker per published version under ``<root>/<name>/_versions/<n>`` that lists the directories of
+that version.  Publishing writes a brand-new directory and only then adds the marker of a version
+that consists of it alone; appending writes a new directory with the new rows and adds the marker
+of a version that has the old directories and the new one.  Markers are never rewritten, so
+
+* readers never see a half-written table or a half-written append (a job that fails leaves the
+  old version current),
 * a load may read the current version and publish the next one in the same job - Spark
   cannot overwrite a Parquet path it is reading from,
 * a retried task/stage only rewrites files inside the new version directory.
@@ -16,6 +19,7 @@ system works (HDFS, S3, ABFS, or a local folder in tests).
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 import uuid
 from collections.abc import Sequence
 
@@ -23,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martkit.operators.joins import anti_join
+
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.LongType()),
     T.StructField("procedure_name", T.StringType()),
@@ -45,23 +51,46 @@ class SnapshotStore:
         self.root = root.rstrip("/")
 
     # --- version markers ------------------------------------------------------------------
-    # Publishing never rewrites or deletes a marker: version n becomes current by adding the
-    # marker ``_versions/<n>`` after its data directory is complete, and the current version
-    # is the highest marker.  A crash at any point leaves the previous version current.
+    # Version n becomes current by adding the marker ``_versions/<n>`` after its data is
+    # complete; the current version is the highest marker that was completed.
     def _markers(self, name: str) -> str:
         return f"{self.root}/{name}/_versions"
 
-    def _current(self, name: str) -> tuple[int, str] | None:
-        """(version, data directory) of the published version, or None."""
-        try:
-            row = self.spark.read.text(f"{self._markers(name)}/*").select(
-                F.split("value", " ").alias("p")).select(
-                F.max(F.struct(F.col("p")[0].cast("int").alias("v"), F.col("p")[1].alias("d"))).alias("m")).first()
-        except Exception:  # no marker yet: table never published
-            return None
-        if row is None or row["m"] is None:
+    def _children(self, path: str) -> list[str]:
+        """Names below a folder; empty when the folder does not exist.  Any other fault raises."""
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        fs = p.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(p):
+            return []
+        return [st.getPath().getName() for st in fs.listStatus(p)]
+
+    def _delete(self, path: str) -> None:
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+
+    def _versions(self, name: str) -> list[int]:
+        return sorted((int(n) for n in self._children(self._markers(name)) if n.isdigit()), reverse=True)
+
+    def _read_marker(self, name: str, v: int) -> list[str] | None:
+        """Data directories of a version; None for a marker whose writer died."""
+        path = f"{self._markers(name)}/{v}"
+        if "_SUCCESS" not in self._children(path):
             return None
-        return int(row["m"]["v"]), row["m"]["d"]
+        row = self.spark.read.text(path).first()
+        return row["value"].split(" ")[1].split(",")
+
+    def _current(self, name: str) -> tuple[int, list[str]] | None:
+        """(version, data directories) of the published version, or None if there is none.
+
+        Lists the marker names and reads the newest complete one only.  A fault while reading
+        raises: a table that cannot be read is never taken for one that was never published.
+        """
+        for v in self._versions(name):
+            dirs = self._read_marker(name, v)
+            if dirs is not None:
+                return v, dirs
+        return None
 
     def current_version(self, name: str) -> int | None:
         cur = self._current(name)
@@ -70,54 +99,80 @@ class SnapshotStore:
     def exists(self, name: str) -> bool:
         return self._current(name) is not None
 
-    def current_path(self, name: str) -> str:
+    def names(self, prefix: str = "") -> list[str]:
+        """Published tables whose names begin with ``prefix``."""
+        return sorted(n for n in self._children(self.root) if n.startswith(prefix) and self.exists(n))
+
+    def current_paths(self, name: str) -> list[str]:
         cur = self._current(name)
         if cur is None:
             raise FileNotFoundError(f"table {name!r} has not been published")
-        return f"{self.root}/{name}/{cur[1]}"
+        return [f"{self.root}/{name}/{d}" for d in cur[1]]
 
     # --- read / publish -------------------------------------------------------------
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
-        if self._current(name) is None:
+        cur = self._current(name)
+        if cur is None:
             if schema is None:
                 raise FileNotFoundError(f"table {name!r} has not been published")
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.parquet(self.current_path(name))
-
-    def publish(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Write ``df`` as the next version into a directory of its own (unique per
-        attempt, so a failed attempt leaves only an unreferenced orphan), then add the
-        version's marker.  Two writers racing for the same version fail on the marker."""
-        v = (self.current_version(name) or 0) + 1
+        paths = [f"{self.root}/{name}/{d}" for d in cur[1]]
+        flat = [p for p in paths if not any("=" in c for c in self._children(p))]
+        if len(flat) == len(paths):
+            return self.spark.read.parquet(*paths)
+        # directories with partition folders have a base path each
+        return functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                                [self.spark.read.option("basePath", p).parquet(p) for p in paths])
+
+    def _write_dir(self, name: str, v: int, df: DataFrame, partition_by: Sequence[str]) -> str:
+        """Write one data directory, unique to this attempt (a failed attempt leaves an orphan)."""
         data_dir = f"v={v}_{uuid.uuid4().hex[:12]}"
         w = df.write.mode("errorifexists")
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(f"{self.root}/{name}/{data_dir}")
-        self.spark.createDataFrame([(f"{v} {data_dir}",)], "value string").coalesce(1) \
+        return data_dir
+
+    def _add_marker(self, name: str, v: int, dirs: Sequence[str]) -> None:
+        self.spark.createDataFrame([(f"{v} {','.join(dirs)}",)], "value string").coalesce(1) \
             .write.mode("errorifexists").text(f"{self._markers(name)}/{v}")
+
+    def publish(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
+        """Write ``df`` as the next version.  Two writers racing for the same version
+        fail on the marker."""
+        v = max(self._versions(name), default=0) + 1
+        self._add_marker(name, v, [self._write_dir(name, v, df, partition_by)])
         return v
 
     def append(self, name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Append rows to the current version in place (no rewrite of existing files)."""
-        v = self.current_version(name)
-        if v is None:
-            return self.publish(name, df, partition_by)
-        w = df.write.mode("append")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(self.current_path(name))
+        """The next version has the current directories and one with the new rows (no
+        existing file is rewritten; readers see all new rows or none)."""
+        cur = self._current(name)
+        v = max(self._versions(name), default=0) + 1
+        self._add_marker(name, v, [*(cur[1] if cur else []), self._write_dir(name, v, df, partition_by)])
         return v
 
     def overwrite_partitions(self, name: str, df: DataFrame, partition_by: Sequence[str]) -> int:
-        """Replace only the partitions present in ``df`` (e.g. one batch id) in the
-        current version (dynamic partition overwrite)."""
-        v = self.current_version(name)
-        if v is None:
+        """Replace only the partitions present in ``df`` (e.g. one batch id): the next version
+        has the current rows of all other partitions and ``df``."""
+        if not self.exists(name):
             return self.publish(name, df, partition_by)
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(self.current_path(name))
-        return v
+        cols = list(partition_by)
+        kept = anti_join(self.read(name), df.select(*cols).distinct(), cols, null_safe=True)
+        return self.publish(name, kept.unionByName(df, allowMissingColumns=True).select(*kept.columns), partition_by)
+
+    def expire(self, name: str, keep: int = 2) -> list[str]:
+        """Delete all but the newest ``keep`` versions and the data directories that none of those
+        lists (orphans of failed attempts too); returns the deleted directories.  Call it when no
+        reader uses an old version and no writer is active."""
+        versions = [(v, d) for v in self._versions(name) if (d := self._read_marker(name, v)) is not None]
+        used = {d for _, dirs in versions[:max(1, keep)] for d in dirs}
+        for v, _ in versions[max(1, keep):]:
+            self._delete(f"{self._markers(name)}/{v}")
+        gone = [d for d in self._children(f"{self.root}/{name}") if d.startswith("v=") and d not in used]
+        for d in gone:
+            self._delete(f"{self.root}/{name}/{d}")
+        return gone
 
 
 def write_overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

@@ -1,8 +1,8 @@
 """Incremental (micro-batch) idempotent append - C10 over a Structured Streaming source.
 
-``append_stream`` de-duplicates the stream on its grain inside a watermark
-(``dropDuplicatesWithinWatermark``: bounded state) and appends each micro-batch to a
-store table with a NOT EXISTS on the grain.  A micro-batch that is replayed after a
+``append_stream`` removes duplicates inside each micro-batch and appends it to a store table
+with a NOT EXISTS on the grain.  No watermark and no stream state: an event may come as late
+as it likes and is still loaded once.  A micro-batch that is replayed after a
 failure (written but not committed in the checkpoint) therefore adds nothing the second
 time, which makes the sink effectively exactly-once.
 
@@ -18,7 +18,6 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martkit.operators.facts import new_rows
@@ -32,12 +31,12 @@ MAX_BROADCAST_BATCH_KEYS = 5_000_000
 def _append_batch(store: SnapshotStore, table: str, grain: Sequence[str], partition_by: Sequence[str]):
     def run(batch: DataFrame, epoch_id: int) -> None:
         # The micro-batch is used twice (size check, append): persist it for this batch only.
-        cached = batch.drop("_mk_event_ts").dropDuplicates(list(grain)).persist(StorageLevel.MEMORY_AND_DISK)
+        cached = batch.dropDuplicates(list(grain)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             rows = cached
             if store.exists(table):
                 rows = new_rows(store.read(table), cached, grain, null_safe=True,
-                                max_broadcast_keys=MAX_BROADCAST_BATCH_KEYS)
+                                max_broadcast_keys=MAX_BROADCAST_BATCH_KEYS, materialize=False)
             store.append(table, rows, partition_by)
         finally:
             cached.unpersist()
@@ -45,20 +44,11 @@ def _append_batch(store: SnapshotStore, table: str, grain: Sequence[str], partit
 
 
 def append_stream(stream: DataFrame, store: SnapshotStore, table: str, grain: Sequence[str],
-                  event_time: str | None = None, watermark: str = "1 hour", checkpoint_location: str | None = None,
-                  partition_by: Sequence[str] = (), available_now: bool = True,
-                  processing_time: str | None = None) -> StreamingQuery:
+                  checkpoint_location: str | None = None, partition_by: Sequence[str] = (),
+                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """Start the incremental idempotent append of ``stream`` into ``store``/``table``."""
-    src = stream
-    if event_time:
-        wm = event_time
-        if stream.schema[event_time].dataType.typeName() == "timestamp_ntz":
-            # Watermarks need TIMESTAMP; derive one (session time zone) and drop it at the sink.
-            wm = "_mk_event_ts"
-            src = src.withColumn(wm, F.col(event_time).cast("timestamp"))
-        src = src.withWatermark(wm, watermark).dropDuplicatesWithinWatermark(list(grain))
     location = checkpoint_location or f"{checkpoint_dir(stream.sparkSession)}/martkit-stream-{table}-{uuid.uuid4().hex}"
-    writer = src.writeStream.foreachBatch(_append_batch(store, table, grain, partition_by)) \
+    writer = stream.writeStream.foreachBatch(_append_batch(store, table, grain, partition_by)) \
         .option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 minute")
     return writer.start()
