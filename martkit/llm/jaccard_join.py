@@ -7,8 +7,10 @@ work inside such groups:
 
 1. every text becomes its set of word n-grams (64-bit hashes); equal sets collapse to one representative;
 2. a set's elements are dealt by hash over buckets, as many that linked sets must agree in at least ``need``
-   whole buckets (``Cells``).  Sets that share fewer cells than that with all others link with nothing; the rest
-   joined by shared cells forms candidate groups, and a link never leaves a group;
+   whole buckets (``Cells``).  Sets that share fewer cells than that with all others link with nothing, and the
+   commonest cells drop out (``shared_cells``).  A cell is a region around its leader: measured distances and the
+   triangle inequality decide which of its sets belong to the leader's group and which stay for another leader
+   (``candidate_groups``); a link never leaves a group;
 3. inside a group ``voronoi`` picks pivots, links what lies within r of one, assigns every set to its nearest
    pivot's region and copies it into the regions whose pivot is at most 2r farther (triangle inequality: two
    linked sets meet in one of their regions), and joins the regions recursively; regions that are of one
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from martkit.llm.common import U64, components, doc_text, materialise, mix64, partitions, ragged, slices, word_hashes
@@ -44,6 +46,9 @@ PIVOTS = 64              # pivots of a larger group in its first round, doubled
 MAX_PIVOTS = 1024
 LEAF = 24                # sets of a region compared pair by pair
 CELL_ROWS = 1 << 20      # cells held before they are sent on
+NEAR = 0.8               # distance within which a cell's sets join its leader
+MARGIN = 0.02            # room for measuring with 32-bit elements
+ROUNDS = 6               # leaders that a cell gets
 
 _K1, _K2 = U64(0xA24BAED4963EE407), U64(0x9FB21C651E98DF25)
 
@@ -99,8 +104,10 @@ class Cells:
         top = self.low[1:] - 1
         self.k = (den - num) * 2 * top // (den + num)
         self.spare = np.where(self.k > 0, 3 + self.k // 24, 0)
-        self.need = 1 + np.where(self.k > 0, self.k // 6, 0)
+        self.need = 1 + np.where(self.k > 0, self.k // 3, 0)
         self.buckets = self.k + self.need + self.spare
+        # of the cells that linked sets share, so many are left when each set gives up its commonest ones
+        self.kept = (self.need + 1) // 2
 
     def of(self, keys: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(cell hash, index of its set, size class) of all cells of many sets."""
@@ -341,95 +348,163 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["cell", "node", "cls"])
 
 
-def candidate_groups(docs: DataFrame, words: int, num: int, den: int, rounds: int = 2) -> DataFrame:
-    """(node, label): the group of every set print that may link with another."""
+def shared_cells(docs: DataFrame, words: int, cells: Cells, rounds: int = 2) -> DataFrame:
+    """(cell, node, cls) of the sets that may link with another, without each set's commonest cells.
+
+    Linked sets share ``need`` cells of one class.  So a set with fewer shared cells links with nothing, and of all
+    cells in order of their size every set may give up its last ``need - kept``: linked sets still share ``kept`` of
+    those that remain (prefix principle), while passages that very many texts hold drop out.
+    """
     spark = docs.sparkSession
     n = partitions(spark)
-    cells = Cells(num, den)
     blobs = docs.where("doc_id IS NOT NULL").mapInArrow(_cells(words, cells, n), _BLOB)
     shared = materialise(blobs.repartition(n, "shard").mapInArrow(_shared, _SHARED), "cells")
-    need = F.array(*[F.lit(int(x)) for x in cells.need])
     for _ in range(rounds):
-        # sets with enough shared cells of one class; then cells that still have two sets
-        able = shared.groupBy("node", "cls").agg(F.count("*").alias("n")).where(
-            F.col("n") >= F.element_at(need, F.col("cls") + 1)).select("node", "cls")
-        left = shared.join(able, ["node", "cls"], "left_semi")
-        ends = left.groupBy("cell").agg(F.min("node").alias("lead"), F.max("node").alias("last"))
-        shared = materialise(left.join(ends.where("lead < last").select("cell"), "cell", "left_semi"), "cells")
-    leads = shared.groupBy("cell").agg(F.min("node").alias("lead"))
-    edges = shared.join(leads, "cell").where("node <> lead").select("node", "lead").distinct()
-    return components(edges, "groups")
-
-
-def _members(docs: DataFrame, described: DataFrame, groups: DataFrame) -> DataFrame:
-    """One document for each set print of a group: (grp, doc_id, text, fp_a, fp_b)."""
-    reps = described.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("fp_a", "fp_b").agg(
-        F.min("doc_id").alias("doc_id"))
-    wanted = reps.join(groups.select(F.col("node").alias("fp_a"), F.col("label").alias("grp")), "fp_a")
-    return docs.join(wanted, "doc_id")
-
-
-_LABEL = "fp_a long, fp_b long, component_id long"
-
+        shared = materialise(_enough(shared, cells.need), "cells")
+    sizes = shared.groupBy("cell").agg(F.count("*").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("node", "cls").orderBy(F.col("n").desc(), "cell"))
+    drop = F.array(*[F.lit(int(x)) for x in cells.need - cells.kept])
+    kept = shared.join(sizes, "cell").withColumn("rank", rank).where(
+        F.col("rank") > F.element_at(drop, F.col("cls") + 1)).select("cell", "node", "cls")
+    return materialise(_enough(materialise(kept, "cells"), cells.kept), "cells")
 
-class _Group:
-    """Sets of a group as they arrive; a text whose print is not the wanted one (a repeated doc_id) is left out."""
 
-    def __init__(self, words: int):
-        self.words = words
-        self.docs: dict[tuple[int, int], tuple[int, np.ndarray]] = {}
+def _enough(shared: DataFrame, least: np.ndarray) -> DataFrame:
+    """Rows of sets that have ``least`` shared cells of one class, in cells that two sets still have."""
+    need = F.array(*[F.lit(int(x)) for x in least])
+    able = shared.groupBy("node", "cls").agg(F.count("*").alias("n")).where(
+        F.col("n") >= F.element_at(need, F.col("cls") + 1)).select("node", "cls")
+    left = shared.join(able, ["node", "cls"], "left_semi")
+    ends = left.groupBy("cell").agg(F.min("node").alias("lead"), F.max("node").alias("last"))
+    return left.join(ends.where("lead < last").select("cell"), "cell", "left_semi")
 
-    def add(self, b: pa.RecordBatch) -> None:
-        keys, offs = shingle_sets(b.column("text"), self.words)
-        fa, fb = (x.view(np.int64).tolist() for x in set_prints(keys, offs))
-        for i, (d, a, c) in enumerate(zip(*(b.column(x).to_pylist() for x in ("doc_id", "fp_a", "fp_b")), strict=True)):
-            if (a, c) == (fa[i], fb[i]):
-                self.docs[(a, c)] = (d, keys[offs[i]:offs[i + 1]])
 
-    def solve(self, t: Threshold) -> pa.RecordBatch:
-        order = sorted(self.docs.items(), key=lambda x: (x[1][0], x[0]))
-        bag, union = SetBag([s for _, (_, s) in order]), Union(len(order))
-        voronoi(bag, np.arange(len(order)), t, union)
-        first = [order[union.find(i)][1][0] for i in range(len(order))]
-        return pa.RecordBatch.from_arrays([
-            pa.array([k[0] for k, _ in order], pa.int64()), pa.array([k[1] for k, _ in order], pa.int64()),
-            pa.array(first, pa.int64())], names=["fp_a", "fp_b", "component_id"])
+_SETS = "node long, doc_id long, fp_a long, fp_b long, keys binary"
 
 
-def _solve(words: int, t: Threshold):
-    """Rows sorted by group."""
+def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, group = None, None
         for b in slices(batches, "text"):
-            g = b.column("grp").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(g)) + 1).tolist(), len(g)]
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if group is None or g[lo] != own:
-                    if group is not None:
-                        yield group.solve(t)
-                    own, group = g[lo], _Group(words)
-                group.add(b.slice(lo, hi - lo))
-        if group is not None:
-            yield group.solve(t)
+            keys, offs = shingle_sets(b.column("text"), words)
+            fa, fb = (x.view(np.int64) for x in set_prints(keys, offs))
+            # a repeated doc_id brings texts that are not the wanted one
+            at = np.flatnonzero((b.column("fp_a").to_numpy() == fa) & (b.column("fp_b").to_numpy() == fb))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(fa[at]), b.column("doc_id").take(pa.array(at)), pa.array(fa[at]), pa.array(fb[at]),
+                pa.array([keys[offs[i]:offs[i + 1]].tobytes() for i in at.tolist()], pa.binary())],
+                names=["node", "doc_id", "fp_a", "fp_b", "keys"])
 
     return run
 
 
-_SETS = "grp long, node long, doc_id long, fp_a long, fp_b long, keys binary"
+def member_sets(docs: DataFrame, described: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """The set of one document for each wanted print: (node, doc_id, fp_a, fp_b, keys)."""
+    reps = described.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("fp_a", "fp_b").agg(
+        F.min("doc_id").alias("doc_id"))
+    wanted = reps.join(nodes.select(F.col("node").alias("fp_a")), "fp_a", "left_semi")
+    sets = docs.join(wanted, "doc_id").mapInArrow(_sets(words), _SETS)
+    return materialise(sets.dropDuplicates(["fp_a", "fp_b"]), "sets")
+
+
+_MEASURED = "lead long, node long, dist float"
+
+
+def _brief(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, half): the sets with elements cut to 32 bits, enough to measure with."""
+    for b in slices(batches, "keys"):
+        half = [np.unique(np.frombuffer(x, U64).astype(np.uint32)).tobytes() for x in b.column("keys").to_pylist()]
+        yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(half, pa.binary())], names=["node", "half"])
+
+
+def _to_lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (lead, salt, node or not): the leader's set, then the sets measured against it."""
+    own, lead = None, np.zeros(0, np.uint32)
+    for b in slices(batches, "half"):
+        out: tuple[list, ...] = ([], [], [])
+        for k, salt, node, half in zip(*(b.column(c).to_pylist() for c in ("lead", "salt", "node", "half")), strict=True):
+            x = np.frombuffer(half, np.uint32)
+            if node is None:
+                own, lead = (k, salt), x
+            elif own == (k, salt):
+                at = np.minimum(np.searchsorted(lead, x), max(0, len(lead) - 1))
+                common = int((lead[at] == x).sum()) if len(lead) else 0
+                out[0].append(k)
+                out[1].append(node)
+                out[2].append(1.0 - common / max(1, len(x) + len(lead) - common))
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
+                                          pa.array(out[2], pa.float32())], names=["lead", "node", "dist"])
+
+
+def _measure_leads(pairs: DataFrame, halves: DataFrame) -> DataFrame:
+    """Distance of every (node, lead) pair; a leader's nodes are dealt over pieces of SALT_DOCS."""
+    spark = pairs.sparkSession
+    pieces = pairs.groupBy("lead").agg(F.ceil(F.count("*") / SALT_DOCS).cast("int").alias("salts"))
+    nodes = pairs.join(pieces, "lead").select(
+        "lead", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), "node").join(halves, "node")
+    leads = pieces.select(F.col("lead").alias("node"), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+                          ).join(halves, "node").select(
+        F.col("node").alias("lead"), "salt", F.lit(None).cast("long").alias("node"), "half")
+    rows = leads.unionByName(nodes.select("lead", "salt", "node", "half"))
+    return rows.repartition(partitions(spark), "lead", "salt").sortWithinPartitions(
+        "lead", "salt", F.col("node").asc_nulls_first()).mapInArrow(_to_lead, _MEASURED)
+
+
+def candidate_groups(shared: DataFrame, sets: DataFrame, cells: Cells, t: Threshold) -> DataFrame:
+    """(node, label): groups of sets that a link never leaves.
+
+    Every cell is a region around its leader (its smallest print).  Its sets are measured: those within NEAR of the
+    leader are joined to it, those farther than NEAR - r stay in the cell for another round.  Two linked sets of a
+    cell are at most r apart in their distance to the leader, so either both are near or both stay.  A set that is
+    left with fewer cells than linked sets share has no link left to find.
+    """
+    halves = materialise(sets.select("node", "keys").mapInArrow(_brief, "node long, half binary").dropDuplicates(
+        ["node"]), "halves")
+    edges = []
+    for _ in range(ROUNDS):
+        leads = shared.groupBy("cell").agg(F.min("node").alias("lead"))
+        led = materialise(shared.join(leads, "cell"), "led")
+        pairs = led.where("node <> lead").select("node", "lead").distinct()
+        dist = materialise(_measure_leads(pairs, halves), "dist")
+        edges.append(dist.where(F.col("dist") <= NEAR).select("node", "lead"))
+        far = dist.where(F.col("dist") > NEAR - t.r - MARGIN).select("node", "lead")
+        shared = materialise(_enough(led.join(far, ["node", "lead"], "left_semi").select("cell", "node", "cls"),
+                                     cells.kept), "far")
+        if shared.isEmpty():
+            break
+    else:  # what the rounds left stays together cell by cell
+        leads = shared.groupBy("cell").agg(F.min("node").alias("lead"))
+        edges.append(shared.join(leads, "cell").where("node <> lead").select("node", "lead"))
+    every = edges[0]
+    for e in edges[1:]:
+        every = every.unionByName(e)
+    return components(every.distinct(), "groups")
+
+
+_LABEL = "fp_a long, fp_b long, component_id long"
 
 
-def _sets(words: int):
+def _solve(t: Threshold):
+    """Rows sorted by group: its components."""
+    def solve(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
+        rows.sort(key=lambda r: r[:3])
+        bag, union = SetBag([np.frombuffer(r[3], U64) for r in rows]), Union(len(rows))
+        voronoi(bag, np.arange(len(rows)), t, union)
+        first = [rows[union.find(i)][0] for i in range(len(rows))]
+        return pa.RecordBatch.from_arrays([
+            pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()),
+            pa.array(first, pa.int64())], names=["fp_a", "fp_b", "component_id"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
-            keys, offs = shingle_sets(b.column("text"), words)
-            fa, fb = (x.view(np.int64) for x in set_prints(keys, offs))
-            ok = (b.column("fp_a").to_numpy() == fa) & (b.column("fp_b").to_numpy() == fb)
-            at = np.flatnonzero(ok)
-            yield pa.RecordBatch.from_arrays([
-                b.column("grp").take(pa.array(at)), _long(mix64(fa[at].view(U64) + mix64(fb[at].view(U64)))),
-                b.column("doc_id").take(pa.array(at)), pa.array(fa[at]), pa.array(fb[at]),
-                pa.array([keys[offs[i]:offs[i + 1]].tobytes() for i in at.tolist()], pa.binary())],
-                names=["grp", "node", "doc_id", "fp_a", "fp_b", "keys"])
+        own, rows = None, []
+        for b in slices(batches, "keys"):
+            for g, *row in zip(*(b.column(c).to_pylist() for c in ("grp", "doc_id", "fp_a", "fp_b", "keys")), strict=True):
+                if g != own and rows:
+                    yield solve(rows)
+                    rows = []
+                own = g
+                rows.append(tuple(row))
+        if rows:
+            yield solve(rows)
 
     return run
 
@@ -470,20 +545,19 @@ def _against(sets: DataFrame, pivots: DataFrame, salts: DataFrame, t: Threshold)
 
     ``salts`` (grp, salts) deals a group's sets over pieces; pivots are copied to every piece.
     """
-    left = sets.join(F.broadcast(salts), "grp").withColumn(  # one row per large group, each of GROUP_DOCS or more
+    left = sets.join(salts, "grp").withColumn(
         "salt", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int"))
     blocks = pivots.select("grp", "block").distinct()
     left = left.join(blocks, "grp").select("grp", "block", "salt", "node", "keys")
-    right = pivots.join(F.broadcast(salts), "grp").select(
+    right = pivots.join(salts, "grp").select(
         F.col("grp").alias("of"), F.col("block").alias("part"),
         F.explode(F.sequence(F.lit(0), (F.col("salts") - 1).cast("int"))).alias("copy"), "node", "keys")
     return left.groupBy("grp", "block", "salt").cogroup(right.groupBy("of", "part", "copy")).applyInArrow(
         _measure(t), _NEAR)
 
 
-def _large_groups(members: DataFrame, words: int, t: Threshold) -> DataFrame:
-    """Components of groups too large for one task, by rounds of pivots."""
-    sets = materialise(members.mapInArrow(_sets(words), _SETS).dropDuplicates(["grp", "node"]), "large-sets")
+def _large_groups(sets: DataFrame, t: Threshold) -> DataFrame:
+    """Components of groups too large for one task, by rounds of pivots; ``sets`` are stored."""
     salts = materialise(sets.groupBy("grp").agg(F.count("*").alias("n")).select(
         "grp", F.ceil(F.col("n") / SALT_DOCS).cast("int").alias("salts")), "salts")
     seen = []  # (grp, node, pivot, linked) of all rounds
@@ -530,21 +604,28 @@ def _large_groups(members: DataFrame, words: int, t: Threshold) -> DataFrame:
     return own.join(first, "label").select("fp_a", "fp_b", "component_id")
 
 
+def _both(*prints: str) -> Column:
+    return F.xxhash64(*prints)
+
+
 def _labelled(docs: DataFrame, words: int, num: int, den: int, group_docs: int) -> DataFrame:
     """doc_id, n_shingles, fp_a, fp_b (the set's print) and component_id of every row of (doc_id, text)."""
     spark = docs.sparkSession
+    t, cells = Threshold(num, den), Cells(num, den)
     described = materialise(docs.mapInArrow(_describe(words), _DOCS), "described")
-    groups = candidate_groups(docs, words, num, den)
+    shared = shared_cells(docs, words, cells)
+    sets = member_sets(docs, described, shared.select("node").distinct(), words)
+    groups = candidate_groups(shared, sets, cells, t)
     sizes = groups.groupBy("label").agg(F.count("*").alias("n"))
     groups = materialise(groups.join(sizes, "label"), "groups")
-    t = Threshold(num, den)
-    small = _members(docs, described, groups.where(F.col("n") <= group_docs)).select(
-        "grp", "doc_id", "text", "fp_a", "fp_b")
+    grouped = sets.join(groups.select("node", F.col("label").alias("grp"), "n"), "node")
+    small = grouped.where(F.col("n") <= group_docs).select("grp", "doc_id", "fp_a", "fp_b", "keys")
     solved = small.repartition(partitions(spark), "grp").sortWithinPartitions("grp", "doc_id").mapInArrow(
-        _solve(words, t), _LABEL)
-    large = groups.where(F.col("n") > group_docs)
-    if not large.isEmpty():
-        solved = solved.unionByName(_large_groups(_members(docs, described, large), words, t))
+        _solve(t), _LABEL)
+    if not groups.where(F.col("n") > group_docs).isEmpty():
+        large = grouped.where(F.col("n") > group_docs).select("grp", _both("fp_a", "fp_b").alias("node"), "doc_id",
+                                                              "fp_a", "fp_b", "keys")
+        solved = solved.unionByName(_large_groups(materialise(large, "large-sets"), t))
     # a representative's component, then every document's by its set
     reps = described.where("n_shingles > 0").groupBy("fp_a", "fp_b").agg(F.min("doc_id").alias("rep"))
     named = materialise(reps.join(solved, ["fp_a", "fp_b"], "left").select(
