@@ -348,7 +348,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          names=["cell", "node", "cls"])
 
 
-def shared_cells(docs: DataFrame, words: int, cells: Cells, rounds: int = 2) -> DataFrame:
+def shared_cells(docs: DataFrame, words: int, cells: Cells, rounds: int = 1) -> DataFrame:
     """(cell, node, cls) of the sets that may link with another, without each set's commonest cells.
 
     Linked sets share ``need`` cells of one class.  So a set with fewer shared cells links with nothing, and of all
@@ -459,7 +459,16 @@ def candidate_groups(shared: DataFrame, sets: DataFrame, cells: Cells, t: Thresh
     """
     halves = materialise(sets.select("node", "keys").mapInArrow(_brief, "node long, half binary").dropDuplicates(
         ["node"]), "halves")
-    edges = []
+    # first every set against one leader, the smallest of its cells; what that joins needs no other measuring
+    leads = shared.groupBy("cell").agg(F.min("node").alias("lead"))
+    one = shared.join(leads, "cell").groupBy("node").agg(F.min("lead").alias("lead")).where("node <> lead")
+    first = materialise(_measure_leads(one, halves).where(F.col("dist") <= NEAR).select("node", "lead"), "first")
+    label = components(first, "first")
+    tagged = shared.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_cells = tagged.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
+        "low < high").select("cell")
+    shared = materialise(shared.join(open_cells, "cell", "left_semi"), "open")
+    edges = [first]
     for _ in range(ROUNDS):
         leads = shared.groupBy("cell").agg(F.min("node").alias("lead"))
         led = materialise(shared.join(leads, "cell"), "led")
