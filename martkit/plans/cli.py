@@ -53,13 +53,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> di
     ap.add_argument("--skip-service", action="store_true")
     ap.add_argument("--skip-workforce", action="store_true")
     ap.add_argument("--skip-staging", action="store_true")
+    ap.add_argument("--skip-step", action="append", default=[], help="a step to leave out, e.g. DimMode")
+    ap.add_argument("--append-openings", action="store_true")
+    ap.add_argument("--continue-on-opening-error", action="store_true")
     a = ap.parse_args(argv)
     spark = spark or SparkSession.builder.appName("martkit-load").getOrCreate()
     feeds = discover_feeds(spark, a.raw_dir)
     calendar = feeds.pop("calendar", None)
     load_date = _dt.date.fromisoformat(a.load_date) if a.load_date else _dt.datetime.now(_dt.timezone.utc).date()
     runner = MartRunner(spark, SnapshotStore(spark, a.store), load_date=load_date, batch_id=a.batch_id,
-                        reload=a.reload)
+                        reload=a.reload, skip_steps=frozenset(a.skip_step), append_openings=a.append_openings,
+                        throw_on_failure=not a.continue_on_opening_error)
     report = runner.run_all(feeds, calendar, skip_staging=a.skip_staging, skip_service=a.skip_service,
                             skip_workforce=a.skip_workforce, dims_only=a.dims_only)
     runner.audit.report().show(200, truncate=False)

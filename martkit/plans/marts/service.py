@@ -282,10 +282,12 @@ def _urban_lookup(urban: DataFrame, col: str | Column, asof: Column) -> Lookup:
 
 
 def _publish_rows(existing: DataFrame, rows: DataFrame, grain: list[str], key_col: str, reload: bool,
-                  batch_id: int | None, source_system: str, load_ts: Column | None) -> FactChange:
+                  batch_id: int | None, source_system: str, load_ts: Column | None,
+                  by_batch: bool = False) -> FactChange:
     """Idempotent append (only rows whose grain is new, keyed after the current maximum,
     with lineage columns) or, when reloading, the next snapshot with the reloaded grain
-    replaced."""
+    replaced.  ``by_batch``: a reload also drops everything that this batch id loaded before,
+    so rows withdrawn from a batch that is sent again do not stay."""
     incoming = rows if reload else new_rows(existing, rows, grain, materialize=True)
     incoming = with_lineage(incoming, batch_id, source_system, load_ts, batch_col="ETL_BatchID",
                             source_col="RecordSourceSystem", inserted_col="ETL_InsertDate") \
@@ -293,7 +295,10 @@ def _publish_rows(existing: DataFrame, rows: DataFrame, grain: list[str], key_co
     keyed = assign_keys_hashed(incoming, grain, key_col, existing=existing)
     keyed = keyed.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema.fields])
     if reload:
-        return FactChange(reload_by_grain(existing, keyed, grain), "replace")
+        kept = existing
+        if by_batch and batch_id is not None:
+            kept = existing.filter(~F.col("ETL_BatchID").eqNullSafe(F.lit(batch_id)))
+        return FactChange(reload_by_grain(kept, keyed, grain), "replace")
     return FactChange(keyed, "append")
 
 
@@ -406,7 +411,7 @@ def fact_major_safety_event(staged_events: DataFrame, calendar: DataFrame, agenc
         F.when(F.col("evacuation"), 1).otherwise(0).alias("EvacuationCount"),
         F.col("property_damage_amount").alias("PropertyDamageAmount"))
     return _publish_rows(existing, fact_rows, ["SourceIncidentID"], "MajorSafetyEventKey", reload, batch_id,
-                         source_system, load_ts)
+                         source_system, load_ts, by_batch=True)
 
 
 # --- L25: service availability (factless coverage over periods) ------------------------
@@ -448,7 +453,7 @@ def fact_service_availability(staged_ams: DataFrame, calendar: DataFrame, agency
     # record wins (deterministically).
     fact_rows = keep_first(fact_rows, AVAILABILITY_GRAIN, [F.col("ServiceActiveFlag").asc()])
     return _publish_rows(existing, fact_rows, AVAILABILITY_GRAIN, "ServiceAvailabilityKey", reload, batch_id,
-                         source_system, load_ts)
+                         source_system, load_ts, by_batch=True)
 
 
 # --- L26: service lifecycle (accumulating snapshot) --------------------------------------

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.functions.dates import batch_id as make_batch_id
+from martkit.operators.facts import FactChange
+from martkit.operators.quality import check_rules, combine_checks, not_null, referential, uniqueness
 from martkit.plans.marts import common, service, workforce
 from martkit.sources.store import AuditLog, SnapshotStore
 
@@ -30,6 +32,11 @@ class MartLoadError(RuntimeError):
     pass
 
 
+#: Keys that every fact has, with their dimension.
+FACT_KEYS = {"AgencyKey": ("DimAgency", "AgencyKey"), "ModeKey": ("DimMode", "ModeKey"),
+             "ServiceTypeKey": ("DimServiceType", "ServiceTypeKey")}
+
+
 @dataclass
 class StepResult:
     name: str
@@ -51,6 +58,7 @@ class Step:
     name: str
     run: Callable[[], str | None]
     skip: bool = False
+    optional: bool = False  # a failure is recorded, but neither stops nor fails the run
 
 
 @dataclass
@@ -61,6 +69,9 @@ class MartRunner:
     batch_id: int | None = None
     initial_effective: str | None = "1900-01-01"
     reload: bool = False
+    skip_steps: frozenset[str] = frozenset()  # steps that are left out, by name (G1)
+    append_openings: bool = False              # add to staged job openings instead of replacing them
+    throw_on_failure: bool = True              # False: a failed job-opening load is recorded and the run goes on
 
     def __post_init__(self):
         self.batch_id = self.batch_id or make_batch_id()
@@ -89,13 +100,32 @@ class MartRunner:
         else:
             self._publish(name, change.rows)
 
+    def _load_fact(self, name: str, change, grain: Sequence[str], keys: Mapping[str, tuple[str, str]]) -> None:
+        """Write a fact and check it: its grain is unique, its keys are set and have a member.
+
+        ``keys``: key column -> (dimension table, its key).  The violations are kept in
+        ``dq_report`` and any violation fails the step."""
+        self._write(name, change)
+        fact = self.store.read(name)
+        checks = [uniqueness(fact, list(grain), name=f"{name}: unique grain"),
+                  check_rules(fact, not_null(*keys))]
+        checks += [referential(fact, k, self.store.read(dim), pk, name=f"{name}: {k}") for k, (dim, pk) in keys.items()
+                   if self.store.exists(dim)]
+        report = combine_checks(*checks).select(F.lit(self.batch_id).cast("bigint").alias("run_id"), F.lit(name).alias(
+            "table"), "check", F.col("violations").cast("bigint").alias("violations"))
+        self.store.append("dq_report", report)
+        bad = [r["check"] for r in self.store.read("dq_report").where(
+            (F.col("run_id") == self.batch_id) & (F.col("table") == name) & (F.col("violations") > 0)).collect()]
+        if bad:
+            raise MartLoadError(f"{name}: checks failed: {bad}")
+
     def _table(self, name: str, empty: Callable[[SparkSession], DataFrame]) -> DataFrame:
         return self.store.read(name) if self.store.exists(name) else empty(self.spark)
 
     def run_steps(self, steps: Sequence[Step], policy: str = "fail_fast", mart: str = "") -> list[StepResult]:
         results = []
         for st in steps:
-            if st.skip:
+            if st.skip or st.name in self.skip_steps:
                 results.append(StepResult(st.name, "SKIPPED"))
                 continue
             start = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
@@ -114,9 +144,12 @@ class MartRunner:
             self.audit.record(self.batch_id, step_name, self.load_date, start, end,
                               res.status, processed=res.rows_written, inserted=res.inserted, error=res.error)
             results.append(res)
+            if res.status == "FAILED" and st.optional:
+                continue
             if res.status == "FAILED" and policy == "fail_fast":
                 raise MartLoadError(f"{mart}: step {st.name} failed: {res.error}")
-        failed = [r for r in results if r.status == "FAILED"]
+        optional = {st.name for st in steps if st.optional}
+        failed = [r for r in results if r.status == "FAILED" and r.name not in optional]
         if failed:
             raise MartLoadError(f"{mart}: steps failed: {[r.name for r in failed]}")
         return results
@@ -149,9 +182,13 @@ class MartRunner:
         if "job_openings" in raw:
             def jobs():
                 valid, rejects = workforce.stage_job_openings(raw["job_openings"])
-                self._publish("stg_job_openings_rejects", rejects)
-                return valid
-            add("stg_job_openings", jobs)
+                for name, rows in (("stg_job_openings_rejects", rejects), ("stg_job_openings", valid)):
+                    if self.append_openings:
+                        self._write(name, FactChange(rows, "append"))
+                    else:
+                        self._publish(name, rows)
+                return "stg_job_openings"
+            steps.append(Step("stg_job_openings", jobs, optional=not self.throw_on_failure))
         years = sorted(int(k.split("_")[1]) for k in raw if k.startswith("employees_"))
         if years:
             # every staged year, not only those of this run's feed
@@ -229,27 +266,27 @@ class MartRunner:
             metrics = {m: self.store.read(f"stg_ts_{m}") for m in service.CURRENT_METRICS
                        if self.store.exists(f"stg_ts_{m}")}
             cur = self._table("Fact_Annual_Service_Performance", service.empty_fact_annual)
-            self._write("Fact_Annual_Service_Performance", service.fact_annual_service_performance(
+            self._load_fact("Fact_Annual_Service_Performance", service.fact_annual_service_performance(
                 metrics, d["calendar"], d["agency"], d["mode"], d["service_type"], d["urban"], cur,
-                reload=self.reload, **kw))
+                reload=self.reload, **kw), service.ANNUAL_GRAIN, {**FACT_KEYS, "DateKey": ("DimDate", "DateKey")})
 
         def safety():
             cur = self._table("Fact_Major_Safety_Event", service.empty_fact_safety)
-            self._write("Fact_Major_Safety_Event", service.fact_major_safety_event(
+            self._load_fact("Fact_Major_Safety_Event", service.fact_major_safety_event(
                 self.store.read("stg_major_safety_event"), d["calendar"], d["agency"], d["mode"], d["service_type"],
-                d["urban"], d["event_type"], d["incident"], cur, reload=self.reload, **kw))
+                d["urban"], d["event_type"], d["incident"], cur, reload=self.reload, **kw), ["SourceIncidentID"], {**FACT_KEYS, "EventDateKey": ("DimDate", "DateKey")})
 
         def availability():
             cur = self._table("Fact_Service_Availability", service.empty_fact_availability)
-            self._write("Fact_Service_Availability", service.fact_service_availability(
+            self._load_fact("Fact_Service_Availability", service.fact_service_availability(
                 self.store.read("stg_agency_mode_service"), d["calendar"], d["agency"], d["mode"],
-                d["service_type"], cur, reload=self.reload, **kw))
+                d["service_type"], cur, reload=self.reload, **kw), service.AVAILABILITY_GRAIN, {**FACT_KEYS, "StartDateKey": ("DimDate", "DateKey")})
 
         def lifecycle():
             cur = self._table("Fact_Service_Lifecycle_Accumulating", service.empty_fact_lifecycle)
-            self._write("Fact_Service_Lifecycle_Accumulating", service.fact_service_lifecycle(
+            self._load_fact("Fact_Service_Lifecycle_Accumulating", service.fact_service_lifecycle(
                 self.store.read("Fact_Annual_Service_Performance"), self.store.read("Fact_Service_Availability"),
-                self.store.read("Fact_Major_Safety_Event"), d["calendar"], cur, **kw))
+                self.store.read("Fact_Major_Safety_Event"), d["calendar"], cur, **kw), service.LIFECYCLE_KEY, FACT_KEYS)
 
         return self.run_steps([Step("Fact_Annual_Service_Performance", annual),
                                Step("Fact_Major_Safety_Event", safety),
@@ -281,23 +318,23 @@ class MartRunner:
 
         def posting():
             cur = self._table("FactJobPosting", workforce.empty_fact_job_posting)
-            self._write("FactJobPosting", workforce.fact_job_posting(
-                self.store.read("stg_job_openings"), cal, d, cur, batch_id=self.batch_id, load_ts=self.load_ts))
+            self._load_fact("FactJobPosting", workforce.fact_job_posting(
+                self.store.read("stg_job_openings"), cal, d, cur, batch_id=self.batch_id, load_ts=self.load_ts), ["OpeningID"], {**FACT_KEYS, "DateKey": ("DimDate", "DateKey")})
 
         def snapshot():
             cur = self._table("FactEmployeeSnapshot", workforce.empty_fact_employee_snapshot)
-            self._write("FactEmployeeSnapshot", workforce.fact_employee_snapshot(
-                self.store.read("stg_employee_unified"), cal, d, cur, batch_id=self.batch_id, load_ts=self.load_ts))
+            self._load_fact("FactEmployeeSnapshot", workforce.fact_employee_snapshot(
+                self.store.read("stg_employee_unified"), cal, d, cur, batch_id=self.batch_id, load_ts=self.load_ts), workforce.SNAPSHOT_GRAIN, {**FACT_KEYS, "DateKey": ("DimDate", "DateKey")})
 
         def coverage():
             cur = self._table("FactAgencyLaborCoverage", workforce.empty_fact_labor_coverage)
-            self._write("FactAgencyLaborCoverage", workforce.fact_labor_coverage(
-                self.store.read("stg_employee_unified"), cal, d, cur))
+            self._load_fact("FactAgencyLaborCoverage", workforce.fact_labor_coverage(
+                self.store.read("stg_employee_unified"), cal, d, cur), workforce.COVERAGE_GRAIN, FACT_KEYS)
 
         def lifecycle():
             cur = self._table("FactJobPostingLifecycle", workforce.empty_fact_posting_lifecycle)
-            self._write("FactJobPostingLifecycle", workforce.fact_posting_lifecycle(
-                self.store.read("stg_job_openings"), cal, d, cur))
+            self._load_fact("FactJobPostingLifecycle", workforce.fact_posting_lifecycle(
+                self.store.read("stg_job_openings"), cal, d, cur), ["OpeningID"], FACT_KEYS)
 
         has_jobs = self.store.exists("stg_job_openings")
         has_emp = self.store.exists("stg_employee_unified")

@@ -316,3 +316,40 @@ def test_reload_replaces_by_grain(spark, warehouse):
         f = store.read(t)
         assert f.count() == before[t], t
         assert {r.ETL_BatchID for r in f.select("ETL_BatchID").distinct().collect()} == {9}, t
+
+
+def test_rows_withdrawn_from_a_batch_go(spark):
+    """A reload of the same batch id drops what the batch loaded before."""
+    from martkit.plans.marts import service
+    existing = service.empty_fact_availability(spark)
+    cols = "AgencyKey int, ModeKey int, ServiceTypeKey int, CommitmentDateKey int, StartDateKey int, EndDateKey int, " \
+           "ServiceActiveFlag boolean"
+    rows = spark.createDataFrame([(i, 1, 1, None, 20200101, 99991231, True) for i in (1, 2)], cols)
+
+    def load(cur, new, batch, reload):
+        return service._publish_rows(cur, new, service.AVAILABILITY_GRAIN, "ServiceAvailabilityKey", reload, batch, "t",
+                                     None, by_batch=True).next_snapshot(cur)
+
+    one = load(existing, rows, 7, False)
+    two = load(one, rows.where("AgencyKey = 2").withColumn("AgencyKey", F.lit(3)), 8, False)
+    again = load(two, rows.where("AgencyKey = 2"), 7, True)
+    assert sorted((r.AgencyKey, r.ETL_BatchID) for r in again.collect()) == [(2, 7), (3, 8)]
+
+
+def test_openings_append_and_skips(spark, tmp_root):
+    store = SnapshotStore(spark, tmp_root)
+    jobs = raw_df(spark, JOB_COLS, [{"OpeningID": "J1", "PostingDate": "2016-01-05"}, {"OpeningID": " "}])
+    for _ in range(2):
+        MartRunner(spark, store, append_openings=True).stage({"job_openings": jobs})
+    assert store.read("stg_job_openings").count() == 2 and store.read("stg_job_openings_rejects").count() == 2
+    MartRunner(spark, store).stage({"job_openings": jobs})
+    assert store.read("stg_job_openings").count() == 1
+    bad = jobs.drop("PostingDate")
+    done = MartRunner(spark, store, throw_on_failure=False).stage({"job_openings": bad})
+    assert [r.status for r in done] == ["FAILED"]
+    with pytest.raises(Exception, match="stg_job_openings"):
+        MartRunner(spark, store).stage({"job_openings": bad})
+    skipped = MartRunner(spark, store, skip_steps=frozenset({"DimDate", "DimAgency"})).run_common()
+    assert [r.status for r in skipped] == ["SKIPPED", "SKIPPED", "SUCCESS", "SUCCESS"]
+    with pytest.raises(Exception, match="no real date"):
+        MartRunner(spark, store).run_common()
