@@ -45,7 +45,7 @@ SALT_DOCS = 1024         # sets of a larger group measured together
 PIVOTS = 64              # pivots of a larger group in its first round, doubled from round to round up to
 MAX_PIVOTS = 1024
 LEAF = 24                # sets of a region compared pair by pair
-CELL_ROWS = 1 << 20      # cells held before they are sent on
+CELL_ROWS = 1 << 18      # cells held before they are sent on
 NEAR = 0.8               # distance within which a cell's sets join its leader
 MARGIN = 0.02            # room for measuring with 32-bit elements
 ROUNDS = 6               # leaders that a cell gets
