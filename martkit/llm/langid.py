@@ -373,14 +373,21 @@ def identify(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_predict(model), _PREDICTED)
 
 
-def keep_known(docs: DataFrame, least: float = 0.5) -> DataFrame:
-    """The documents whose language is recognised with a score of ``least`` or more, unchanged."""
+def keep_known(docs: DataFrame) -> DataFrame:
+    """The documents that the method gives a language, whatever its score, unchanged; only ``und`` texts (no letters) go.
+
+    The score is a mean over a text's words, so it says how mixed a text is and not whether its languages are known: a
+    text in three languages or of one word that two languages share has a low one.  When no label can be learned,
+    every text would be ``und`` and all documents pass.
+    """
+    docs = docs.withColumn("text", F.col("text").cast("string"))
     model = fit_sample(docs, ~held_out())
+    if not model.labels:
+        return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text", PREDICT_BYTES):
-            lang, score = model.predict(b.column("text").to_pylist())
-            yield b.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(lang, score, strict=True)]))
+            lang, _ = model.predict(b.column("text").to_pylist())
+            yield b.filter(pa.array([x != UNKNOWN for x in lang]))
 
-    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(run, docs.withColumn(
-        "text", F.col("text").cast("string")).schema)
+    return docs.mapInArrow(run, docs.schema)
