@@ -1,8 +1,9 @@
 """Operator 2: language-model scoring with an Elias-Fano n-gram trie.
 
-The model is a bigram model over white-space words and an end token, smoothed towards the unigrams by a Dirichlet
-prior: P(w | v) = (c(v w) + KAPPA * P1(w)) / (c(v) + KAPPA) with P1(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)).  A text
-begins in the context of the end token.
+The model is of order 2 or 3, over white-space words and an end token; every order is smoothed towards the one below
+by a Dirichlet prior: P(w | u v) = (c(u v w) + KAPPA * P(w | v)) / (c(u v) + KAPPA), P(w | v) = (c(v w) + KAPPA * P1(w))
+/ (c(v) + KAPPA) and P1(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)).  A text begins in the context of the end token, so its
+first token has no more context than that; an n-gram that was not seen backs off to the level below by its count of 0.
 
 The trie lies in shard files in the shared folder, mapped into memory by the tasks that score:
 
@@ -10,14 +11,18 @@ The trie lies in shard files in the shared folder, mapped into memory by the tas
   shards is its id) and the running sums of their counts as another;
 * the second level, cut by a hash of (context, word) so that no common context lands in one shard: the contexts of
   the shard as a sequence, monotone pointers to each context's first successor, the successors as context-relative
-  values (place of the context times V, plus word id), and for each a smoothed log10 probability in 8 bits.
+  values (place of the context times V, plus word id), and the count of each in 8 bits (those of MANY or more beside);
+* the third level, the same with a pair's place in all shards of the second level as the context, cut by a hash of the
+  triple.
 
-A lookup finds the context, takes its pointer range, and searches the successor in that range.  What is gathered
+A lookup finds the context, takes its pointer range, and searches the successor in that range; probabilities are
+computed from the counts, which are exact.  What is gathered
 grows with the corpus (all distinct n-grams of the training texts), never passes through the driver, and is counted
 in each task before it is shuffled as packed, compressed arrays; a shard's share per task is one row, so a common
 word or pair weighs no more than others.  The driver sees one manifest row for each shard.
 
-Word ids must fit 32 bits (4.29 billion distinct words); beyond that building raises.
+Word ids must fit 32 bits (4.29 billion distinct words), and distinct pairs times words 64 bits; beyond that building
+raises.
 
 Defined results: a null or empty text is the end token alone; rows with a null doc_id are learned from and scored;
 repeated rows are learned from as often as they occur; with nothing to learn from N and V are 0 and both scores are
@@ -40,8 +45,8 @@ from martkit.llm.common import (U64, doc_text, materialise, mix64, partitions, s
 from martkit.llm.elias_fano import EliasFano
 
 ALPHA = 0.1      # added to every unigram count (fixed by the contract)
-KAPPA = 20.0     # weight of the unigrams in a bigram's probability
-LEVELS = 256     # quantised probabilities
+KAPPA = 20.0     # weight of the level below in a probability
+MANY = 255       # counts from here on are stored beside the 8-bit ones
 FOLDS = 10       # texts with crc32(doc_id) mod FOLDS = 0 are held out
 TEXT_BYTES = 3 << 20
 HELD_ROWS = 1 << 21  # distinct n-grams that a task holds before it sends them on
@@ -233,7 +238,7 @@ class Vocabulary:
 
 
 _VOCAB = "shard int, uri string, words long, tokens long"
-_TRIE = "shard int, uri string, bigrams long"
+_TRIE = "shard int, uri string, grams long"
 
 
 def _count_words(shards: int):
@@ -261,10 +266,81 @@ def _write_words(folder: str, shards: int):
     return run
 
 
-def _pair_shard(keys: np.ndarray, shards: int) -> np.ndarray:
+def _gram_shard(keys: np.ndarray, shards: int) -> np.ndarray:
     return (mix64(keys) % U64(shards)).astype(np.int64)
 
 
+class Shard:
+    """One mapped shard of the second or third level."""
+
+    def __init__(self, uri: str, words: int):
+        arrays, _ = map_arrays(uri)
+        self.words = words
+        self.context, self.pointer, self.follow = (_sequence(arrays, k) for k in ("context", "pointer", "follow"))
+        self.count, self.many, self.much = (arrays[k] for k in ("count", "many", "much"))
+
+    def lookup(self, ctx: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the shard or -1, count) of (context, word) sorted by context."""
+        new = np.append(True, ctx[1:] != ctx[:-1])
+        code = np.cumsum(new) - 1
+        place, known = self.context.successor(ctx[new])
+        lo, hi = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+        at = np.flatnonzero(known)
+        lo[at] = self.pointer.access(place[at]).astype(np.int64)
+        hi[at] = self.pointer.access(place[at] + 1).astype(np.int64)
+        some = np.flatnonzero(known[code])
+        c = code[some]
+        index, hit = self.follow.successor(place[c].astype(U64) * U64(self.words) + own[some], lo[c], hi[c])
+        out, n = np.full(len(ctx), -1, np.int64), np.zeros(len(ctx), np.int64)
+        some, index = some[hit], index[hit]
+        out[some], n[some] = index, self.count[index]
+        over = some[n[some] == MANY]
+        n[over] = self.much[np.searchsorted(self.many, out[over])]
+        return out, n
+
+
+class Grams:
+    """The second or third level: places and counts of n-grams, over mapped shards."""
+
+    def __init__(self, manifest: list[tuple[int, str, int]], shards: int, words: int):
+        """``manifest``: (shard, uri, n-grams) of every shard that holds any."""
+        self.shards, self.words = shards, words
+        self.files: dict[int, Shard] = {}
+        self.uris = {s: uri for s, uri, _ in manifest}
+        size = np.zeros(shards, np.int64)
+        for s, _, grams in manifest:
+            size[s] = grams
+        self.base = np.append(0, np.cumsum(size))
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in all shards or -1, count) of ascending distinct keys, context * words + word."""
+        place, n = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
+        shard = _gram_shard(keys, self.shards)
+        deal = np.argsort(shard, kind="stable")
+        cuts = np.searchsorted(shard[deal], np.arange(self.shards + 1))
+        for s, uri in self.uris.items():
+            at = deal[cuts[s]:cuts[s + 1]]
+            if len(at):
+                if s not in self.files:
+                    self.files[s] = Shard(uri, self.words)
+                inside, n[at] = self.files[s].lookup(*np.divmod(keys[at], U64(self.words)))
+                place[at] = np.where(inside >= 0, inside + self.base[s], -1)
+        return place, n
+
+    def of(self, ctx: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``find`` for any contexts and words; an unknown one (-1) is not found."""
+        place, n = np.full(len(ctx), -1, np.int64), np.zeros(len(ctx), np.int64)
+        both = np.flatnonzero((ctx >= 0) & (own >= 0))
+        keys, back = np.unique(_key(ctx[both], own[both], self.words), return_inverse=True)
+        found = self.find(keys)
+        place[both], n[both] = found[0][back], found[1][back]
+        return place, n
+
+
+def _key(ctx: np.ndarray, own: np.ndarray, words: int) -> np.ndarray:
+    return ctx.astype(U64) * U64(words) + own.astype(U64)
+
+
 def _token_ids(vocab: Vocabulary, col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids of the distinct tokens, which of them each token is, first token of every text)."""
     h, first = tokens(col)
@@ -283,87 +359,63 @@ def _end_id(vocab: Vocabulary) -> int:
     return int(vocab.ids(np.array([END], U64))[0])
 
 
-def _count_pairs(vocab: tuple, shards: int):
+def _inner(first: np.ndarray) -> np.ndarray:
+    """Tokens that have a token of their own text before them."""
+    out = np.ones(int(first[-1]), bool)
+    out[first[:-1]] = False
+    return np.flatnonzero(out)
+
+
+def _count_grams(vocab: tuple, shards: int, pairs: list[tuple[int, str, int]] | None = None):
+    """Counts of pairs, or of triples if the pairs' level is given."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Vocabulary(*vocab)
-        held = Packed(lambda k: _pair_shard(k, shards))
+        level = None if pairs is None else Grams(pairs, shards, words.words)
+        held = Packed(lambda k: _gram_shard(k, shards))
         end = _end_id(words)
         for b in slices(batches, "text", TEXT_BYTES):
             ids, code, first = _token_ids(words, b.column("text"))
             own = ids[code]
-            before = _contexts(own, first, end)
-            yield from held.add((before.astype(U64) << U64(32)) | own.astype(U64))
+            ctx = _contexts(own, first, end)
+            if level is not None:
+                at = _inner(first)
+                ctx, own = level.of(ctx[at - 1], own[at - 1])[0], own[at]
+            yield from held.add(_key(ctx, own, words.words))
         yield from held.send()
 
     return run
 
 
-def _of_distinct(vocab: Vocabulary, ids: np.ndarray) -> np.ndarray:
-    """Counts of any ids."""
-    distinct, code = np.unique(ids, return_inverse=True)
-    return vocab.counts(distinct)[code]
-
-
-def _write_pairs(folder: str, vocab: tuple):
+def _write_grams(folder: str, stem: str, words: int, contexts: int):
+    """Files of a level whose contexts are numbers under ``contexts``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Vocabulary(*vocab)
         for shard, keys, n in by_shard(batches):
-            ctx, own = (keys >> U64(32)).astype(np.int64), (keys & U64(0xFFFFFFFF)).astype(np.int64)
+            ctx, own = np.divmod(keys, U64(words))
             new = np.append(True, ctx[1:] != ctx[:-1])
             start = np.flatnonzero(new)
-            place = np.cumsum(new) - 1
-            p1 = words.unigram(_of_distinct(words, own))
-            c1 = words.counts(ctx[start])[place]
-            score = np.log10((n + KAPPA * p1) / (c1 + KAPPA))
-            low, high = float(score.min()), float(score.max())
-            step = (high - low) / (LEVELS - 1) or 1.0
+            place = (np.cumsum(new) - 1).astype(U64)
             arrays = _flat(
-                context=EliasFano.encode(ctx[start].astype(U64), words.words),
+                context=EliasFano.encode(ctx[start], contexts),
                 pointer=EliasFano.encode(np.append(start, len(keys)).astype(U64), len(keys) + 1),
-                follow=EliasFano.encode((place * words.words + own).astype(U64), len(start) * words.words))
-            arrays["score"] = np.rint((score - low) / step).astype(np.uint8)
-            uri = write_arrays(folder, f"pairs-{shard:06d}", arrays, {"low": low, "step": step})
+                follow=EliasFano.encode(place * U64(words) + own, len(start) * words))
+            many = np.flatnonzero(n >= MANY)
+            arrays |= {"count": np.minimum(n, MANY).astype(np.uint8), "many": many, "much": n[many]}
+            uri = write_arrays(folder, f"{stem}-{shard:06d}", arrays, {"shard": shard})
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([uri]),
-                                              pa.array([len(keys)], pa.int64())], names=["shard", "uri", "bigrams"])
+                                              pa.array([len(keys)], pa.int64())], names=["shard", "uri", "grams"])
 
     return run
 
 
-class PairLevel:
-    """One mapped shard of the second level."""
-
-    def __init__(self, uri: str, words: int):
-        arrays, facts = map_arrays(uri)
-        self.words, self.low, self.step = words, facts["low"], facts["step"]
-        self.context, self.pointer, self.follow = (_sequence(arrays, k) for k in ("context", "pointer", "follow"))
-        self.score = arrays["score"]
-
-    def lookup(self, ctx: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log10 probability, found) of pairs sorted by context."""
-        out = np.zeros(len(ctx))
-        distinct, code = np.unique(ctx, return_inverse=True)
-        place, known = self.context.successor(distinct.astype(U64))
-        lo, hi = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
-        at = np.flatnonzero(known)
-        lo[at] = self.pointer.access(place[at]).astype(np.int64)
-        hi[at] = self.pointer.access(place[at] + 1).astype(np.int64)
-        found = known[code]
-        some = np.flatnonzero(found)
-        c = code[some]
-        index, hit = self.follow.successor((place[c] * self.words + own[some]).astype(U64), lo[c], hi[c])
-        found[some] = hit
-        out[some[hit]] = self.low + self.step * self.score[index[hit]]
-        return out, found
-
-
 _SCORE = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, "
           "score double")
 
 
-def _score(vocab: tuple, pairs: dict[int, str], shards: int):
+def _score(vocab: tuple, levels: list[list[tuple[int, str, int]]], shards: int):
+    """Scores by the vocabulary and the levels above it (pairs, and triples if given)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Vocabulary(*vocab)
-        levels: dict[int, PairLevel] = {}
+        pairs, *triples = (Grams(x, shards, words.words) for x in levels)
         end = _end_id(words)
         for b in slices(batches, "text", TEXT_BYTES):
             ids, code, first = _token_ids(words, b.column("text"))
@@ -373,27 +425,19 @@ def _score(vocab: tuple, pairs: dict[int, str], shards: int):
             p1 = words.unigram(counts)
             base = np.log10(p1)[code]
             own = ids[code]
-            ctx = _contexts(own, first, end)
             c1 = np.empty(len(code), np.int64)  # count of the token before
             c1[1:] = counts[code[:-1]]
             c1[first[:-1]] = counts[code[first[1] - 1]]  # every text ends in the end token
             # unseen pairs back off to the unigrams; words without a count have context weight 0
-            score = np.log10(KAPPA * p1[code] / (c1 + KAPPA))
-            both = np.flatnonzero((own >= 0) & (ctx >= 0))
-            keys, back = np.unique((ctx[both].astype(U64) << U64(32)) | own[both].astype(U64), return_inverse=True)
-            value, known = np.zeros(len(keys)), np.zeros(len(keys), bool)
-            shard = _pair_shard(keys, shards)
-            deal = np.argsort(shard, kind="stable")
-            cuts = np.searchsorted(shard[deal], np.arange(shards + 1))
-            for s, uri in pairs.items():
-                at = deal[cuts[s]:cuts[s + 1]]
-                if len(at):
-                    if s not in levels:
-                        levels[s] = PairLevel(uri, words.words)
-                    value[at], known[at] = levels[s].lookup((keys[at] >> U64(32)).astype(np.int64),
-                                                            (keys[at] & U64(0xFFFFFFFF)).astype(np.int64))
-            hit = known[back]
-            score[both[hit]] = value[back][hit]
+            place, c2 = pairs.of(_contexts(own, first, end), own)
+            p = (c2 + KAPPA * p1[code]) / (c1 + KAPPA)
+            if triples:
+                at = _inner(first)
+                seen = c2[at] > 0  # a triple was seen only if its last two tokens were
+                c3 = np.zeros(len(at), np.int64)
+                c3[seen] = triples[0].of(place[at[seen] - 1], own[at[seen]])[1]
+                p[at] = (c3 + KAPPA * p[at]) / (c2[at - 1] + KAPPA)
+            score = np.log10(p)
             n = np.diff(first)
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"), b.column("held_out"), pa.array(n),
@@ -405,9 +449,11 @@ def _score(vocab: tuple, pairs: dict[int, str], shards: int):
     return run
 
 
-def score_texts(docs: DataFrame, folder: str | None = None) -> DataFrame:
+def score_texts(docs: DataFrame, folder: str | None = None, order: int = 2) -> DataFrame:
     """Build the trie from the texts that are not held out and score all: doc_id, held_out, n_tokens, n_known,
-    train_tokens, base_score, score."""
+    train_tokens, base_score (order 1), score (the given order, 2 or 3)."""
+    if order not in (2, 3):
+        raise ValueError("order must be 2 or 3")
     spark = docs.sparkSession
     n = partitions(spark)
     folder = folder or scratch(spark, "ngram-trie")
@@ -421,7 +467,15 @@ def score_texts(docs: DataFrame, folder: str | None = None) -> DataFrame:
     # one row for each shard
     words = materialise(dealt(_count_words(n)).mapInArrow(_write_words(folder, n), _VOCAB), "words").collect()
     vocab = (sorted(tuple(r) for r in words), n)
-    if sum(r[2] for r in vocab[0]) >= 1 << 32:
+    size = sum(r[2] for r in vocab[0])
+    if size >= 1 << 32:
         raise ValueError("more than 2**32 distinct words")
-    pairs = materialise(dealt(_count_pairs(vocab, n)).mapInArrow(_write_pairs(folder, vocab), _TRIE), "pairs").collect()
-    return texts.mapInArrow(_score(vocab, {r["shard"]: r["uri"] for r in pairs}, n), _SCORE)
+    levels, contexts = [], size
+    for stem in ("pairs", "triples")[:order - 1]:
+        if contexts * size >= 1 << 64:
+            raise ValueError("more than 2**64 possible n-grams of seen contexts and words")
+        found = materialise(dealt(_count_grams(vocab, n, *levels)).mapInArrow(
+            _write_grams(folder, stem, size, contexts), _TRIE), stem).collect()
+        levels.append(sorted(tuple(r) for r in found))
+        contexts = sum(r[2] for r in found)
+    return texts.mapInArrow(_score(vocab, levels, n), _SCORE)

@@ -127,4 +127,4 @@ def op6_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martkit.llm.ngram_lm import score_texts
 
-    return score_texts(table(spark, sf_dir, "documents"))
+    return score_texts(table(spark, sf_dir, "documents"), order=3)
