@@ -104,9 +104,9 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_entropy_secrets")
 def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from martkit.llm.secrets import scan
+    from martkit.llm.secrets import ALL_CLASSES, scan
 
-    return scan(table(spark, sf_dir, "documents"))
+    return scan(table(spark, sf_dir, "documents"), classes=ALL_CLASSES)
 
 
 @query("op5_pigeonhole_decontamination")
