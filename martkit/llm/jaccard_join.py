@@ -452,17 +452,18 @@ def _measure_leads(pairs: DataFrame, halves: DataFrame) -> DataFrame:
 def candidate_groups(shared: DataFrame, sets: DataFrame, cells: Cells, t: Threshold) -> DataFrame:
     """(node, label): groups of sets that a link never leaves.
 
-    Every cell is a region around its leader (its smallest print).  Its sets are measured: those within NEAR of the
-    leader are joined to it, those farther than NEAR - r stay in the cell for another round.  Two linked sets of a
+    Every cell is a region around its leader (its smallest print).  Its sets are measured: those within near (NEAR, or
+    r where that is more) of the leader are joined to it, those farther than near - r stay in the cell for another round.  Two linked sets of a
     cell are at most r apart in their distance to the leader, so either both are near or both stay.  A set that is
     left with fewer cells than linked sets share has no link left to find.
     """
+    near = max(NEAR, t.r + MARGIN)
     halves = materialise(sets.select("node", "keys").mapInArrow(_brief, "node long, half binary").dropDuplicates(
         ["node"]), "halves")
     # first every set against one leader, the smallest of its cells; what that joins needs no other measuring
     leads = shared.groupBy("cell").agg(F.min("node").alias("lead"))
     one = shared.join(leads, "cell").groupBy("node").agg(F.min("lead").alias("lead")).where("node <> lead")
-    first = materialise(_measure_leads(one, halves).where(F.col("dist") <= NEAR).select("node", "lead"), "first")
+    first = materialise(_measure_leads(one, halves).where(F.col("dist") <= near).select("node", "lead"), "first")
     label = components(first, "first")
     tagged = shared.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_cells = tagged.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
@@ -474,8 +475,8 @@ def candidate_groups(shared: DataFrame, sets: DataFrame, cells: Cells, t: Thresh
         led = materialise(shared.join(leads, "cell"), "led")
         pairs = led.where("node <> lead").select("node", "lead").distinct()
         dist = materialise(_measure_leads(pairs, halves), "dist")
-        edges.append(dist.where(F.col("dist") <= NEAR).select("node", "lead"))
-        far = dist.where(F.col("dist") > NEAR - t.r - MARGIN).select("node", "lead")
+        edges.append(dist.where(F.col("dist") <= near).select("node", "lead"))
+        far = dist.where(F.col("dist") > near - t.r - MARGIN).select("node", "lead")
         shared = materialise(_enough(led.join(far, ["node", "lead"], "left_semi").select("cell", "node", "cls"),
                                      cells.kept), "far")
         if shared.isEmpty():
