@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martkit.llm.common import table
 
@@ -128,3 +129,23 @@ def op2_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from martkit.llm.ngram_lm import score_texts
 
     return score_texts(table(spark, sf_dir, "documents"), order=3)
+
+
+@query("op13_line_dedup", r"""
+WITH l AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+r AS (SELECT key, max(doc_id) AS last FROM k WHERE length(key) >= 20
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+m AS (SELECT k.doc_id, i, line, r.key IS NOT NULL AND r.last <> k.doc_id AS gone FROM k LEFT JOIN r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+""")
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martkit.llm.line_dedup import drop_repeated_lines
+
+    return drop_repeated_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
