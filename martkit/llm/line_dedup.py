@@ -94,7 +94,7 @@ def _merge(keys: np.ndarray, docs: np.ndarray, last: np.ndarray) -> tuple[np.nda
 _COUNTS = "shard int, n long, body binary"
 
 
-def _count(shards: int, min_chars: int):
+def _count(shards: int, min_chars: int, held_lines: int):
     """Distinct lines of a task's documents, packed by shard: keys, documents, largest doc_id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -114,10 +114,10 @@ def _count(shards: int, min_chars: int):
             keys, ids = _lines(b, min_chars)
             held.append((keys, np.ones(len(keys), np.int64), ids))
             size += len(keys)
-            if size > HELD_LINES:
+            if size > held_lines:
                 held = [_merge(*(np.concatenate(x) for x in zip(*held, strict=True)))]
                 size = len(held[0][0])
-                if size > HELD_LINES // 2:
+                if size > held_lines // 2:
                     yield send(held[0])
                     held, size = [], 0
         if size:
@@ -191,7 +191,7 @@ class LineIndex:
 _PROBES = "shard int, salt int, n long, body binary"
 
 
-def _ask(shards: int, min_chars: int, salts: list[int]):
+def _ask(shards: int, min_chars: int, salts: list[int], held_lines: int):
     """Line hashes of a task's documents, packed by shard and dealt over the shard's tasks."""
     salts = np.array(salts, np.int64)
 
@@ -223,7 +223,7 @@ def _ask(shards: int, min_chars: int, salts: list[int]):
             if len(keys):
                 held.append((keys, ids))
                 size += len(keys)
-            if size >= HELD_LINES:
+            if size >= held_lines:
                 yield send()
                 size, turn = 0, turn + 1
         if size:
@@ -286,7 +286,8 @@ def _rewrite(min_chars: int):
     return run
 
 
-def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, folder: str | None = None) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, folder: str | None = None,
+                        held_lines: int = HELD_LINES) -> DataFrame:
     """Per document: doc_id, n_lines (before), n_dropped and the kept text."""
     if not 1 <= min_docs <= MOST:
         raise ValueError(f"min_docs must lie in 1 to {MOST}")
@@ -296,7 +297,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
     folder = folder or scratch(spark, "line-index")
     texts = doc_text(docs)
     known = texts.where("doc_id IS NOT NULL")
-    counts = known.mapInArrow(_count(shards, min_chars), _COUNTS)
+    counts = known.mapInArrow(_count(shards, min_chars, held_lines), _COUNTS)
     index = materialise(counts.repartition(n, "shard").sortWithinPartitions("shard").mapInArrow(
         _write(folder, min_docs), _INDEX), "line-shards").collect()  # one row for each shard
     uris = {r.shard: r.uri for r in index}
@@ -304,7 +305,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3,
     salts = [1] * shards
     for r in index:
         salts[r.shard] = -(-r.held // share)
-    asked = known.mapInArrow(_ask(shards, min_chars, salts), _PROBES)
+    asked = known.mapInArrow(_ask(shards, min_chars, salts, held_lines), _PROBES)
     answers = asked.repartition(n, "shard", "salt").sortWithinPartitions("shard").mapInArrow(
         _answer(uris, min_docs), _DROPS)
     drops = materialise(answers.groupBy("doc_id").agg(F.collect_list("drops").alias("drops")), "line-drops")

@@ -149,3 +149,41 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return drop_repeated_lines(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op12_collocations", r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                  'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\n\x0B\f\r]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+      FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cut AS (SELECT c.lang, c.phrase, c.a, j, l.f AS l, r.f AS r, n.n,
+               (1000 * c.a::HUGEINT * n.n::HUGEINT) // (l.f::HUGEINT * r.f::HUGEINT) AS score
+        FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+        JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:j], ' ')
+        JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[j + 1:], ' ')
+        JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+longer AS (SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, unnest(list_transform(range(1, k - m + 2), lambda i: array_to_string(ws[i:i + m - 1], ' '))) AS phrase
+    FROM (SELECT *, unnest(range(2, k)) AS m FROM c WHERE k > 2)) GROUP BY ALL),
+ranked AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+           FROM best b LEFT JOIN longer x ON x.lang = b.lang AND x.phrase = b.phrase
+           WHERE x.longer IS NULL OR 100 * x.longer < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= 2000
+""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martkit.llm.phrases import collocations
+
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from martkit.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))

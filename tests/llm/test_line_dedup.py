@@ -35,9 +35,8 @@ def rows_of(df):
     return sorted((tuple(r) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("sizes", [(line_dedup.HELD_LINES,), (7,)])
-def test_against_brute_force(spark, monkeypatch, sizes):
-    monkeypatch.setattr(line_dedup, "HELD_LINES", sizes[0])
+@pytest.mark.parametrize("held", [line_dedup.HELD_LINES, 7])
+def test_against_brute_force(spark, held):
     rng = random.Random(3)
     pool = [f"a line that many documents hold, number {i}" for i in range(30)] + [
         "ÀÉÎ ünïcødé line of twenty-five", "ÀÉÎ ünïcødé line of twe", "short", "", "   ", "x" * 20, "é" * 20, "é" * 19]
@@ -47,7 +46,7 @@ def test_against_brute_force(spark, monkeypatch, sizes):
     rows += [(1000 + i, f"the hot line of all documents\nown line of document {i}, not repeated") for i in range(400)]
     docs = hard_docs(spark).unionByName(spark.createDataFrame(rows, "doc_id long, text string"), allowMissingColumns=True)
     for min_chars, min_docs in ((20, 3), (1, 2), (20, 255)):
-        got = rows_of(line_dedup.drop_repeated_lines(docs.repartition(5), min_chars, min_docs))
+        got = rows_of(line_dedup.drop_repeated_lines(docs.repartition(5), min_chars, min_docs, held_lines=held))
         assert got == brute(HARD + rows, min_chars, min_docs)
 
 
