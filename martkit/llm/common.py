@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,12 +17,9 @@ from martkit.session import checkpoint_dir
 
 U64 = np.uint64
 SLICE_BYTES = 1 << 19  # text handled at a time by the vectorised helpers
-HASH_BYTES = 1 << 20   # bytes hashed at a time, whatever a single text's length
 
 _SEP = np.zeros(256, dtype=bool)
 _SEP[[0x20, *range(0x09, 0x0E)]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"):ord("Z") + 1] += 32
 
 
 def scratch(spark: SparkSession, tag: str) -> str:
@@ -48,44 +47,22 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_GOLD = U64(0x9E3779B97F4A7C15)
-_BYTE = mix64((np.arange(256, dtype=U64) + U64(1)) * _GOLD)
-_BASE = int(mix64(np.array([_GOLD]))[0]) | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-_pow: dict[str, np.ndarray] = {}
+WORDS_KEPT = 1 << 18   # words whose hashes a worker keeps
+WORD_BLOCK = 1 << 20   # bytes of a text split at a time
+_GAP = re.compile(rb"[\x20\x09-\x0D]")
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "p" not in _pow or len(_pow["p"]) < n:
-        m = 1 << max(16, (n - 1).bit_length())
-        for key, base in (("p", _BASE), ("i", _BASE_INV)):
-            steps = np.full(m, U64(base))
-            steps[0] = 1
-            _pow[key] = np.multiply.accumulate(steps)
-    return _pow["p"], _pow["i"]
+class WordHashes(dict):
+    """64-bit BLAKE2b hashes of words: nobody can plant words with equal ones.  A hit compares the word itself."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= WORDS_KEPT:
+            self.clear()
+        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return h
 
-def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span ``data[starts[i]:ends[i]]`` (ascending, non-overlapping spans).
 
-    Polynomial in an odd base modulo 2**64 over random byte values, taken from running sums,
-    then mixed with the length.
-    """
-    out = np.empty(len(starts), dtype=U64)
-    i, n = 0, len(starts)
-    while i < n:
-        # as many spans as fit HASH_BYTES, one at least
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASH_BYTES, side="right")))
-        j = min(j, n)
-        lo, hi = int(starts[i]), int(ends[j - 1])
-        p, inv = _powers(hi - lo + 1)
-        run = np.empty(hi - lo + 1, dtype=U64)
-        run[0] = 0
-        np.cumsum(_BYTE[data[lo:hi]] * p[:hi - lo], out=run[1:])
-        s, e = starts[i:j] - lo, ends[i:j] - lo
-        out[i:j] = mix64((run[e] - run[s]) * inv[s] + (e - s).astype(U64) * _GOLD)
-        i = j
-    return out
+_hashes = WordHashes()
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -117,17 +94,41 @@ def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, ends, np.searchsorted(starts, offs)
 
 
-def lower_ascii(data: np.ndarray) -> np.ndarray:
-    return _LOWER[data]
+def blobs(col: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of every text (null: none)."""
+    return col.cast(pa.large_string()).cast(pa.large_binary()).fill_null(b"").to_pylist()
+
+
+def split_words(text: bytes) -> Iterator[list[bytes]]:
+    """The words ``[^\\x20\\x09-\\x0D]+`` of a text, block by block."""
+    at = 0
+    while at < len(text):
+        gap = _GAP.search(text, at + WORD_BLOCK) if len(text) > at + WORD_BLOCK else None
+        end = gap.start() if gap else len(text)
+        yield text[at:end].split()
+        at = end
+
+
+def word_numbers(texts: list[bytes], number: Callable[[bytes], int], dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """``number`` of every word of every text and, per text, the index of its first word (n+1)."""
+    parts, held, first = [], [], [0]
+    size = 0
+    for text in texts:
+        for words in split_words(text):
+            held += words
+            if len(held) >= 1 << 16:
+                parts.append(np.fromiter(map(number, held), dtype, len(held)))
+                size += len(held)
+                held = []
+        first.append(size + len(held))
+    parts.append(np.fromiter(map(number, held), dtype, len(held)))
+    return np.concatenate(parts), np.array(first, np.int64)
 
 
 def word_hashes(col: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every white-space word of every text and, per text, the index of its first word (n+1)."""
-    data, offs = text_bytes(col)
-    if lower:
-        data = lower_ascii(data)
-    starts, ends, first = word_spans(data, offs)
-    return span_hashes(data, starts, ends), first
+    texts = blobs(col)
+    return word_numbers([t.lower() for t in texts] if lower else texts, _hashes.__getitem__, U64)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -4,7 +4,7 @@ A document is the multiset of its paragraphs: the lines, and long lines further
 is 0 modulo CUT, so that an edit changes only the pieces it touches.  Each paragraph is hashed to a wide vector
 and the document's fingerprint is the sum of the vectors, lane by lane, modulo powers of two:
 
-* STRONG lanes of uniform 64-bit values, summed modulo 2**64, decide equality;
+* STRONG lanes of 64 bits, summed modulo 2**64, decide equality;
 * SIGN lanes of +1 / -1, summed modulo 2**16, carry likeness: the squared length of the difference of two
   fingerprints estimates how many paragraphs they do not share.
 
@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import (U64, doc_text, mix64, partitions, range_part, span_hashes, text_bytes,
+from martkit.llm.common import (U64, doc_text, partitions, range_part, slices, text_bytes, word_hashes,
                                 word_spans)
 from martkit.llm.token_store import doc_id_bounds
 
@@ -41,31 +41,33 @@ CUT = 8        # average words to a paragraph piece
 WIDTH = STRONG * 8 + SIGN * 2
 _PIECE_ROWS = 1 << 14
 
-_SEED = mix64(np.arange(1, STRONG + SIGN // 64 + 1, dtype=U64) * U64(0xD6E8FEB86659FD93))
+_BYTES = STRONG * 8 + SIGN // 8  # of a paragraph's hash: 64, as many as BLAKE2b gives
 
 
-def paragraphs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def paragraphs(texts: list[str]) -> tuple[list[bytes], np.ndarray]:
     """Hash of every paragraph piece of every text and, per text, the index of its first one (n+1).
 
-    White space inside and around a paragraph counts; only the newline that ends it does not.
+    A line's newline belongs to it, and all white space counts.
     """
-    data, offs = text_bytes(pa.array(texts, pa.large_string()))
+    col = pa.array(texts, pa.large_string())
+    data, offs = text_bytes(col)
     cut = np.zeros(len(data) + 1, dtype=bool)
     cut[offs] = True
     cut[1:][data == 0x0A] = True  # a line ends after its newline
-    starts, ends, _ = word_spans(data, offs)
-    cut[ends[span_hashes(data, starts, ends) % U64(CUT) == 0]] = True
+    _, ends, _ = word_spans(data, offs)
+    cut[ends[word_hashes(col, lower=False)[0] % U64(CUT) == 0]] = True
     at = np.flatnonzero(cut)
-    lo, hi = at[:-1], at[1:]
-    first = np.searchsorted(lo, offs)
-    return span_hashes(data, lo, hi), first
+    first = np.searchsorted(at[:-1], offs)
+    raw, at = data.tobytes(), at.tolist()
+    return [hashlib.blake2b(raw[a:z], digest_size=_BYTES).digest() for a, z in zip(at, at[1:], strict=False)], first
 
 
-def vectors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The strong (uint64) and sign (int8) lanes of paragraph hashes."""
-    wide = mix64(hashes[:, None] ^ _SEED[None, :])
-    bits = np.unpackbits(np.ascontiguousarray(wide[:, STRONG:]).view(np.uint8), axis=1)
-    return wide[:, :STRONG], (bits.astype(np.int8) << 1) - 1
+def vectors(hashes: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The strong (uint64) and sign (int8) lanes of paragraph hashes, all from their own bits."""
+    wide = np.frombuffer(b"".join(hashes), np.uint8).reshape(-1, _BYTES)
+    strong = np.ascontiguousarray(wide[:, :STRONG * 8]).view("<u8").astype(U64)
+    bits = np.unpackbits(wide[:, STRONG * 8:], axis=1)
+    return strong, (bits.astype(np.int8) << 1) - 1
 
 
 class Fingerprint:
@@ -78,7 +80,7 @@ class Fingerprint:
         self.sign = np.zeros(SIGN, np.uint16) if sign is None else sign
 
     @classmethod
-    def of_hashes(cls, hashes: np.ndarray) -> Fingerprint:
+    def of_hashes(cls, hashes: list[bytes]) -> Fingerprint:
         out = cls()
         for k in range(0, len(hashes), _PIECE_ROWS):
             strong, sign = vectors(hashes[k:k + _PIECE_ROWS])
@@ -149,35 +151,40 @@ _CHUNK = 1 << 19  # characters fingerprinted together
 
 def _pair_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by range and order within it; a row with ``own`` false only ends its range."""
-    group: list[tuple] = []
-    size = 0
-    open_row = None  # the last row, still without its successor
-
-    def flush() -> pa.RecordBatch:
-        changed = [edited(t, f) for _, t, f in group]
-        a, b, c = (fingerprints(x) for x in ([t for _, t, _ in group], changed, [f for _, _, f in group]))
-        return pa.RecordBatch.from_arrays([
-            pa.array([d for d, _, _ in group], pa.int64()), pa.array([len(t) for _, t, _ in group], pa.int64()),
+    ids: list[int | None] = []
+    texts: list[str] = []
+    part, ended = None, False
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        """All held documents but the last, which only lends its beginning."""
+        if len(texts) < 2:
+            return
+        changed = [edited(t, f) for t, f in zip(texts, texts[1:], strict=False)]
+        own, new = fingerprints(texts), fingerprints(changed)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(ids[:-1], pa.int64()), pa.array([len(t) for t in texts[:-1]], pa.int64()),
             pa.array([hashlib.sha256(e.encode("utf-8")).hexdigest() for e in changed]),
-            pa.array([x.hex() for x in a]), pa.array([x.hex() for x in b]),
-            pa.array([x.likeness(y) for x, y in zip(a, b, strict=True)]),
-            pa.array([x.likeness(y) for x, y in zip(a, c, strict=True)])],
+            pa.array([x.hex() for x in own[:-1]]), pa.array([x.hex() for x in new]),
+            pa.array([x.likeness(y) for x, y in zip(own, new, strict=False)]),
+            pa.array([x.likeness(y) for x, y in zip(own, own[1:], strict=False)])],
             names=["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited",
                    "near_next"])
 
-    for batch in batches:
-        part, own, doc, text = (batch.column(c) for c in ("part", "own", "doc_id", "text"))
-        for i in range(batch.num_rows):
-            row = (part[i].as_py(), own[i].as_py(), doc[i].as_py(), text[i].as_py())
-            if open_row and open_row[0] == row[0]:
-                group.append((open_row[2], open_row[3], row[3]))
-                size += len(open_row[3]) + len(row[3])
-                if size >= _CHUNK:
-                    yield flush()
-                    group, size = [], 0
-            open_row = row if row[1] else None
-    if group:
-        yield flush()
+    size = 0
+    for b in slices(batches, "text", _CHUNK):
+        for p, own, doc, text in zip(*(b.column(c).to_pylist() for c in ("part", "own", "doc_id", "text")), strict=True):
+            if p != part or size >= _CHUNK:
+                yield from flush()
+                same = p == part
+                ids, texts = (ids[-1:], texts[-1:]) if same else ([], [])
+                part, size, ended = p, 0, same and ended
+            if ended:  # more rows of the doc_id that ends the range
+                continue
+            ended = not own
+            ids.append(doc)
+            texts.append(text)
+            size += len(text)
+    yield from flush()
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:

@@ -11,14 +11,27 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from martkit.llm.common import ragged, span_hashes, text_bytes, word_spans
+from martkit.llm.common import blobs, ragged, word_numbers
 
-CACHE_WORDS = 2_000_000  # words kept per worker (about 40 bytes each)
+CACHE_WORDS = 400_000  # words kept by a worker (about 200 bytes each), besides those of the batch at hand
 _JOIN = 64               # simple words encoded in one call
 
 
+class _Numbers(dict):
+    """Numbers of words in the order they are met; ``new`` holds those that came since it was emptied."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
 class WordEncoder:
-    """Ids of words, cached by 64-bit hash in sorted arrays; emptied when CACHE_WORDS is passed."""
+    """Ids of words, kept by the words themselves; emptied when CACHE_WORDS is passed."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -33,9 +46,10 @@ class WordEncoder:
         self.clear()
 
     def clear(self) -> None:
-        self.keys = np.zeros(0, dtype=np.uint64)
-        self.at = np.zeros(0, dtype=np.int64)
-        self.n = np.zeros(0, dtype=np.int32)
+        self.numbers = _Numbers()
+        self.at = np.zeros(1024, dtype=np.int64)
+        self.n = np.zeros(1024, dtype=np.int32)
+        self.known = 0
         self.pool = np.zeros(1024, dtype=np.uint32)
         self.used = 0
 
@@ -69,40 +83,32 @@ class WordEncoder:
                 out[i] = e.ids
         return out
 
-    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
-        ids = self._encode(words)
+    def _learn(self, words: list[bytes]) -> None:
+        """Ids of words that got the next numbers."""
+        ids = self._encode([w.decode("utf-8") for w in words])
         n = np.array([len(x) for x in ids], dtype=np.int32)
-        total = int(n.sum())
+        total, end = int(n.sum()), self.known + len(words)
         if self.used + total > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros(max(total, len(self.pool)), dtype=np.uint32)])
-        at = self.used + np.cumsum(n) - n
+        if end > len(self.n):
+            more = max(end - len(self.n), len(self.n))
+            self.at, self.n = (np.concatenate([x, np.zeros(more, x.dtype)]) for x in (self.at, self.n))
+        self.at[self.known:end] = self.used + np.cumsum(n) - n
+        self.n[self.known:end] = n
         if total:
             self.pool[self.used:self.used + total] = np.concatenate([np.asarray(x, dtype=np.uint32) for x in ids])
-        self.used += total
-        where = np.searchsorted(self.keys, keys)
-        self.keys = np.insert(self.keys, where, keys)
-        self.at = np.insert(self.at, where, at)
-        self.n = np.insert(self.n, where, n)
+        self.known, self.used = end, self.used + total
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) and, per text, the index of its first id (n+1)."""
-        data, offs = text_bytes(col)
-        starts, ends, first = word_spans(data, offs)
-        if len(starts) == 0:
-            return np.zeros(0, dtype=np.uint32), np.zeros(len(offs), dtype=np.int64)
-        uniq, index, code = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        pos = np.minimum(np.searchsorted(self.keys, uniq), max(0, len(self.keys) - 1))
-        new = np.ones(len(uniq), dtype=bool) if not len(self.keys) else self.keys[pos] != uniq
-        if new.any():
-            if len(self.keys) + int(new.sum()) > CACHE_WORDS and len(self.keys):
-                self.clear()
-                new = np.ones(len(uniq), dtype=bool)
-            raw = data.tobytes()
-            at = index[new]
-            self._learn(uniq[new], [raw[s:e].decode("utf-8") for s, e in zip(starts[at], ends[at], strict=True)])
-        pos = np.searchsorted(self.keys, uniq)
-        n = self.n[pos][code]
-        ids = self.pool[ragged(self.at[pos][code], n)]
+        if len(self.numbers) > CACHE_WORDS:
+            self.clear()
+        code, first = word_numbers(blobs(col), self.numbers.__getitem__, np.int32)
+        if self.numbers.new:
+            self._learn(self.numbers.new)
+            self.numbers.new = []
+        n = self.n[code]
+        ids = self.pool[ragged(self.at[code], n)]
         upto = np.zeros(len(n) + 1, dtype=np.int64)
         np.cumsum(n, out=upto[1:])
         return ids, upto[first]
