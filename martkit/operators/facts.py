@@ -8,15 +8,16 @@ violation the source system hits).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martkit.operators.joins import anti_join, semi_join
-from martkit.operators.keys import unique_source
+from martkit.operators.keys import assign_keys_hashed, unique_source
 from martkit.session import checkpoint_dir
+from martkit.sources.fact_table import INSERTED, KEPT, UPDATED, FactTable, Staged
 
 
 # Incoming batches whose distinct grain fits under this many rows are checked against the
@@ -117,10 +118,55 @@ def reload_by_batch(fact: DataFrame, rows: DataFrame, batch_col: str, batch_id:
     return fact.filter(~F.col(batch_col).eqNullSafe(F.lit(batch_id))).unionByName(rows, allowMissingColumns=True)
 
 
+def load_new(existing: DataFrame | FactTable, rows: DataFrame, grain: Sequence[str], key_col: str,
+             finish: Callable[[DataFrame], DataFrame], reload: bool = False, parts: Sequence[int] = (),
+             withdrawn: Column | None = None) -> FactChange | Staged:
+    """C10/C11 with surrogate keys: the rows whose grain is new, or a reload of the rows' grain.
+
+    ``finish`` adds what a new row needs besides its key (lineage).  On a ``FactTable`` only partitions that can
+    hold a grain of the batch are read, the largest key comes from the summaries, and a reload writes the touched
+    partitions only (``parts``: partitions that it replaces as a whole).  On a plain DataFrame the result is a
+    ``FactChange`` over it (``withdrawn``: old rows that a reload drops besides).
+    """
+    g = list(grain)
+    if isinstance(existing, FactTable):
+        rows = _written_once(rows)
+        n = rows.count()
+        if not reload:
+            fresh = anti_join(rows, existing.rows_like(rows), g, null_safe=True)
+        keyed = assign_keys_hashed(finish(rows if reload else fresh), g, key_col, existing=existing.largest_key(),
+                                   existing_key="max_key", expected_rows=n)
+        return existing.reload(keyed, parts) if reload else existing.append(keyed, incoming=n)
+    incoming = rows if reload else new_rows(existing, rows, g, materialize=True)
+    keyed = assign_keys_hashed(finish(incoming), g, key_col, existing=existing)
+    keyed = keyed.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema.fields])
+    if not reload:
+        return FactChange(keyed, "append")
+    kept = existing if withdrawn is None else existing.filter(~withdrawn)
+    return FactChange(reload_by_grain(kept, keyed, g), "replace")
+
+
+def load_accumulating(existing: DataFrame | FactTable, incoming: DataFrame, key: Sequence[str], key_col: str,
+                      merge: Callable[[DataFrame, DataFrame], DataFrame]) -> FactChange | Staged:
+    """C12/C13 with surrogate keys for new rows: ``merge(old, incoming)`` adds the change type (``_mk_change``).
+
+    ``incoming`` and the merged rows are written once.  On a ``FactTable`` only the touched partitions take part.
+    """
+    def keyed(old: DataFrame, inc: DataFrame, top: DataFrame, top_key: str) -> DataFrame:
+        merged = _written_once(merge(old, inc))
+        fresh = assign_keys_hashed(merged.filter(F.col(key_col).isNull()).drop(key_col), list(key), key_col,
+                                   existing=top, existing_key=top_key, key_type=merged.schema[key_col].dataType.simpleString())
+        return merged.filter(F.col(key_col).isNotNull()).unionByName(fresh.select(*merged.columns))
+
+    if isinstance(existing, FactTable):
+        return existing.upsert(incoming, lambda old, inc: keyed(old, inc, existing.largest_key(), "max_key"))
+    return FactChange(keyed(existing, _written_once(incoming), existing, key_col).select(*existing.columns), "replace")
+
+
 def accumulating_conditional(existing: DataFrame, incoming: DataFrame, key: Sequence[str],
                              milestones: Sequence[str], measures: Sequence[str] = (),
                              unknown: int = -1, updated_col: str | None = None,
-                             load_ts: Column | None = None) -> DataFrame:
+                             load_ts: Column | None = None, change_col: str | None = None) -> DataFrame:
     """Accumulating-snapshot upsert, field by field.
 
     Matched rows: a milestone takes the incoming value unless that value is unknown (NULL or
@@ -129,7 +175,7 @@ def accumulating_conditional(existing: DataFrame, incoming: DataFrame, key: Sequ
     Unmatched incoming rows are inserted; unmatched existing rows are kept.  Keys match
     null-safely; incoming rows without any key part cannot be told apart and are left out
     (``keys.key_report`` counts them), and a key that repeats among them raises.
-    One full outer join on the business key.
+    One full outer join on the business key.  ``change_col`` adds the change type of every row.
     """
     k = list(key)
     inc = unique_source(incoming, k, "accumulating load").select(
@@ -167,22 +213,34 @@ def accumulating_conditional(existing: DataFrame, incoming: DataFrame, key: Sequ
     if updated_col:
         ts = load_ts if load_ts is not None else F.current_timestamp()
         values[updated_col] = F.when(change | (has_new & ~has_old), ts).otherwise(F.col(updated_col))
-    return j.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in existing.schema.fields])
+    kind = []
+    if change_col:
+        kind = [F.when(~has_old, F.lit(INSERTED)).when(change, F.lit(UPDATED)).otherwise(F.lit(KEPT)).alias(change_col)]
+    return j.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in existing.schema.fields], *kind)
 
 
 def accumulating_replace(existing: DataFrame, incoming: DataFrame, key: Sequence[str],
-                         retain: Sequence[str] = ()) -> DataFrame:
+                         retain: Sequence[str] = (), change_col: str | None = None) -> DataFrame:
     """Full replace on the business key.  Incoming rows replace existing ones, but keep
     the existing values of ``retain`` columns (surrogate key, original insert timestamp);
-    existing rows without an incoming row are kept as they are."""
+    existing rows without an incoming row are kept as they are.  A key that repeats in
+    ``incoming`` or has a NULL part raises.  ``change_col`` adds the change type of every row."""
     k = list(key)
-    if retain:
-        old = existing.select(*k, *[F.col(c).alias(f"_old_{c}") for c in retain])
-        inc = incoming.join(old, k, "left")
-        for c in retain:
-            base = F.col(c) if c in incoming.columns else F.lit(None)
-            inc = inc.withColumn(c, F.coalesce(F.col(f"_old_{c}"), base)).drop(f"_old_{c}")
-    else:
-        inc = incoming
+    no_key = F.lit(False)
+    for c in k:
+        no_key = no_key | F.col(c).isNull()
+    first = incoming.schema[k[0]].dataType
+    fault = F.raise_error(F.concat(F.lit(f"accumulating replace: key ({', '.join(k)}) has a NULL part: "),
+                                   F.to_json(F.struct(*k)))).cast(first)
+    checked = incoming.withColumn(k[0], F.when(no_key, fault).otherwise(F.col(k[0])))
+    inc = unique_source(checked, k, "accumulating replace")
+    old = existing.select(*k, *[F.col(c).alias(f"_old_{c}") for c in retain], F.lit(True).alias("_mk_old"))
+    inc = inc.join(old, k, "left")
+    for c in retain:
+        base = F.col(c) if c in incoming.columns else F.lit(None)
+        inc = inc.withColumn(c, F.coalesce(F.col(f"_old_{c}"), base)).drop(f"_old_{c}")
     kept = anti_join(existing, incoming, k)
-    return kept.unionByName(inc.select(*existing.columns))
+    if change_col:
+        inc = inc.withColumn(change_col, F.when(F.col("_mk_old"), F.lit(UPDATED)).otherwise(F.lit(INSERTED)))
+        kept = kept.withColumn(change_col, F.lit(KEPT))
+    return kept.unionByName(inc.select(*kept.columns))

@@ -72,46 +72,54 @@ def assign_keys(df: DataFrame, order_by: Sequence[str | Column], key_col: str,
     return keyed.withColumn(key_col, key).drop("_mk_id", "_mk_part", "_mk_off")
 
 
-def append_keyed(existing: DataFrame, new_rows: DataFrame, order_by: Sequence[str | Column],
-                 key_col: str, key_type: str = "bigint") -> DataFrame:
-    """Key ``new_rows`` after the largest key in ``existing`` (ids are never reused)."""
-    return assign_keys(new_rows, order_by, key_col, key_type=key_type, existing=existing)
+FINE_BUCKETS = 256        # fine buckets of each coarse one
+ROWS_PER_TASK = 4_000_000  # rows that a task ranks, where the number of rows is known
 
 
 def assign_keys_hashed(df: DataFrame, order_by: Sequence[str], key_col: str,
                        existing: DataFrame | None = None, existing_key: str | None = None,
-                       start_after: int = 0, buckets: int | None = None, key_type: str = "bigint") -> DataFrame:
+                       start_after: int = 0, buckets: int | None = None, key_type: str = "bigint",
+                       expected_rows: int | None = None) -> DataFrame:
     """Dense keys without a checkpoint, a sample or any driver action - for fact tables,
     whose surrogate keys only need to be unique and stable, not in natural-key order.
 
-    Rows are hash-bucketed by ``order_by`` (a unique grain; the other columns break ties),
-    ranked inside their bucket by a window (one shuffle), and offset by the sizes of the
-    lower buckets.  The bucket sizes come from the ranked rows themselves, so the upstream
-    plan is computed once (the shuffle is reused), and the current maximum key of
-    ``existing`` is folded into the same tiny offsets table as a union row - no scalar
-    action, no cross join.  Every value depends only on the data, so a recomputed task
-    after an executor loss yields the same keys.
+    Rows are dealt over ``buckets`` coarse buckets (shuffle partitions by default) of FINE_BUCKETS fine ones each by a
+    hash of the whole row, so rows that repeat ``order_by`` do not gather in one; they are ranked inside their
+    fine bucket (one shuffle, small sorts).  Two prefix sums place them: coarse sizes over all coarse buckets, fine sizes
+    inside each coarse one; the largest key of ``existing`` joins the coarse sums as one more row.  The sizes come from
+    the ranked rows themselves, so the upstream plan is computed once (the shuffle is reused).  Every value
+    depends only on the data, so a recomputed task after an executor loss yields the same keys.  With
+    ``expected_rows`` the rows are dealt over as many tasks as ROWS_PER_TASK asks for.
     """
     spark = df.sparkSession
-    b = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ties = [c for c in df.columns if c not in order_by]
-    ranked = (df.withColumn("_mk_b", F.pmod(F.xxhash64(*[F.col(c) for c in order_by]), F.lit(b)).cast("int"))
-                .withColumn("_mk_rn", F.row_number().over(
-                    Window.partitionBy("_mk_b").orderBy(*[F.col(c).asc_nulls_last() for c in list(order_by) + ties]))))
-    sizes = ranked.groupBy("_mk_b").agg(F.max("_mk_rn").alias("_mk_n"))
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    coarse = buckets or shuffle
+    fine = coarse * FINE_BUCKETS
+    ties = [f.name for f in df.schema.fields if f.name not in order_by and not f.dataType.simpleString().startswith("map")]
+    hashed = df.withColumn("_mk_b", F.pmod(F.xxhash64(*[F.col(c) for c in [*order_by, *ties]]), F.lit(fine)).cast("int"))
+    tasks = -(-(expected_rows or 0) // ROWS_PER_TASK)
+    if tasks > shuffle:
+        hashed = hashed.repartition(tasks, "_mk_b")
+    ranked = hashed.withColumn("_mk_rn", F.row_number().over(Window.partitionBy("_mk_b").orderBy(
+        *[F.col(c).asc_nulls_last() for c in [*order_by, *ties]])))
+    sizes = ranked.groupBy("_mk_b").agg(F.max("_mk_rn").cast("bigint").alias("_mk_n")).withColumn(
+        "_mk_c", F.expr(f"_mk_b div {FINE_BUCKETS}").cast("int"))
     if existing is not None:
         base = existing.agg(F.coalesce(F.max(F.col(existing_key or key_col)), F.lit(0)).cast("bigint").alias("_mk_n")) \
-            .select(F.lit(-1).cast("int").alias("_mk_b"), F.greatest("_mk_n", F.lit(start_after)).alias("_mk_n"))
+            .select(F.lit(-1).cast("int").alias("_mk_c"), F.greatest("_mk_n", F.lit(start_after)).alias("_mk_n"))
     else:
-        base = spark.range(1).select(F.lit(-1).cast("int").alias("_mk_b"), F.lit(start_after).cast("bigint").alias("_mk_n"))
-    # Tiny table (buckets + 1 rows): a global window over it is cheap.
-    offsets = sizes.select("_mk_b", F.col("_mk_n").cast("bigint").alias("_mk_n")) \
-        .unionByName(base).select(
-            "_mk_b", F.sum("_mk_n").over(Window.orderBy("_mk_b").rowsBetween(Window.unboundedPreceding, -1))
-            .alias("_mk_off"))
+        base = spark.range(1).select(F.lit(-1).cast("int").alias("_mk_c"), F.lit(start_after).cast("bigint").alias("_mk_n"))
+    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    # Tiny table (coarse buckets + 1 rows): a global window over it is cheap.
+    tops = sizes.groupBy("_mk_c").agg(F.sum("_mk_n").alias("_mk_n")).unionByName(base).select(
+        F.col("_mk_c").alias("_mk_oc"), F.sum("_mk_n").over(before.orderBy("_mk_c")).alias("_mk_top"))
+    inner = sizes.select("_mk_c", F.col("_mk_b").alias("_mk_ob"), F.coalesce(
+        F.sum("_mk_n").over(before.partitionBy("_mk_c").orderBy("_mk_b")), F.lit(0)).alias("_mk_in"))
+    # at most ``fine`` rows, a parameter
+    off = inner.join(F.broadcast(tops), inner["_mk_c"] == tops["_mk_oc"], "left").select(
+        "_mk_ob", (F.col("_mk_top") + F.col("_mk_in")).alias("_mk_off"))
     # Left join (every bucket has an offset row): an inner join would let the optimizer push
     # an inferred filter into this branch only, and the shuffle could no longer be reused.
-    off = offsets.withColumnRenamed("_mk_b", "_mk_ob")
     keyed = ranked.join(F.broadcast(off), ranked["_mk_b"] == off["_mk_ob"], "left")
     return keyed.withColumn(key_col, (F.col("_mk_off") + F.col("_mk_rn")).cast(key_type)) \
         .drop("_mk_b", "_mk_ob", "_mk_rn", "_mk_off")

@@ -131,7 +131,7 @@ def scd2_classify(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], tr
                   unknown_key: int = -1, hashed: Sequence[str] = ()) -> DataFrame:
     """Source rows tagged NEW / CHANGE / NO_CHANGE against the current versions.
 
-    ``tracked`` columns are compared null-safely; ``hashed`` columns are compared through
+    Natural keys match null-safely.  ``tracked`` columns are compared null-safely; ``hashed`` columns are compared through
     one SHA-256 row hash (the text-attribute variant) - both detect the same changes.
     """
     nk = list(natural_key)
@@ -144,17 +144,17 @@ def scd2_classify(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], tr
     cur_cols = [F.col(c).alias(f"_d_{c}") for c in nk + [t for t in tracked if t not in nk]]
     if hashed:
         cur_cols.append(row_hash(*hashed).alias("_d_hash"))
-    d = cur.select(*cur_cols)
+    d = cur.select(*cur_cols, F.lit(True).alias("_d_is"))
     s = src.withColumn("_s_hash", row_hash(*hashed)) if hashed else src
     cond = None
-    for c in nk:
-        eq = s[c] == d[f"_d_{c}"]
+    for c in nk:  # null-safe like the load itself: a composite key may have NULL parts
+        eq = s[c].eqNullSafe(d[f"_d_{c}"])
         cond = eq if cond is None else cond & eq
     j = s.join(d, cond, "left")
     diff = any_differs([(F.col(t), F.col(f"_d_{t}")) for t in tracked if t not in hashed])
     if hashed:
         diff = diff | (F.col("_s_hash") != F.col("_d_hash"))
-    ct = (F.when(F.col(f"_d_{nk[0]}").isNull(), F.lit(NEW))
+    ct = (F.when(F.col("_d_is").isNull(), F.lit(NEW))
            .when(diff, F.lit(CHANGE)).otherwise(F.lit(NO_CHANGE)))
     out = j.withColumn("ChangeType", ct)
     return out.drop(*[c for c in out.columns if c.startswith("_d_") or c == "_s_hash"])
@@ -249,6 +249,64 @@ def scd2_apply(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], track
     return other.unionByName(existing).unionByName(keyed.select(*dim.columns))
 
 
+def scd2_delta(dim: DataFrame, src: DataFrame, natural_key: Sequence[str], tracked: Sequence[str],
+               load_date: str | _dt.date, key_col: str, eff_col: str = "EffectiveDate", exp_col: str = "ExpirationDate",
+               cur_col: str = "CurrentFlag", initial_effective: str | _dt.date | None = None,
+               high_date: str = HIGH_DATE, unknown_key: int = -1, kind_col: str = "_mk_kind") -> DataFrame:
+    """The versions that ``scd2_apply`` would add or alter, and no other, with what they are in ``kind_col``:
+
+    ``new`` (first version of a member), ``changed`` (next version of a member), ``closed`` (the version that a change
+    ends, with its new expiration) and ``corrected`` (a version of the same day, altered in place).  Only these rows are
+    checkpointed.  A version is known by its surrogate key; ``apply_delta`` puts a delta onto a dimension.
+    """
+    nk = list(natural_key)
+    load = _date_lit(load_date)
+    current = dim.filter(F.col(cur_col).cast("boolean") & (F.col(key_col) != unknown_key))
+    carried = [c for c in src.columns if c in dim.columns and c not in (key_col, eff_col, exp_col, cur_col)]
+    s = unique_source(src, nk, "type-2 load").select(*[F.col(c).alias(f"_s_{c}") for c in carried])
+    cond = None
+    for c in nk:
+        eq = s[f"_s_{c}"].eqNullSafe(current[c])
+        cond = eq if cond is None else cond & eq
+    # members that the source does not hold cannot change: the source drives the join
+    j = s.join(current, cond, "left")
+    has_cur = F.col(key_col).isNotNull()
+    changed = has_cur & any_differs([(F.col(t), F.col(f"_s_{t}")) for t in tracked])
+    same_day = changed & (F.col(eff_col) == load)
+    kinds = F.when(~has_cur, F.array(F.lit("new"))).when(same_day, F.array(F.lit("corrected"))).when(
+        changed, F.array(F.lit("closed"), F.lit("changed")))
+    rows = j.withColumn("_mk_kinds", kinds).where("_mk_kinds IS NOT NULL").withColumn(kind_col, F.explode("_mk_kinds"))
+    fresh = F.col(kind_col).isin("new", "changed")
+    closed = F.col(kind_col) == "closed"
+    first = load if initial_effective is None else F.when(F.col(kind_col) == "new", _date_lit(initial_effective)).otherwise(load)
+    values = []
+    for f in dim.schema.fields:
+        c = F.col(f.name)
+        if f.name == key_col:
+            v = F.when(~fresh, c)
+        elif f.name == eff_col:
+            v = F.when(fresh, first).otherwise(c)
+        elif f.name == exp_col:
+            v = F.when(fresh, _date_lit(high_date)).when(closed, F.date_sub(load, 1)).otherwise(c)
+        elif f.name == cur_col:
+            v = ~closed
+        elif f.name in carried:
+            v = F.when(closed, c).otherwise(F.col(f"_s_{f.name}"))
+        else:
+            v = F.when(~fresh, c)
+        values.append(v.cast(f.dataType).alias(f.name))
+    checkpoint_dir(dim.sparkSession)
+    rows = rows.select(*values, kind_col).checkpoint(eager=True)
+    keyed = assign_keys(rows.where(fresh).drop(key_col), nk, key_col,
+                        key_type=dim.schema[key_col].dataType.simpleString(), existing=dim)
+    return rows.where(~fresh).unionByName(keyed.select(*rows.columns))
+
+
+def apply_delta(dim: DataFrame, delta: DataFrame, key_col: str) -> DataFrame:
+    """``dim`` with the versions of a delta: known surrogate keys replaced, new ones added."""
+    return anti_join(dim, delta, [key_col]).unionByName(delta.select(*dim.columns))
+
+
 def seed_dimension(rows: DataFrame, natural_key: Sequence[str], key_col: str, specials: DataFrame | None = None,
                    eff_col: str | None = None, exp_col: str | None = None, cur_col: str | None = None,
                    effective: str = "1900-01-01", high_date: str = HIGH_DATE) -> DataFrame:

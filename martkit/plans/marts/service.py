@@ -19,11 +19,12 @@ from martkit.functions import dates as dt
 from martkit.functions.spec import Col, project
 from martkit.operators.aggregates import arg_max, mode_per_group, sum_zero
 from martkit.operators.dedup import keep_first
-from martkit.operators.facts import FactChange, accumulating_replace, new_rows, reload_by_grain, with_lineage
-from martkit.operators.keys import assign_keys_hashed
+from martkit.operators.facts import FactChange, accumulating_replace, load_accumulating, load_new, with_lineage
 from martkit.operators.lookup import Lookup, drop_unresolved, resolve_keys, year_start_lookup
 from martkit.operators.reshape import align_metrics, unpivot_years
+from martkit.operators.rollup import Rollup
 from martkit.operators.scd import insert_new, scd1_upsert, scd2_apply
+from martkit.sources.fact_table import CHANGE, FactTable, Staged
 
 # Dimensions bounded by code lists or the calendar are broadcast after a row check.
 SMALL_DIM_ROWS = 1_000_000
@@ -281,25 +282,21 @@ def _urban_lookup(urban: DataFrame, col: str | Column, asof: Column) -> Lookup:
     return Lookup(urban, [(col, "UACECode")], "UrbanAreaKey", "UrbanAreaKey", asof=asof)
 
 
-def _publish_rows(existing: DataFrame, rows: DataFrame, grain: list[str], key_col: str, reload: bool,
+def _publish_rows(existing: DataFrame | FactTable, rows: DataFrame, grain: list[str], key_col: str, reload: bool,
                   batch_id: int | None, source_system: str, load_ts: Column | None,
-                  by_batch: bool = False) -> FactChange:
+                  by_batch: bool = False) -> FactChange | Staged:
     """Idempotent append (only rows whose grain is new, keyed after the current maximum,
-    with lineage columns) or, when reloading, the next snapshot with the reloaded grain
-    replaced.  ``by_batch``: a reload also drops everything that this batch id loaded before,
-    so rows withdrawn from a batch that is sent again do not stay."""
-    incoming = rows if reload else new_rows(existing, rows, grain, materialize=True)
-    incoming = with_lineage(incoming, batch_id, source_system, load_ts, batch_col="ETL_BatchID",
-                            source_col="RecordSourceSystem", inserted_col="ETL_InsertDate") \
-        .withColumn("ETL_UpdateDate", F.lit(None).cast("timestamp"))
-    keyed = assign_keys_hashed(incoming, grain, key_col, existing=existing)
-    keyed = keyed.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema.fields])
-    if reload:
-        kept = existing
-        if by_batch and batch_id is not None:
-            kept = existing.filter(~F.col("ETL_BatchID").eqNullSafe(F.lit(batch_id)))
-        return FactChange(reload_by_grain(kept, keyed, grain), "replace")
-    return FactChange(keyed, "append")
+    with lineage columns) or, when reloading, the reloaded grain replaced.  ``by_batch``: a reload also drops
+    everything that this batch id loaded before, so rows withdrawn from a batch that is sent again do not
+    stay; such facts are partitioned by batch."""
+    def finish(new: DataFrame) -> DataFrame:
+        return with_lineage(new, batch_id, source_system, load_ts, batch_col="ETL_BatchID",
+                            source_col="RecordSourceSystem", inserted_col="ETL_InsertDate").withColumn(
+            "ETL_UpdateDate", F.lit(None).cast("timestamp"))
+
+    own = by_batch and batch_id is not None
+    return load_new(existing, rows, grain, key_col, finish, reload, [batch_id] if own else [],
+                    F.col("ETL_BatchID").eqNullSafe(F.lit(batch_id)) if own else None)
 
 
 # --- L23: annual service performance (periodic snapshot) ---------------------------------
@@ -319,9 +316,9 @@ def empty_fact_annual(spark) -> DataFrame:
 
 
 def fact_annual_service_performance(metrics: Mapping[str, DataFrame], calendar: DataFrame, agency: DataFrame,
-                                    mode: DataFrame, tos: DataFrame, urban: DataFrame, existing: DataFrame,
+                                    mode: DataFrame, tos: DataFrame, urban: DataFrame, existing: DataFrame | FactTable,
                                     batch_id: int | None = None, source_system: str = "NTD_Annual_Performance",
-                                    reload: bool = False, load_ts: Column | None = None) -> FactChange:
+                                    reload: bool = False, load_ts: Column | None = None) -> FactChange | Staged:
     """Every staged metric unpivoted (year columns -> rows), aligned on
     (year, agency, mode, service) in ONE conditional aggregate, the urban area taken as
     the most frequent code of that key, keys resolved as of January 1st of the year, rows
@@ -375,9 +372,9 @@ def empty_fact_safety(spark) -> DataFrame:
 
 def fact_major_safety_event(staged_events: DataFrame, calendar: DataFrame, agency: DataFrame, mode: DataFrame,
                             tos: DataFrame, urban: DataFrame, event_type: DataFrame, incident: DataFrame,
-                            existing: DataFrame, batch_id: int | None = None,
+                            existing: DataFrame | FactTable, batch_id: int | None = None,
                             source_system: str = "NTD_Major_Safety_Events", reload: bool = False,
-                            load_ts: Column | None = None) -> FactChange:
+                            load_ts: Column | None = None) -> FactChange | Staged:
     """One row per incident, every dimension resolved (as of the event date for the
     SCD2 ones, null-safe on the 4-column event type, cast id for the incident), appended
     once per incident id (degenerate dimension) or reloaded."""
@@ -429,9 +426,9 @@ def empty_fact_availability(spark) -> DataFrame:
 
 
 def fact_service_availability(staged_ams: DataFrame, calendar: DataFrame, agency: DataFrame, mode: DataFrame,
-                              tos: DataFrame, existing: DataFrame, batch_id: int | None = None,
+                              tos: DataFrame, existing: DataFrame | FactTable, batch_id: int | None = None,
                               source_system: str = "NTD_Agency_Mode_Service", reload: bool = False,
-                              load_ts: Column | None = None) -> FactChange:
+                              load_ts: Column | None = None) -> FactChange | Staged:
     """Distinct service periods (duplicate periods collapse), actual-service rows only,
     keys resolved as of the start date, a known start date and agency required, open end
     -> 99991231, appended when the (null-safe) period grain is new."""
@@ -448,7 +445,7 @@ def fact_service_availability(staged_ams: DataFrame, calendar: DataFrame, agency
     rows = drop_unresolved(rows, "AgencyKey")
     # 'Ending Service' -> inactive; 'Active Service' (and anything unclear) -> active.
     fact_rows = rows.select(*AVAILABILITY_GRAIN[:-1], dt.open_ended_key("EndDateKey").alias("EndDateKey"),
-                            (F.col("service_type") != "Ending Service").alias("ServiceActiveFlag"))
+                            (~cl.status_flag("service_type", ["Ending Service"])).alias("ServiceActiveFlag"))
     # One row per declared grain; when an active and an ending record share it, the ending
     # record wins (deterministically).
     fact_rows = keep_first(fact_rows, AVAILABILITY_GRAIN, [F.col("ServiceActiveFlag").asc()])
@@ -475,9 +472,26 @@ def empty_fact_lifecycle(spark) -> DataFrame:
                                      "ETL_UpdateDate timestamp, ETL_BatchID bigint, RecordSourceSystem string")
 
 
+#: What the lifecycle keeps of the annual fact, as states that add up over loads.
+SERVICE_ROLLUP = Rollup(LIFECYCLE_KEY, "DateKey", sums=[m for m, _ in PEAK_MEASURES[:3]],
+                        peaks=[m for m, _ in PEAK_MEASURES], category="UrbanAreaKey", not_category=(-1,))
+
+
+def observed_service(merged: DataFrame) -> DataFrame:
+    """The lifecycle's observed part from merged states (known dates only, so a year is a date key's first digits)."""
+    year = {k: F.expr(f"{k} div 10000") for k in ("first", "last")}
+    cols = [*LIFECYCLE_KEY, F.col("first").alias("FirstObservedDateKey"), F.col("last").alias("LatestObservedDateKey"),
+            (year["last"] - year["first"] + 1).cast("int").alias("YearsInService"), "UrbanAreaKey"]
+    for m, t in PEAK_MEASURES:
+        cols += [F.col(f"peak_{m}.at").alias(f"Peak{m}DateKey"), F.col(f"peak_{m}.value").cast(t).alias(f"PeakAnnual{m}"),
+                 F.col(f"late_{m}.value").cast(t).alias(f"LatestAnnual{m}")]
+    cols += [F.col(f"sum_{m}").cast("bigint").alias(f"TotalObserved{m}") for m, _ in PEAK_MEASURES[:3]]
+    return merged.select(*cols)
+
+
 def fact_service_lifecycle(annual: DataFrame, availability: DataFrame, safety: DataFrame, calendar: DataFrame,
-                           existing: DataFrame, batch_id: int | None = None,
-                           source_system: str = "NTD_Service_Lifecycle", load_ts: Column | None = None) -> FactChange:
+                           existing: DataFrame | FactTable, batch_id: int | None = None,
+                           source_system: str = "NTD_Service_Lifecycle", load_ts: Column | None = None) -> FactChange | Staged:
     """L26/C16+C13: one row per agency x mode x service.  First / latest observed year,
     the peak year of each measure (ties -> later year) and its value, latest values,
     NULL-as-0 totals, span of calendar years (unknown dates excluded), most frequent urban
@@ -497,13 +511,26 @@ def fact_service_lifecycle(annual: DataFrame, availability: DataFrame, safety: D
         aggs.append(sum_zero(m).cast("bigint").alias(f"TotalObserved{m}"))
     life = a.groupBy(*LIFECYCLE_KEY).agg(*aggs)
     ua = mode_per_group(annual.filter(F.col("UrbanAreaKey") != -1), LIFECYCLE_KEY, "UrbanAreaKey", out="UrbanAreaKey")
+    return _lifecycle(life.join(ua, LIFECYCLE_KEY, "left"), availability, safety, existing, batch_id, source_system, load_ts)
+
+
+def fact_service_lifecycle_merged(merged: DataFrame, availability: DataFrame, safety: DataFrame,
+                                  existing: DataFrame | FactTable, batch_id: int | None = None,
+                                  source_system: str = "NTD_Service_Lifecycle", load_ts: Column | None = None
+                                  ) -> FactChange | Staged:
+    """L26 from the stored states of the annual fact (``SERVICE_ROLLUP``): the fact itself is not read."""
+    return _lifecycle(observed_service(merged), availability, safety, existing, batch_id, source_system, load_ts)
+
+
+def _lifecycle(life: DataFrame, availability: DataFrame, safety: DataFrame, existing: DataFrame | FactTable,
+               batch_id: int | None, source_system: str, load_ts: Column | None) -> FactChange | Staged:
     av = availability.groupBy(*LIFECYCLE_KEY).agg(
         F.min("CommitmentDateKey").alias("_commit"),
         F.max(F.when(~F.col("ServiceActiveFlag"), F.col("EndDateKey"))).alias("_end"))
     sf = safety.groupBy(*LIFECYCLE_KEY).agg(F.count(F.lit(1)).cast("bigint").alias("TotalObservedMajorSafetyEvents"),
                                             sum_zero("TotalFatalityCount").cast("bigint").alias("TotalObservedFatalities"),
                                             sum_zero("TotalInjuryCount").cast("bigint").alias("TotalObservedInjuries"))
-    j = life.join(ua, LIFECYCLE_KEY, "left").join(av, LIFECYCLE_KEY, "left").join(sf, LIFECYCLE_KEY, "left")
+    j = life.join(av, LIFECYCLE_KEY, "left").join(sf, LIFECYCLE_KEY, "left")
     j = j.withColumns({
         "UrbanAreaKey": F.coalesce("UrbanAreaKey", F.lit(-1)),
         "CommitmentDateKey": F.coalesce("_commit", "FirstObservedDateKey"),
@@ -518,9 +545,7 @@ def fact_service_lifecycle(annual: DataFrame, availability: DataFrame, safety: D
                               "ETL_UpdateDate": ts, "ETL_BatchID": F.lit(batch_id).cast("bigint"),
                               "RecordSourceSystem": F.lit(source_system)})
     incoming = incoming.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema.fields])
-    merged = accumulating_replace(existing, incoming, LIFECYCLE_KEY, retain=["ServiceLifecycleKey", "ETL_InsertDate"])
-    keyed_old = merged.filter(F.col("ServiceLifecycleKey").isNotNull())
-    fresh = assign_keys_hashed(merged.filter(F.col("ServiceLifecycleKey").isNull()).drop("ServiceLifecycleKey"),
-                               LIFECYCLE_KEY, "ServiceLifecycleKey", existing=existing)
-    return FactChange(keyed_old.unionByName(fresh.select(*existing.columns)), "replace")
-
+    retain = ["ServiceLifecycleKey", "ETL_InsertDate"]
+    return load_accumulating(
+        existing, incoming, LIFECYCLE_KEY, "ServiceLifecycleKey", lambda old, inc: accumulating_replace(
+            old, inc, LIFECYCLE_KEY, [*retain, *(c for c in old.columns if c not in incoming.columns)], CHANGE))

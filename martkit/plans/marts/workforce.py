@@ -18,12 +18,12 @@ from martkit.functions import cleanse as cl
 from martkit.functions import dates as dt
 from martkit.functions.spec import normalise_headers
 from martkit.operators.dedup import dedup_grain, keep_first, latest_per_key
-from martkit.operators.facts import FactChange, accumulating_conditional, new_rows, with_lineage
-from martkit.operators.keys import assign_keys_hashed
+from martkit.operators.facts import FactChange, accumulating_conditional, load_accumulating, load_new, with_lineage
 from martkit.operators.lookup import Lookup, drop_unresolved, mapped_key, resolve_keys, year_start_lookup
 from martkit.operators.quality import Rule, split_rejects
 from martkit.operators.reshape import unpivot_measures
 from martkit.operators.scd import insert_new, scd2_apply
+from martkit.sources.fact_table import CHANGE, FactTable, Staged
 
 SMALL_DIM_ROWS = 1_000_000
 
@@ -335,15 +335,16 @@ def _date_key_lookup(calendar: DataFrame, col: str | Column, out: str, default:
                   broadcast=True)
 
 
-def _append(existing: DataFrame, rows: DataFrame, grain: list[str], key_col: str, batch_id, source_system,
-            load_ts, lineage: bool = True) -> FactChange:
-    inc = new_rows(existing, rows, grain, materialize=True)
-    if lineage:
-        inc = with_lineage(inc, batch_id, source_system, load_ts, batch_col="ETL_BatchID",
-                           source_col="RecordSourceSystem", inserted_col="ETL_InsertDate") \
-            .withColumn("ETL_UpdateDate", F.lit(None).cast("timestamp"))
-    keyed = assign_keys_hashed(inc, grain, key_col, existing=existing)
-    return FactChange(keyed.select(*[F.col(f.name).cast(f.dataType) for f in existing.schema.fields]), "append")
+def _append(existing: DataFrame | FactTable, rows: DataFrame, grain: list[str], key_col: str, batch_id, source_system,
+            load_ts, lineage: bool = True) -> FactChange | Staged:
+    def finish(new: DataFrame) -> DataFrame:
+        if not lineage:
+            return new
+        return with_lineage(new, batch_id, source_system, load_ts, batch_col="ETL_BatchID",
+                            source_col="RecordSourceSystem", inserted_col="ETL_InsertDate").withColumn(
+            "ETL_UpdateDate", F.lit(None).cast("timestamp"))
+
+    return load_new(existing, rows, grain, key_col, finish)
 
 
 # --- L19: job posting (transaction fact) ----------------------------------------------------
@@ -365,8 +366,8 @@ def latest_postings(staged_jobs: DataFrame) -> DataFrame:
 
 
 def fact_job_posting(staged_jobs: DataFrame, calendar: DataFrame, dims: Mapping[str, DataFrame],
-                     existing: DataFrame, batch_id=None, source_system: str = "HR_Job_Openings",
-                     load_ts=None) -> FactChange:
+                     existing: DataFrame | FactTable, batch_id=None, source_system: str = "HR_Job_Openings",
+                     load_ts=None) -> FactChange | Staged:
     """Latest row per opening, every key resolved as of the posting date, appended once
     per opening id."""
     p = latest_postings(staged_jobs)
@@ -427,8 +428,8 @@ def combine_operator_split(unified: DataFrame) -> DataFrame:
 
 
 def fact_employee_snapshot(unified: DataFrame, calendar: DataFrame, dims: Mapping[str, DataFrame],
-                           existing: DataFrame, batch_id=None, source_system: str = "NTD_Employees",
-                           load_ts=None) -> FactChange:
+                           existing: DataFrame | FactTable, batch_id=None, source_system: str = "NTD_Employees",
+                           load_ts=None) -> FactChange | Staged:
     """The operator split combined (``combine_operator_split``), rows resolved as of
     January 1st of the report year, measures summed to the declared grain, hours per
     employee recomputed with a zero guard, appended when the grain is new."""
@@ -451,7 +452,7 @@ def empty_fact_labor_coverage(spark) -> DataFrame:
 
 
 def fact_labor_coverage(unified: DataFrame, calendar: DataFrame, dims: Mapping[str, DataFrame],
-                        existing: DataFrame) -> FactChange:
+                        existing: DataFrame | FactTable) -> FactChange | Staged:
     """Distinct coverage grain with hours > 0 -> keys (as of Jan 1st) -> dedup of
     the resolved grain -> agency required -> appended when new (null-safe grain)."""
     g = unified.filter(F.col("HoursWorked") > 0).select("ReportYear", "NTD_ID", "ModeCode", "TOSCode",
@@ -477,7 +478,7 @@ def empty_fact_posting_lifecycle(spark) -> DataFrame:
 
 
 def fact_posting_lifecycle(staged_jobs: DataFrame, calendar: DataFrame, dims: Mapping[str, DataFrame],
-                           existing: DataFrame) -> FactChange:
+                           existing: DataFrame | FactTable) -> FactChange | Staged:
     """One row per opening with three role-playing milestone dates (posting,
     filled - kept only when not before posting -, closing).  Matched openings keep a known
     milestone when the new one is unknown and take the new measures / status; new
@@ -494,13 +495,10 @@ def fact_posting_lifecycle(staged_jobs: DataFrame, calendar: DataFrame, dims: Ma
         F.when((F.col("PostingDateKey") != -1), cl.keep_if_not_before("_fill", "PostingDateKey")).alias("FilledDateKey"),
         "ClosingDateKey", F.col("days_open").alias("DaysOpen"), F.col("open_positions").alias("OpenPositions"),
         F.col("hired_count").alias("HiredCount"), F.col("posting_status").alias("PostingStatus"))
-    merged = accumulating_conditional(existing, incoming, ["OpeningID"],
-                                      milestones=["PostingDateKey", "FilledDateKey", "ClosingDateKey"],
-                                      measures=["DaysOpen", "OpenPositions", "HiredCount", "PostingStatus"])
-    keyed = merged.filter(F.col("LifecycleFactKey").isNotNull())
-    fresh = assign_keys_hashed(merged.filter(F.col("LifecycleFactKey").isNull()).drop("LifecycleFactKey"),
-                               ["OpeningID"], "LifecycleFactKey", existing=existing)
-    return FactChange(keyed.unionByName(fresh.select(*existing.columns)), "replace")
+    return load_accumulating(
+        existing, incoming, ["OpeningID"], "LifecycleFactKey", lambda old, inc: accumulating_conditional(
+            old, inc, ["OpeningID"], milestones=["PostingDateKey", "FilledDateKey", "ClosingDateKey"],
+            measures=["DaysOpen", "OpenPositions", "HiredCount", "PostingStatus"], change_col=CHANGE))
 
 
 # --- Q7: post-load data-quality report of the job-opening staging ---------------------------

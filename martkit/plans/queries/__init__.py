@@ -7,7 +7,7 @@ tables by simple row rules; the operators themselves never rely on how they were
 """
 
 from martkit.plans.queries import (  # noqa: F401  (registration side effects)
-    q_cleanse, q_joins, q_loaders, q_reshape_agg, q_streaming, q_warehouse,
+    q_cleanse, q_incremental, q_joins, q_loaders, q_partitioned, q_reshape_agg, q_streaming, q_warehouse,
 )
 from martkit.plans.queries.registry import ORACLES, QUERIES
 

@@ -8,12 +8,18 @@ the natural keys of the dimension members that their surrogate keys point at.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martkit.plans.calendar import calendar_range, with_special_dates
+from martkit.plans.fact_specs import FACTS
 from martkit.plans.marts import common, service, workforce
 from martkit.plans.queries.registry import query, table
+from martkit.session import checkpoint_dir
+from martkit.sources.fact_table import FactTable
+from martkit.sources.store import SnapshotStore
 
 LOAD_DATE = "2024-06-01"
 FIRST = "1900-01-01"
@@ -38,16 +44,40 @@ def agency_feed(spark: SparkSession, sf: str) -> DataFrame:
         "Population": "concat(s_suppkey * 10, '.0')"}, [c.source for c in service.AGENCY_INFO_SPEC])
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """A table written once to the cluster's checkpoint folder, as a run writes its staging tables and dimensions."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _fact(spark: SparkSession, name: str) -> FactTable:
+    """A fact, still empty, in a store of its own under the checkpoint folder."""
+    return FACTS[name].table(SnapshotStore(spark, f"{checkpoint_dir(spark).rstrip('/')}/store-{uuid.uuid4().hex}"), name)
+
+
 def _agency(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """(staged agencies, agency dimension)."""
-    staged = service.stage_agency_information(agency_feed(spark, sf))
-    return staged, common.dim_agency_load(staged, common.empty_dim_agency(spark), LOAD_DATE, FIRST)
+    staged = _written(service.stage_agency_information(agency_feed(spark, sf)))
+    return staged, _written(common.dim_agency_load(staged, common.empty_dim_agency(spark), LOAD_DATE, FIRST))
 
 
 def _calendar(spark: SparkSession) -> DataFrame:
     return with_special_dates(calendar_range(spark, "1992-01-01", "2024-12-31"))
 
 
+#: Modes and service types that the feeds hold, some of them unknown to the dimensions.
+def _mode(key: str) -> str:
+    return f"CASE {key} % 3 WHEN 0 THEN 'MB' WHEN 1 THEN 'LR' ELSE 'XX' END"
+
+
+def _tos(key: str) -> str:
+    return f"CASE {key} % 4 WHEN 0 THEN 'DO' WHEN 1 THEN 'PT' ELSE 'XX' END"
+
+
+def _known(case: str) -> str:
+    return case.replace("'XX'", "'N/A'")
+
+
 def _named(fact: DataFrame, dims: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
     """Replace surrogate keys by natural ones: key column -> (dimension, its key, its natural key)."""
     out = fact
@@ -121,9 +151,9 @@ WHERE l_suppkey IN (SELECT s_suppkey FROM supplier) GROUP BY 1, 2, 3, 4
 def load_annual_service(spark: SparkSession, sf: str) -> DataFrame:
     """L3 + L23: two yearly metric files staged, unpivoted, aligned, keyed and appended."""
     staged, agency = _agency(spark, sf)
-    urban = service.dim_urban_area_load(staged, service.empty_dim_urban_area(spark), LOAD_DATE, FIRST)
-    metrics = {"upt": service.stage_metric(metric_feed(spark, sf, F.col("l_quantity"))),
-               "vrm": service.stage_metric(metric_feed(spark, sf, F.lit(1)))}
+    urban = _written(service.dim_urban_area_load(staged, service.empty_dim_urban_area(spark), LOAD_DATE, FIRST))
+    metrics = {"upt": _written(service.stage_metric(metric_feed(spark, sf, F.col("l_quantity")))),
+               "vrm": _written(service.stage_metric(metric_feed(spark, sf, F.lit(1))))}
     mode, tos = common.dim_mode(spark), common.dim_service_type(spark)
     change = service.fact_annual_service_performance(metrics, _calendar(spark), agency, mode, tos, urban,
                                                      service.empty_fact_annual(spark), batch_id=1)
@@ -180,7 +210,8 @@ def load_employee_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """L7 + L8 + L20: a 2019 employee file staged, unpivoted to variants, the operator split
     combined and loaded at the snapshot grain."""
     _, agency = _agency(spark, sf)
-    unified = workforce.unify_employees({2019: workforce.stage_employees(employee_feed(spark, sf), 2019)})
+    staged = _written(workforce.stage_employees(employee_feed(spark, sf), 2019))
+    unified = _written(workforce.unify_employees({2019: staged}))
     dims = _workforce_dims(spark, agency)
     rows = workforce.fact_employee_snapshot(unified, _calendar(spark), dims,
                                             workforce.empty_fact_employee_snapshot(spark), batch_id=1).rows
@@ -196,7 +227,7 @@ def load_employee_snapshot(spark: SparkSession, sf: str) -> DataFrame:
 def _workforce_dims(spark: SparkSession, agency: DataFrame) -> dict[str, DataFrame]:
     return {"agency": agency, "mode": common.dim_mode(spark), "service_type": common.dim_service_type(spark),
             "employment_type": workforce.dim_employment_type_seed(spark),
-            "department": workforce.dim_department_load(spark, workforce.dim_department_seed(spark))}
+            "department": _written(workforce.dim_department_load(spark, workforce.dim_department_seed(spark)))}
 
 
 SAFETY_HEADERS = [
@@ -207,10 +238,11 @@ SAFETY_HEADERS = [
         "Other Worker", "Total")], "Number of Transit Vehicles Involved", "Evacuation", "Property Damage"]
 
 
-@query("load_safety_events", sql="""
+@query("load_safety_events", sql=f"""
 WITH v AS (SELECT *, CAST(floor(value) AS INTEGER) AS i FROM events)
 SELECT CAST(event_id AS VARCHAR) AS SourceIncidentID, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS EventDateKey,
        CASE WHEN user_id IN (SELECT s_suppkey FROM supplier) THEN CAST(user_id AS VARCHAR) ELSE 'N/A' END AS NTD_ID,
+       {_known(_mode('event_id'))} AS ModeCode, {_known(_tos('event_id'))} AS TOSCode,
        strftime(ts, '%H:%M') || ':00' AS EventTime, event_type AS EventCategory,
        CASE event_type WHEN 'error' THEN 'Safety' WHEN 'click' THEN 'Security' ELSE 'other' END AS SeverityLevel,
        i % 7 AS PassengerInjuryCount, 2 * (i % 5) AS EmployeeInjuryCount, greatest(i - i % 7 - 2 * (i % 5), 0) AS OtherInjuryCount,
@@ -224,7 +256,7 @@ def load_safety_events(spark: SparkSession, sf: str) -> DataFrame:
     staged_agency, agency = _agency(spark, sf)
     e = table(spark, sf, "events").withColumn("i", F.floor("value").cast("int"))
     raw = feed(e, {
-        "Incident Number": "event_id", "NTD ID": "concat(user_id, ' ')", "Mode": "'MB'", "TOS": "'DO'",
+        "Incident Number": "event_id", "NTD ID": "concat(user_id, ' ')", "Mode": _mode("event_id"), "TOS": _tos("event_id"),
         "Event Date": "date_format(ts, 'M/d/yyyy')", "Event Time": "date_format(ts, 'H:mm')",
         "Event Category": "event_type", "Event Type": "''", "Event Type Group": "' '",
         "Safety/Security": "CASE event_type WHEN 'error' THEN 'sft' WHEN 'click' THEN 'SECURITY' ELSE 'other' END",
@@ -232,29 +264,31 @@ def load_safety_events(spark: SparkSession, sf: str) -> DataFrame:
         "Transit Vehicle Operator Injuries": "i % 5", "Other Worker Injuries": "i % 5", "Total Injuries": "i",
         "Evacuation": "CASE event_type WHEN 'view' THEN 'True' WHEN 'click' THEN 'false' ELSE '' END",
         "Property Damage": "format_number(CAST(value * 1000 AS DECIMAL(18,2)), 2)"}, SAFETY_HEADERS)
-    staged = service.stage_safety_events(raw.unionByName(raw.where("Mode IS NULL")))
-    types = service.dim_safety_event_type_load(staged, service.empty_dim_safety_event_type(spark))
-    incidents = service.dim_safety_incident_load(staged, service.empty_dim_safety_incident(spark))
-    urban = service.dim_urban_area_load(staged_agency, service.empty_dim_urban_area(spark), LOAD_DATE, FIRST)
-    rows = service.fact_major_safety_event(
-        staged, _calendar(spark), agency, common.dim_mode(spark), common.dim_service_type(spark), urban, types, incidents,
-        service.empty_fact_safety(spark), batch_id=1).rows
-    out = _named(rows, {"AgencyKey": (agency, "AgencyKey", "NTD_ID"),
+    staged = _written(service.stage_safety_events(raw.unionByName(raw.where("Mode IS NULL"))))
+    types = _written(service.dim_safety_event_type_load(staged, service.empty_dim_safety_event_type(spark)))
+    incidents = _written(service.dim_safety_incident_load(staged, service.empty_dim_safety_incident(spark)))
+    urban = _written(service.dim_urban_area_load(staged_agency, service.empty_dim_urban_area(spark), LOAD_DATE, FIRST))
+    mode, tos = common.dim_mode(spark), common.dim_service_type(spark)
+    rows = service.fact_major_safety_event(staged, _calendar(spark), agency, mode, tos, urban, types, incidents,
+                                           service.empty_fact_safety(spark), batch_id=1).rows
+    out = _named(rows, {"AgencyKey": (agency, "AgencyKey", "NTD_ID"), "ModeKey": (mode, "ModeKey", "ModeCode"),
+                        "ServiceTypeKey": (tos, "ServiceTypeKey", "TOSCode"),
                         "SafetyIncidentDescriptionKey": (incidents, "SafetyIncidentKey", "EventDescription")})
     kinds = types.select("SafetyEventTypeKey", "EventCategory", "SeverityLevel")
     return out.join(kinds, "SafetyEventTypeKey").select(
-        "SourceIncidentID", "EventDateKey", "NTD_ID", "EventTime", "EventCategory", "SeverityLevel", "PassengerInjuryCount",
+        "SourceIncidentID", "EventDateKey", "NTD_ID", "ModeCode", "TOSCode", "EventTime", "EventCategory", "SeverityLevel", "PassengerInjuryCount",
         "EmployeeInjuryCount", "OtherInjuryCount", "TotalInjuryCount", "EvacuationCount",
         F.col("PropertyDamageAmount").cast("double").alias("PropertyDamageAmount"), "EventDescription")
 
 
-@query("load_service_availability", sql="""
-WITH p AS (SELECT DISTINCT s_suppkey AS s, CAST(l_shipdate AS DATE) AS d, l_linestatus AS st, l_returnflag AS r
+@query("load_service_availability", sql=f"""
+WITH p AS (SELECT DISTINCT s_suppkey AS s, CAST(l_shipdate AS DATE) AS d, l_linestatus AS st, l_returnflag AS r,
+                  {_known(_mode('l_suppkey'))} AS m, {_known(_tos('l_orderkey'))} AS t
            FROM lineitem JOIN supplier ON s_suppkey = l_suppkey)
-SELECT CAST(s AS VARCHAR) AS NTD_ID, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS StartDateKey,
+SELECT CAST(s AS VARCHAR) AS NTD_ID, m AS ModeCode, t AS TOSCode, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS StartDateKey,
        CASE WHEN r = 'R' THEN CAST(strftime(d + 30, '%Y%m%d') AS INTEGER) ELSE 99991231 END AS EndDateKey,
        bool_and(st = 'O') AS ServiceActiveFlag
-FROM p WHERE r <> 'A' GROUP BY 1, 2, 3
+FROM p WHERE r <> 'A' GROUP BY 1, 2, 3, 4, 5
 """)
 def load_service_availability(spark: SparkSession, sf: str) -> DataFrame:
     """L2 + L25: service periods staged (duplicates, open ends, other service types), keyed as
@@ -262,17 +296,18 @@ def load_service_availability(spark: SparkSession, sf: str) -> DataFrame:
     _, agency = _agency(spark, sf)
     li = table(spark, sf, "lineitem")
     raw = feed(li, {
-        "NTD ID": "l_suppkey", "Mode": "'MB'", "TOS": "'DO'",
+        "NTD ID": "l_suppkey", "Mode": _mode("l_suppkey"), "TOS": _tos("l_orderkey"),
         "Service Type": "CASE WHEN l_returnflag = 'A' THEN 'Planned' WHEN l_linestatus = 'O' THEN 'Active Service' "
                         "ELSE 'Ending Service' END",
         "Commitment Date": "'None'", "Start Service Date": "date_format(l_shipdate, 'yyyy-MM-dd')",
         "End Service Date": "CASE WHEN l_returnflag = 'R' THEN CAST(date_add(l_shipdate, 30) AS STRING) ELSE 'None' END"},
         [c.source for c in service.AGENCY_MODE_SERVICE_SPEC])
-    rows = service.fact_service_availability(
-        service.stage_agency_mode_service(raw), _calendar(spark), agency, common.dim_mode(spark),
-        common.dim_service_type(spark), service.empty_fact_availability(spark), batch_id=1).rows
-    return _named(rows.select("AgencyKey", "StartDateKey", "EndDateKey", "ServiceActiveFlag"),
-                  {"AgencyKey": (agency, "AgencyKey", "NTD_ID")})
+    mode, tos = common.dim_mode(spark), common.dim_service_type(spark)
+    rows = service.fact_service_availability(_written(service.stage_agency_mode_service(raw)), _calendar(spark), agency,
+                                             mode, tos, service.empty_fact_availability(spark), batch_id=1).rows
+    return _named(rows.select("AgencyKey", "ModeKey", "ServiceTypeKey", "StartDateKey", "EndDateKey", "ServiceActiveFlag"), {
+        "AgencyKey": (agency, "AgencyKey", "NTD_ID"), "ModeKey": (mode, "ModeKey", "ModeCode"),
+        "ServiceTypeKey": (tos, "ServiceTypeKey", "TOSCode")})
 
 
 JOB_HEADERS = ["OpeningID", "PostingDate", "NTD_ID", "AgencyName", "ReporterType", "ReportingModule", "OrganizationType",
@@ -287,7 +322,7 @@ def job_feed(spark: SparkSession, sf: str) -> DataFrame:
     return feed(o, {
         "OpeningID": "CASE WHEN o_orderkey % 50 = 7 THEN ' ' ELSE concat(' J', o_orderkey) END",
         "PostingDate": "CASE WHEN o_orderkey % 40 = 3 THEN '1900-01-01' ELSE date_format(o_orderdate, 'M/d/yyyy') END",
-        "NTD_ID": "o_custkey", "ModeCode": "'MB'", "TOS": "'DO'", "PositionTitle": "concat(' ', o_orderpriority)",
+        "NTD_ID": "o_custkey", "ModeCode": _mode("o_orderkey"), "TOS": _tos("o_orderkey"), "PositionTitle": "concat(' ', o_orderpriority)",
         "EmploymentType": "CASE o_orderstatus WHEN 'F' THEN 'full time' WHEN 'O' THEN 'pt' ELSE 'weird' END",
         "Department": "'vehicle operations'", "OpenPositions": "o_orderkey % 5", "SalaryMinHourly": "concat('$', p)",
         "SalaryMaxHourly": "CASE WHEN o_orderkey % 30 = 4 THEN '1' ELSE CAST(p + 5 AS STRING) END",
@@ -318,10 +353,10 @@ def load_job_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 def _jobs(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     _, agency = _agency(spark, sf)
-    staged, _ = workforce.stage_job_openings(job_feed(spark, sf))
+    staged = _written(workforce.stage_job_openings(job_feed(spark, sf))[0])
     dims = _workforce_dims(spark, agency)
-    dims["employment_type"] = workforce.dim_employment_type_load(staged, dims["employment_type"])
-    dims["job_role"] = workforce.dim_job_role_load(staged, workforce.dim_job_role_seed(spark), LOAD_DATE, FIRST)
+    dims["employment_type"] = _written(workforce.dim_employment_type_load(staged, dims["employment_type"]))
+    dims["job_role"] = _written(workforce.dim_job_role_load(staged, workforce.dim_job_role_seed(spark), LOAD_DATE, FIRST))
     return staged, dims
 
 
@@ -329,6 +364,7 @@ def _jobs(spark: SparkSession, sf: str) -> tuple[DataFrame, dict[str, DataFrame]
 WITH {VALID_JOBS}
 SELECT id AS OpeningID, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS DateKey,
        CASE WHEN o_custkey IN (SELECT s_suppkey FROM supplier) THEN CAST(o_custkey AS VARCHAR) ELSE 'N/A' END AS NTD_ID,
+       {_known(_mode('o_orderkey'))} AS ModeCode, {_known(_tos('o_orderkey'))} AS TOSCode,
        et AS EmploymentTypeName, 'Vehicle Operations' AS DepartmentName, o_orderpriority AS PositionTitle,
        CASE WHEN o_orderkey % 5 > 0 THEN CAST(o_orderkey % 5 AS INTEGER) END AS OpenPositions, CAST(p AS DOUBLE) AS SalaryMin,
        CASE o_orderstatus WHEN 'F' THEN 'Filled' WHEN 'O' THEN 'Open' ELSE 'Cancelled' END AS PostingStatus
@@ -340,10 +376,12 @@ def load_job_postings(spark: SparkSession, sf: str) -> DataFrame:
     staged, dims = _jobs(spark, sf)
     rows = workforce.fact_job_posting(staged, _calendar(spark), dims, workforce.empty_fact_job_posting(spark), batch_id=1).rows
     out = _named(rows, {"AgencyKey": (dims["agency"], "AgencyKey", "NTD_ID"),
+                        "ModeKey": (dims["mode"], "ModeKey", "ModeCode"),
+                        "ServiceTypeKey": (dims["service_type"], "ServiceTypeKey", "TOSCode"),
                         "EmploymentTypeKey": (dims["employment_type"], "EmploymentTypeKey", "EmploymentTypeName"),
                         "DepartmentKey": (dims["department"], "DepartmentKey", "DepartmentName"),
                         "JobRoleKey": (dims["job_role"], "JobRoleKey", "PositionTitle")})
-    return out.select("OpeningID", "DateKey", "NTD_ID", "EmploymentTypeName", "DepartmentName", "PositionTitle",
+    return out.select("OpeningID", "DateKey", "NTD_ID", "ModeCode", "TOSCode", "EmploymentTypeName", "DepartmentName", "PositionTitle",
                       "OpenPositions", F.col("SalaryMinHourly").cast("double").alias("SalaryMin"), "PostingStatus")
 
 
@@ -356,8 +394,10 @@ SELECT id AS OpeningID, CAST(strftime(d, '%Y%m%d') AS INTEGER) AS PostingDateKey
 FROM ok
 """)
 def load_posting_lifecycle(spark: SparkSession, sf: str) -> DataFrame:
-    """The posting lifecycle loaded twice; the second load finds every opening again."""
+    """The posting lifecycle loaded twice into a fact partitioned by posting month; the second load finds
+    every opening again and changes none."""
     staged, dims = _jobs(spark, sf)
-    first = workforce.fact_posting_lifecycle(staged, _calendar(spark), dims, workforce.empty_fact_posting_lifecycle(spark))
-    again = workforce.fact_posting_lifecycle(staged, _calendar(spark), dims, first.rows)
-    return again.rows.select("OpeningID", "PostingDateKey", "FilledDateKey", "ClosingDateKey")
+    fact = _fact(spark, "FactJobPostingLifecycle")
+    for _ in range(2):
+        fact.load(workforce.fact_posting_lifecycle(staged, _calendar(spark), dims, fact))
+    return fact.read().select("OpeningID", "PostingDateKey", "FilledDateKey", "ClosingDateKey")

@@ -26,7 +26,8 @@ def stream_idempotent_append(spark: SparkSession, sf: str) -> DataFrame:
     root = f"{checkpoint_dir(spark)}/martkit-events-{uuid.uuid4().hex}"
     store = SnapshotStore(spark, root)
     stream = parquet_stream(spark, sf, schema, file_glob="events.parquet")
-    q = append_stream(stream, store, "events_fact", ["event_id"], checkpoint_location=f"{root}/_stream_checkpoint")
+    q = append_stream(stream, store, "events_fact", ["event_id"], checkpoint_location=f"{root}/_stream_checkpoint",
+                      part=F.expr("year(ts) * 100 + month(ts)"))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

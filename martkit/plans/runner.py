@@ -1,8 +1,8 @@
 """Mart runners (G1-G7): ordered loader steps with skip flags, two failure policies and one
 audit row per step.  Plain Python on the driver; every step is a Spark job that reads the
 published inputs and writes its table through the ``SnapshotStore``: dimensions publish a
-complete next snapshot, facts append only their new rows (``FactChange``) unless a reload
-or an accumulating snapshot replaces the table.
+complete next snapshot, facts are staged, checked and then append their new rows or replace the partitions
+that a reload or an accumulating load touches (``sources/fact_table.py``).
 
 * ``fail_fast``            stop at the first failing step and raise
 * ``continue_then_raise``  run every step, then raise if any failed
@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from martkit.functions.dates import batch_id as make_batch_id
 from martkit.operators.facts import FactChange
-from martkit.operators.quality import check_rules, combine_checks, not_null, referential, uniqueness
+from martkit.plans.fact_specs import FACTS
 from martkit.plans.marts import common, service, workforce
+from martkit.sources.fact_table import FactTable, LoadCounts, LoadRejected, Staged
 from martkit.sources.store import AuditLog, SnapshotStore
 
 
@@ -32,23 +33,19 @@ class MartLoadError(RuntimeError):
     pass
 
 
-#: Keys that every fact has, with their dimension.
-FACT_KEYS = {"AgencyKey": ("DimAgency", "AgencyKey"), "ModeKey": ("DimMode", "ModeKey"),
-             "ServiceTypeKey": ("DimServiceType", "ServiceTypeKey")}
-
-
 @dataclass
 class StepResult:
     name: str
     status: str
     rows_written: int = 0
-    mode: str | None = None  # "append" (only new rows written) or "replace" (whole snapshot)
+    mode: str | None = None  # "append" (only new rows), "partitions" (touched ones rewritten), "replace" (whole table)
     seconds: float = 0.0
     error: str | None = None
+    counts: LoadCounts = field(default_factory=LoadCounts)
 
     @property
     def inserted(self) -> int:
-        return self.rows_written if self.mode == "append" else 0
+        return self.counts.inserted
 
 
 @dataclass
@@ -77,7 +74,7 @@ class MartRunner:
         self.batch_id = self.batch_id or make_batch_id()
         self.audit = AuditLog(self.store)
         self.load_ts = F.lit(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp")
-        self._written: dict[str, tuple[str, int]] = {}
+        self._written: dict[str, tuple[str, int, LoadCounts]] = {}
 
     # --- plumbing -----------------------------------------------------------------------
     def _observed(self, name: str, df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -89,35 +86,41 @@ class MartRunner:
         """Publish a complete next snapshot of ``name``."""
         observed, obs = self._observed(name, df)
         self.store.publish(name, observed)
-        self._written[name] = ("replace", int(obs.get["rows"]))
+        rows = int(obs.get["rows"])
+        self._written[name] = ("replace", rows, LoadCounts(inserted=rows))
 
-    def _write(self, name: str, change) -> None:
-        """Apply a ``FactChange``: append the delta, or publish a complete next snapshot."""
+    def _write(self, name: str, change: FactChange) -> None:
+        """Append a delta, or publish a complete next snapshot."""
         if change.mode == "append":
             observed, obs = self._observed(name, change.rows)
             self.store.append(name, observed)
-            self._written[name] = ("append", int(obs.get["rows"]))
+            rows = int(obs.get["rows"])
+            self._written[name] = ("append", rows, LoadCounts(inserted=rows))
         else:
             self._publish(name, change.rows)
 
-    def _load_fact(self, name: str, change, grain: Sequence[str], keys: Mapping[str, tuple[str, str]]) -> None:
-        """Write a fact and check it: its grain is unique, its keys are set and have a member.
-
-        ``keys``: key column -> (dimension table, its key).  The violations are kept in
-        ``dq_report`` and any violation fails the step."""
-        self._write(name, change)
-        fact = self.store.read(name)
-        checks = [uniqueness(fact, list(grain), name=f"{name}: unique grain"),
-                  check_rules(fact, not_null(*keys))]
-        checks += [referential(fact, k, self.store.read(dim), pk, name=f"{name}: {k}") for k, (dim, pk) in keys.items()
-                   if self.store.exists(dim)]
-        report = combine_checks(*checks).select(F.lit(self.batch_id).cast("bigint").alias("run_id"), F.lit(name).alias(
-            "table"), "check", F.col("violations").cast("bigint").alias("violations"))
-        self.store.append("dq_report", report)
-        bad = [r["check"] for r in self.store.read("dq_report").where(
-            (F.col("run_id") == self.batch_id) & (F.col("table") == name) & (F.col("violations") > 0)).collect()]
-        if bad:
-            raise MartLoadError(f"{name}: checks failed: {bad}")
+    def _fact(self, name: str) -> FactTable:
+        return FACTS[name].table(self.store, name)
+
+    def _load_fact(self, name: str, staged: Staged) -> None:
+        """Stage, check and publish a fact load (``fact_table``); its violations go to ``dq_report``.
+
+        A violation fails the step, and the fact stays as it was."""
+        spec = FACTS[name]
+        keys = {k: (self.store.read(dim), pk) for k, (dim, pk) in spec.keys().items() if self.store.exists(dim)}
+        try:
+            counts = self._fact(name).load(staged, spec.row_rules(), keys)
+        except LoadRejected as e:
+            self._report(name, e.violations)
+            raise MartLoadError(str(e)) from e
+        self._report(name, counts.violations)
+        mode = "append" if staged.replace is None else "partitions"
+        self._written[name] = (mode, counts.inserted + counts.updated, counts)
+
+    def _report(self, name: str, violations: Mapping[str, int]) -> None:
+        rows = [(self.batch_id, name, f"{name}: {check}", int(n)) for check, n in violations.items()]
+        self.store.log("dq_report", self.spark.createDataFrame(
+            rows, "run_id bigint, table string, check string, violations bigint").coalesce(1))
 
     def _table(self, name: str, empty: Callable[[SparkSession], DataFrame]) -> DataFrame:
         return self.store.read(name) if self.store.exists(name) else empty(self.spark)
@@ -134,7 +137,7 @@ class MartRunner:
             res = StepResult(st.name, "IN_PROGRESS")
             try:
                 published = st.run() or st.name
-                res.mode, res.rows_written = self._written.get(published, (None, 0))
+                res.mode, res.rows_written, res.counts = self._written.get(published, (None, 0, LoadCounts()))
                 res.status = "SUCCESS"
             except Exception as exc:  # noqa: BLE001 - recorded, then re-raised per policy
                 res.status, res.error = "FAILED", f"{type(exc).__name__}: {exc}"
@@ -142,7 +145,9 @@ class MartRunner:
             end = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
             res.seconds = (end - start).total_seconds()
             self.audit.record(self.batch_id, step_name, self.load_date, start, end,
-                              res.status, processed=res.rows_written, inserted=res.inserted, error=res.error)
+                              res.status, processed=res.rows_written, inserted=res.counts.inserted,
+                              updated=res.counts.updated, deleted=res.counts.deleted,
+                              duplicates=res.counts.duplicates, error=res.error)
             results.append(res)
             if res.status == "FAILED" and st.optional:
                 continue
@@ -265,28 +270,28 @@ class MartRunner:
         def annual():
             metrics = {m: self.store.read(f"stg_ts_{m}") for m in service.CURRENT_METRICS
                        if self.store.exists(f"stg_ts_{m}")}
-            cur = self._table("Fact_Annual_Service_Performance", service.empty_fact_annual)
-            self._load_fact("Fact_Annual_Service_Performance", service.fact_annual_service_performance(
-                metrics, d["calendar"], d["agency"], d["mode"], d["service_type"], d["urban"], cur,
-                reload=self.reload, **kw), service.ANNUAL_GRAIN, {**FACT_KEYS, "DateKey": ("DimDate", "DateKey")})
+            name = "Fact_Annual_Service_Performance"
+            self._load_fact(name, service.fact_annual_service_performance(
+                metrics, d["calendar"], d["agency"], d["mode"], d["service_type"], d["urban"], self._fact(name),
+                reload=self.reload, **kw))
 
         def safety():
-            cur = self._table("Fact_Major_Safety_Event", service.empty_fact_safety)
-            self._load_fact("Fact_Major_Safety_Event", service.fact_major_safety_event(
+            name = "Fact_Major_Safety_Event"
+            self._load_fact(name, service.fact_major_safety_event(
                 self.store.read("stg_major_safety_event"), d["calendar"], d["agency"], d["mode"], d["service_type"],
-                d["urban"], d["event_type"], d["incident"], cur, reload=self.reload, **kw), ["SourceIncidentID"], {**FACT_KEYS, "EventDateKey": ("DimDate", "DateKey")})
+                d["urban"], d["event_type"], d["incident"], self._fact(name), reload=self.reload, **kw))
 
         def availability():
-            cur = self._table("Fact_Service_Availability", service.empty_fact_availability)
-            self._load_fact("Fact_Service_Availability", service.fact_service_availability(
+            name = "Fact_Service_Availability"
+            self._load_fact(name, service.fact_service_availability(
                 self.store.read("stg_agency_mode_service"), d["calendar"], d["agency"], d["mode"],
-                d["service_type"], cur, reload=self.reload, **kw), service.AVAILABILITY_GRAIN, {**FACT_KEYS, "StartDateKey": ("DimDate", "DateKey")})
+                d["service_type"], self._fact(name), reload=self.reload, **kw))
 
         def lifecycle():
-            cur = self._table("Fact_Service_Lifecycle_Accumulating", service.empty_fact_lifecycle)
-            self._load_fact("Fact_Service_Lifecycle_Accumulating", service.fact_service_lifecycle(
+            name = "Fact_Service_Lifecycle_Accumulating"
+            self._load_fact(name, service.fact_service_lifecycle(
                 self.store.read("Fact_Annual_Service_Performance"), self.store.read("Fact_Service_Availability"),
-                self.store.read("Fact_Major_Safety_Event"), d["calendar"], cur, **kw), service.LIFECYCLE_KEY, FACT_KEYS)
+                self.store.read("Fact_Major_Safety_Event"), d["calendar"], self._fact(name), **kw))
 
         return self.run_steps([Step("Fact_Annual_Service_Performance", annual),
                                Step("Fact_Major_Safety_Event", safety),
@@ -317,24 +322,22 @@ class MartRunner:
         cal = d["calendar"]
 
         def posting():
-            cur = self._table("FactJobPosting", workforce.empty_fact_job_posting)
             self._load_fact("FactJobPosting", workforce.fact_job_posting(
-                self.store.read("stg_job_openings"), cal, d, cur, batch_id=self.batch_id, load_ts=self.load_ts), ["OpeningID"], {**FACT_KEYS, "DateKey": ("DimDate", "DateKey")})
+                self.store.read("stg_job_openings"), cal, d, self._fact("FactJobPosting"), batch_id=self.batch_id,
+                load_ts=self.load_ts))
 
         def snapshot():
-            cur = self._table("FactEmployeeSnapshot", workforce.empty_fact_employee_snapshot)
             self._load_fact("FactEmployeeSnapshot", workforce.fact_employee_snapshot(
-                self.store.read("stg_employee_unified"), cal, d, cur, batch_id=self.batch_id, load_ts=self.load_ts), workforce.SNAPSHOT_GRAIN, {**FACT_KEYS, "DateKey": ("DimDate", "DateKey")})
+                self.store.read("stg_employee_unified"), cal, d, self._fact("FactEmployeeSnapshot"),
+                batch_id=self.batch_id, load_ts=self.load_ts))
 
         def coverage():
-            cur = self._table("FactAgencyLaborCoverage", workforce.empty_fact_labor_coverage)
             self._load_fact("FactAgencyLaborCoverage", workforce.fact_labor_coverage(
-                self.store.read("stg_employee_unified"), cal, d, cur), workforce.COVERAGE_GRAIN, FACT_KEYS)
+                self.store.read("stg_employee_unified"), cal, d, self._fact("FactAgencyLaborCoverage")))
 
         def lifecycle():
-            cur = self._table("FactJobPostingLifecycle", workforce.empty_fact_posting_lifecycle)
             self._load_fact("FactJobPostingLifecycle", workforce.fact_posting_lifecycle(
-                self.store.read("stg_job_openings"), cal, d, cur), ["OpeningID"], FACT_KEYS)
+                self.store.read("stg_job_openings"), cal, d, self._fact("FactJobPostingLifecycle")))
 
         has_jobs = self.store.exists("stg_job_openings")
         has_emp = self.store.exists("stg_employee_unified")

@@ -35,16 +35,64 @@ def read_raw_csv(spark: SparkSession, path: str, columns: Sequence[str] | None =
     return normalise_headers(reader.option("inferSchema", False).csv(path))
 
 
+CORRUPT, SOURCE_FILE = "_corrupt_record", "_source_file"
+
+
+class HeaderMismatch(ValueError):
+    """Files whose header is not the expected one; nothing of them has been read."""
+
+
+def check_headers(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], sep: str = ",",
+                  encoding: str = "UTF-8") -> None:
+    """Raise unless every file has exactly the given header names, padding aside (one line a file is read)."""
+    bad = {}
+    for path in paths:
+        found = read_raw_csv(spark, path, sep=sep, encoding=encoding).columns
+        if list(found) != list(columns):
+            bad[path] = (sorted(set(columns) - set(found)), sorted(set(found) - set(columns)))
+    if bad:
+        raise HeaderMismatch("; ".join(f"{p}: missing {m}, unexpected {u}" if m or u else f"{p}: other order"
+                                       for p, (m, u) in bad.items()))
+
+
+def read_raw_checked(spark: SparkSession, paths: Sequence[str], columns: Sequence[str], sep: str = ",",
+                     encoding: str = "UTF-8", checked: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of CSV files with one header; every column is text, ``_source_file`` tells the file.
+
+    A line with too few or too many fields, or with broken quotes, becomes a reject with its whole text; nothing is
+    dropped and no line stops the load.  ``checked``: the headers are compared first and a file with another
+    header raises.
+    """
+    if checked:
+        check_headers(spark, paths, columns, sep, encoding)
+    schema = T.StructType([*string_schema(columns).fields, T.StructField(CORRUPT, T.StringType())])
+    # without column pruning a line is judged by all its fields, whatever is selected later
+    lines = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
+             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+             .schema(schema).csv(list(paths)).withColumn(SOURCE_FILE, F.col("_metadata.file_path")))
+    good = lines.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    rejects = lines.where(F.col(CORRUPT).isNotNull()).select(SOURCE_FILE, F.col(CORRUPT).alias("line"))
+    return good, rejects
+
+
 def read_yearly(spark: SparkSession, paths: Mapping[int, str], layouts: Mapping[int, Mapping[str, str]],
                 targets: Sequence[str], year_col: str = "ReportYear") -> DataFrame:
     """The same logical table from one file per year, each with its own header map,
     conformed to ``targets`` and unioned (year added as a column)."""
-    frames = []
+    return read_yearly_checked(spark, paths, layouts, targets, year_col)[0]
+
+
+def read_yearly_checked(spark: SparkSession, paths: Mapping[int, str], layouts: Mapping[int, Mapping[str, str]],
+                        targets: Sequence[str], year_col: str = "ReportYear") -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of yearly files; every year's header is read first and its lines are judged by it."""
+    frames, rejects = [], []
     for year, path in paths.items():
-        raw = read_raw_csv(spark, path)
-        frames.append(conform_layout(raw, layouts.get(year, {}), targets)
+        columns = read_raw_csv(spark, path).columns
+        good, bad = read_raw_checked(spark, [path], columns, checked=False)
+        frames.append(conform_layout(good.drop(SOURCE_FILE), layouts.get(year, {}), targets)
                       .withColumn(year_col, F.lit(year)))
-    return functools.reduce(lambda a, b: a.unionByName(b), frames)
+        rejects.append(bad.withColumn(year_col, F.lit(year)))
+    return tuple(functools.reduce(lambda a, b: a.unionByName(b), x) for x in (frames, rejects))
 
 
 def rows(spark: SparkSession, data: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:

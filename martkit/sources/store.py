@@ -12,6 +12,9 @@ of a version that has the old directories and the new one.  Markers are never re
   cannot overwrite a Parquet path it is reading from,
 * a retried task/stage only rewrites files inside the new version directory.
 
+Facts and logs have no versions: they are plain Parquet rows below ``<root>/<name>/data``, facts partitioned and
+checked before they are written there (``sources/fact_table.py``).
+
 All I/O goes through ``spark.read`` / ``df.write`` so any Hadoop-compatible shared file
 system works (HDFS, S3, ABFS, or a local folder in tests).
 """
@@ -23,11 +26,14 @@ import functools
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from martkit.functions.dates import format_ts, seconds_between
 from martkit.operators.joins import anti_join
+from martkit.sources.fact_table import PART, FactTable
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("run_id", T.LongType()),
@@ -97,7 +103,26 @@ class SnapshotStore:
         return cur[0] if cur else None
 
     def exists(self, name: str) -> bool:
-        return self._current(name) is not None
+        return self._current(name) is not None or self._plain(name) is not None
+
+    # --- plain tables: facts (``sources/fact_table.py``) and logs, without versions ------------------
+    def _plain(self, name: str) -> DataFrame | None:
+        """Rows below ``<name>/data``; None where there are none."""
+        try:
+            return self.spark.read.parquet(f"{self.root}/{name}/data")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def log(self, name: str, df: DataFrame) -> None:
+        """Add rows to a plain table."""
+        df.write.mode("append").parquet(f"{self.root}/{name}/data")
+
+    def fact(self, name: str, schema: T.StructType, grain: Sequence[str], part: Column, key_col: str | None = None
+             ) -> FactTable:
+        """A fact of this store, partitioned by ``part``."""
+        return FactTable(self.spark, f"{self.root}/{name}", schema, grain, part, key_col)
 
     def names(self, prefix: str = "") -> list[str]:
         """Published tables whose names begin with ``prefix``."""
@@ -113,6 +138,9 @@ class SnapshotStore:
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         cur = self._current(name)
         if cur is None:
+            plain = self._plain(name)
+            if plain is not None:
+                return plain.drop(PART)
             if schema is None:
                 raise FileNotFoundError(f"table {name!r} has not been published")
             return self.spark.createDataFrame([], schema)
@@ -206,7 +234,7 @@ class AuditLog:
         row = (run_id, procedure, load_date, start, end, processed, inserted, updated, deleted,
                duplicates, status, error)
         df = self.store.spark.createDataFrame([row], AUDIT_SCHEMA)
-        self.store.append(self.table, df)
+        self.store.log(self.table, df)
 
     def start(self, run_id: int, procedure: str, load_date: _dt.date, start: _dt.datetime) -> None:
         self.record(run_id, procedure, load_date, start, None, "IN_PROGRESS")
@@ -223,8 +251,7 @@ class AuditLog:
         """Audit summary with the run duration in seconds, newest first."""
         a = self.latest()
         out = a.select("procedure_name", "status", "rows_processed", "rows_inserted", "rows_updated",
-                       F.date_format("load_start_time", "yyyy-MM-dd HH:mm:ss").alias("started"),
-                       (F.unix_timestamp("load_end_time") - F.unix_timestamp("load_start_time"))
-                       .alias("duration_seconds"), "load_start_time")
+                       "rows_deleted", "duplicate_count", format_ts("load_start_time").alias("started"),
+                       seconds_between("load_start_time", "load_end_time").alias("duration_seconds"), "load_start_time")
         order = F.col("load_start_time").desc() if newest_first else F.col("load_start_time").asc()
         return out.orderBy(order, F.col("procedure_name")).drop("load_start_time")

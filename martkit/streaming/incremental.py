@@ -6,9 +6,8 @@ as it likes and is still loaded once.  A micro-batch that is replayed after a
 failure (written but not committed in the checkpoint) therefore adds nothing the second
 time, which makes the sink effectively exactly-once.
 
-The grain check of a micro-batch (``facts.new_rows``) reads only the existing rows whose
-grain appears in the batch (left-semi join against the broadcast batch keys, bounded by
-the trigger's batch size), so the target is scanned but never shuffled.
+The grain check of a micro-batch reads only the partitions whose grain summary can hold one of its keys
+(``sources/fact_table.py``); the target is plain partitioned Parquet.
 """
 
 from __future__ import annotations
@@ -17,38 +16,34 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from martkit.operators.facts import new_rows
+from martkit.operators.joins import anti_join
 from martkit.session import checkpoint_dir
 from martkit.sources.store import SnapshotStore
 
-# Micro-batch key sets above this many rows are not broadcast (shuffle join instead).
-MAX_BROADCAST_BATCH_KEYS = 5_000_000
 
-
-def _append_batch(store: SnapshotStore, table: str, grain: Sequence[str], partition_by: Sequence[str]):
+def _append_batch(store: SnapshotStore, table: str, grain: Sequence[str], part: Column):
     def run(batch: DataFrame, epoch_id: int) -> None:
-        # The micro-batch is used twice (size check, append): persist it for this batch only.
+        # The micro-batch is used twice (pruning, append): persist it for this batch only.
         cached = batch.dropDuplicates(list(grain)).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = cached
-            if store.exists(table):
-                rows = new_rows(store.read(table), cached, grain, null_safe=True,
-                                max_broadcast_keys=MAX_BROADCAST_BATCH_KEYS, materialize=False)
-            store.append(table, rows, partition_by)
+            fact = store.fact(table, batch.schema, grain, part)
+            fact.load(fact.append(anti_join(cached, fact.rows_like(cached), list(grain), null_safe=True)))
         finally:
             cached.unpersist()
     return run
 
 
 def append_stream(stream: DataFrame, store: SnapshotStore, table: str, grain: Sequence[str],
-                  checkpoint_location: str | None = None, partition_by: Sequence[str] = (),
+                  checkpoint_location: str | None = None, part: Column | None = None,
                   available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """Start the incremental idempotent append of ``stream`` into ``store``/``table``."""
+    """Start the incremental idempotent append of ``stream`` into ``store``/``table``, partitioned by ``part``
+    (a whole number per row, e.g. its day; one partition by default)."""
     location = checkpoint_location or f"{checkpoint_dir(stream.sparkSession)}/martkit-stream-{table}-{uuid.uuid4().hex}"
-    writer = stream.writeStream.foreachBatch(_append_batch(store, table, grain, partition_by)) \
+    writer = stream.writeStream.foreachBatch(_append_batch(store, table, grain, F.lit(0) if part is None else part)) \
         .option("checkpointLocation", location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=processing_time or "1 minute")
     return writer.start()
