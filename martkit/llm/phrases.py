@@ -6,7 +6,10 @@ exactly, scored at their weakest cut and ranked.
 1. **Words.**  Exact counts of all words, pre-aggregated in the tasks; a phrase can only be frequent if all its words are.
 2. **Mining.**  A shard is what a task gathers of one language, up to SHARD_BYTES of text.  It is mined completely, level by
    level, at the support times its share of the language's bytes, rounded up: what is frequent in the corpus is frequent
-   in one shard at least.  The union of the shards' phrases holds every frequent phrase and all parts of each.
+   in one shard at least.  A phrase that a shard does not report occurs there fewer times than its local support, so the
+   reported counts and these gaps bound the phrase's count from above; the union of the shards' phrases that can reach the
+   support holds every frequent phrase and all parts of each.  Shards a little smaller than two supports' share leave
+   the smallest gaps.
 3. **Counting.**  A second scan counts the candidates in all texts.  Tasks know them by a bit filter of a fixed greatest
    size (FILTER_BITS), so what a task loads does not grow with the corpus; what the filter lets through besides is counted
    as exactly and falls to the support.  Only counts pre-aggregated in the tasks are shuffled.
@@ -38,7 +41,8 @@ SUPPORT = 100
 LONGEST = 5
 TOP = 2000
 NO_LANG = "und"
-SHARD_BYTES = 24 << 20   # text of a shard
+SHARD_BYTES = 10 << 20   # text of a shard that is mined or counted
+HELD_BYTES = 24 << 20    # text that a task holds, of all languages
 BLOCK_BYTES = 1 << 20    # text tokenised at a time
 FILTER_BITS = 27         # the filter has 2**27 bits (16 MB) at most
 PAGE_BITS = 21
@@ -69,6 +73,17 @@ class _Codes(dict):
         return code
 
 
+def _groups(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a place of every distinct key, which of them each key is, how often each occurs)."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.append(True, keys[1:] != keys[:-1])
+    starts = np.flatnonzero(new)
+    which = np.empty(len(keys), np.int32)
+    which[order] = np.cumsum(new, dtype=np.int32) - 1
+    return order[starts], which, np.diff(np.append(starts, len(keys)))
+
+
 class Shard:
     """Texts of one language: ``codes`` of their words with breaks between pieces, ``words`` by code."""
 
@@ -114,26 +129,26 @@ class Shard:
         codes = self.codes
         word = codes >= 0
         word[word] = known[codes[word]]
-        at = np.flatnonzero(word)
-        ids, hashes = codes[at].astype(np.int64), self.hashes[codes[at]]
+        at = np.flatnonzero(word).astype(np.int32)
+        ids, hashes = codes[at], self.hashes[codes[at]]
+        alive = np.zeros(len(codes) + 1, bool)
         for k in range(2, longest + 1):
-            alive = np.zeros(len(codes) + 1, bool)
+            alive[:] = False
             alive[at] = True
-            both = np.flatnonzero(alive[at + 1])
+            both = alive[at + 1]
             at, ids, hashes = at[both], ids[both], hashes[both]
             last = codes[at + k - 1]
             hashes = mix64(hashes * _K2 + self.hashes[last] * _K1 + U64(k))
             if fits is not None:
-                some = np.flatnonzero(fits(hashes))
+                some = fits(hashes)
                 at, ids, hashes, last = at[some], ids[some], hashes[some], last[some]
             if not len(at):
                 return
-            _, first, ids, n = np.unique(ids * len(self.words) + last, return_index=True, return_inverse=True,
-                                         return_counts=True)
+            first, ids, n = _groups(ids.astype(np.int64) * len(self.words) + last)
             wanted = keep(n)
             if wanted.any():
                 yield k, at[first[wanted]], n[wanted], hashes[first[wanted]]
-            some = np.flatnonzero(wanted[ids])
+            some = wanted[ids]
             at, ids, hashes = at[some], ids[some], hashes[some]
 
 
@@ -203,27 +218,31 @@ def filter_bits(n: int) -> int:
     return min(FILTER_BITS, max(PAGE_BITS, (16 * n).bit_length()))
 
 
-def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int) -> Iterator[tuple[str, int, int, Shard]]:
-    """(lang, bytes, bytes of the lang in all texts, shard) of a task's rows (lang, total, text)."""
+def _shards(batches: Iterator[pa.RecordBatch], shard_bytes: int, pieces: int = 1
+            ) -> Iterator[tuple[str, int, int, Shard]]:
+    """(lang, bytes, bytes of the lang in all texts, shard) of a task's rows (lang, total, text).
+
+    A shard has ``shard_bytes`` of a language, or as much as makes ``pieces`` shards of all its texts if that is less.
+    """
     held: dict[str, list[bytes]] = {}
+    sizes: dict[str, int] = {}
     totals: dict[str, int] = {}
-    size = 0
 
-    def flush() -> Iterator[tuple[str, int, int, Shard]]:
-        for lang in list(held):
-            texts = held.pop(lang)
-            yield lang, sum(map(len, texts)), totals[lang], Shard(lang, texts)
+    def flush(lang: str) -> tuple[str, int, int, Shard]:
+        return lang, sizes.pop(lang), totals[lang], Shard(lang, held.pop(lang))
 
     for b in slices(batches, "text"):
         texts = b.column("text").cast(pa.large_string()).cast(pa.large_binary()).to_pylist()
         for lang, total, text in zip(b.column("lang").to_pylist(), b.column("total").to_pylist(), texts, strict=True):
             held.setdefault(lang, []).append(text)
+            sizes[lang] = sizes.get(lang, 0) + len(text)
             totals[lang] = total
-            size += len(text)
-        if size >= shard_bytes:
-            yield from flush()
-            size = 0
-    yield from flush()
+            if sizes[lang] >= min(shard_bytes, total // pieces + 1):
+                yield flush(lang)
+        while sum(sizes.values()) >= HELD_BYTES:
+            yield flush(max(sizes, key=sizes.get))
+    for lang in list(held):
+        yield flush(lang)
 
 
 _COUNTED = "lang string, k int, phrase string, n long, h long"
@@ -249,7 +268,7 @@ def _emit(lang: str, k: int, shard: Shard, at: np.ndarray, n: np.ndarray, hashes
 def _count_words(shard_bytes: int):
     """Words of a task's shards; the row of length 0 has the number of all words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, _, _, shard in _shards(batches, shard_bytes):
+        for lang, _, _, shard in _shards(batches, max(shard_bytes, HELD_BYTES)):
             n = shard.counts()
             yield _rows(lang, 0, [b""], np.array([n.sum()]), np.zeros(1, U64))
             for i in range(0, len(n), _BATCH):
@@ -259,14 +278,16 @@ def _count_words(shard_bytes: int):
 
 
 def _mine(support: int, longest: int, words: tuple, shard_bytes: int):
-    """Phrases that are frequent in a shard of a task."""
+    """Phrases that are frequent in a shard of a task, with what they have over the gap (the greatest count that a
+    phrase may have unreported); the row of length 0 has the gap."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None
-        for lang, size, total, shard in _shards(batches, shard_bytes):
+        for lang, size, total, shard in _shards(batches, shard_bytes, support // 2 + 1):
             known = known or Filter(*words)
-            least = max(1, -(-support * size // max(1, total)))
-            for k, at, n, hashes in shard.levels(known.has(shard.hashes), longest, lambda n, t=least: n >= t):
-                yield from _emit(lang, k, shard, at, n, hashes)
+            gap = max(1, -(-support * size // max(1, total))) - 1
+            yield _rows(lang, 0, [b""], np.array([gap]), np.zeros(1, U64))
+            for k, at, n, hashes in shard.levels(known.has(shard.hashes), longest, lambda n, t=gap: n > t):
+                yield from _emit(lang, k, shard, at, n - gap, hashes)
 
     return run
 
@@ -305,7 +326,10 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
     bits = filter_bits(single.count())
     known = (bits, build_filter(single, bits, folder))
     mined = rows.mapInArrow(_mine(support, longest, known, shard_bytes), _COUNTED)
-    candidates = materialise(mined.groupBy("lang", "k", "phrase").agg(F.first("h").alias("h")), "candidates")
+    mined = materialise(mined.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("over"), F.first("h").alias("h")), "mined")
+    gaps = mined.where("k = 0").select("lang", F.col("over").alias("gaps"))
+    candidates = mined.where("k > 0").join(gaps, "lang").where(F.col("over") + F.col("gaps") >= support)
+    candidates = materialise(candidates.select("h"), "candidates")
     bits = filter_bits(candidates.count())
     wanted = (bits, build_filter(candidates, bits, folder))
     counted = materialise(total(rows.mapInArrow(_count_phrases(longest, known, wanted, shard_bytes), _COUNTED)), "phrases")
