@@ -7,13 +7,14 @@ are the ids of its white-space words one after the other (checked against whole-
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 from martkit.llm.common import blobs, ragged, word_numbers
 
-CACHE_WORDS = 400_000  # words kept by a worker (about 200 bytes each), besides those of the batch at hand
+CACHE_WORDS = 1_200_000  # words kept by a worker (about 200 bytes each), besides those of the batch at hand
 _JOIN = 64               # simple words encoded in one call
 
 
@@ -53,51 +54,58 @@ class WordEncoder:
         self.pool = np.zeros(1024, dtype=np.uint32)
         self.used = 0
 
-    def _encode(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word.  Words of letters, with one closing mark at most, are encoded many to a
-        call and cut at the word-end pieces; a group whose cuts do not add up is encoded one by one."""
-        out: list = [None] * len(words)
-        simple, odd = [], []
-        for i, w in enumerate(words):
-            if w.isalpha():
-                simple.append((i, 1))
-            elif len(w) > 1 and w[-1] in ".,;:!?" and w[:-1].isalpha():
-                simple.append((i, 2))
-            else:
-                odd.append(i)
-        groups = [simple[k:k + _JOIN] for k in range(0, len(simple), _JOIN)]
-        joined = self.tok.encode_batch_fast([" ".join(words[i] for i, _ in g) for g in groups],
-                                            add_special_tokens=False) if groups else []
-        for g, e in zip(groups, joined, strict=True):
-            ids = np.array(e.ids, dtype=np.uint32)
-            stops = np.flatnonzero(self.is_end[ids]) + 1
-            take = np.cumsum([k for _, k in g]) - 1
-            if len(stops) != take[-1] + 1 or stops[-1] != len(ids):
-                odd += [i for i, _ in g]
-                continue
-            for (i, _), part in zip(g, np.split(ids, stops[take][:-1]), strict=True):
-                out[i] = part
-        if odd:
-            for i, e in zip(odd, self.tok.encode_batch_fast([words[i] for i in odd], add_special_tokens=False),
-                            strict=True):
-                out[i] = e.ids
-        return out
+    def _store(self, ids: np.ndarray) -> int:
+        """Add ids to the pool; the place of the first."""
+        if self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(ids), len(self.pool)), dtype=np.uint32)])
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.used += len(ids)
+        return self.used - len(ids)
+
+    def _many(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many texts, one after the other, and where each begins (n+1)."""
+        lists = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        offs = np.append(0, np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists))))
+        return np.fromiter(chain.from_iterable(lists), np.uint32, int(offs[-1])), offs
 
     def _learn(self, words: list[bytes]) -> None:
-        """Ids of words that got the next numbers."""
-        ids = self._encode([w.decode("utf-8") for w in words])
-        n = np.array([len(x) for x in ids], dtype=np.int32)
-        total, end = int(n.sum()), self.known + len(words)
-        if self.used + total > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(total, len(self.pool)), dtype=np.uint32)])
+        """Ids of words that got the next numbers.
+
+        Words of letters, with one closing mark at most, are encoded _JOIN to a call and cut at the word-end pieces;
+        a group whose cuts do not add up is encoded one by one, like all other words.
+        """
+        base, end = self.known, self.known + len(words)
         if end > len(self.n):
             more = max(end - len(self.n), len(self.n))
             self.at, self.n = (np.concatenate([x, np.zeros(more, x.dtype)]) for x in (self.at, self.n))
-        self.at[self.known:end] = self.used + np.cumsum(n) - n
-        self.n[self.known:end] = n
-        if total:
-            self.pool[self.used:self.used + total] = np.concatenate([np.asarray(x, dtype=np.uint32) for x in ids])
-        self.known, self.used = end, self.used + total
+        self.known = end
+        texts = [w.decode("utf-8") for w in words]
+        marks = np.fromiter((1 if w.isalpha() else 2 if w[-1] in ".,;:!?" and w[:-1].isalpha() else 0 for w in texts),
+                            np.int64, len(texts))  # word-end pieces that a simple word has
+        simple, odd = np.flatnonzero(marks), np.flatnonzero(marks == 0)
+        if len(simple):
+            starts = np.arange(0, len(simple), _JOIN)
+            ids, offs = self._many([" ".join([texts[i] for i in simple[g:g + _JOIN].tolist()]) for g in starts])
+            is_end = self.is_end[ids]
+            upto = np.append(0, np.cumsum(is_end))
+            fine = (upto[offs[1:]] - upto[offs[:-1]] == np.add.reduceat(marks[simple], starts)) & (np.diff(offs) > 0)
+            fine &= is_end[np.maximum(offs[1:] - 1, 0)]
+            group = np.arange(len(simple)) // _JOIN
+            took = np.cumsum(marks[simple])
+            took -= (took[starts] - marks[simple][starts])[group]  # marks of the group up to and with the word
+            ok = np.flatnonzero(fine[group])
+            stop = np.flatnonzero(is_end) + 1
+            last = np.zeros(len(simple), np.int64)
+            last[ok] = stop[upto[offs[:-1]][group[ok]] + took[ok] - 1]
+            first = np.where(np.arange(len(simple)) % _JOIN, np.append(0, last[:-1]), offs[:-1][group])
+            where = self._store(ids)
+            self.at[base + simple[ok]] = where + first[ok]
+            self.n[base + simple[ok]] = last[ok] - first[ok]
+            odd = np.concatenate([odd, simple[~fine[group]]])
+        if len(odd):
+            ids, offs = self._many([texts[i] for i in odd.tolist()])
+            self.at[base + odd] = self._store(ids) + offs[:-1]
+            self.n[base + odd] = np.diff(offs)
 
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) and, per text, the index of its first id (n+1)."""
