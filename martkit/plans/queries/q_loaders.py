@@ -13,7 +13,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.plans.calendar import calendar_range, with_special_dates
+from martkit.operators.lookup import Lookup, resolve_keys
+from martkit.operators.rollup import RollupStore
+from martkit.plans.calendar import DIM_DATE_COLUMNS, calendar_from_dates, calendar_range, with_special_dates
 from martkit.plans.fact_specs import FACTS
 from martkit.plans.marts import common, service, workforce
 from martkit.plans.queries.registry import query, table
@@ -238,6 +240,19 @@ SAFETY_HEADERS = [
         "Other Worker", "Total")], "Number of Transit Vehicles Involved", "Evacuation", "Property Damage"]
 
 
+def safety_feed(spark: SparkSession, sf: str) -> DataFrame:
+    e = table(spark, sf, "events").withColumn("i", F.floor("value").cast("int"))
+    return feed(e, {
+        "Incident Number": "event_id", "NTD ID": "concat(user_id, ' ')", "Mode": _mode("event_id"), "TOS": _tos("event_id"),
+        "Event Date": "date_format(ts, 'M/d/yyyy')", "Event Time": "date_format(ts, 'H:mm')",
+        "Event Category": "event_type", "Event Type": "''", "Event Type Group": "' '",
+        "Safety/Security": "CASE event_type WHEN 'error' THEN 'sft' WHEN 'click' THEN 'SECURITY' ELSE 'other' END",
+        "Event Description": "concat(' event ', event_id)", "Transit Vehicle Rider Injuries": "i % 7",
+        "Transit Vehicle Operator Injuries": "i % 5", "Other Worker Injuries": "i % 5", "Total Injuries": "i",
+        "Evacuation": "CASE event_type WHEN 'view' THEN 'True' WHEN 'click' THEN 'false' ELSE '' END",
+        "Property Damage": "format_number(CAST(value * 1000 AS DECIMAL(18,2)), 2)"}, SAFETY_HEADERS)
+
+
 @query("load_safety_events", sql=f"""
 WITH v AS (SELECT *, CAST(floor(value) AS INTEGER) AS i FROM events)
 SELECT CAST(event_id AS VARCHAR) AS SourceIncidentID, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS EventDateKey,
@@ -254,16 +269,7 @@ def load_safety_events(spark: SparkSession, sf: str) -> DataFrame:
     """L5 + L17 + L18 + L24: incidents staged, the event type and incident dimensions loaded,
     and the transaction fact keyed (null-safe on the event type) and appended once."""
     staged_agency, agency = _agency(spark, sf)
-    e = table(spark, sf, "events").withColumn("i", F.floor("value").cast("int"))
-    raw = feed(e, {
-        "Incident Number": "event_id", "NTD ID": "concat(user_id, ' ')", "Mode": _mode("event_id"), "TOS": _tos("event_id"),
-        "Event Date": "date_format(ts, 'M/d/yyyy')", "Event Time": "date_format(ts, 'H:mm')",
-        "Event Category": "event_type", "Event Type": "''", "Event Type Group": "' '",
-        "Safety/Security": "CASE event_type WHEN 'error' THEN 'sft' WHEN 'click' THEN 'SECURITY' ELSE 'other' END",
-        "Event Description": "concat(' event ', event_id)", "Transit Vehicle Rider Injuries": "i % 7",
-        "Transit Vehicle Operator Injuries": "i % 5", "Other Worker Injuries": "i % 5", "Total Injuries": "i",
-        "Evacuation": "CASE event_type WHEN 'view' THEN 'True' WHEN 'click' THEN 'false' ELSE '' END",
-        "Property Damage": "format_number(CAST(value * 1000 AS DECIMAL(18,2)), 2)"}, SAFETY_HEADERS)
+    raw = safety_feed(spark, sf)
     staged = _written(service.stage_safety_events(raw.unionByName(raw.where("Mode IS NULL"))))
     types = _written(service.dim_safety_event_type_load(staged, service.empty_dim_safety_event_type(spark)))
     incidents = _written(service.dim_safety_incident_load(staged, service.empty_dim_safety_incident(spark)))
@@ -281,6 +287,17 @@ def load_safety_events(spark: SparkSession, sf: str) -> DataFrame:
         F.col("PropertyDamageAmount").cast("double").alias("PropertyDamageAmount"), "EventDescription")
 
 
+def availability_feed(spark: SparkSession, sf: str) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    return feed(li, {
+        "NTD ID": "l_suppkey", "Mode": _mode("l_suppkey"), "TOS": _tos("l_orderkey"),
+        "Service Type": "CASE WHEN l_returnflag = 'A' THEN 'Planned' WHEN l_linestatus = 'O' THEN 'Active Service' "
+                        "ELSE 'Ending Service' END",
+        "Commitment Date": "'None'", "Start Service Date": "date_format(l_shipdate, 'yyyy-MM-dd')",
+        "End Service Date": "CASE WHEN l_returnflag = 'R' THEN CAST(date_add(l_shipdate, 30) AS STRING) ELSE 'None' END"},
+        [c.source for c in service.AGENCY_MODE_SERVICE_SPEC])
+
+
 @query("load_service_availability", sql=f"""
 WITH p AS (SELECT DISTINCT s_suppkey AS s, CAST(l_shipdate AS DATE) AS d, l_linestatus AS st, l_returnflag AS r,
                   {_known(_mode('l_suppkey'))} AS m, {_known(_tos('l_orderkey'))} AS t
@@ -294,16 +311,8 @@ def load_service_availability(spark: SparkSession, sf: str) -> DataFrame:
     """L2 + L25: service periods staged (duplicates, open ends, other service types), keyed as
     of their start and appended at the period grain."""
     _, agency = _agency(spark, sf)
-    li = table(spark, sf, "lineitem")
-    raw = feed(li, {
-        "NTD ID": "l_suppkey", "Mode": _mode("l_suppkey"), "TOS": _tos("l_orderkey"),
-        "Service Type": "CASE WHEN l_returnflag = 'A' THEN 'Planned' WHEN l_linestatus = 'O' THEN 'Active Service' "
-                        "ELSE 'Ending Service' END",
-        "Commitment Date": "'None'", "Start Service Date": "date_format(l_shipdate, 'yyyy-MM-dd')",
-        "End Service Date": "CASE WHEN l_returnflag = 'R' THEN CAST(date_add(l_shipdate, 30) AS STRING) ELSE 'None' END"},
-        [c.source for c in service.AGENCY_MODE_SERVICE_SPEC])
     mode, tos = common.dim_mode(spark), common.dim_service_type(spark)
-    rows = service.fact_service_availability(_written(service.stage_agency_mode_service(raw)), _calendar(spark), agency,
+    rows = service.fact_service_availability(_written(service.stage_agency_mode_service(availability_feed(spark, sf))), _calendar(spark), agency,
                                              mode, tos, service.empty_fact_availability(spark), batch_id=1).rows
     return _named(rows.select("AgencyKey", "ModeKey", "ServiceTypeKey", "StartDateKey", "EndDateKey", "ServiceActiveFlag"), {
         "AgencyKey": (agency, "AgencyKey", "NTD_ID"), "ModeKey": (mode, "ModeKey", "ModeCode"),
@@ -401,3 +410,187 @@ def load_posting_lifecycle(spark: SparkSession, sf: str) -> DataFrame:
     for _ in range(2):
         fact.load(workforce.fact_posting_lifecycle(staged, _calendar(spark), dims, fact))
     return fact.read().select("OpeningID", "PostingDateKey", "FilledDateKey", "ClosingDateKey")
+
+
+def archive_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """An archive metric file (1991-2014): a row for each supplier and line status."""
+    li = table(spark, sf, "lineitem").withColumn("_y", F.year("l_shipdate"))
+    rows = li.groupBy("l_suppkey", "l_linestatus").agg(
+        *[F.sum(F.when(F.col("_y") == y, F.col("l_quantity"))).alias(f"v{y}") for y in range(1995, 2002)])
+    return feed(rows, {
+        "NTD ID": "concat(l_suppkey, '.0')", "Legacy NTD ID": "CASE WHEN l_suppkey % 2 = 0 THEN '' ELSE lpad(l_suppkey, 4, '0') END",
+        "Mode": "CASE l_linestatus WHEN 'O' THEN ' MB' ELSE 'LR' END", "Service": "'DO'", "Census Year": "'2010'",
+        "UACE Code": "concat(l_suppkey % 25, '.0')", "UZA Area SQ Miles": "'n/a'",
+        **{str(y): f"coalesce(CAST(CAST(v{y} AS DECIMAL(18,1)) AS STRING), ' ')" for y in range(1995, 2002)}},
+        [c.source for c in service._metric_spec(service.ARCHIVE_YEARS, True)])
+
+
+@query("load_archive_metric", sql="""
+SELECT CAST(l_suppkey AS VARCHAR) AS ntd_id, CASE WHEN l_suppkey % 2 = 1 THEN lpad(CAST(l_suppkey AS VARCHAR), 4, '0') END AS legacy_ntd_id,
+       CASE l_linestatus WHEN 'O' THEN 'MB' ELSE 'LR' END AS mode, CAST(l_suppkey % 25 AS VARCHAR) AS uace_code, 2010 AS census_year,
+       CAST(sum(l_quantity) FILTER (year(l_shipdate) = 1995) AS DOUBLE) AS y1995,
+       CAST(sum(l_quantity) FILTER (year(l_shipdate) = 2001) AS DOUBLE) AS y2001, CAST(NULL AS DOUBLE) AS y1991
+FROM lineitem GROUP BY l_suppkey, l_linestatus
+""")
+def load_archive_metric(spark: SparkSession, sf: str) -> DataFrame:
+    """L4: an archive metric file staged: float-formatted ids and codes, blank years, text that is no number."""
+    return service.stage_metric(archive_feed(spark, sf), archive=True).select(
+        "ntd_id", "legacy_ntd_id", "mode", "uace_code", "census_year",
+        *[F.col(f"y{y}").cast("double").alias(f"y{y}") for y in (1995, 2001, 1991)])
+
+
+def old_employee_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """A 2016 employee file with padded headers: one row for each supplier."""
+    lay = workforce.employee_layout(2016)
+    li = table(spark, sf, "lineitem").groupBy("l_suppkey").agg(
+        F.sum(F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(0)).cast("bigint").alias("o"),
+        F.sum(F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(0)).cast("bigint").alias("r"),
+        F.count(F.lit(1)).alias("n"))
+    raw = feed(li, {
+        lay["ntd_id"]: "format_number(l_suppkey, 0)", lay["mode"]: "'MB'", lay["tos"]: "'DO'",
+        lay["ft_vehicle_operations_hours"]: "concat(format_number(o, 0), '.9')", lay["ft_vehicle_operations_count"]: "n",
+        lay["pt_facility_maintenance_hours"]: "r", lay["pt_facility_maintenance_count"]: "'1.5'",
+        lay["ft_total_hours"]: "o + r", lay["ft_total_count"]: "''"}, list(lay.values()))
+    return raw.toDF(*[f" {c}  " for c in raw.columns])
+
+
+@query("load_employee_history", sql="""
+WITH e AS (SELECT CAST(l_suppkey AS VARCHAR) AS s, count(*) AS n,
+             CAST(coalesce(sum(l_quantity) FILTER (l_linestatus = 'O'), 0) AS BIGINT) AS o,
+             CAST(coalesce(sum(l_quantity) FILTER (l_returnflag = 'R'), 0) AS BIGINT) AS r FROM lineitem GROUP BY 1)
+SELECT 2016 AS ReportYear, s AS NTD_ID, 'FullTime' AS EmploymentType, 'Vehicle Operations' AS DepartmentName,
+       CAST(o AS DOUBLE) AS HoursWorked, CAST(n AS DOUBLE) AS EmployeeCount, CAST(o + r AS DOUBLE) AS TotalHours FROM e WHERE o > 0
+UNION ALL SELECT 2016, s, 'FullTime', 'Total', CAST(o + r AS DOUBLE), 0, CAST(o + r AS DOUBLE) FROM e WHERE o + r > 0
+UNION ALL SELECT 2016, s, 'PartTime', 'Facility Maintenance', CAST(r AS DOUBLE), 1.5, 0 FROM e WHERE r > 0
+""")
+def load_employee_history(spark: SparkSession, sf: str) -> DataFrame:
+    """L6 + L8: a 2016 employee file (other headers, no operator split) staged and unpivoted."""
+    staged = _written(workforce.stage_employees(old_employee_feed(spark, sf), 2016))
+    rows = workforce.unify_employees({2016: staged}).where("HoursWorked > 0")
+    return rows.select("ReportYear", "NTD_ID", "EmploymentType", "DepartmentName",
+                       *[F.col(c).cast("double").alias(c) for c in ("HoursWorked", "EmployeeCount", "TotalHours")])
+
+
+@query("load_labor_coverage", sql="""
+WITH e AS (SELECT l_suppkey AS s,
+  coalesce(sum(l_quantity) FILTER (l_linestatus = 'O' AND l_returnflag = 'R'), 0)
+    + coalesce(sum(l_quantity) FILTER (l_linestatus = 'F' AND l_returnflag = 'R'), 0) AS ops,
+  coalesce(sum(l_quantity) FILTER (l_linestatus = 'O' AND l_returnflag = 'A'), 0) AS oa,
+  coalesce(sum(l_quantity) FILTER (l_linestatus = 'O' AND l_returnflag = 'N'), 0) AS "on"
+  FROM lineitem WHERE l_suppkey IN (SELECT s_suppkey FROM supplier) GROUP BY 1)
+SELECT 20190101 AS DateKey, CAST(s AS VARCHAR) AS NTD_ID, 'MB' AS ModeCode, 'DO' AS TOSCode, 'Full-Time' AS EmploymentTypeName,
+       'Vehicle Operations' AS DepartmentName FROM e WHERE ops > 0
+UNION ALL SELECT 20190101, CAST(s AS VARCHAR), 'MB', 'DO', 'Full-Time', 'Facility Maintenance' FROM e WHERE oa > 0
+UNION ALL SELECT 20190101, CAST(s AS VARCHAR), 'MB', 'DO', 'Part-Time', 'Vehicle Maintenance' FROM e WHERE "on" > 0
+""")
+def load_labor_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """The factless coverage of a 2019 employee file, loaded twice into a fact partitioned by year start."""
+    _, agency = _agency(spark, sf)
+    staged = _written(workforce.stage_employees(employee_feed(spark, sf), 2019))
+    unified = _written(workforce.unify_employees({2019: staged}))
+    dims = _workforce_dims(spark, agency)
+    fact = _fact(spark, "FactAgencyLaborCoverage")
+    for _ in range(2):
+        fact.load(workforce.fact_labor_coverage(unified, _calendar(spark), dims, fact))
+    return _named(fact.read().select(*workforce.COVERAGE_GRAIN), {
+        "AgencyKey": (agency, "AgencyKey", "NTD_ID"), "ModeKey": (dims["mode"], "ModeKey", "ModeCode"),
+        "ServiceTypeKey": (dims["service_type"], "ServiceTypeKey", "TOSCode"),
+        "EmploymentTypeKey": (dims["employment_type"], "EmploymentTypeKey", "EmploymentTypeName"),
+        "DepartmentKey": (dims["department"], "DepartmentKey", "DepartmentName")})
+
+
+@query("load_calendar", sql="""
+SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS DateKey, d AS FullDate, CAST(year(d) AS INTEGER) AS CalendarYear,
+       CAST(quarter(d) AS INTEGER) AS CalendarQuarter, CASE WHEN month(d) <> 1 THEN strftime(d, '%b') END AS MonthShortName
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE day(o_orderdate) <> 15)
+UNION ALL SELECT -1, DATE '1900-01-01', -1, -1, 'Unk' UNION ALL SELECT 99991231, DATE '9999-12-31', 9999, 4, 'Dec'
+""")
+def load_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """A raw calendar file of the order dates (repeated lines, ids that are no numbers, undefined names) loaded twice."""
+    cal = calendar_from_dates(table(spark, sf, "orders"), "o_orderdate")
+    names = {"DateKey": "Id", "FullDate": "Date"}
+    raw = cal.select(*[F.col(c).cast("string").alias(names.get(c, c)) for c in DIM_DATE_COLUMNS])
+    raw = raw.withColumns({"Id": F.when(F.col("CalendarDayInMonth") == "15", "x").otherwise(F.concat(F.lit(" "), "Id")),
+                           "MonthShortName": F.when(F.col("CalendarMonth") == "1", "undefined").otherwise(F.col("MonthShortName"))})
+    raw = raw.unionByName(raw)
+    once = _written(common.dim_date_load(raw, common.empty_dim_date(spark)))
+    return common.dim_date_load(raw, once).select("DateKey", "FullDate", "CalendarYear", "CalendarQuarter", "MonthShortName")
+
+
+@query("static_dimensions", sql=f"""
+SELECT {_known(_mode('event_id'))} AS ModeCode, {_known(_tos('event_id'))} AS TOSCode, count(*) AS n, 1 AS sizes_ok FROM events
+GROUP BY 1, 2
+""")
+def static_dimensions(spark: SparkSession, sf: str) -> DataFrame:
+    """The fixed mode and service type dimensions, their sizes checked, as every event's codes resolve on them."""
+    mode, tos = common.dim_mode(spark), common.dim_service_type(spark)
+    codes = table(spark, sf, "events").select(F.expr(_mode("event_id")).alias("m"), F.expr(_tos("event_id")).alias("t"))
+    keyed = resolve_keys(codes, [Lookup(mode, [("m", "ModeCode")], "ModeKey", "ModeKey", broadcast=True),
+                                 Lookup(tos, [("t", "TOSCode")], "ServiceTypeKey", "ServiceTypeKey", broadcast=True)])
+    counted = keyed.groupBy("ModeKey", "ServiceTypeKey").agg(F.count(F.lit(1)).alias("n"))
+    sizes_ok = all(r.ok for r in common.verify_static_dims(spark).collect())  # two rows
+    return _named(counted.withColumn("sizes_ok", F.lit(int(sizes_ok))), {
+        "ModeKey": (mode, "ModeKey", "ModeCode"), "ServiceTypeKey": (tos, "ServiceTypeKey", "TOSCode")})
+
+
+@query("load_service_lifecycle", sql=f"""
+WITH a AS (
+  SELECT CAST((2015 + (year(l_shipdate) - 1992) % 10) * 10000 + 101 AS INTEGER) AS dk, CAST(l_suppkey AS VARCHAR) AS ntd,
+         CASE l_linestatus WHEN 'O' THEN 'MB' ELSE 'LR' END AS m,
+         CASE l_returnflag WHEN 'R' THEN 'DO' WHEN 'A' THEN 'PT' ELSE 'N/A' END AS t,
+         max(u.c) AS uace, CAST(sum(l_quantity) AS BIGINT) AS upt, count(*) AS vrm
+  FROM lineitem LEFT JOIN (SELECT DISTINCT CAST(s_nationkey AS VARCHAR) AS c FROM supplier) u
+       ON u.c = CAST(l_suppkey % 25 AS VARCHAR)
+  WHERE l_suppkey IN (SELECT s_suppkey FROM supplier) GROUP BY 1, 2, 3, 4),
+r AS (SELECT *, row_number() OVER (PARTITION BY ntd, m, t ORDER BY upt DESC, dk DESC) AS best,
+             row_number() OVER (PARTITION BY ntd, m, t ORDER BY dk DESC) AS late FROM a),
+life AS (SELECT ntd, m, t, min(dk) AS first, max(dk) AS last, max(uace) AS uace, max(dk) FILTER (best = 1) AS peak_dk,
+                max(upt) FILTER (best = 1) AS peak, max(upt) FILTER (late = 1) AS latest, sum(upt) AS upt, sum(vrm) AS vrm
+         FROM r GROUP BY 1, 2, 3),
+p AS (SELECT CAST(s_suppkey AS VARCHAR) AS ntd, {_known(_mode('l_suppkey'))} AS m, {_known(_tos('l_orderkey'))} AS t,
+             CAST(l_shipdate AS DATE) AS d, l_returnflag AS rf, bool_and(l_linestatus = 'O') AS active
+      FROM lineitem JOIN supplier ON s_suppkey = l_suppkey WHERE l_returnflag <> 'A' GROUP BY 1, 2, 3, 4, 5),
+av AS (SELECT ntd, m, t, max(CASE WHEN rf = 'R' THEN CAST(strftime(d + 30, '%Y%m%d') AS INTEGER) ELSE 99991231 END) AS ended
+       FROM p WHERE NOT active GROUP BY 1, 2, 3),
+sf AS (SELECT CAST(user_id AS VARCHAR) AS ntd, {_known(_mode('event_id'))} AS m, {_known(_tos('event_id'))} AS t, count(*) AS n,
+              sum(CAST(floor(value) AS INTEGER)) AS injuries FROM events GROUP BY 1, 2, 3)
+SELECT life.ntd AS NTD_ID, life.m AS ModeCode, life.t AS TOSCode, coalesce(uace, 'N/A') AS UACECode, first AS FirstObservedDateKey,
+       last AS LatestObservedDateKey, CAST(last // 10000 - first // 10000 + 1 AS INTEGER) AS YearsInService,
+       peak_dk AS PeakUPTDateKey, peak AS PeakAnnualUPT, latest AS LatestAnnualUPT, CAST(upt AS BIGINT) AS TotalObservedUPT,
+       CAST(vrm AS BIGINT) AS TotalObservedVRM, coalesce(sf.n, 0) AS TotalObservedMajorSafetyEvents,
+       CAST(coalesce(injuries, 0) AS BIGINT) AS TotalObservedInjuries, ended AS EndServiceDateKey,
+       CASE WHEN ended < last THEN 1 ELSE 0 END AS complete
+FROM life LEFT JOIN av USING (ntd, m, t) LEFT JOIN sf USING (ntd, m, t)
+""")
+def load_service_lifecycle(spark: SparkSession, sf: str) -> DataFrame:
+    """The service lifecycle from the annual, availability and safety facts.  The first load knows the years before
+    2019 and reads the annual fact; the second has all years and merges stored states of the two batches."""
+    staged_agency, agency = _agency(spark, sf)
+    urban = _written(service.dim_urban_area_load(staged_agency, service.empty_dim_urban_area(spark), LOAD_DATE, FIRST))
+    mode, tos, cal = common.dim_mode(spark), common.dim_service_type(spark), _calendar(spark)
+    metrics = {"upt": _written(service.stage_metric(metric_feed(spark, sf, F.col("l_quantity")))),
+               "vrm": _written(service.stage_metric(metric_feed(spark, sf, F.lit(1))))}
+    annual = _written(service.fact_annual_service_performance(
+        metrics, cal, agency, mode, tos, urban, service.empty_fact_annual(spark), batch_id=1).rows)
+    availability = _written(service.fact_service_availability(
+        _written(service.stage_agency_mode_service(availability_feed(spark, sf))), cal, agency, mode, tos,
+        service.empty_fact_availability(spark), batch_id=1).rows)
+    events = _written(service.stage_safety_events(safety_feed(spark, sf)))
+    types = _written(service.dim_safety_event_type_load(events, service.empty_dim_safety_event_type(spark)))
+    incidents = _written(service.dim_safety_incident_load(events, service.empty_dim_safety_incident(spark)))
+    safety = _written(service.fact_major_safety_event(events, cal, agency, mode, tos, urban, types, incidents,
+                                                      service.empty_fact_safety(spark), batch_id=1).rows)
+    fact = _fact(spark, "Fact_Service_Lifecycle_Accumulating")
+    early = annual.where("DateKey < 20190000")
+    fact.load(service.fact_service_lifecycle(early, availability, safety, cal, fact, batch_id=1))
+    states = RollupStore(spark, f"{fact.path}-states", service.SERVICE_ROLLUP)
+    states.put(1, early)
+    states.put(2, annual.where("DateKey >= 20190000"))
+    fact.load(service.fact_service_lifecycle_merged(states.result(), availability, safety, fact, batch_id=2))
+    return _named(fact.read(), {
+        "AgencyKey": (agency, "AgencyKey", "NTD_ID"), "ModeKey": (mode, "ModeKey", "ModeCode"),
+        "ServiceTypeKey": (tos, "ServiceTypeKey", "TOSCode"), "UrbanAreaKey": (urban, "UrbanAreaKey", "UACECode")}).select(
+        "NTD_ID", "ModeCode", "TOSCode", "UACECode", "FirstObservedDateKey", "LatestObservedDateKey", "YearsInService",
+        "PeakUPTDateKey", "PeakAnnualUPT", "LatestAnnualUPT", "TotalObservedUPT", "TotalObservedVRM",
+        "TotalObservedMajorSafetyEvents", "TotalObservedInjuries", "EndServiceDateKey",
+        F.col("LifecycleCompleteFlag").cast("int").alias("complete"))

@@ -212,11 +212,12 @@ class FactTable:
         counts.violations |= {r["check"]: r["violations"] for r in combine_checks(*checks).collect()}
         if any(counts.violations.values()):
             raise LoadRejected(self.name, counts.violations, folder)
-        self._publish(rows.drop(CHANGE), staged.replace)
+        # partitions that hold no rows yet need no replacing
+        self._publish(rows.drop(CHANGE), staged.replace if staged.old_rows else None)
         return counts
 
     def _publish(self, rows: DataFrame, replace: list[int] | None) -> None:
-        described = grain_summary(rows, self.grain, PART, self.key_col)
+        described = _stored_once(grain_summary(rows, self.grain, PART, self.key_col))  # a few rows a partition
         described.write.mode("append").partitionBy(PART).parquet(f"{self.path}/grain")
         out = rows.select(*self.columns, PART).hint("rebalance", PART)
         if replace is None:
@@ -225,7 +226,7 @@ class FactTable:
         dynamic = out.write.option("partitionOverwriteMode", "dynamic").mode("overwrite")
         dynamic.partitionBy(PART).parquet(f"{self.path}/data")
         # partitions that lost all their rows are written empty
-        left = {r[0] for r in rows.select(PART).distinct().collect()}
+        left = {r[0] for r in described.select(PART).distinct().collect()}
         for p in replace:
             if p not in left:
                 rows.limit(0).drop(PART).write.mode("overwrite").parquet(f"{self.path}/data/{PART}={p}")

@@ -66,10 +66,12 @@ def read_raw_checked(spark: SparkSession, paths: Sequence[str], columns: Sequenc
     if checked:
         check_headers(spark, paths, columns, sep, encoding)
     schema = T.StructType([*string_schema(columns).fields, T.StructField(CORRUPT, T.StringType())])
-    # without column pruning a line is judged by all its fields, whatever is selected later
+    # without column pruning a line is judged by all its fields, whatever is selected later; the condition is always
+    # true and only keeps all columns in the scan, as Spark refuses to read the corrupt-record column alone
     lines = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
              .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
-             .schema(schema).csv(list(paths)).withColumn(SOURCE_FILE, F.col("_metadata.file_path")))
+             .schema(schema).csv(list(paths)).withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
+             .where(F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in columns]), F.lit(1)) == 0))
     good = lines.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
     rejects = lines.where(F.col(CORRUPT).isNotNull()).select(SOURCE_FILE, F.col(CORRUPT).alias("line"))
     return good, rejects
