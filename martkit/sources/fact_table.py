@@ -171,7 +171,8 @@ class FactTable:
         """Accumulating load: ``merge(old rows, incoming)`` over the touched partitions only.
 
         Both sides carry ``part``; the result has the fact's columns, ``part`` and the change type.  A matched row
-        stays in its partition.  Touched are the partitions that hold an incoming key and those of new rows.
+        stays in its partition.  Touched are the partitions that hold an incoming key and those of new rows; written are
+        those of them in which a row changes.
         """
         inc = incoming if PART in incoming.columns else incoming.withColumn(
             PART, F.coalesce(self.part.cast("bigint"), F.lit(-1).cast("bigint")))
@@ -181,7 +182,9 @@ class FactTable:
         fresh = anti_join(inc, near, self.grain, null_safe=True)
         touched = sorted({r[0] for r in old.select(PART).unionByName(fresh.select(PART)).distinct().collect()})
         merged = merge(self.in_parts(touched), inc)
-        return Staged(merged, touched, self._held(touched))
+        # a partition whose rows all stay as they are is not written
+        changed = sorted({r[0] for r in merged.where(F.col(CHANGE) != KEPT).select(PART).distinct().collect()})
+        return Staged(merged.where(F.col(PART).isin(*changed) if changed else F.lit(False)), changed, self._held(changed))
 
     # --- staging, checks, publishing ------------------------------------------------------------
     def load(self, staged: Staged, rules: Sequence[Rule] = (), keys: Mapping[str, tuple[DataFrame, str]] | None = None
@@ -190,6 +193,8 @@ class FactTable:
 
         ``keys``: key column -> (dimension, its key).
         """
+        if staged.replace == []:
+            return LoadCounts()
         folder = f"{checkpoint_dir(self.spark).rstrip('/')}/load-{self.name}-{uuid.uuid4().hex}"
         seen = Observation(f"load_{uuid.uuid4().hex}")
         change = F.col(CHANGE)

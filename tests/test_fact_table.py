@@ -137,7 +137,9 @@ def test_upsert_touches_the_partitions_of_its_keys(spark, tmp_root):
     # a milestone that moves does not move the row
     put([(None, "i5-1", 700, None, 1)])
     assert {r.id: (r.start, r.part) for r in f.stored().collect()}["i5-1"] == (700, 5)
+    before = files(tmp_root)
     again = put([(None, "i5-1", 700, None, 1)])
+    assert files(tmp_root) == before  # nothing changes, nothing is written
     assert (again.inserted, again.updated) == (0, 0) and f.read().count() == 81
 
 
