@@ -6,8 +6,7 @@ lexicon it stands; learned transitions tie neighbouring words, so short stretche
 code-switched text keep their own labels.  Forward-backward gives every word its marginal over the languages;
 a text's language is the one with the largest mean marginal, and that mean is its score.
 
-Learning uses a bounded sample (TRAIN_ROWS texts of each language in hash order, TRAIN_CHARS characters of each),
-held on the driver: the texts are cut into runs of words that are strung together across languages, so that the
+Learning uses a bounded sample (TRAIN_ROWS whole texts of each language in hash order), held on the driver: the texts are cut into runs of words that are strung together across languages, so that the
 transitions see switches, and the weights are fitted by AdaGrad on the gradient that forward-backward gives.  The
 model's size is fixed by its hash tables and does not grow with the data.
 
@@ -16,7 +15,7 @@ product first, then the block borders, then all blocks side by side, so a text o
 
 Defined results: a null text or one without letters is ``und`` with score 0, as is every text when no labelled
 row can be learned from; ties go to the first language in order; repeated rows are judged each; other columns are
-ignored.
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -28,11 +27,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martkit.llm.common import U64, mix64, slices
+from martkit.llm.common import U64, materialise, mix64, slices
 
 UNKNOWN = "und"
-TRAIN_ROWS = 400      # labelled texts of each language that are learned from
-TRAIN_CHARS = 3000    # characters taken of each of them (from its middle if it is longer)
+TRAIN_ROWS = 200      # labelled texts of each language that are learned from, whole
+SAMPLE_SALTS = 16
 LEXICON_WORDS = 2000  # words of each language's lexicon
 BIGRAMS, TRIGRAMS, AFFIXES = 1 << 14, 1 << 16, 1 << 15
 RUN_WORDS = (4, 40)   # words of a run between switches in training
@@ -334,14 +333,20 @@ def _chain_expectations(model: LanguageModel, score: np.ndarray, bounds: np.ndar
 
 def fit_sample(docs: DataFrame, learn: Column) -> LanguageModel:
     """Fit on the bounded sample of the rows that satisfy ``learn`` and have a label."""
-    text = F.col("text").cast("string")
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(
-        F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id", F.lit(6)).alias("h"), "doc_id",
-        F.when(F.length(text) > TRAIN_CHARS, F.substring(
-            text, ((F.length(text) - TRAIN_CHARS) / 2).cast("int") + 1, F.lit(TRAIN_CHARS))).otherwise(
-            text).alias("text"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    sample = rows.withColumn("rank", rank).where(F.col("rank") <= TRAIN_ROWS).orderBy("lang", "rank").collect()
+        F.col("lang").cast("string").alias("lang"), F.xxhash64("doc_id", F.lit(6)).alias("h"),
+        F.col("text").cast("string").alias("text"))
+
+    def first(df: DataFrame, *by: str, order: list[str]) -> DataFrame:
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        return df.withColumn("rank", rank).where(F.col("rank") <= TRAIN_ROWS).drop("rank")
+
+    # the hash of each language's last sampled text: by salt first, so that no language is ranked in one task
+    salted = first(rows.select("lang", "h", F.pmod("h", F.lit(SAMPLE_SALTS)).alias("salt")), "lang", "salt", order=["h"])
+    last = materialise(first(salted.select("lang", "h"), "lang", order=["h"]).groupBy("lang").agg(F.max("h").alias("last")),
+                       "sample-bounds")
+    # rows of a repeated doc_id share a hash
+    sample = first(rows.join(last, "lang").where("h <= last"), "lang", order=["h", "text"]).orderBy("lang", "h", "text").collect()
     return fit([r["text"] for r in sample], [r["lang"] for r in sample])
 
 
