@@ -453,9 +453,13 @@ def candidate_groups(shared: DataFrame, sets: DataFrame, cells: Cells, t: Thresh
     """(node, label): groups of sets that a link never leaves.
 
     Every cell is a region around its leader (its smallest print).  Its sets are measured: those within near (NEAR, or
-    r where that is more) of the leader are joined to it, those farther than near - r stay in the cell for another round.  Two linked sets of a
-    cell are at most r apart in their distance to the leader, so either both are near or both stay.  A set that is
-    left with fewer cells than linked sets share has no link left to find.
+    r where that is more) of the leader are joined to it, those farther than near - r stay in the cell for another round.
+    Two linked sets of a cell are at most r apart in their distance to the leader, so either both are near or both stay.
+    A set that is left with fewer cells than linked sets share has no link left to find.
+
+    The graph is contracted from round to round: a set is measured against a leader of another group only, edges
+    connect groups, and a cell whose sets are of one group is done.  Sets of the leader's own group are measured only in
+    cells that keep a far set, to see which of them may leave.
     """
     near = max(NEAR, t.r + MARGIN)
     halves = materialise(sets.select("node", "keys").mapInArrow(_brief, "node long, half binary").dropDuplicates(
@@ -464,30 +468,54 @@ def candidate_groups(shared: DataFrame, sets: DataFrame, cells: Cells, t: Thresh
     leads = shared.groupBy("cell").agg(F.min("node").alias("lead"))
     one = shared.join(leads, "cell").groupBy("node").agg(F.min("lead").alias("lead")).where("node <> lead")
     first = materialise(_measure_leads(one, halves).where(F.col("dist") <= near).select("node", "lead"), "first")
-    label = components(first, "first")
-    tagged = shared.join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_cells = tagged.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
-        "low < high").select("cell")
-    shared = materialise(shared.join(open_cells, "cell", "left_semi"), "open")
-    edges = [first]
+    labels = components(first, "first")  # (node, label); a set without a row is its own group
+    shared = _open(shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")))
     for _ in range(ROUNDS):
-        leads = shared.groupBy("cell").agg(F.min("node").alias("lead"))
-        led = materialise(shared.join(leads, "cell"), "led")
-        pairs = led.where("node <> lead").select("node", "lead").distinct()
-        dist = materialise(_measure_leads(pairs, halves), "dist")
-        edges.append(dist.where(F.col("dist") <= near).select("node", "lead"))
-        far = dist.where(F.col("dist") > near - t.r - MARGIN).select("node", "lead")
-        shared = materialise(_enough(led.join(far, ["node", "lead"], "left_semi").select("cell", "node", "cls"),
-                                     cells.kept), "far")
         if shared.isEmpty():
-            break
-    else:  # what the rounds left stays together cell by cell
-        leads = shared.groupBy("cell").agg(F.min("node").alias("lead"))
-        edges.append(shared.join(leads, "cell").where("node <> lead").select("node", "lead"))
-    every = edges[0]
-    for e in edges[1:]:
-        every = every.unionByName(e)
-    return components(every.distinct(), "groups")
+            return labels
+        leads = shared.groupBy("cell").agg(F.min(F.struct("node", "label")).alias("l")).select(
+            "cell", F.col("l.node").alias("lead"), F.col("l.label").alias("lead_label"))
+        led = materialise(shared.join(leads, "cell"), "led")
+        strange = led.where("label <> lead_label").select("node", "lead").distinct()
+        dist = materialise(_measure_leads(strange, halves), "dist")
+        met = led.where("label <> lead_label").join(dist, ["node", "lead"])
+        edges = met.where(F.col("dist") <= near).select("label", "lead_label").distinct()
+        # cells that keep a set beyond the leader's reach; there its own group is measured too
+        far = materialise(met.where(F.col("dist") > near - t.r - MARGIN).select("cell", "node", "cls", "label", "dist"), "far")
+        held = led.join(far.where(F.col("dist") > near).select("cell").distinct(), "cell", "left_semi")
+        own = materialise(held.where("label = lead_label AND node <> lead"), "own")
+        kin = _measure_leads(own.select("node", "lead").distinct(), halves).where(F.col("dist") > near - t.r - MARGIN)
+        stay = own.join(kin.select("node", "lead"), ["node", "lead"], "left_semi").select("cell", "node", "cls", "label")
+        kept = far.join(far.where(F.col("dist") > near).select("cell").distinct(), "cell", "left_semi").select(
+            "cell", "node", "cls", "label").unionByName(stay)
+        labels, moved = _joined(labels, materialise(edges, "edges"))
+        left = _enough(materialise(kept, "kept"), cells.kept)
+        shared = _open(left.join(moved, F.col("label") == F.col("was"), "left").withColumn(
+            "label", F.coalesce("now", "label")))
+    if not shared.isEmpty():  # what the rounds left stays together cell by cell
+        low = shared.groupBy("cell").agg(F.min("label").alias("low"))
+        edges = shared.join(low, "cell").where("label <> low").select("label", "low").distinct()
+        labels, _ = _joined(labels, materialise(edges, "edges"))
+    return labels
+
+
+def _open(shared: DataFrame) -> DataFrame:
+    """(cell, node, cls, label) of the cells whose sets are not all of one group."""
+    ends = shared.groupBy("cell").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    return materialise(shared.join(ends.where("low < high").select("cell"), "cell", "left_semi").select(
+        "cell", "node", "cls", "label"), "open")
+
+
+def _joined(labels: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(labels after joining the groups that edges connect, (was, now) of the groups that moved)."""
+    if edges.isEmpty():
+        return labels, edges.sparkSession.createDataFrame([], "was long, now long")
+    moved = materialise(components(edges, "groups").select(F.col("node").alias("was"), F.col("label").alias("now")), "moved")
+    # groups of one set have no row in the labels yet
+    lone = moved.join(labels.select(F.col("label").alias("was")).distinct(), "was", "left_anti").select(
+        F.col("was").alias("node"), F.col("now").alias("label"))
+    known = labels.join(moved, F.col("label") == F.col("was"), "left").select("node", F.coalesce("now", "label").alias("label"))
+    return materialise(known.unionByName(lone), "labels"), moved
 
 
 _LABEL = "fp_a long, fp_b long, component_id long"
