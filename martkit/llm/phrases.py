@@ -9,14 +9,15 @@ exactly, scored at their weakest cut and ranked.
    in one shard at least.  A phrase that a shard does not report occurs there fewer times than its local support, so the
    reported counts and these gaps bound the phrase's count from above; the union of the shards' phrases that can reach the
    support holds every frequent phrase and all parts of each.  Shards a little smaller than two supports' share leave
-   the smallest gaps.
+   the smallest gaps.  Up to here phrases are packed arrays of 40-bit hashes, three or four bytes each; phrases that share
+   a hash only make each other candidates.
 3. **Counting.**  A second scan counts the candidates in all texts.  Tasks know them by a bit filter of a fixed greatest
    size (FILTER_BITS), so what a task loads does not grow with the corpus; what the filter lets through besides is counted
    as exactly and falls to the support.  Only counts pre-aggregated in the tasks are shuffled.
 4. **Scores.**  Joins of the counted phrases with their parts, on whole numbers of 38 digits.
 
-With more text than ``support`` shards the local support is 1 and mining keeps all phrases of frequent words of a shard;
-the result stays exact and the candidates are those of a full count.
+With more text than ``support`` shards the local support is 1 and mining packs all phrases of frequent words of a shard; the
+gaps are then 0, the bounds are the counts themselves, and the candidates are the frequent phrases.
 
 Defined results: a null or empty text has no words; a null lang is ``und``, one group with texts of that lang; rows with a
 null or repeated doc_id count like others; ties in rank go to the greater a, then to the phrase in UTF-8 byte order;
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 
 from martkit.llm import files
 from martkit.llm.common import U64, materialise, mix64, partitions, scratch, slices
+from martkit.llm.ngram_lm import Packed, count
 
 SUPPORT = 100
 LONGEST = 5
@@ -47,6 +49,8 @@ BLOCK_BYTES = 1 << 20    # text tokenised at a time
 FILTER_BITS = 27         # the filter has 2**27 bits (16 MB) at most
 PAGE_BITS = 21
 PROBES = 4
+SHORT_BITS = 40          # of a phrase's hash, until it is counted
+DEALS = 4                # parts of the mined hashes for each shuffle partition
 
 _TABLE = bytearray(range(256))
 for _c in range(ord("A"), ord("Z") + 1):
@@ -277,17 +281,54 @@ def _count_words(shard_bytes: int):
     return run
 
 
-def _mine(support: int, longest: int, words: tuple, shard_bytes: int):
-    """Phrases that are frequent in a shard of a task, with what they have over the gap (the greatest count that a
-    phrase may have unreported); the row of length 0 has the gap."""
+_MINED = "lang string, shard int, n long, body binary"
+
+
+def _short(hashes: np.ndarray) -> np.ndarray:
+    """Phrase hashes as mined phrases are told by until they are counted: phrases that share one become candidates together."""
+    return hashes >> U64(64 - SHORT_BITS)
+
+
+def _mine(support: int, longest: int, words: tuple, shard_bytes: int, deals: int):
+    """Phrases that are frequent in a shard of a task, packed by a part of their hash, with what they have over the gap
+    (the greatest count that a phrase may have unreported).  A row of part -1 has the gap itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None
         for lang, size, total, shard in _shards(batches, shard_bytes, support // 2 + 1):
             known = known or Filter(*words)
             gap = max(1, -(-support * size // max(1, total))) - 1
-            yield _rows(lang, 0, [b""], np.array([gap]), np.zeros(1, U64))
-            for k, at, n, hashes in shard.levels(known.has(shard.hashes), longest, lambda n, t=gap: n > t):
-                yield from _emit(lang, k, shard, at, n - gap, hashes)
+            yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([-1], pa.int32()), pa.array([gap], pa.int64()),
+                                              pa.array([b""])], names=["lang", "shard", "n", "body"])
+            held = Packed(lambda k: (k % U64(deals)).astype(np.int64))
+            for _, _, n, hashes in shard.levels(known.has(shard.hashes), longest, lambda n, t=gap: n > t):
+                held.parts.append((*count(_short(hashes), n - gap)[:2], None))
+                held.rows += len(n)
+            for b in held.send():
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * b.num_rows, pa.string()), *b.columns],
+                                                 names=["lang", "shard", "n", "body"])
+
+    return run
+
+
+def _reach(support: int):
+    """Hashes of the phrases that can reach the support, of rows sorted by part and language."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, parts, gaps = None, [], 0
+
+        def able() -> pa.RecordBatch:
+            keys, over, _ = count(np.concatenate([k for k, _, _ in parts]), np.concatenate([n for _, n, _ in parts]))
+            return pa.RecordBatch.from_arrays([pa.array(mix64(keys[over + gaps >= support]).view(np.int64))], names=["h"])
+
+        for b in batches:
+            for shard, lang, g, n, body in zip(*(b.column(c).to_pylist() for c in ("shard", "lang", "gaps", "n", "body")),
+                                               strict=True):
+                if (shard, lang) != own and parts:
+                    yield able()
+                    parts = []
+                own, gaps = (shard, lang), g
+                parts.append(Packed.read(n, body))
+        if parts:
+            yield able()
 
     return run
 
@@ -298,7 +339,8 @@ def _count_phrases(longest: int, words: tuple, phrases: tuple, shard_bytes: int)
         known = wanted = None
         for lang, _, _, shard in _shards(batches, shard_bytes):
             known, wanted = known or Filter(*words), wanted or Filter(*phrases)
-            for k, at, n, hashes in shard.levels(known.has(shard.hashes), longest, lambda n: n > 0, wanted.has):
+            for k, at, n, hashes in shard.levels(known.has(shard.hashes), longest, lambda n: n > 0,
+                                                   lambda h: wanted.has(mix64(_short(h)))):
                 yield from _emit(lang, k, shard, at, n, hashes)
 
     return run
@@ -325,11 +367,11 @@ def frequent_phrases(docs: DataFrame, support: int = SUPPORT, longest: int = LON
     single = words.where("k = 1")
     bits = filter_bits(single.count())
     known = (bits, build_filter(single, bits, folder))
-    mined = rows.mapInArrow(_mine(support, longest, known, shard_bytes), _COUNTED)
-    mined = materialise(mined.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("over"), F.first("h").alias("h")), "mined")
-    gaps = mined.where("k = 0").select("lang", F.col("over").alias("gaps"))
-    candidates = mined.where("k > 0").join(gaps, "lang").where(F.col("over") + F.col("gaps") >= support)
-    candidates = materialise(candidates.select("h"), "candidates")
+    parts = DEALS * partitions(spark)
+    mined = materialise(rows.mapInArrow(_mine(support, longest, known, shard_bytes, parts), _MINED), "mined")
+    gaps = mined.where("shard = -1").groupBy("lang").agg(F.sum("n").alias("gaps"))
+    dealt = mined.where("shard >= 0").join(gaps, "lang").repartition(partitions(spark), "shard")
+    candidates = materialise(dealt.sortWithinPartitions("shard", "lang").mapInArrow(_reach(support), "h long"), "candidates")
     bits = filter_bits(candidates.count())
     wanted = (bits, build_filter(candidates, bits, folder))
     counted = materialise(total(rows.mapInArrow(_count_phrases(longest, known, wanted, shard_bytes), _COUNTED)), "phrases")
