@@ -15,7 +15,8 @@ task holds is bounded however many items there are.
 
 Defined results: null and empty texts match nothing; null items, and items without letters or digits, are left out;
 an item too short for an edit (k = 0) must occur as whole words; repeated documents are matched each, repeated items
-too; of equally good matches the first counts; other columns are ignored; an empty benchmark matches nothing.
+too; of equally good matches the first counts; a text of any length is searched whole; other columns are ignored; an empty
+benchmark matches nothing, and an empty table of documents gives an empty result.
 """
 
 from __future__ import annotations

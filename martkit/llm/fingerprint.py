@@ -17,7 +17,8 @@ fewer than 32,768 in size exactly; beyond that only likeness coarsens, not equal
 sent to the range before, so every document meets its successor.
 
 Defined results: a null text is empty and has the fingerprint of the empty multiset; null doc_ids come first in
-the order; rows that repeat a doc_id are ordered by text; a single document is its own successor; other columns
+the order; rows that repeat a doc_id are ordered by text, and equal ones are each other's successors; a text of any length is
+hashed whole; a single document is its own successor; other columns
 are ignored; an empty table gives an empty result.
 """
 

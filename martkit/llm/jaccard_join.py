@@ -26,7 +26,8 @@ not enumerated.
 Defined results: null and white-space texts have an empty set and link with nothing (component_id is their own
 doc_id); a text shorter than an n-gram is one n-gram; rows with a null doc_id get their n_shingles, a null
 component_id and link nothing; rows that repeat a doc_id with one text are one document, and with different texts
-are judged each by its own text; other columns are ignored; an empty table gives an empty result.
+are judged each by its own text; equal sets count as one and take the smallest doc_id; a text of any length is judged by all its
+n-grams; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

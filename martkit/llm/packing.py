@@ -8,7 +8,8 @@ The number of groups follows the number of pieces, so a group's work and memory
 size; a group costs at most about one part-filled sequence more than packing all at once.
 
 Defined results: a null or empty text is one piece holding the end id; null doc_ids are packed like others;
-repeated rows are packed each; ties go to the sequence opened first; other columns are ignored.
+repeated rows are packed each; ties go to the sequence opened first; a text of any length is cut into whole pieces; other
+columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations

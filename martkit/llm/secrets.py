@@ -17,7 +17,8 @@ and separators only, UUIDs, published example keys.  A key of letters of one cas
 A match is found by position: ``split`` gives the text between matches, ``regexp_extract_all`` the matches, and running
 lengths the code points.  Only rows with a match compute positions.
 
-Defined results: a null or empty text has no span; repeated rows are scanned each; nothing is looked up across
+Defined results: a null or empty text has no span; a text of any length is scanned whole; an empty table gives an empty
+result; repeated rows are scanned each; nothing is looked up across
 rows; other columns pass by untouched in ``redact``, whatever their names, and are ignored in ``scan``.
 """
 

@@ -16,7 +16,8 @@ them), and the shuffle carries compressed frames, not texts.  A task names its f
 the manifest that Spark commits says which files count, so lost or repeated tasks leave no trace.
 
 Defined results: a null or empty text has the end id only; null doc_ids come first; rows that repeat a doc_id
-stay separate documents, ordered by length and checksum; other columns are ignored; an empty table has no shard.
+stay separate documents, ordered by length and checksum; a text of any length is encoded whole and is one frame; a doc_id of
+-2**63 cannot be told from null and reads back as null; other columns are ignored; an empty table has no shard.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ the rules that fit, the longest decides; equal lengths go to block, then to the
 rule fits are blocked if one of the method's own globs matches, else allowed.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule and is allowed;
-repeated rows are judged each; other columns are ignored.
+repeated rows are judged each; a url of any length is matched whole; other columns are ignored; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations

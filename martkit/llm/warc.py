@@ -13,7 +13,7 @@ undoes the chunked framing and compares the payload's digest.  ``status`` is ``o
 
 Defined results: a null html is an empty payload; a null page_id is always a response and never referred to;
 rows that repeat the smallest page_id of equal payloads are all responses; a null url writes no target;
-other columns are ignored; an empty table has no archive.
+a payload of any length is cut into segments; other columns are ignored; an empty table has no archive.
 """
 
 from __future__ import annotations
