@@ -47,19 +47,37 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-WORDS_KEPT = 1 << 18   # words whose hashes a worker keeps
+WORDS_KEPT = 1 << 19   # words whose hashes a worker keeps
 WORD_BLOCK = 1 << 20   # bytes of a text split at a time
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 
 
 class WordHashes(dict):
-    """64-bit BLAKE2b hashes of words: nobody can plant words with equal ones.  A hit compares the word itself."""
+    """64-bit BLAKE2b hashes of words: nobody can plant words with equal ones.  A hit compares the word itself.
+
+    The dict numbers the words; ``values`` has the hash of every number.
+    """
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+        self.known = np.zeros(0, U64)
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+    def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self) > WORDS_KEPT:
             self.clear()
-        self[word] = h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
+            self.known = np.zeros(0, U64)
+        number, first = word_numbers(texts, self.__getitem__, np.int32)
+        if self.new:
+            digest = hashlib.blake2b
+            more = np.frombuffer(b"".join([digest(w, digest_size=8).digest() for w in self.new]), "<u8")
+            self.known, self.new = np.concatenate([self.known, more.astype(U64)]), []
+        return self.known[number], first
 
 
 _hashes = WordHashes()
@@ -128,7 +146,7 @@ def word_numbers(texts: list[bytes], number: Callable[[bytes], int], dtype: type
 def word_hashes(col: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every white-space word of every text and, per text, the index of its first word (n+1)."""
     texts = blobs(col)
-    return word_numbers([t.lower() for t in texts] if lower else texts, _hashes.__getitem__, U64)
+    return _hashes.of([t.lower() for t in texts] if lower else texts)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,7 @@
 """Elias-Fano sequences: monotone whole numbers in about 2 + log2(universe / n) bits each, read in place.
 
 A value's low bits are packed side by side; its high part is written in unary into a bit vector (the i-th value
-sets bit high + i).  A directory holds the ones before every 512 bits.  All reads take many positions at a time.
+sets bit high + i).  A directory holds the ones before every 64 bits.  All reads take many positions at a time.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import numpy as np
 
 from martkit.llm.common import U64
 
-_BLOCK_WORDS = 8
 # position of the r-th one in a byte
 _SELECT = np.full((256, 8), 8, np.uint8)
 for _b in range(256):
@@ -27,19 +26,20 @@ def _or_words(size: int, index: np.ndarray, values: np.ndarray) -> np.ndarray:
     return out
 
 
+_EACH, _TOP = U64(0x0101010101010101), U64(0x8080808080808080)  # the lowest and highest bit of every byte
+
+
 def _select_in_word(word: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """Position of the r-th one (from 0) of each word."""
-    left = r.astype(np.int64).copy()
-    done = np.zeros(len(word), bool)
-    out = np.zeros(len(word), np.int64)
-    for k in range(8):
-        byte = ((word >> U64(8 * k)) & U64(0xFF)).astype(np.int64)
-        ones = np.bitwise_count(byte.astype(np.uint8)).astype(np.int64)
-        here = ~done & (left < ones)
-        out[here] = 8 * k + _SELECT[byte[here], left[here]]
-        done |= here
-        left -= np.where(done, 0, ones)
-    return out
+    """Position of the r-th one (from 0) of each word, all bytes of a word at a time."""
+    r = r.astype(U64)
+    s = word - ((word >> U64(1)) & U64(0x5555555555555555))
+    s = (s & U64(0x3333333333333333)) + ((s >> U64(2)) & U64(0x3333333333333333))
+    s = ((s + (s >> U64(4))) & U64(0x0F0F0F0F0F0F0F0F)) * _EACH  # ones up to and with each byte
+    past = (((r * _EACH) | _TOP) - s) & _TOP                     # bytes that end before the r-th one
+    place = np.bitwise_count(past).astype(U64) << U64(3)
+    left = r - (((s << U64(8)) >> place) & U64(0xFF))
+    byte = (word >> place) & U64(0xFF)
+    return place.astype(np.int64) + _SELECT[byte.astype(np.intp), left.astype(np.intp)]
 
 
 class EliasFano:
@@ -50,7 +50,8 @@ class EliasFano:
     def __init__(self, head: np.ndarray, low: np.ndarray, high: np.ndarray, ones: np.ndarray):
         self.n, self.bits = int(head[0]), int(head[1])
         self.low, self.high, self.ones = low, high, ones
-        self.zeros = np.arange(len(ones), dtype=np.int64) * (64 * _BLOCK_WORDS) - ones.astype(np.int64)
+        self.before = ones.astype(np.int64)
+        self.zeros = np.arange(len(ones), dtype=np.int64) * 64 - self.before
 
     @staticmethod
     def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
@@ -62,7 +63,6 @@ class EliasFano:
         place = (values >> U64(bits)).astype(np.int64) + index
         tops = (universe >> bits) + 1
         words = (n + tops + 64) // 64 + 1
-        words = -(-words // _BLOCK_WORDS) * _BLOCK_WORDS
         high = _or_words(words, place >> 6, U64(1) << (place & 63).astype(U64))
         packed = np.zeros(n * bits // 64 + 2, U64)
         if bits and n:
@@ -71,8 +71,7 @@ class EliasFano:
             packed |= _or_words(len(packed), word, low << shift)
             over = np.flatnonzero(shift + U64(bits) > U64(64))
             packed |= _or_words(len(packed), word[over] + 1, low[over] >> (U64(64) - shift[over]))
-        count = np.bitwise_count(high).reshape(-1, _BLOCK_WORDS).sum(axis=1, dtype=np.int64)
-        ones = np.append(0, np.cumsum(count)).astype(U64)
+        ones = np.append(0, np.cumsum(np.bitwise_count(high), dtype=np.int64)).astype(U64)
         return {"head": np.array([n, bits], U64), "low": packed, "high": high, "ones": ones}
 
     def _low(self, i: np.ndarray) -> np.ndarray:
@@ -86,27 +85,33 @@ class EliasFano:
 
     def _select(self, k: np.ndarray, before: np.ndarray, flip: bool) -> np.ndarray:
         """Place of the k-th one (zero if ``flip``) of the high bits."""
-        block = np.searchsorted(before, k, side="right") - 1
-        left = k - before[block]
-        word = block * _BLOCK_WORDS
-        # the word within the block: running counts of its eight words
-        group = self.high.reshape(-1, _BLOCK_WORDS)[block]
-        count = np.bitwise_count(~group if flip else group).astype(np.int64)
-        run = np.cumsum(count, axis=1)
-        inner = (run <= left[:, None]).sum(axis=1)
-        row = np.arange(len(k))
-        left -= np.where(inner > 0, run[row, np.maximum(inner - 1, 0)], 0)
-        value = group[row, inner]
-        return (word + inner) * 64 + _select_in_word(~value if flip else value, left)
+        word = np.searchsorted(before, k, side="right") - 1
+        value = self.high[word]
+        return word * 64 + _select_in_word(~value if flip else value, k - before[word])
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """The i-th values."""
         i = i.astype(np.int64)
         if not len(i):
             return np.zeros(0, U64)
-        top = self._select(i, self.ones.astype(np.int64), False) - i
+        top = self._select(i, self.before, False) - i
         return (top.astype(U64) << U64(self.bits)) | self._low(i)
 
+    def access_next(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The i-th values and those after them: the next one bit is mostly in the same word."""
+        i = i.astype(np.int64)
+        if not len(i):
+            return np.zeros(0, U64), np.zeros(0, U64)
+        at = self._select(i, self.before, False)
+        word = self.high[at >> 6]
+        rest = word & (~U64(0) << (at & 63).astype(U64)) & ~(U64(1) << (at & 63).astype(U64))
+        low = rest & (~rest + U64(1))
+        nxt = (at & ~63) + np.bitwise_count(low - U64(1)).astype(np.int64)
+        far = np.flatnonzero(rest == 0)
+        nxt[far] = self._select(i[far] + 1, self.before, False)
+        tops = [(x.astype(U64) << U64(self.bits)) | self._low(k) for x, k in ((at - i, i), (nxt - i - 1, i + 1))]
+        return tops[0], tops[1]
+
     def successor(self, x: np.ndarray, lo: np.ndarray | None = None,
                   hi: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(index of the first value >= x, whether it equals x), within the index ranges [lo, hi) if given."""

@@ -11,22 +11,23 @@ The trie lies in shard files in the shared folder, mapped into memory by the tas
   shards is its id) and the running sums of their counts as another;
 * the second level, cut by a hash of (context, word) so that no common context lands in one shard: the contexts of
   the shard as a sequence, monotone pointers to each context's first successor, the successors as context-relative
-  values (place of the context times V, plus word id), and the count of each in 8 bits (those of MANY or more beside);
+  values (place of the context times V, plus word id), and for each the smoothed log10 probability and, below the top
+  level, the weight of backing off from it as a context, both quantised to 16 bits (STEPS steps a decade);
 * the third level, the same with a pair's place in all shards of the second level as the context, cut by a hash of the
   triple.
 
-A lookup finds the context, takes its pointer range, and searches the successor in that range; probabilities are
-computed from the counts, which are exact.  What is gathered
-grows with the corpus (all distinct n-grams of the training texts), never passes through the driver, and is counted
-in each task before it is shuffled as packed, compressed arrays; a shard's share per task is one row, so a common
-word or pair weighs no more than others.  The driver sees one manifest row for each shard.
+A lookup finds the context, takes its pointer range, and searches the successor in that range.  A text's score differs
+from the unquantised one by less than 2 / STEPS a token.  What is gathered grows with the corpus (all distinct n-grams
+of the training texts), never passes through the driver, and is counted in each task before it is shuffled as packed,
+compressed arrays, each n-gram with its probability one level below and its context's count; a shard's share per
+task is one row, so a common word or pair weighs no more than others.  The driver sees one manifest row for each shard.
 
 Word ids must fit 32 bits (4.29 billion distinct words), and distinct pairs times words 64 bits; beyond that building
 raises.
 
 Defined results: a null or empty text is the end token alone; rows with a null doc_id are learned from and scored;
 repeated rows are learned from as often as they occur; with nothing to learn from N and V are 0 and both scores are
-the sums of log10(0.1 / 0.1) = 0; other columns are ignored; an empty table gives an empty result.
+the sums of log10(0.1 / 0.1) = 0; a text of any length is scored whole; other columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -46,10 +47,10 @@ from martkit.llm.elias_fano import EliasFano
 
 ALPHA = 0.1      # added to every unigram count (fixed by the contract)
 KAPPA = 20.0     # weight of the level below in a probability
-MANY = 255       # counts from here on are stored beside the 8-bit ones
+STEPS = 4096     # steps of a quantised decade; 16 bits hold 16 decades
 FOLDS = 10       # texts with crc32(doc_id) mod FOLDS = 0 are held out
 TEXT_BYTES = 3 << 20
-HELD_ROWS = 1 << 21  # distinct n-grams that a task holds before it sends them on
+HELD_ROWS = 1 << 20  # distinct n-grams that a task holds before it sends them on
 
 END = mix64(np.array([0x0E0D], U64))[0]
 
@@ -66,8 +67,9 @@ def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
-def count(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys, ascending, with their summed weights (1 each by default)."""
+def count(keys: np.ndarray, weights: np.ndarray | None = None, side: np.ndarray | None = None
+          ) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Distinct keys, ascending, with their summed weights (1 each by default) and one of their side rows."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
@@ -75,7 +77,17 @@ def count(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarr
         n = np.diff(np.append(first, len(keys)))
     else:
         n = np.add.reduceat(weights[order], first) if len(first) else np.zeros(0, np.int64)
-    return keys[first], n.astype(np.int64)
+    return keys[first], n.astype(np.int64), None if side is None else side[order[first]]
+
+
+def quantise(decades: np.ndarray) -> np.ndarray:
+    """Decades (not negative) as whole STEPS."""
+    return np.minimum(np.rint(decades * STEPS), 65535).astype(np.uint16)
+
+
+def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    keys, n, side = zip(*parts, strict=True)
+    return count(np.concatenate(keys), np.concatenate(n), None if side[0] is None else np.concatenate(side))
 
 
 class Packed:
@@ -85,26 +97,24 @@ class Packed:
 
     def __init__(self, shard_of: Callable[[np.ndarray], np.ndarray]):
         self.shard_of = shard_of
-        self.keys: list[np.ndarray] = []
-        self.n: list[np.ndarray] = []
+        self.parts: list[tuple] = []
         self.rows = 0
 
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        k, n = count(keys)
-        self.keys.append(k)
-        self.n.append(n)
-        self.rows += len(k)
+    def add(self, keys: np.ndarray, side: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+        """``side``: two float32 for each key, the same wherever the key occurs."""
+        self.parts.append(count(keys, None, side))
+        self.rows += len(self.parts[-1][0])
         if self.rows > HELD_ROWS:
-            k, n = count(np.concatenate(self.keys), np.concatenate(self.n))
-            self.keys, self.n, self.rows = [k], [n], len(k)
+            self.parts = [_merged(self.parts)]
+            self.rows = len(self.parts[0][0])
             if self.rows > HELD_ROWS // 2:
                 yield from self.send()
 
     def send(self) -> Iterator[pa.RecordBatch]:
         if not self.rows:
             return
-        k, n = count(np.concatenate(self.keys), np.concatenate(self.n))
-        self.keys, self.n, self.rows = [], [], 0
+        k, n, side = _merged(self.parts)
+        self.parts, self.rows = [], 0
         shard = self.shard_of(k)
         order = np.argsort(shard, kind="stable")
         k, n, shard = k[order], n[order], shard[order]
@@ -116,35 +126,32 @@ class Packed:
             step = np.diff(k[a:z], prepend=U64(0))
             # byte planes: the high bytes of differences are mostly zero
             plane = np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8).T).tobytes()
-            bodies.append(zstd.compress(plane + n[a:z].astype(np.uint32).tobytes()))
+            rest = b"" if side is None else np.ascontiguousarray(side[order[a:z]].T).tobytes()
+            bodies.append(zstd.compress(plane + n[a:z].astype(np.uint32).tobytes() + rest))
             sizes.append(z - a)
         yield pa.RecordBatch.from_arrays([pa.array(shard[starts].astype(np.int32)), pa.array(sizes, pa.int64()),
                                           pa.array(bodies, pa.binary())], names=["shard", "n", "body"])
 
     @staticmethod
-    def read(n: int, body: bytes) -> tuple[np.ndarray, np.ndarray]:
+    def read(n: int, body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
         raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
         step = np.ascontiguousarray(raw[:8 * n].reshape(8, n).T).view(U64).ravel()
-        return np.cumsum(step, dtype=U64), raw[8 * n:].view(np.uint32).astype(np.int64)
+        side = raw[12 * n:].view(np.float32).reshape(2, n).T if len(raw) > 12 * n else None
+        return np.cumsum(step, dtype=U64), raw[8 * n:12 * n].view(np.uint32).astype(np.int64), side
 
 
-def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(shard, keys, counts) of rows sorted by shard; merges as it goes, so memory follows the distinct keys."""
+def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """(shard, keys, counts, side) of rows sorted by shard; merges as it goes, so memory follows the distinct keys."""
     own, parts = None, []
-
-    def merged() -> tuple[int, np.ndarray, np.ndarray]:
-        k, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-        return own, *count(k, n)
-
     for b in batches:
         for shard, n, body in zip(*(c.to_pylist() for c in b.columns), strict=True):
             if shard != own and parts:
-                yield merged()
+                yield own, *_merged(parts)
                 parts = []
             own = shard
             parts.append(Packed.read(n, body))
     if parts:
-        yield merged()
+        yield own, *_merged(parts)
 
 
 def write_arrays(folder: str, stem: str, arrays: dict[str, np.ndarray], facts: dict) -> str:
@@ -253,7 +260,7 @@ def _count_words(shards: int):
 
 def _write_words(folder: str, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, keys, n in by_shard(batches):
+        for shard, keys, n, _ in by_shard(batches):
             low = range_start(shard, shards)
             universe = (range_start(shard + 1, shards) if shard + 1 < shards else 1 << 64) - low
             sums = np.cumsum(n).astype(U64)
@@ -277,26 +284,27 @@ class Shard:
         arrays, _ = map_arrays(uri)
         self.words = words
         self.context, self.pointer, self.follow = (_sequence(arrays, k) for k in ("context", "pointer", "follow"))
-        self.count, self.many, self.much = (arrays[k] for k in ("count", "many", "much"))
+        self.prob, self.back = arrays["prob"], arrays.get("back")
 
-    def lookup(self, ctx: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place in the shard or -1, count) of (context, word) sorted by context."""
+    def lookup(self, ctx: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in the shard or -1, quantised probability, quantised back-off weight) of (context, word) sorted by
+        context; 0 where not found."""
         new = np.append(True, ctx[1:] != ctx[:-1])
         code = np.cumsum(new) - 1
         place, known = self.context.successor(ctx[new])
         lo, hi = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         at = np.flatnonzero(known)
-        lo[at] = self.pointer.access(place[at]).astype(np.int64)
-        hi[at] = self.pointer.access(place[at] + 1).astype(np.int64)
+        lo[at], hi[at] = self.pointer.access_next(place[at])
         some = np.flatnonzero(known[code])
         c = code[some]
         index, hit = self.follow.successor(place[c].astype(U64) * U64(self.words) + own[some], lo[c], hi[c])
-        out, n = np.full(len(ctx), -1, np.int64), np.zeros(len(ctx), np.int64)
+        out = np.full(len(ctx), -1, np.int64)
+        prob, back = np.zeros(len(ctx), np.uint16), np.zeros(len(ctx), np.uint16)
         some, index = some[hit], index[hit]
-        out[some], n[some] = index, self.count[index]
-        over = some[n[some] == MANY]
-        n[over] = self.much[np.searchsorted(self.many, out[over])]
-        return out, n
+        out[some], prob[some] = index, self.prob[index]
+        if self.back is not None:
+            back[some] = self.back[index]
+        return out, prob, back
 
 
 class Grams:
@@ -312,9 +320,10 @@ class Grams:
             size[s] = grams
         self.base = np.append(0, np.cumsum(size))
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place in all shards or -1, count) of ascending distinct keys, context * words + word."""
-        place, n = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int64)
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in all shards or -1, probability, back-off) of ascending distinct keys, context * words + word."""
+        place = np.full(len(keys), -1, np.int64)
+        prob, back = np.zeros(len(keys), np.uint16), np.zeros(len(keys), np.uint16)
         shard = _gram_shard(keys, self.shards)
         deal = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[deal], np.arange(self.shards + 1))
@@ -323,18 +332,20 @@ class Grams:
             if len(at):
                 if s not in self.files:
                     self.files[s] = Shard(uri, self.words)
-                inside, n[at] = self.files[s].lookup(*np.divmod(keys[at], U64(self.words)))
+                inside, prob[at], back[at] = self.files[s].lookup(*np.divmod(keys[at], U64(self.words)))
                 place[at] = np.where(inside >= 0, inside + self.base[s], -1)
-        return place, n
+        return place, prob, back
 
-    def of(self, ctx: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """``find`` for any contexts and words; an unknown one (-1) is not found."""
-        place, n = np.full(len(ctx), -1, np.int64), np.zeros(len(ctx), np.int64)
+    def of(self, ctx: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``find`` for any contexts and words; an unknown one (-1) is not found.  The last two in decades."""
+        place = np.full(len(ctx), -1, np.int64)
+        prob, back = np.zeros(len(ctx)), np.zeros(len(ctx))
         both = np.flatnonzero((ctx >= 0) & (own >= 0))
-        keys, back = np.unique(_key(ctx[both], own[both], self.words), return_inverse=True)
+        keys, code = np.unique(_key(ctx[both], own[both], self.words), return_inverse=True)
         found = self.find(keys)
-        place[both], n[both] = found[0][back], found[1][back]
-        return place, n
+        place[both] = found[0][code]
+        prob[both], back[both] = found[1][code] / STEPS, found[2][code] / STEPS
+        return place, prob, back
 
 
 def _key(ctx: np.ndarray, own: np.ndarray, words: int) -> np.ndarray:
@@ -366,8 +377,25 @@ def _inner(first: np.ndarray) -> np.ndarray:
     return np.flatnonzero(out)
 
 
+def _known(words: Vocabulary, ids: np.ndarray) -> np.ndarray:
+    """Counts of any distinct ids."""
+    order = np.argsort(ids, kind="stable")
+    out = np.empty(len(ids), np.int64)
+    out[order] = words.counts(ids[order])
+    return out
+
+
+def _before(counts: np.ndarray, code: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Count of the token before every token; a text begins after the end token."""
+    out = np.empty(len(code), np.int64)
+    out[1:] = counts[code[:-1]]
+    out[first[:-1]] = counts[code[first[1] - 1]]  # every text ends in the end token
+    return out
+
+
 def _count_grams(vocab: tuple, shards: int, pairs: list[tuple[int, str, int]] | None = None):
-    """Counts of pairs, or of triples if the pairs' level is given."""
+    """Counts of pairs, or of triples if the pairs' level is given, each with the probability one level below and
+    the count of its context."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Vocabulary(*vocab)
         level = None if pairs is None else Grams(pairs, shards, words.words)
@@ -377,19 +405,24 @@ def _count_grams(vocab: tuple, shards: int, pairs: list[tuple[int, str, int]] |
             ids, code, first = _token_ids(words, b.column("text"))
             own = ids[code]
             ctx = _contexts(own, first, end)
-            if level is not None:
+            if level is None:
+                counts = _known(words, ids)
+                side = words.unigram(counts)[code], _before(counts, code, first)
+            else:
                 at = _inner(first)
-                ctx, own = level.of(ctx[at - 1], own[at - 1])[0], own[at]
-            yield from held.add(_key(ctx, own, words.words))
+                place, prob, back = level.of(ctx, own)
+                ctx, own = place[at - 1], own[at]
+                side = 10.0 ** -prob[at], KAPPA * (10.0 ** back[at - 1] - 1)
+            yield from held.add(_key(ctx, own, words.words), np.column_stack(side).astype(np.float32))
         yield from held.send()
 
     return run
 
 
-def _write_grams(folder: str, stem: str, words: int, contexts: int):
-    """Files of a level whose contexts are numbers under ``contexts``."""
+def _write_grams(folder: str, stem: str, words: int, contexts: int, top: bool):
+    """Files of a level whose contexts are numbers under ``contexts``; the top one is no context itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, keys, n in by_shard(batches):
+        for shard, keys, n, side in by_shard(batches):
             ctx, own = np.divmod(keys, U64(words))
             new = np.append(True, ctx[1:] != ctx[:-1])
             start = np.flatnonzero(new)
@@ -398,8 +431,10 @@ def _write_grams(folder: str, stem: str, words: int, contexts: int):
                 context=EliasFano.encode(ctx[start], contexts),
                 pointer=EliasFano.encode(np.append(start, len(keys)).astype(U64), len(keys) + 1),
                 follow=EliasFano.encode(place * U64(words) + own, len(start) * words))
-            many = np.flatnonzero(n >= MANY)
-            arrays |= {"count": np.minimum(n, MANY).astype(np.uint8), "many": many, "much": n[many]}
+            below, context = side.astype(np.float64).T
+            arrays["prob"] = quantise(-np.log10(np.minimum((n + KAPPA * below) / (context + KAPPA), 1.0)))
+            if not top:
+                arrays["back"] = quantise(np.log10((n + KAPPA) / KAPPA))
             uri = write_arrays(folder, f"{stem}-{shard:06d}", arrays, {"shard": shard})
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([uri]),
                                               pa.array([len(keys)], pa.int64())], names=["shard", "uri", "grams"])
@@ -419,25 +454,19 @@ def _score(vocab: tuple, levels: list[list[tuple[int, str, int]]], shards: int):
         end = _end_id(words)
         for b in slices(batches, "text", TEXT_BYTES):
             ids, code, first = _token_ids(words, b.column("text"))
-            order = np.argsort(ids, kind="stable")
-            counts = np.empty(len(ids), np.int64)
-            counts[order] = words.counts(ids[order])
-            p1 = words.unigram(counts)
-            base = np.log10(p1)[code]
+            counts = _known(words, ids)
+            base = np.log10(words.unigram(counts))[code]
             own = ids[code]
-            c1 = np.empty(len(code), np.int64)  # count of the token before
-            c1[1:] = counts[code[:-1]]
-            c1[first[:-1]] = counts[code[first[1] - 1]]  # every text ends in the end token
-            # unseen pairs back off to the unigrams; words without a count have context weight 0
-            place, c2 = pairs.of(_contexts(own, first, end), own)
-            p = (c2 + KAPPA * p1[code]) / (c1 + KAPPA)
+            # unseen n-grams back off to the level below; words without a count have context weight 1
+            place, p, back = pairs.of(_contexts(own, first, end), own)
+            weight = np.log10((_before(counts, code, first) + KAPPA) / KAPPA)
+            score = np.where(place >= 0, -p, base - weight)
             if triples:
                 at = _inner(first)
-                seen = c2[at] > 0  # a triple was seen only if its last two tokens were
-                c3 = np.zeros(len(at), np.int64)
-                c3[seen] = triples[0].of(place[at[seen] - 1], own[at[seen]])[1]
-                p[at] = (c3 + KAPPA * p[at]) / (c2[at - 1] + KAPPA)
-            score = np.log10(p)
+                score[at] -= back[at - 1]
+                at = at[(place[at] >= 0) & (place[at - 1] >= 0)]  # others were not seen
+                found, p, _ = triples[0].of(place[at - 1], own[at])
+                score[at] = np.where(found >= 0, -p, score[at])
             n = np.diff(first)
             yield pa.RecordBatch.from_arrays([
                 b.column("doc_id"), b.column("held_out"), pa.array(n),
@@ -475,7 +504,7 @@ def score_texts(docs: DataFrame, folder: str | None = None, order: int = 2) -> D
         if contexts * size >= 1 << 64:
             raise ValueError("more than 2**64 possible n-grams of seen contexts and words")
         found = materialise(dealt(_count_grams(vocab, n, *levels)).mapInArrow(
-            _write_grams(folder, stem, size, contexts), _TRIE), stem).collect()
+            _write_grams(folder, stem, size, contexts, len(levels) == order - 2), _TRIE), stem).collect()
         levels.append(sorted(tuple(r) for r in found))
         contexts = sum(r[2] for r in found)
     return texts.mapInArrow(_score(vocab, levels, n), _SCORE)
