@@ -162,6 +162,13 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             j = min(b.num_rows, max(i + 1, int(np.searchsorted(n, n[i] + limit, side="right")) - 1))
             yield b.slice(i, j - i)
             i = j
+        del b, col
+        give_back()
+
+
+def give_back() -> None:
+    """Freed Arrow buffers go back to the system: a worker's pool would keep them through its later tasks."""
+    pa.default_memory_pool().release_unused()
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

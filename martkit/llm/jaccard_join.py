@@ -39,7 +39,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martkit.llm.common import U64, components, doc_text, materialise, mix64, partitions, ragged, slices, word_hashes
+from martkit.llm.common import (U64, components, doc_text, give_back, materialise, mix64, partitions, ragged, slices,
+                                word_hashes)
 
 GROUP_DOCS = 4096        # sets of a group that one task joins
 SALT_DOCS = 1024         # sets of a larger group measured together
@@ -47,6 +48,7 @@ PIVOTS = 64              # pivots of a larger group in its first round, doubled
 MAX_PIVOTS = 1024
 LEAF = 24                # sets of a region compared pair by pair
 CELL_ROWS = 1 << 18      # cells held before they are sent on
+SORT_CELLS = 1 << 18     # cells of a shard sorted together
 NEAR = 0.8               # distance within which a cell's sets join its leader
 MARGIN = 0.02            # room for measuring with 32-bit elements
 ROUNDS = 6               # leaders that a cell gets
@@ -322,31 +324,53 @@ _SHARED = "cell long, node long, cls int"
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cells that two sets or more have, of all shards of a partition (its size follows the input per partition)."""
+    """Cells that two sets or more have, of all shards of a partition (its size follows the input per partition).
+
+    The packed form stays; cells are spelt out and sorted for SORT_CELLS or so at a time, by ranges of their names.
+    """
     parts: list[tuple[np.ndarray, ...]] = []
     for b in batches:
         for shard, node, count, cls, cell in zip(*(c.to_pylist() for c in b.columns), strict=True):
             n = np.frombuffer(count, np.uint32)
-            parts.append(((np.frombuffer(cell, np.uint32).astype(U64) | U64(shard) << U64(32)),
-                          np.repeat(np.frombuffer(node, U64), n), np.repeat(np.frombuffer(cls, np.uint16), n)))
+            parts.append((np.full(len(n), shard, np.int32), np.frombuffer(node, U64), n, np.frombuffer(cls, np.uint16),
+                          np.frombuffer(cell, np.uint32)))
+    give_back()
     if not parts:
         return
-    cell, node, cls = (np.concatenate(x) for x in zip(*parts, strict=True))
+    of_shard, of_node, count, of_cls, names = (np.concatenate(x) for x in zip(*parts, strict=True))
     parts.clear()
-    order = np.lexsort((node, cell))
-    cell, node, cls = cell[order], node[order], cls[order]
-    keep = np.ones(len(cell), bool)  # a set once in a cell
-    keep[1:] = (cell[1:] != cell[:-1]) | (node[1:] != node[:-1])
-    cell, node, cls = cell[keep], node[keep], cls[keep]
-    same = cell[1:] == cell[:-1]
-    shared = np.zeros(len(cell), bool)
-    shared[1:] |= same
-    shared[:-1] |= same
-    cell, node, cls = cell[shared], node[shared], cls[shared]
-    for k in range(0, len(cell), 1 << 16):
-        yield pa.RecordBatch.from_arrays([_long(cell[k:k + (1 << 16)]), _long(node[k:k + (1 << 16)]),
-                                          pa.array(cls[k:k + (1 << 16)].astype(np.int32))],
-                                         names=["cell", "node", "cls"])
+    runs = np.repeat(np.arange(len(count), dtype=np.uint32), count)
+    bits = (len(names) // SORT_CELLS).bit_length()
+    ranges = names >> np.uint32(32 - bits) if bits else np.zeros(len(names), np.uint32)
+    for k in range(1 << bits):
+        at = np.flatnonzero(ranges == k)
+        run = runs[at]
+        cell = names[at].astype(U64) | of_shard[run].astype(U64) << U64(32)
+        order = np.argsort(cell, kind="stable")
+        cell, run = cell[order], run[order]
+        some = _twice(cell)
+        cell, run = cell[some], run[some]
+        node, cls = of_node[run], of_cls[run]
+        order = np.lexsort((node, cell))
+        cell, node, cls = cell[order], node[order], cls[order]
+        keep = np.ones(len(cell), bool)  # a set once in a cell
+        keep[1:] = (cell[1:] != cell[:-1]) | (node[1:] != node[:-1])
+        cell, node, cls = cell[keep], node[keep], cls[keep]
+        some = _twice(cell)
+        cell, node, cls = cell[some], node[some], cls[some]
+        for i in range(0, len(cell), 1 << 16):
+            yield pa.RecordBatch.from_arrays([_long(cell[i:i + (1 << 16)]), _long(node[i:i + (1 << 16)]),
+                                              pa.array(cls[i:i + (1 << 16)].astype(np.int32))],
+                                             names=["cell", "node", "cls"])
+
+
+def _twice(ascending: np.ndarray) -> np.ndarray:
+    """Which of the sorted values occur more than once."""
+    out = np.zeros(len(ascending), bool)
+    same = ascending[1:] == ascending[:-1]
+    out[1:] |= same
+    out[:-1] |= same
+    return out
 
 
 def shared_cells(docs: DataFrame, words: int, cells: Cells, rounds: int = 1) -> DataFrame:
@@ -359,7 +383,7 @@ def shared_cells(docs: DataFrame, words: int, cells: Cells, rounds: int = 1) ->
     spark = docs.sparkSession
     n = partitions(spark)
     blobs = docs.where("doc_id IS NOT NULL").mapInArrow(_cells(words, cells, n), _BLOB)
-    shared = materialise(blobs.repartition(n, "shard").mapInArrow(_shared, _SHARED), "cells")
+    shared = materialise(blobs.repartitionById(n, "shard").mapInArrow(_shared, _SHARED), "cells")
     for _ in range(rounds):
         shared = materialise(_enough(shared, cells.need), "cells")
     sizes = shared.groupBy("cell").agg(F.count("*").alias("n"))
