@@ -5,7 +5,8 @@ by a Dirichlet prior: P(w | u v) = (c(u v w) + KAPPA * P(w | v)) / (c(u v) + KAP
 / (c(v) + KAPPA) and P1(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)).  A text begins in the context of the end token, so its
 first token has no more context than that; an n-gram that was not seen backs off to the level below by its count of 0.
 
-The trie lies in shard files in the shared folder, mapped into memory by the tasks that score:
+Texts are split into words and hashed once; every pass reads the tokens back as compressed numbers of a dictionary for
+each slice.  The trie lies in shard files in the shared folder, mapped into memory by the tasks that score:
 
 * the first level, cut by hash ranges: the words' 64-bit hashes as an Elias-Fano sequence (a word's place in all
   shards is its id) and the running sums of their counts as another;
@@ -19,7 +20,7 @@ The trie lies in shard files in the shared folder, mapped into memory by the tas
 A lookup finds the context, takes its pointer range, and searches the successor in that range.  A text's score differs
 from the unquantised one by less than 2 / STEPS a token.  What is gathered grows with the corpus (all distinct n-grams
 of the training texts), never passes through the driver, and is counted in each task before it is shuffled as packed,
-compressed arrays, each n-gram with its probability one level below and its context's count; a shard's share per
+compressed arrays, a triple with its quantised probability one level below and its context's weight; a shard's share per
 task is one row, so a common word or pair weighs no more than others.  The driver sees one manifest row for each shard.
 
 Word ids must fit 32 bits (4.29 billion distinct words), and distinct pairs times words 64 bits; beyond that building
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martkit.llm import files
-from martkit.llm.common import (U64, doc_text, materialise, mix64, partitions, scratch, slices, word_hashes)
+from martkit.llm.common import (U64, doc_text, give_back, materialise, mix64, partitions, scratch, slices, word_hashes)
 from martkit.llm.elias_fano import EliasFano
 
 ALPHA = 0.1      # added to every unigram count (fixed by the contract)
@@ -67,10 +68,57 @@ def tokens(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, at
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Byte planes: the high bytes of small numbers are mostly zero."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+
+
+def _from_planes(raw: np.ndarray, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+_SPELT = "doc_id array<bigint>, held_out array<boolean>, first array<bigint>, names binary, code binary"
+
+
+def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each slice of texts: its distinct tokens' hashes, which of them each token is, first tokens."""
+    zstd = zstandard.ZstdCompressor(level=1)
+    for b in slices(batches, "text", TEXT_BYTES):
+        h, first = tokens(b.column("text"))
+        names, code = np.unique(h, return_inverse=True)
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+                 for x in (b.column("doc_id"), b.column("held_out"), pa.array(first))]
+        blobs = [pa.array([zstd.compress(_planes(x))], pa.binary())
+                 for x in (np.diff(names, prepend=U64(0)), code.astype(np.uint32))]
+        yield pa.RecordBatch.from_arrays([*lists, *blobs], names=["doc_id", "held_out", "first", "names", "code"])
+
+
+def spelt(batches: Iterator[pa.RecordBatch], train: bool = False
+          ) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
+    """(doc_id, held_out, hashes, which of them each token is, first token of every text) of every slice; to train,
+    the tokens of held-out texts are left out."""
+    unzip = zstandard.ZstdDecompressor()
+    for b in batches:
+        for i in range(b.num_rows):
+            doc_id, held, first = (b.column(c)[i].values for c in ("doc_id", "held_out", "first"))
+            names, code = (_from_planes(np.frombuffer(unzip.decompress(b.column(c)[i].as_py()), np.uint8), kind)
+                           for c, kind in (("names", U64), ("code", np.uint32)))
+            first = first.to_numpy()
+            if train:
+                own = ~held.to_numpy(zero_copy_only=False)
+                n = np.diff(first)
+                code, first = code[np.repeat(own, n)], np.append(0, np.cumsum(n[own]))
+                if not len(code):
+                    continue
+            yield doc_id, held, np.cumsum(names, dtype=U64), code, first
+        del b
+        give_back()
+
+
 def count(keys: np.ndarray, weights: np.ndarray | None = None, side: np.ndarray | None = None
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     """Distinct keys, ascending, with their summed weights (1 each by default) and one of their side rows."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
     if weights is None:
@@ -100,9 +148,10 @@ class Packed:
         self.parts: list[tuple] = []
         self.rows = 0
 
-    def add(self, keys: np.ndarray, side: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-        """``side``: two float32 for each key, the same wherever the key occurs."""
-        self.parts.append(count(keys, None, side))
+    def add(self, keys: np.ndarray, side: np.ndarray | None = None, n: np.ndarray | None = None
+            ) -> Iterator[pa.RecordBatch]:
+        """``side``: two uint16 for each key, the same wherever the key occurs; ``n``: counts of distinct keys."""
+        self.parts.append(count(keys, n, side))
         self.rows += len(self.parts[-1][0])
         if self.rows > HELD_ROWS:
             self.parts = [_merged(self.parts)]
@@ -123,9 +172,7 @@ class Packed:
         zstd = zstandard.ZstdCompressor(level=1)
         bodies, sizes = [], []
         for a, z in zip(starts, np.append(cuts, len(k)), strict=True):
-            step = np.diff(k[a:z], prepend=U64(0))
-            # byte planes: the high bytes of differences are mostly zero
-            plane = np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8).T).tobytes()
+            plane = _planes(np.diff(k[a:z], prepend=U64(0)))
             rest = b"" if side is None else np.ascontiguousarray(side[order[a:z]].T).tobytes()
             bodies.append(zstd.compress(plane + n[a:z].astype(np.uint32).tobytes() + rest))
             sizes.append(z - a)
@@ -135,8 +182,8 @@ class Packed:
     @staticmethod
     def read(n: int, body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
         raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
-        step = np.ascontiguousarray(raw[:8 * n].reshape(8, n).T).view(U64).ravel()
-        side = raw[12 * n:].view(np.float32).reshape(2, n).T if len(raw) > 12 * n else None
+        step = _from_planes(raw[:8 * n], U64)
+        side = raw[12 * n:].view(np.uint16).reshape(2, n).T if len(raw) > 12 * n else None
         return np.cumsum(step, dtype=U64), raw[8 * n:12 * n].view(np.uint32).astype(np.int64), side
 
 
@@ -251,8 +298,9 @@ _TRIE = "shard int, uri string, grams long"
 def _count_words(shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = Packed(lambda k: ((k >> U64(32)) * U64(shards) >> U64(32)).astype(np.int64))
-        for b in slices(batches, "text", TEXT_BYTES):
-            yield from held.add(tokens(b.column("text"))[0])
+        for _, _, names, code, _ in spelt(batches, train=True):
+            n = np.bincount(code, minlength=len(names))
+            yield from held.add(names[n > 0], None, n[n > 0])
         yield from held.send()
 
     return run
@@ -274,7 +322,8 @@ def _write_words(folder: str, shards: int):
 
 
 def _gram_shard(keys: np.ndarray, shards: int) -> np.ndarray:
-    return (mix64(keys) % U64(shards)).astype(np.int64)
+    """Shards as numbers that sort fast."""
+    return (mix64(keys) % U64(shards)).astype(np.uint16 if shards <= 1 << 16 else np.int64)
 
 
 class Shard:
@@ -337,14 +386,14 @@ class Grams:
         return place, prob, back
 
     def of(self, ctx: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``find`` for any contexts and words; an unknown one (-1) is not found.  The last two in decades."""
+        """``find`` for any contexts and words; an unknown one (-1) is not found.  The last two in STEPS a decade."""
         place = np.full(len(ctx), -1, np.int64)
-        prob, back = np.zeros(len(ctx)), np.zeros(len(ctx))
+        prob, back = np.zeros(len(ctx), np.uint16), np.zeros(len(ctx), np.uint16)
         both = np.flatnonzero((ctx >= 0) & (own >= 0))
         keys, code = np.unique(_key(ctx[both], own[both], self.words), return_inverse=True)
         found = self.find(keys)
         place[both] = found[0][code]
-        prob[both], back[both] = found[1][code] / STEPS, found[2][code] / STEPS
+        prob[both], back[both] = found[1][code], found[2][code]
         return place, prob, back
 
 
@@ -352,13 +401,6 @@ def _key(ctx: np.ndarray, own: np.ndarray, words: int) -> np.ndarray:
     return ctx.astype(U64) * U64(words) + own.astype(U64)
 
 
-def _token_ids(vocab: Vocabulary, col: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(ids of the distinct tokens, which of them each token is, first token of every text)."""
-    h, first = tokens(col)
-    names, code = np.unique(h, return_inverse=True)
-    return vocab.ids(names), code, first
-
-
 def _contexts(token_ids: np.ndarray, first: np.ndarray, end_id: int) -> np.ndarray:
     before = np.empty_like(token_ids)
     before[1:] = token_ids[:-1]
@@ -394,44 +436,48 @@ def _before(counts: np.ndarray, code: np.ndarray, first: np.ndarray) -> np.ndarr
 
 
 def _count_grams(vocab: tuple, shards: int, pairs: list[tuple[int, str, int]] | None = None):
-    """Counts of pairs, or of triples if the pairs' level is given, each with the probability one level below and
-    the count of its context."""
+    """Counts of pairs, or of triples if the pairs' level is given, those each with the quantised probability one level
+    below and the quantised back-off weight of its context."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Vocabulary(*vocab)
         level = None if pairs is None else Grams(pairs, shards, words.words)
         held = Packed(lambda k: _gram_shard(k, shards))
         end = _end_id(words)
-        for b in slices(batches, "text", TEXT_BYTES):
-            ids, code, first = _token_ids(words, b.column("text"))
-            own = ids[code]
+        for _, _, names, code, first in spelt(batches, train=True):
+            own, side = words.ids(names)[code], None
             ctx = _contexts(own, first, end)
-            if level is None:
-                counts = _known(words, ids)
-                side = words.unigram(counts)[code], _before(counts, code, first)
-            else:
+            if level is not None:
                 at = _inner(first)
                 place, prob, back = level.of(ctx, own)
                 ctx, own = place[at - 1], own[at]
-                side = 10.0 ** -prob[at], KAPPA * (10.0 ** back[at - 1] - 1)
-            yield from held.add(_key(ctx, own, words.words), np.column_stack(side).astype(np.float32))
+                side = np.column_stack((prob[at], back[at - 1]))
+            yield from held.add(_key(ctx, own, words.words), side)
         yield from held.send()
 
     return run
 
 
-def _write_grams(folder: str, stem: str, words: int, contexts: int, top: bool):
+def _write_grams(folder: str, stem: str, vocab: tuple, contexts: int, top: bool):
     """Files of a level whose contexts are numbers under ``contexts``; the top one is no context itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level = Vocabulary(*vocab)
+        words = level.words
         for shard, keys, n, side in by_shard(batches):
             ctx, own = np.divmod(keys, U64(words))
             new = np.append(True, ctx[1:] != ctx[:-1])
             start = np.flatnonzero(new)
-            place = (np.cumsum(new) - 1).astype(U64)
+            place = np.cumsum(new) - 1
             arrays = _flat(
                 context=EliasFano.encode(ctx[start], contexts),
                 pointer=EliasFano.encode(np.append(start, len(keys)).astype(U64), len(keys) + 1),
-                follow=EliasFano.encode(place * U64(words) + own, len(start) * words))
-            below, context = side.astype(np.float64).T
+                follow=EliasFano.encode(place.astype(U64) * U64(words) + own, len(start) * words))
+            if side is None:  # pairs: the words' own counts
+                ids, code = np.unique(own.astype(np.int64), return_inverse=True)
+                below = level.unigram(level.counts(ids))[code]
+                context = level.counts(ctx[start].astype(np.int64))[place]
+            else:
+                below, context = 10.0 ** -(side[:, 0] / STEPS), KAPPA * (10.0 ** (side[:, 1] / STEPS) - 1)
+            below, context = (x.astype(np.float32).astype(np.float64) for x in (below, context))
             arrays["prob"] = quantise(-np.log10(np.minimum((n + KAPPA * below) / (context + KAPPA), 1.0)))
             if not top:
                 arrays["back"] = quantise(np.log10((n + KAPPA) / KAPPA))
@@ -452,24 +498,24 @@ def _score(vocab: tuple, levels: list[list[tuple[int, str, int]]], shards: int):
         words = Vocabulary(*vocab)
         pairs, *triples = (Grams(x, shards, words.words) for x in levels)
         end = _end_id(words)
-        for b in slices(batches, "text", TEXT_BYTES):
-            ids, code, first = _token_ids(words, b.column("text"))
+        for doc_id, held_out, names, code, first in spelt(batches):
+            ids = words.ids(names)
             counts = _known(words, ids)
             base = np.log10(words.unigram(counts))[code]
             own = ids[code]
             # unseen n-grams back off to the level below; words without a count have context weight 1
             place, p, back = pairs.of(_contexts(own, first, end), own)
             weight = np.log10((_before(counts, code, first) + KAPPA) / KAPPA)
-            score = np.where(place >= 0, -p, base - weight)
+            score = np.where(place >= 0, -(p / STEPS), base - weight)
             if triples:
                 at = _inner(first)
-                score[at] -= back[at - 1]
+                score[at] -= back[at - 1] / STEPS
                 at = at[(place[at] >= 0) & (place[at - 1] >= 0)]  # others were not seen
                 found, p, _ = triples[0].of(place[at - 1], own[at])
-                score[at] = np.where(found >= 0, -p, score[at])
+                score[at] = np.where(found >= 0, -(p / STEPS), score[at])
             n = np.diff(first)
             yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), b.column("held_out"), pa.array(n),
+                doc_id, held_out, pa.array(n),
                 pa.array(np.add.reduceat((own >= 0).astype(np.int64), first[:-1])),
                 pa.array(np.full(len(n), words.tokens, np.int64)), pa.array(np.add.reduceat(base, first[:-1])),
                 pa.array(np.add.reduceat(score, first[:-1]))],
@@ -488,10 +534,10 @@ def score_texts(docs: DataFrame, folder: str | None = None, order: int = 2) -> D
     folder = folder or scratch(spark, "ngram-trie")
     texts = doc_text(docs).withColumn("held_out", F.coalesce(
         F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False)))
-    train = texts.where(~F.col("held_out")).select("text")
+    texts = materialise(texts.mapInArrow(_spell, _SPELT), "spelt")  # words are split and hashed once
 
     def dealt(run: Callable) -> DataFrame:
-        return train.mapInArrow(run, Packed.SCHEMA).repartition(n, "shard").sortWithinPartitions("shard")
+        return texts.mapInArrow(run, Packed.SCHEMA).repartition(n, "shard").sortWithinPartitions("shard")
 
     # one row for each shard
     words = materialise(dealt(_count_words(n)).mapInArrow(_write_words(folder, n), _VOCAB), "words").collect()
@@ -504,7 +550,7 @@ def score_texts(docs: DataFrame, folder: str | None = None, order: int = 2) -> D
         if contexts * size >= 1 << 64:
             raise ValueError("more than 2**64 possible n-grams of seen contexts and words")
         found = materialise(dealt(_count_grams(vocab, n, *levels)).mapInArrow(
-            _write_grams(folder, stem, size, contexts, len(levels) == order - 2), _TRIE), stem).collect()
+            _write_grams(folder, stem, vocab, contexts, len(levels) == order - 2), _TRIE), stem).collect()
         levels.append(sorted(tuple(r) for r in found))
         contexts = sum(r[2] for r in found)
     return texts.mapInArrow(_score(vocab, levels, n), _SCORE)
