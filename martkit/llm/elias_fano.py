@@ -71,7 +71,7 @@ class EliasFano:
             packed |= _or_words(len(packed), word, low << shift)
             over = np.flatnonzero(shift + U64(bits) > U64(64))
             packed |= _or_words(len(packed), word[over] + 1, low[over] >> (U64(64) - shift[over]))
-        ones = np.append(0, np.cumsum(np.bitwise_count(high), dtype=np.int64)).astype(U64)
+        ones = np.append(0, np.cumsum(np.bitwise_count(high), dtype=np.int64)).astype(np.uint32 if n < 1 << 32 else U64)
         return {"head": np.array([n, bits], U64), "low": packed, "high": high, "ones": ones}
 
     def _low(self, i: np.ndarray) -> np.ndarray:

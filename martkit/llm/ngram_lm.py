@@ -20,7 +20,7 @@ each slice.  The trie lies in shard files in the shared folder, mapped into memo
 A lookup finds the context, takes its pointer range, and searches the successor in that range.  A text's score differs
 from the unquantised one by less than 2 / STEPS a token.  What is gathered grows with the corpus (all distinct n-grams
 of the training texts), never passes through the driver, and is counted in each task before it is shuffled as packed,
-compressed arrays, a triple with its quantised probability one level below and its context's weight; a shard's share per
+compressed arrays, a triple with its quantised probability one level below; a shard's share per
 task is one row, so a common word or pair weighs no more than others.  The driver sees one manifest row for each shard.
 
 Word ids must fit 32 bits (4.29 billion distinct words), and distinct pairs times words 64 bits; beyond that building
@@ -85,11 +85,15 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     zstd = zstandard.ZstdCompressor(level=1)
     for b in slices(batches, "text", TEXT_BYTES):
         h, first = tokens(b.column("text"))
-        names, code = np.unique(h, return_inverse=True)
+        names, code, n = np.unique(h, return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")  # frequent ones get small numbers; equally frequent ones ascend
+        rank = np.empty(len(names), np.uint32)
+        rank[order] = np.arange(len(names), dtype=np.uint32)
+        names, code = names[order], rank[code]
         lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
                  for x in (b.column("doc_id"), b.column("held_out"), pa.array(first))]
         blobs = [pa.array([zstd.compress(_planes(x))], pa.binary())
-                 for x in (np.diff(names, prepend=U64(0)), code.astype(np.uint32))]
+                 for x in (np.diff(names, prepend=U64(0)), code)]
         yield pa.RecordBatch.from_arrays([*lists, *blobs], names=["doc_id", "held_out", "first", "names", "code"])
 
 
@@ -103,14 +107,18 @@ def spelt(batches: Iterator[pa.RecordBatch], train: bool = False
             doc_id, held, first = (b.column(c)[i].values for c in ("doc_id", "held_out", "first"))
             names, code = (_from_planes(np.frombuffer(unzip.decompress(b.column(c)[i].as_py()), np.uint8), kind)
                            for c, kind in (("names", U64), ("code", np.uint32)))
-            first = first.to_numpy()
+            first, names = first.to_numpy(), np.cumsum(names, dtype=U64)
+            order = np.argsort(names)
+            place = np.empty(len(names), np.int64)
+            place[order] = np.arange(len(names))
+            names, code = names[order], place[code]
             if train:
                 own = ~held.to_numpy(zero_copy_only=False)
                 n = np.diff(first)
                 code, first = code[np.repeat(own, n)], np.append(0, np.cumsum(n[own]))
                 if not len(code):
                     continue
-            yield doc_id, held, np.cumsum(names, dtype=U64), code, first
+            yield doc_id, held, names, code, first
         del b
         give_back()
 
@@ -150,7 +158,7 @@ class Packed:
 
     def add(self, keys: np.ndarray, side: np.ndarray | None = None, n: np.ndarray | None = None
             ) -> Iterator[pa.RecordBatch]:
-        """``side``: two uint16 for each key, the same wherever the key occurs; ``n``: counts of distinct keys."""
+        """``side``: uint16 columns for each key, the same wherever the key occurs; ``n``: counts of distinct keys."""
         self.parts.append(count(keys, n, side))
         self.rows += len(self.parts[-1][0])
         if self.rows > HELD_ROWS:
@@ -173,7 +181,7 @@ class Packed:
         bodies, sizes = [], []
         for a, z in zip(starts, np.append(cuts, len(k)), strict=True):
             plane = _planes(np.diff(k[a:z], prepend=U64(0)))
-            rest = b"" if side is None else np.ascontiguousarray(side[order[a:z]].T).tobytes()
+            rest = b"" if side is None else b"".join(_planes(np.ascontiguousarray(x)) for x in side[order[a:z]].T)
             bodies.append(zstd.compress(plane + n[a:z].astype(np.uint32).tobytes() + rest))
             sizes.append(z - a)
         yield pa.RecordBatch.from_arrays([pa.array(shard[starts].astype(np.int32)), pa.array(sizes, pa.int64()),
@@ -183,7 +191,9 @@ class Packed:
     def read(n: int, body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
         raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8)
         step = _from_planes(raw[:8 * n], U64)
-        side = raw[12 * n:].view(np.uint16).reshape(2, n).T if len(raw) > 12 * n else None
+        side = None
+        if len(raw) > 12 * n:
+            side = np.column_stack([_from_planes(x, np.uint16) for x in raw[12 * n:].reshape(-1, 2 * n)])
         return np.cumsum(step, dtype=U64), raw[8 * n:12 * n].view(np.uint32).astype(np.int64), side
 
 
@@ -333,7 +343,7 @@ class Shard:
         arrays, _ = map_arrays(uri)
         self.words = words
         self.context, self.pointer, self.follow = (_sequence(arrays, k) for k in ("context", "pointer", "follow"))
-        self.prob, self.back = arrays["prob"], arrays.get("back")
+        self.prob, self.back, self.weights = arrays["prob"], arrays.get("back"), arrays.get("weights")
 
     def lookup(self, ctx: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(place in the shard or -1, quantised probability, quantised back-off weight) of (context, word) sorted by
@@ -352,7 +362,7 @@ class Shard:
         some, index = some[hit], index[hit]
         out[some], prob[some] = index, self.prob[index]
         if self.back is not None:
-            back[some] = self.back[index]
+            back[some] = self.weights[self.back[index]]
         return out, prob, back
 
 
@@ -385,6 +395,17 @@ class Grams:
                 place[at] = np.where(inside >= 0, inside + self.base[s], -1)
         return place, prob, back
 
+    def weights(self, places: np.ndarray) -> np.ndarray:
+        """Quantised back-off weights of ascending places."""
+        out = np.zeros(len(places), np.uint16)
+        cuts = np.searchsorted(places, self.base)
+        for s, uri in self.uris.items():
+            a, z = int(cuts[s]), int(cuts[s + 1])
+            if a < z:
+                arrays, _ = map_arrays(uri)
+                out[a:z] = arrays["weights"][arrays["back"][places[a:z] - self.base[s]]]
+        return out
+
     def of(self, ctx: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``find`` for any contexts and words; an unknown one (-1) is not found.  The last two in STEPS a decade."""
         place = np.full(len(ctx), -1, np.int64)
@@ -437,7 +458,7 @@ def _before(counts: np.ndarray, code: np.ndarray, first: np.ndarray) -> np.ndarr
 
 def _count_grams(vocab: tuple, shards: int, pairs: list[tuple[int, str, int]] | None = None):
     """Counts of pairs, or of triples if the pairs' level is given, those each with the quantised probability one level
-    below and the quantised back-off weight of its context."""
+    below."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Vocabulary(*vocab)
         level = None if pairs is None else Grams(pairs, shards, words.words)
@@ -448,17 +469,19 @@ def _count_grams(vocab: tuple, shards: int, pairs: list[tuple[int, str, int]] |
             ctx = _contexts(own, first, end)
             if level is not None:
                 at = _inner(first)
-                place, prob, back = level.of(ctx, own)
+                place, prob, _ = level.of(ctx, own)
                 ctx, own = place[at - 1], own[at]
-                side = np.column_stack((prob[at], back[at - 1]))
+                side = prob[at][:, None]
             yield from held.add(_key(ctx, own, words.words), side)
         yield from held.send()
 
     return run
 
 
-def _write_grams(folder: str, stem: str, vocab: tuple, contexts: int, top: bool):
-    """Files of a level whose contexts are numbers under ``contexts``; the top one is no context itself."""
+def _write_grams(folder: str, stem: str, vocab: tuple, contexts: int, top: bool, shards: int = 0,
+                 pairs: list[tuple[int, str, int]] | None = None):
+    """Files of a level whose contexts are numbers under ``contexts``; the top one is no context itself.  ``pairs``: the
+    level below that of triples."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level = Vocabulary(*vocab)
         words = level.words
@@ -476,11 +499,14 @@ def _write_grams(folder: str, stem: str, vocab: tuple, contexts: int, top: bool)
                 below = level.unigram(level.counts(ids))[code]
                 context = level.counts(ctx[start].astype(np.int64))[place]
             else:
-                below, context = 10.0 ** -(side[:, 0] / STEPS), KAPPA * (10.0 ** (side[:, 1] / STEPS) - 1)
+                weight = Grams(pairs, shards, words).weights(ctx[start].astype(np.int64))[place]
+                below, context = 10.0 ** -(side[:, 0] / STEPS), KAPPA * (10.0 ** (weight / STEPS) - 1)
             below, context = (x.astype(np.float32).astype(np.float64) for x in (below, context))
             arrays["prob"] = quantise(-np.log10(np.minimum((n + KAPPA * below) / (context + KAPPA), 1.0)))
             if not top:
-                arrays["back"] = quantise(np.log10((n + KAPPA) / KAPPA))
+                # few distinct ones: a table and numbers into it
+                arrays["weights"], code = np.unique(quantise(np.log10((n + KAPPA) / KAPPA)), return_inverse=True)
+                arrays["back"] = code.astype(np.uint8 if len(arrays["weights"]) <= 1 << 8 else np.uint16)
             uri = write_arrays(folder, f"{stem}-{shard:06d}", arrays, {"shard": shard})
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([uri]),
                                               pa.array([len(keys)], pa.int64())], names=["shard", "uri", "grams"])
@@ -550,7 +576,7 @@ def score_texts(docs: DataFrame, folder: str | None = None, order: int = 2) -> D
         if contexts * size >= 1 << 64:
             raise ValueError("more than 2**64 possible n-grams of seen contexts and words")
         found = materialise(dealt(_count_grams(vocab, n, *levels)).mapInArrow(
-            _write_grams(folder, stem, vocab, contexts, len(levels) == order - 2), _TRIE), stem).collect()
+            _write_grams(folder, stem, vocab, contexts, len(levels) == order - 2, n, *levels), _TRIE), stem).collect()
         levels.append(sorted(tuple(r) for r in found))
         contexts = sum(r[2] for r in found)
     return texts.mapInArrow(_score(vocab, levels, n), _SCORE)

@@ -46,7 +46,7 @@ def test_passes_do_not_hash_words_again(tmp_path, monkeypatch):
     size = sum(r[2] for r in vocab[0])
     levels, contexts = [], size
     for stem in ("pairs", "triples"):
-        levels.append(manifest(lm._write_grams(str(tmp_path), stem, vocab, contexts, stem == "triples")(
+        levels.append(manifest(lm._write_grams(str(tmp_path), stem, vocab, contexts, stem == "triples", 3, *levels)(
             dealt(lm._count_grams(vocab, 3, *levels)))))
         contexts = sum(r[2] for r in levels[-1])
     out = pa.Table.from_batches(list(lm._score(vocab, levels, 3)(iter(rows))))
