@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
+import os
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -80,7 +82,22 @@ class WordHashes(dict):
         return self.known[number], first
 
 
-_hashes = WordHashes()
+_cache: dict[object, object] = {}  # what the operator at work keeps in this worker
+
+
+def worker_cache(key: object, make: Callable[[], object]) -> object:
+    """What a worker keeps of ``key`` from task to task; a worker that goes on to another key gives up the one before."""
+    if key not in _cache:
+        drop_caches()
+        _cache[key] = make()
+    return _cache[key]
+
+
+def drop_caches() -> None:
+    """For tasks that keep nothing: what other operators kept in this worker goes."""
+    if _cache:
+        _cache.clear()
+        give_back()
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -146,7 +163,7 @@ def word_numbers(texts: list[bytes], number: Callable[[bytes], int], dtype: type
 def word_hashes(col: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every white-space word of every text and, per text, the index of its first word (n+1)."""
     texts = blobs(col)
-    return _hashes.of([t.lower() for t in texts] if lower else texts)
+    return worker_cache(WordHashes, WordHashes).of([t.lower() for t in texts] if lower else texts)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -166,9 +183,14 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         give_back()
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None  # glibc has it
+
+
 def give_back() -> None:
-    """Freed Arrow buffers go back to the system: a worker's pool would keep them through its later tasks."""
+    """Freed memory goes back to the system: a worker would keep it through its later tasks."""
     pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martkit.llm.common import doc_text, slices
+from martkit.llm.common import doc_text, drop_caches, slices
 
 ERROR_RATE = 0.1
 BLOCK_CHARS = 1 << 20
@@ -214,6 +214,7 @@ _MATCH = "doc_id long, item_id long, distance int, start long, end long"
 
 def _match(items: list[tuple[int, str]], error_rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         matcher = Matcher(items, error_rate)
         for b in slices(batches, "text"):
             rows = [(d, *found) for d, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(),
@@ -239,6 +240,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, error_rate: float = ERROR_
 
 def _clean(items: list[tuple[int, str]], error_rate: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         matcher = Matcher(items, error_rate)
         for b in slices(batches, "text"):
             yield b.filter(pa.array([not (t and matcher.find(normalise(t))) for t in b.column("text").to_pylist()]))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martkit.llm.common import U64, materialise, mix64, slices
+from martkit.llm.common import U64, drop_caches, materialise, mix64, slices
 
 UNKNOWN = "und"
 TRAIN_ROWS = 200      # labelled texts of each language that are learned from, whole
@@ -355,6 +355,7 @@ _PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"
 
 def _predict(model: LanguageModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for b in slices(batches, "text", PREDICT_BYTES):
             lang, score = model.predict(b.column("text").to_pylist())
             keep = [i for i, c in enumerate(b.schema.names) if c != "text"]
@@ -391,6 +392,7 @@ def keep_known(docs: DataFrame) -> DataFrame:
         return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_caches()
         for b in slices(batches, "text", PREDICT_BYTES):
             lang, _ = model.predict(b.column("text").to_pylist())
             yield b.filter(pa.array([x != UNKNOWN for x in lang]))

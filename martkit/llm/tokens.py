@@ -7,14 +7,14 @@ are the ids of its white-space words one after the other (checked against whole-
 from __future__ import annotations
 
 import os
-from itertools import chain
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
 
-from martkit.llm.common import blobs, ragged, word_numbers
+from martkit.llm.common import blobs, ragged, word_numbers, worker_cache
 
-CACHE_WORDS = 1_200_000  # words kept by a worker (about 200 bytes each), besides those of the batch at hand
+CACHE_WORDS = 700_000    # words kept by a worker (about 200 bytes each), besides those of the batch at hand
 _JOIN = 64               # simple words encoded in one call
 
 
@@ -32,7 +32,10 @@ class _Numbers(dict):
 
 
 class WordEncoder:
-    """Ids of words, kept by the words themselves; emptied when CACHE_WORDS is passed."""
+    """Ids of words, kept by the words themselves.
+
+    When CACHE_WORDS is passed, the words stay that were met again after the texts that brought them, or since the last time.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -50,10 +53,25 @@ class WordEncoder:
         self.numbers = _Numbers()
         self.at = np.zeros(1024, dtype=np.int64)
         self.n = np.zeros(1024, dtype=np.int32)
+        self.again = np.zeros(1024, dtype=bool)
         self.known = 0
         self.pool = np.zeros(1024, dtype=np.uint32)
         self.used = 0
 
+    def _forget(self) -> None:
+        """Keep the words that were met again; all go if these are more than half of CACHE_WORDS."""
+        keep = np.flatnonzero(self.again[:self.known])
+        if len(keep) > CACHE_WORDS // 2:
+            self.clear()
+            return
+        numbers = _Numbers()
+        numbers.update(zip(compress(self.numbers, self.again[:self.known].tolist()), range(len(keep)), strict=True))
+        n = self.n[keep]
+        pool = self.pool[ragged(self.at[keep], n)]
+        self.clear()
+        self.numbers, self.known, self.pool, self.used = numbers, len(keep), pool, len(pool)
+        self.at, self.n, self.again = np.cumsum(n, dtype=np.int64) - n, n, np.zeros(len(keep), dtype=bool)
+
     def _store(self, ids: np.ndarray) -> int:
         """Add ids to the pool; the place of the first."""
         if self.used + len(ids) > len(self.pool):
@@ -77,7 +95,8 @@ class WordEncoder:
         base, end = self.known, self.known + len(words)
         if end > len(self.n):
             more = max(end - len(self.n), len(self.n))
-            self.at, self.n = (np.concatenate([x, np.zeros(more, x.dtype)]) for x in (self.at, self.n))
+            self.at, self.n, self.again = (np.concatenate([x, np.zeros(more, x.dtype)])
+                                           for x in (self.at, self.n, self.again))
         self.known = end
         texts = [w.decode("utf-8") for w in words]
         marks = np.fromiter((1 if w.isalpha() else 2 if w[-1] in ".,;:!?" and w[:-1].isalpha() else 0 for w in texts),
@@ -110,8 +129,9 @@ class WordEncoder:
     def encode(self, col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) and, per text, the index of its first id (n+1)."""
         if len(self.numbers) > CACHE_WORDS:
-            self.clear()
+            self._forget()
         code, first = word_numbers(blobs(col), self.numbers.__getitem__, np.int32)
+        self.again[code[code < self.known]] = True
         if self.numbers.new:
             self._learn(self.numbers.new)
             self.numbers.new = []
@@ -122,10 +142,5 @@ class WordEncoder:
         return ids, upto[first]
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    return worker_cache((WordEncoder, path), lambda: WordEncoder(path))
