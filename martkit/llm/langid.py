@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from martkit.llm.common import U64, drop_caches, materialise, mix64, slices
+from martkit.llm.common import U64, drop_caches, give_back, materialise, mix64, slices
 
 UNKNOWN = "und"
 TRAIN_ROWS = 200      # labelled texts of each language that are learned from, whole
@@ -347,7 +347,10 @@ def fit_sample(docs: DataFrame, learn: Column) -> LanguageModel:
                        "sample-bounds")
     # rows of a repeated doc_id share a hash
     sample = first(rows.join(last, "lang").where("h <= last"), "lang", order=["h", "text"]).orderBy("lang", "h", "text").collect()
-    return fit([r["text"] for r in sample], [r["lang"] for r in sample])
+    model = fit([r["text"] for r in sample], [r["lang"] for r in sample])
+    del sample
+    give_back()  # else the driver holds what learning took through all that follows
+    return model
 
 
 _PREDICTED = "doc_id long, held_out boolean, lang_pred string, score double"

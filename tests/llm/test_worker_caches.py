@@ -5,7 +5,7 @@ import gc
 import pyarrow as pa
 import pytest
 
-from martkit.llm import tokens
+from martkit.llm import langid, tokens
 from martkit.llm.common import WordHashes, word_hashes
 from martkit.llm.decontam import _clean
 from martkit.llm.langid import _predict, fit
@@ -51,3 +51,12 @@ def test_a_full_cache_keeps_the_words_met_again(monkeypatch):
         assert [ids[first[i]:first[i + 1]].tolist() for i in range(3)] == want
     assert learned.count(b"the") == learned.count(b"cat") == 1
     assert len(enc.numbers) <= 40 + 17 and enc.known == len(enc.numbers)
+
+
+def test_the_driver_gives_back_what_learning_took(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(langid, "give_back", lambda: given.append(1), raising=False)
+    docs = spark.createDataFrame([(i, t, g) for i, (t, g) in enumerate([("one two three", "en"), ("un deux trois", "fr")] * 4)],
+                                 "doc_id long, text string, lang string")
+    assert langid.keep_known(docs).count() == 8
+    assert given == [1]
