@@ -32,6 +32,7 @@ from martkit.llm.common import U64, drop_caches, give_back, materialise, mix64,
 UNKNOWN = "und"
 TRAIN_ROWS = 200      # labelled texts of each language that are learned from, whole
 SAMPLE_SALTS = 16
+LEARN_TEXTS = 16      # texts whose features are made at a time in learning
 LEXICON_WORDS = 2000  # words of each language's lexicon
 BIGRAMS, TRIGRAMS, AFFIXES = 1 << 14, 1 << 16, 1 << 15
 RUN_WORDS = (4, 40)   # words of a run between switches in training
@@ -98,6 +99,23 @@ class Words:
                                            (s[0], s[1], s[2])))], axis=1) if self.words else np.zeros((0, 4), U64)
 
 
+def features(texts: list[str]) -> Words:
+    """``Words`` of all texts, built LEARN_TEXTS at a time and held in small numbers: what a letter takes while its
+    features are made is many times what they take."""
+    out = object.__new__(Words)
+    parts = []
+    for i in range(0, max(1, len(texts)), LEARN_TEXTS):
+        w = Words(texts[i:i + LEARN_TEXTS])
+        w.bi, w.tri, w.affix = (x.astype(np.uint16) for x in (w.bi, w.tri, w.affix))  # all tables are that small
+        parts.append(w)
+    for name in ("bi", "tri", "affix", "name", "size"):
+        setattr(out, name, np.concatenate([getattr(w, name) for w in parts]))
+    before = np.append(0, np.cumsum([w.words for w in parts]))
+    out.first, out.words = np.cumsum(out.size) - out.size, int(before[-1])
+    out.doc = np.concatenate([np.zeros(1, np.int64), *(w.doc[1:] + k for w, k in zip(parts, before, strict=False))])
+    return out
+
+
 class LanguageModel:
     """Weights of the field.  ``lexicon`` holds sorted word names, ``member`` which languages know each."""
 
@@ -215,7 +233,7 @@ class LanguageModel:
 def fit(texts: list[str], langs: list[str], seed: int = 7) -> LanguageModel:
     """Learn from whole labelled texts (all of them held in memory)."""
     labels = sorted(set(langs))
-    w = Words(texts)
+    w = features(texts)
     label_of = {x: k for k, x in enumerate(labels)}
     own = np.repeat([label_of[x] for x in langs], np.diff(w.doc)).astype(np.int64) if texts else np.zeros(0, np.int64)
     n = len(labels)
