@@ -51,6 +51,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 WORDS_KEPT = 1 << 19   # words whose hashes a worker keeps
 WORD_BLOCK = 1 << 20   # bytes of a text split at a time
+GROUP_BYTES = 4 << 20  # bytes of texts split at a time
 _GAP = re.compile(rb"[\x20\x09-\x0D]")
 
 
@@ -71,6 +72,11 @@ class WordHashes(dict):
         return number
 
     def of(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        number, first = self.numbered(texts)
+        return self.known[number], first
+
+    def numbered(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of every word in ``known``, and of every text's first word (n+1)."""
         if len(self) > WORDS_KEPT:
             self.clear()
             self.known = np.zeros(0, U64)
@@ -79,7 +85,7 @@ class WordHashes(dict):
             digest = hashlib.blake2b
             more = np.frombuffer(b"".join([digest(w, digest_size=8).digest() for w in self.new]), "<u8")
             self.known, self.new = np.concatenate([self.known, more.astype(U64)]), []
-        return self.known[number], first
+        return number, first
 
 
 _cache: dict[object, object] = {}  # what the operator at work keeps in this worker
@@ -134,30 +140,60 @@ def blobs(col: pa.Array) -> list[bytes]:
     return col.cast(pa.large_string()).cast(pa.large_binary()).fill_null(b"").to_pylist()
 
 
-def split_words(text: bytes) -> Iterator[list[bytes]]:
-    """The words ``[^\\x20\\x09-\\x0D]+`` of a text, block by block."""
+def text_blocks(text: bytes) -> Iterator[bytes]:
+    """A text cut at white space into blocks of about WORD_BLOCK bytes."""
     at = 0
     while at < len(text):
         gap = _GAP.search(text, at + WORD_BLOCK) if len(text) > at + WORD_BLOCK else None
         end = gap.start() if gap else len(text)
-        yield text[at:end].split()
+        yield text[at:end] if gap or at else text
         at = end
 
 
+def split_words(text: bytes) -> Iterator[list[bytes]]:
+    """The words ``[^\\x20\\x09-\\x0D]+`` of a text, block by block."""
+    return (block.split() for block in text_blocks(text))
+
+
 def word_numbers(texts: list[bytes], number: Callable[[bytes], int], dtype: type) -> tuple[np.ndarray, np.ndarray]:
-    """``number`` of every word of every text and, per text, the index of its first word (n+1)."""
-    parts, held, first = [], [], [0]
-    size = 0
+    """``number`` of every word of every text and, per text, the index of its first word (n+1).
+
+    Words are split and told apart by Arrow, a group of texts at a time, so that ``number`` is asked once for each
+    distinct word of a group, in the order of their first occurrences.
+    """
+    parts, sizes = [np.zeros(0, dtype)], [np.zeros(0, np.int64)]
+
+    def split(group: list[bytes]) -> None:
+        words = pa.compute.ascii_split_whitespace(pa.array(group, pa.large_binary()).view(pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        names = coded.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        code = coded.indices.to_numpy()
+        n = words.value_lengths().to_numpy().astype(np.int64)
+        if b"" in names:  # before the first gap or after the last
+            at = names.index(b"")
+            word = code != at
+            n = np.diff(np.append(0, np.cumsum(word))[np.append(0, np.cumsum(n))])
+            code = code[word]
+            names[at:at + 1] = []
+            code = code - (code > at)
+        parts.append(np.fromiter(map(number, names), dtype, len(names))[code])
+        sizes.append(n)
+
+    group, size, pieces = [], 0, []  # pieces of every text
     for text in texts:
-        for words in split_words(text):
-            held += words
-            if len(held) >= 1 << 16:
-                parts.append(np.fromiter(map(number, held), dtype, len(held)))
-                size += len(held)
-                held = []
-        first.append(size + len(held))
-    parts.append(np.fromiter(map(number, held), dtype, len(held)))
-    return np.concatenate(parts), np.array(first, np.int64)
+        k = 0
+        for piece in text_blocks(text):
+            group.append(piece)
+            size += len(piece)
+            k += 1
+            if size >= GROUP_BYTES:
+                split(group)
+                group, size = [], 0
+        pieces.append(k)
+    if group:
+        split(group)
+    upto = np.append(0, np.cumsum(np.concatenate(sizes)))
+    return np.concatenate(parts), upto[np.append(0, np.cumsum(np.array(pieces, np.int64)))]
 
 
 def word_hashes(col: pa.Array, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
