@@ -15,6 +15,7 @@ _SELECT = np.full((256, 8), 8, np.uint8)
 for _b in range(256):
     for _r, _p in enumerate(p for p in range(8) if _b >> p & 1):
         _SELECT[_b, _r] = _p
+_SELECT = _SELECT.ravel()  # at 8 * byte + r
 
 
 def _or_words(size: int, index: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -39,7 +40,7 @@ def _select_in_word(word: np.ndarray, r: np.ndarray) -> np.ndarray:
     place = np.bitwise_count(past).astype(U64) << U64(3)
     left = r - (((s << U64(8)) >> place) & U64(0xFF))
     byte = (word >> place) & U64(0xFF)
-    return place.astype(np.int64) + _SELECT[byte.astype(np.intp), left.astype(np.intp)]
+    return place.view(np.int64) + _SELECT.take(((byte << U64(3)) | left).view(np.int64))
 
 
 class EliasFano:
@@ -80,8 +81,9 @@ class EliasFano:
         at = i * self.bits
         word, shift = at >> 6, (at & 63).astype(U64)
         out = self.low[word] >> shift
-        carry = np.where(shift > 0, self.low[word + 1] << ((U64(64) - shift) & U64(63)), U64(0))
-        return (out | carry) & U64((1 << self.bits) - 1)
+        out |= self.low[word + 1] << U64(1) << (U64(63) - shift)  # nothing for a shift of 0
+        out &= U64((1 << self.bits) - 1)
+        return out
 
     def _select(self, k: np.ndarray, before: np.ndarray, flip: bool) -> np.ndarray:
         """Place of the k-th one (zero if ``flip``) of the high bits."""
@@ -112,19 +114,50 @@ class EliasFano:
         tops = [(x.astype(U64) << U64(self.bits)) | self._low(k) for x, k in ((at - i, i), (nxt - i - 1, i + 1))]
         return tops[0], tops[1]
 
+    def _bucket(self, x: np.ndarray, lo: np.ndarray | None, hi: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """Index range of the values that share the high part of each x, within [lo, hi) if given."""
+        top = (x >> U64(self.bits)).astype(np.int64)
+        at = np.zeros(len(x), np.int64)  # place after the zero that closes the high part before
+        some = slice(None) if len(top) and top.min() else np.flatnonzero(top)
+        at[some] = self._select(top[some] - 1, self.zeros, True) + 1
+        begin = at - top
+        inside = at & 63
+        run = self.high[at >> 6] >> inside.astype(U64)
+        ones = np.bitwise_count(run & ~(run + U64(1))).astype(np.int64)
+        end = begin + ones
+        far = np.flatnonzero(ones + inside == 64)  # the ones may go on in the next word
+        end[far] = self._select(top[far], self.zeros, True) - top[far]
+        return (begin, end) if lo is None else (np.maximum(begin, lo), np.minimum(end, hi))
+
+    def find(self, x: np.ndarray, lo: np.ndarray | None = None, hi: np.ndarray | None = None
+             ) -> tuple[np.ndarray, np.ndarray]:
+        """(index of a value that equals x, whether there is one; else any index), within [lo, hi) if given."""
+        x = x.astype(U64, copy=False)
+        if not len(x) or not self.n:
+            return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
+        at, end = self._bucket(x, lo, hi)
+        some = at < end
+        if self.bits:
+            want = x & U64((1 << self.bits) - 1)
+            live = np.flatnonzero(end - at > 1)
+            left, right, goal = at[live], end[live], want[live]
+            while len(live):  # the last value that is not larger
+                mid = (left + right) >> 1
+                up = self._low(mid) <= goal
+                left, right = np.where(up, mid, left), np.where(up, right, mid)
+                at[live] = left
+                more = np.flatnonzero(right - left > 1)
+                live, left, right, goal = live[more], left[more], right[more], goal[more]
+            some &= self._low(np.minimum(at, self.n - 1)) == want
+        return at, some
+
     def successor(self, x: np.ndarray, lo: np.ndarray | None = None,
                   hi: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(index of the first value >= x, whether it equals x), within the index ranges [lo, hi) if given."""
         x = x.astype(U64)
         if not len(x) or not self.n:
             return np.zeros(len(x), np.int64), np.zeros(len(x), bool)
-        top = (x >> U64(self.bits)).astype(np.int64)
-        end = self._select(top, self.zeros, True) - top           # values whose high part is at most top
-        begin = np.zeros(len(x), np.int64)
-        some = np.flatnonzero(top)
-        begin[some] = self._select(top[some] - 1, self.zeros, True) - (top[some] - 1)
-        if lo is not None:
-            begin, end = np.maximum(begin, lo), np.minimum(end, hi)
+        begin, end = self._bucket(x, lo, hi)
         want = x & U64((1 << self.bits) - 1) if self.bits else np.zeros(len(x), U64)
         # binary search on the low bits of the values that share the high part
         left, right = begin.copy(), np.maximum(begin, end)

@@ -278,7 +278,7 @@ class Vocabulary:
         for s in self.uris:
             a, z = int(cuts[s]), int(cuts[s + 1])
             if a < z:
-                at, found = self._open(s)[0].successor(hashes[a:z] - U64(range_start(s, self.shards)))
+                at, found = self._open(s)[0].find(hashes[a:z] - U64(range_start(s, self.shards)))
                 out[a:z] = np.where(found, at + self.base[s], -1)
         return out
 
@@ -350,13 +350,13 @@ class Shard:
         context; 0 where not found."""
         new = np.append(True, ctx[1:] != ctx[:-1])
         code = np.cumsum(new) - 1
-        place, known = self.context.successor(ctx[new])
+        place, known = self.context.find(ctx[new])
         lo, hi = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
         at = np.flatnonzero(known)
         lo[at], hi[at] = self.pointer.access_next(place[at])
         some = np.flatnonzero(known[code])
         c = code[some]
-        index, hit = self.follow.successor(place[c].astype(U64) * U64(self.words) + own[some], lo[c], hi[c])
+        index, hit = self.follow.find(place[c].astype(U64) * U64(self.words) + own[some], lo[c], hi[c])
         out = np.full(len(ctx), -1, np.int64)
         prob, back = np.zeros(len(ctx), np.uint16), np.zeros(len(ctx), np.uint16)
         some, index = some[hit], index[hit]
@@ -386,12 +386,16 @@ class Grams:
         shard = _gram_shard(keys, self.shards)
         deal = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[deal], np.arange(self.shards + 1))
+        ctx = keys[deal]
+        own = ctx % U64(self.words)
+        ctx //= U64(self.words)
         for s, uri in self.uris.items():
-            at = deal[cuts[s]:cuts[s + 1]]
-            if len(at):
+            a, z = int(cuts[s]), int(cuts[s + 1])
+            if a < z:
                 if s not in self.files:
                     self.files[s] = Shard(uri, self.words)
-                inside, prob[at], back[at] = self.files[s].lookup(*np.divmod(keys[at], U64(self.words)))
+                at = deal[a:z]
+                inside, prob[at], back[at] = self.files[s].lookup(ctx[a:z], own[a:z])
                 place[at] = np.where(inside >= 0, inside + self.base[s], -1)
         return place, prob, back
 
