@@ -1,7 +1,8 @@
 """Elias-Fano sequences: monotone whole numbers in about 2 + log2(universe / n) bits each, read in place.
 
 A value's low bits are packed side by side; its high part is written in unary into a bit vector (the i-th value
-sets bit high + i).  A directory holds the ones before every 64 bits.  All reads take many positions at a time.
+sets bit high + i).  A directory holds the ones before every 64 bits, for reads by index, or the zeros, for searches.
+All reads take many positions at a time and work on the arrays as they are: of a mapped sequence nothing is copied.
 """
 
 from __future__ import annotations
@@ -18,13 +19,14 @@ for _b in range(256):
 _SELECT = _SELECT.ravel()  # at 8 * byte + r
 
 
-def _or_words(size: int, index: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """Words with every value or-ed into its word; ``index`` ascends."""
-    out = np.zeros(size, U64)
+BLOCK = 1 << 16  # values encoded at a time; a multiple of 64, so a block's low bits begin a word
+
+
+def _or_into(words: np.ndarray, index: np.ndarray, values: np.ndarray) -> None:
+    """Or every value into its word; ``index`` ascends."""
     if len(index):
         new = np.flatnonzero(np.append(True, index[1:] != index[:-1]))
-        out[index[new]] = np.bitwise_or.reduceat(values, new)
-    return out
+        words[index[new]] |= np.bitwise_or.reduceat(values, new)
 
 
 _EACH, _TOP = U64(0x0101010101010101), U64(0x8080808080808080)  # the lowest and highest bit of every byte
@@ -46,34 +48,38 @@ def _select_in_word(word: np.ndarray, r: np.ndarray) -> np.ndarray:
 class EliasFano:
     """``EliasFano.encode`` gives the arrays that the constructor takes, so they may lie in a mapped file."""
 
-    NAMES = ("head", "low", "high", "ones")
+    ACCESS, SEARCH = ("ones",), ("zeros",)  # directories that reads by index need, and searches
 
-    def __init__(self, head: np.ndarray, low: np.ndarray, high: np.ndarray, ones: np.ndarray):
+    def __init__(self, head: np.ndarray, low: np.ndarray, high: np.ndarray, ones: np.ndarray | None = None,
+                 zeros: np.ndarray | None = None):
         self.n, self.bits = int(head[0]), int(head[1])
-        self.low, self.high, self.ones = low, high, ones
-        self.before = ones.astype(np.int64)
-        self.zeros = np.arange(len(ones), dtype=np.int64) * 64 - self.before
+        self.low, self.high, self.ones, self.zeros = low, high, ones, zeros
 
     @staticmethod
-    def encode(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
+    def encode(values: np.ndarray, universe: int, directories: tuple[str, ...] = ACCESS + SEARCH
+               ) -> dict[str, np.ndarray]:
         """``values`` ascend (equal ones allowed) and lie below ``universe``."""
-        values = values.astype(U64)
         n = len(values)
         bits = max(0, (universe // max(1, n)).bit_length() - 1)
-        index = np.arange(n, dtype=np.int64)
-        place = (values >> U64(bits)).astype(np.int64) + index
         tops = (universe >> bits) + 1
         words = (n + tops + 64) // 64 + 1
-        high = _or_words(words, place >> 6, U64(1) << (place & 63).astype(U64))
-        packed = np.zeros(n * bits // 64 + 2, U64)
-        if bits and n:
-            low = values & U64((1 << bits) - 1)
-            word, shift = (index * bits) >> 6, ((index * bits) & 63).astype(U64)
-            packed |= _or_words(len(packed), word, low << shift)
-            over = np.flatnonzero(shift + U64(bits) > U64(64))
-            packed |= _or_words(len(packed), word[over] + 1, low[over] >> (U64(64) - shift[over]))
-        ones = np.append(0, np.cumsum(np.bitwise_count(high), dtype=np.int64)).astype(np.uint32 if n < 1 << 32 else U64)
-        return {"head": np.array([n, bits], U64), "low": packed, "high": high, "ones": ones}
+        high, packed = np.zeros(words, U64), np.zeros(n * bits // 64 + 2, U64)
+        for a in range(0, n, BLOCK):
+            part = values[a:a + BLOCK].astype(U64)
+            index = np.arange(a, a + len(part), dtype=np.int64)
+            place = (part >> U64(bits)).astype(np.int64) + index
+            _or_into(high, place >> 6, U64(1) << (place & 63).astype(U64))
+            if bits:
+                low = part & U64((1 << bits) - 1)
+                word, shift = (index * bits) >> 6, ((index * bits) & 63).astype(U64)
+                _or_into(packed, word, low << shift)
+                over = np.flatnonzero(shift + U64(bits) > U64(64))
+                _or_into(packed, word[over] + 1, low[over] >> (U64(64) - shift[over]))
+        ones = np.append(0, np.cumsum(np.bitwise_count(high), dtype=np.int64))
+        before = {"ones": ones, "zeros": np.arange(len(ones), dtype=np.int64) * 64 - ones}
+        kind = np.uint32 if words * 64 < 1 << 32 else U64
+        return {"head": np.array([n, bits], U64), "low": packed, "high": high,
+                **{name: before[name].astype(kind) for name in directories}}
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.bits:
@@ -87,16 +93,16 @@ class EliasFano:
 
     def _select(self, k: np.ndarray, before: np.ndarray, flip: bool) -> np.ndarray:
         """Place of the k-th one (zero if ``flip``) of the high bits."""
-        word = np.searchsorted(before, k, side="right") - 1
+        word = np.searchsorted(before, k.astype(before.dtype), side="right") - 1  # of another type it copies ``before``
         value = self.high[word]
-        return word * 64 + _select_in_word(~value if flip else value, k - before[word])
+        return word * 64 + _select_in_word(~value if flip else value, k - before[word].astype(np.int64))
 
     def access(self, i: np.ndarray) -> np.ndarray:
         """The i-th values."""
         i = i.astype(np.int64)
         if not len(i):
             return np.zeros(0, U64)
-        top = self._select(i, self.before, False) - i
+        top = self._select(i, self.ones, False) - i
         return (top.astype(U64) << U64(self.bits)) | self._low(i)
 
     def access_next(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -104,13 +110,13 @@ class EliasFano:
         i = i.astype(np.int64)
         if not len(i):
             return np.zeros(0, U64), np.zeros(0, U64)
-        at = self._select(i, self.before, False)
+        at = self._select(i, self.ones, False)
         word = self.high[at >> 6]
         rest = word & (~U64(0) << (at & 63).astype(U64)) & ~(U64(1) << (at & 63).astype(U64))
         low = rest & (~rest + U64(1))
         nxt = (at & ~63) + np.bitwise_count(low - U64(1)).astype(np.int64)
         far = np.flatnonzero(rest == 0)
-        nxt[far] = self._select(i[far] + 1, self.before, False)
+        nxt[far] = self._select(i[far] + 1, self.ones, False)
         tops = [(x.astype(U64) << U64(self.bits)) | self._low(k) for x, k in ((at - i, i), (nxt - i - 1, i + 1))]
         return tops[0], tops[1]
 

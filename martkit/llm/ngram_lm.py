@@ -23,6 +23,10 @@ of the training texts), never passes through the driver, and is counted in each
 compressed arrays, a triple with its quantised probability one level below; a shard's share per
 task is one row, so a common word or pair weighs no more than others.  The driver sees one manifest row for each shard.
 
+Every shard is dealt to a task of its own.  A task that looks n-grams up maps the shards and copies nothing of them, so
+its memory does not follow the corpus (a shared folder that is not mounted is read instead, and does).  With many shards
+it takes up to TOGETHER slices at a time, as a slice visits them all.
+
 Word ids must fit 32 bits (4.29 billion distinct words), and distinct pairs times words 64 bits; beyond that building
 raises.
 
@@ -51,7 +55,9 @@ KAPPA = 20.0     # weight of the level below in a probability
 STEPS = 4096     # steps of a quantised decade; 16 bits hold 16 decades
 FOLDS = 10       # texts with crc32(doc_id) mod FOLDS = 0 are held out
 TEXT_BYTES = 3 << 20
+TOGETHER = 4  # slices looked up together at most
 HELD_ROWS = 1 << 20  # distinct n-grams that a task holds before it sends them on
+MERGE_ROWS = 1 << 17  # n-grams sorted, or given a probability, at a time
 
 END = mix64(np.array([0x0E0D], U64))[0]
 
@@ -97,11 +103,26 @@ def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*lists, *blobs], names=["doc_id", "held_out", "first", "names", "code"])
 
 
-def spelt(batches: Iterator[pa.RecordBatch], train: bool = False
+def _joined(parts: list[tuple]) -> tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Slices as one, as ``spelt`` gives them.  ``parts`` is emptied."""
+    if len(parts) == 1:
+        return parts.pop()
+    doc_id, held, names, code, first = zip(*parts, strict=True)
+    parts.clear()
+    upto = np.cumsum([0, *(len(x) for x in names)])
+    names, place = np.unique(np.concatenate(names), return_inverse=True)
+    place = place.astype(np.int32)
+    code = np.concatenate([place[a:][x] for a, x in zip(upto, code)])
+    return (pa.concat_arrays(doc_id), pa.concat_arrays(held), names, code,
+            np.append(0, np.cumsum(np.concatenate([np.diff(x) for x in first]))))
+
+
+def spelt(batches: Iterator[pa.RecordBatch], train: bool = False, together: int = 1
           ) -> Iterator[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray, np.ndarray]]:
-    """(doc_id, held_out, hashes, which of them each token is, first token of every text) of every slice; to train,
-    the tokens of held-out texts are left out."""
+    """(doc_id, held_out, hashes, which of them each token is, first token of every text) of every slice, or of some
+    ``together``; to train, the tokens of held-out texts are left out."""
     unzip = zstandard.ZstdDecompressor()
+    parts = []
     for b in batches:
         for i in range(b.num_rows):
             doc_id, held, first = (b.column(c)[i].values for c in ("doc_id", "held_out", "first"))
@@ -109,8 +130,8 @@ def spelt(batches: Iterator[pa.RecordBatch], train: bool = False
                            for c, kind in (("names", U64), ("code", np.uint32)))
             first, names = first.to_numpy(), np.cumsum(names, dtype=U64)
             order = np.argsort(names)
-            place = np.empty(len(names), np.int64)
-            place[order] = np.arange(len(names))
+            place = np.empty(len(names), np.int32)
+            place[order] = np.arange(len(names), dtype=np.int32)
             names, code = names[order], place[code]
             if train:
                 own = ~held.to_numpy(zero_copy_only=False)
@@ -118,9 +139,19 @@ def spelt(batches: Iterator[pa.RecordBatch], train: bool = False
                 code, first = code[np.repeat(own, n)], np.append(0, np.cumsum(n[own]))
                 if not len(code):
                     continue
-            yield doc_id, held, names, code, first
+            parts.append((doc_id, held, names, code, first))
+            del doc_id, held, names, code, first, order, place
+            if len(parts) == together:
+                yield _joined(parts)
         del b
         give_back()
+    if parts:
+        yield _joined(parts)
+
+
+def _together(shards: int) -> int:
+    """Slices looked up together: a visit to a shard has a price of its own, and a slice visits them all."""
+    return min(TOGETHER, 1 + shards // 128)
 
 
 def count(keys: np.ndarray, weights: np.ndarray | None = None, side: np.ndarray | None = None
@@ -142,8 +173,25 @@ def quantise(decades: np.ndarray) -> np.ndarray:
 
 
 def _merged(parts: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
-    keys, n, side = zip(*parts, strict=True)
-    return count(np.concatenate(keys), np.concatenate(n), None if side[0] is None else np.concatenate(side))
+    """Parts of distinct, ascending keys as one; a range of keys at a time, so that little is held beside them and what
+    comes out.  ``parts`` is emptied."""
+    if len(parts) == 1:
+        return parts.pop()
+    cuts = -(-sum(len(k) for k, _, _ in parts) // MERGE_ROWS)
+    some = np.sort(np.concatenate([k[::64] for k, _, _ in parts]))  # every part counts by its length
+    bounds = some[np.arange(1, cuts) * len(some) // cuts] if len(some) else some
+    ends = [np.append(np.searchsorted(k, bounds), len(k)).tolist() for k, _, _ in parts]
+    at, out = [0] * len(parts), []
+    for i in range(len(bounds) + 1):
+        pieces = [[x if x is None else x[a:end[i]] for x in part] for part, a, end in zip(parts, at, ends, strict=True)]
+        at = [end[i] for end in ends]
+        keys, n, side = zip(*pieces, strict=True)
+        out.append(count(np.concatenate(keys), np.concatenate(n), None if side[0] is None else np.concatenate(side)))
+    del pieces, keys, n, side
+    parts.clear()
+    columns = [list(x) for x in zip(*out, strict=True)]
+    del out
+    return tuple(x[0] if x[0] is None else np.concatenate(x) for x in (columns.pop(0) for _ in range(3)))
 
 
 class Packed:
@@ -199,14 +247,21 @@ class Packed:
 
 def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
     """(shard, keys, counts, side) of rows sorted by shard; merges as it goes, so memory follows the distinct keys."""
-    own, parts = None, []
+    own, parts, rows, limit = None, [], 0, 4 * HELD_ROWS
     for b in batches:
-        for shard, n, body in zip(*(c.to_pylist() for c in b.columns), strict=True):
+        for i, (shard, n) in enumerate(zip(b.column("shard").to_pylist(), b.column("n").to_pylist(), strict=True)):
             if shard != own and parts:
                 yield own, *_merged(parts)
-                parts = []
+                give_back()
+                rows, limit = 0, 4 * HELD_ROWS
             own = shard
-            parts.append(Packed.read(n, body))
+            parts.append(Packed.read(n, b.column("body")[i].as_buffer()))
+            rows += n
+            if rows > limit:
+                parts = [_merged(parts)]
+                rows = len(parts[0][0])
+                limit = max(limit, 2 * rows)
+        del b
     if parts:
         yield own, *_merged(parts)
 
@@ -242,7 +297,7 @@ def _flat(**sequences: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 
 def _sequence(arrays: dict[str, np.ndarray], name: str) -> EliasFano:
-    return EliasFano(**{part: arrays[f"{name}.{part}"] for part in EliasFano.NAMES})
+    return EliasFano(**{key[len(name) + 1:]: a for key, a in arrays.items() if key.startswith(f"{name}.")})
 
 
 def range_start(shard: int, shards: int) -> int:
@@ -322,7 +377,8 @@ def _write_words(folder: str, shards: int):
             low = range_start(shard, shards)
             universe = (range_start(shard + 1, shards) if shard + 1 < shards else 1 << 64) - low
             sums = np.cumsum(n).astype(U64)
-            arrays = _flat(hash=EliasFano.encode(keys - U64(low), universe), sum=EliasFano.encode(sums, int(sums[-1]) + 1))
+            arrays = _flat(hash=EliasFano.encode(keys - U64(low), universe, EliasFano.SEARCH),
+                           sum=EliasFano.encode(sums, int(sums[-1]) + 1, EliasFano.ACCESS))
             uri = write_arrays(folder, f"words-{shard:06d}", arrays, {"shard": shard})
             yield pa.RecordBatch.from_arrays([
                 pa.array([shard], pa.int32()), pa.array([uri]), pa.array([len(keys)], pa.int64()),
@@ -412,18 +468,30 @@ class Grams:
 
     def of(self, ctx: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """``find`` for any contexts and words; an unknown one (-1) is not found.  The last two in STEPS a decade."""
-        place = np.full(len(ctx), -1, np.int64)
-        prob, back = np.zeros(len(ctx), np.uint16), np.zeros(len(ctx), np.uint16)
-        both = np.flatnonzero((ctx >= 0) & (own >= 0))
-        keys, code = np.unique(_key(ctx[both], own[both], self.words), return_inverse=True)
+        size = len(ctx)
+        at = np.flatnonzero((ctx >= 0) & (own >= 0))
+        keys = _key(ctx[at], own[at], self.words)
+        del ctx, own
+        order = np.argsort(keys)
+        keys, at = keys[order], at[order]
+        del order
+        new = np.append(True, keys[1:] != keys[:-1])[:len(keys)]
+        keys = keys[new]
         found = self.find(keys)
-        place[both] = found[0][code]
-        prob[both], back[both] = found[1][code], found[2][code]
-        return place, prob, back
+        del keys
+        code = np.cumsum(new, dtype=np.int32)
+        code -= 1
+        out = np.full(size, -1, np.int64), np.zeros(size, np.uint16), np.zeros(size, np.uint16)
+        for x, values in zip(out, found, strict=True):
+            x[at] = values[code]
+        return out
 
 
 def _key(ctx: np.ndarray, own: np.ndarray, words: int) -> np.ndarray:
-    return ctx.astype(U64) * U64(words) + own.astype(U64)
+    keys = ctx.astype(U64)
+    keys *= U64(words)
+    keys += own.view(U64)
+    return keys
 
 
 def _contexts(token_ids: np.ndarray, first: np.ndarray, end_id: int) -> np.ndarray:
@@ -468,15 +536,23 @@ def _count_grams(vocab: tuple, shards: int, pairs: list[tuple[int, str, int]] |
         level = None if pairs is None else Grams(pairs, shards, words.words)
         held = Packed(lambda k: _gram_shard(k, shards))
         end = _end_id(words)
-        for _, _, names, code, first in spelt(batches, train=True):
+        for _, _, names, code, first in spelt(batches, True, _together(shards)):
             own, side = words.ids(names)[code], None
             ctx = _contexts(own, first, end)
+            del names, code
             if level is not None:
-                at = _inner(first)
                 place, prob, _ = level.of(ctx, own)
-                ctx, own = place[at - 1], own[at]
+                at = _inner(first)
                 side = prob[at][:, None]
-            yield from held.add(_key(ctx, own, words.words), side)
+                del prob
+                own = own[at]
+                at -= 1
+                ctx = place[at]
+                del place, at
+            keys = _key(ctx, own, words.words)
+            del ctx, own
+            yield from held.add(keys, side)
+            del keys, side
         yield from held.send()
 
     return run
@@ -490,30 +566,51 @@ def _write_grams(folder: str, stem: str, vocab: tuple, contexts: int, top: bool,
         level = Vocabulary(*vocab)
         words = level.words
         for shard, keys, n, side in by_shard(batches):
-            ctx, own = np.divmod(keys, U64(words))
-            new = np.append(True, ctx[1:] != ctx[:-1])
+            size = len(keys)
+            own = keys % U64(words)
+            keys //= U64(words)
+            new = np.append(True, keys[1:] != keys[:-1])
             start = np.flatnonzero(new)
-            place = np.cumsum(new) - 1
+            ctx = keys[start]
+            follow = np.cumsum(new, dtype=U64, out=keys)  # place of the context in the shard, from 1
+            del keys, new
+            follow -= U64(1)
+            follow *= U64(words)
+            follow += own
             arrays = _flat(
-                context=EliasFano.encode(ctx[start], contexts),
-                pointer=EliasFano.encode(np.append(start, len(keys)).astype(U64), len(keys) + 1),
-                follow=EliasFano.encode(place.astype(U64) * U64(words) + own, len(start) * words))
+                context=EliasFano.encode(ctx, contexts, EliasFano.SEARCH),
+                pointer=EliasFano.encode(np.append(start, size), size + 1, EliasFano.ACCESS),
+                follow=EliasFano.encode(follow, len(start) * words, EliasFano.SEARCH))
+            del follow
             if side is None:  # pairs: the words' own counts
-                ids, code = np.unique(own.astype(np.int64), return_inverse=True)
-                below = level.unigram(level.counts(ids))[code]
-                context = level.counts(ctx[start].astype(np.int64))[place]
+                ids, code = np.unique(own.view(np.int64), return_inverse=True)
+                unigram = level.unigram(level.counts(ids))
+                seen = level.counts(ctx.view(np.int64))
             else:
-                weight = Grams(pairs, shards, words).weights(ctx[start].astype(np.int64))[place]
-                below, context = 10.0 ** -(side[:, 0] / STEPS), KAPPA * (10.0 ** (weight / STEPS) - 1)
-            below, context = (x.astype(np.float32).astype(np.float64) for x in (below, context))
-            arrays["prob"] = quantise(-np.log10(np.minimum((n + KAPPA * below) / (context + KAPPA), 1.0)))
+                seen = Grams(pairs, shards, words).weights(ctx.view(np.int64))
+            del own, ctx
+            arrays["prob"] = prob = np.empty(size, np.uint16)
+            weight = np.empty(0 if top else size, np.uint16)
+            for a in range(0, size, MERGE_ROWS):
+                part = slice(a, min(size, a + MERGE_ROWS))
+                context = seen[np.searchsorted(start, np.arange(part.start, part.stop), side="right") - 1]
+                if side is None:
+                    below = unigram[code[part]]
+                else:
+                    below, context = 10.0 ** -(side[part, 0] / STEPS), KAPPA * (10.0 ** (context / STEPS) - 1)
+                below, context = (x.astype(np.float32).astype(np.float64) for x in (below, context))
+                prob[part] = quantise(-np.log10(np.minimum((n[part] + KAPPA * below) / (context + KAPPA), 1.0)))
+                if not top:
+                    weight[part] = quantise(np.log10((n[part] + KAPPA) / KAPPA))
             if not top:
                 # few distinct ones: a table and numbers into it
-                arrays["weights"], code = np.unique(quantise(np.log10((n + KAPPA) / KAPPA)), return_inverse=True)
-                arrays["back"] = code.astype(np.uint8 if len(arrays["weights"]) <= 1 << 8 else np.uint16)
+                some = np.bincount(weight, minlength=1 << 16) > 0
+                arrays["weights"] = np.flatnonzero(some).astype(np.uint16)
+                number = np.cumsum(some) - 1
+                arrays["back"] = number.astype(np.uint8 if len(arrays["weights"]) <= 1 << 8 else np.uint16)[weight]
             uri = write_arrays(folder, f"{stem}-{shard:06d}", arrays, {"shard": shard})
             yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([uri]),
-                                              pa.array([len(keys)], pa.int64())], names=["shard", "uri", "grams"])
+                                              pa.array([size], pa.int64())], names=["shard", "uri", "grams"])
 
     return run
 
@@ -528,25 +625,33 @@ def _score(vocab: tuple, levels: list[list[tuple[int, str, int]]], shards: int):
         words = Vocabulary(*vocab)
         pairs, *triples = (Grams(x, shards, words.words) for x in levels)
         end = _end_id(words)
-        for doc_id, held_out, names, code, first in spelt(batches):
+        for doc_id, held_out, names, code, first in spelt(batches, together=_together(shards)):
             ids = words.ids(names)
             counts = _known(words, ids)
-            base = np.log10(words.unigram(counts))[code]
             own = ids[code]
-            # unseen n-grams back off to the level below; words without a count have context weight 1
             place, p, back = pairs.of(_contexts(own, first, end), own)
-            weight = np.log10((_before(counts, code, first) + KAPPA) / KAPPA)
-            score = np.where(place >= 0, -(p / STEPS), base - weight)
+            base = np.log10(words.unigram(counts))[code]
+            # unseen n-grams back off to the level below; words without a count have context weight 1
+            score = _before(counts, code, first) + KAPPA
+            score /= KAPPA
+            np.subtract(base, np.log10(score, out=score), out=score)
+            hit = place >= 0
+            score[hit] = -(p[hit] / STEPS)
+            known = np.add.reduceat((own >= 0).astype(np.int64), first[:-1])
+            del names, code
             if triples:
                 at = _inner(first)
                 score[at] -= back[at - 1] / STEPS
-                at = at[(place[at] >= 0) & (place[at - 1] >= 0)]  # others were not seen
-                found, p, _ = triples[0].of(place[at - 1], own[at])
-                score[at] = np.where(found >= 0, -(p / STEPS), score[at])
+                at = at[hit[at] & hit[at - 1]]  # others were not seen
+                place, own = place[at - 1], own[at]
+                found, p, _ = triples[0].of(place, own)
+                hit = found >= 0
+                score[at[hit]] = -(p[hit] / STEPS)
+                del at, found
+            del place, own, p, back, hit
             n = np.diff(first)
             yield pa.RecordBatch.from_arrays([
-                doc_id, held_out, pa.array(n),
-                pa.array(np.add.reduceat((own >= 0).astype(np.int64), first[:-1])),
+                doc_id, held_out, pa.array(n), pa.array(known),
                 pa.array(np.full(len(n), words.tokens, np.int64)), pa.array(np.add.reduceat(base, first[:-1])),
                 pa.array(np.add.reduceat(score, first[:-1]))],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
@@ -566,12 +671,14 @@ def score_texts(docs: DataFrame, folder: str | None = None, order: int = 2) -> D
         F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False)))
     texts = materialise(texts.mapInArrow(_spell, _SPELT), "spelt")  # words are split and hashed once
 
-    def dealt(run: Callable) -> DataFrame:
-        return texts.mapInArrow(run, Packed.SCHEMA).repartition(n, "shard").sortWithinPartitions("shard")
+    def dealt(run: Callable, n: int = n) -> DataFrame:
+        """Every shard by itself in a partition: a task that had several would hold their rows at once."""
+        return texts.mapInArrow(run, Packed.SCHEMA).repartitionById(n, "shard").sortWithinPartitions("shard")
 
-    # one row for each shard
-    words = materialise(dealt(_count_words(n)).mapInArrow(_write_words(folder, n), _VOCAB), "words").collect()
-    vocab = (sorted(tuple(r) for r in words), n)
+    # one row for each shard; words are few and looked up often, so their shards are fewer
+    few = -(-n // 4)
+    words = materialise(dealt(_count_words(few), few).mapInArrow(_write_words(folder, few), _VOCAB), "words").collect()
+    vocab = (sorted(tuple(r) for r in words), few)
     size = sum(r[2] for r in vocab[0])
     if size >= 1 << 32:
         raise ValueError("more than 2**32 distinct words")
