@@ -24,8 +24,8 @@ compressed arrays, a triple with its quantised probability one level below; a sh
 task is one row, so a common word or pair weighs no more than others.  The driver sees one manifest row for each shard.
 
 Every shard is dealt to a task of its own.  A task that looks n-grams up maps the shards and copies nothing of them, so
-its memory does not follow the corpus (a shared folder that is not mounted is read instead, and does).  With many shards
-it takes up to TOGETHER slices at a time, as a slice visits them all.
+its memory does not follow the corpus (a shared folder that is not mounted is read instead, and does).  A visit to a
+shard has a price of its own and a lookup visits them all, so it takes TOGETHER slices at a time.
 
 Word ids must fit 32 bits (4.29 billion distinct words), and distinct pairs times words 64 bits; beyond that building
 raises.
@@ -55,7 +55,7 @@ KAPPA = 20.0     # weight of the level below in a probability
 STEPS = 4096     # steps of a quantised decade; 16 bits hold 16 decades
 FOLDS = 10       # texts with crc32(doc_id) mod FOLDS = 0 are held out
 TEXT_BYTES = 3 << 20
-TOGETHER = 4  # slices looked up together at most
+TOGETHER = 4  # slices looked up together
 HELD_ROWS = 1 << 20  # distinct n-grams that a task holds before it sends them on
 MERGE_ROWS = 1 << 17  # n-grams sorted, or given a probability, at a time
 
@@ -149,11 +149,6 @@ def spelt(batches: Iterator[pa.RecordBatch], train: bool = False, together: int
         yield _joined(parts)
 
 
-def _together(shards: int) -> int:
-    """Slices looked up together: a visit to a shard has a price of its own, and a slice visits them all."""
-    return min(TOGETHER, 1 + shards // 128)
-
-
 def count(keys: np.ndarray, weights: np.ndarray | None = None, side: np.ndarray | None = None
           ) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     """Distinct keys, ascending, with their summed weights (1 each by default) and one of their side rows."""
@@ -163,8 +158,8 @@ def count(keys: np.ndarray, weights: np.ndarray | None = None, side: np.ndarray
     if weights is None:
         n = np.diff(np.append(first, len(keys)))
     else:
-        n = np.add.reduceat(weights[order], first) if len(first) else np.zeros(0, np.int64)
-    return keys[first], n.astype(np.int64), None if side is None else side[order[first]]
+        n = np.add.reduceat(weights[order], first, dtype=np.int64) if len(first) else np.zeros(0, np.int64)
+    return keys[first], n.astype(np.int64, copy=False), None if side is None else side[order[first]]
 
 
 def quantise(decades: np.ndarray) -> np.ndarray:
@@ -247,15 +242,17 @@ class Packed:
 
 def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]:
     """(shard, keys, counts, side) of rows sorted by shard; merges as it goes, so memory follows the distinct keys."""
-    own, parts, rows, limit = None, [], 0, 4 * HELD_ROWS
+    own, parts, rows, limit = None, [], 0, 6 * HELD_ROWS
     for b in batches:
         for i, (shard, n) in enumerate(zip(b.column("shard").to_pylist(), b.column("n").to_pylist(), strict=True)):
             if shard != own and parts:
                 yield own, *_merged(parts)
                 give_back()
-                rows, limit = 0, 4 * HELD_ROWS
+                rows, limit = 0, 6 * HELD_ROWS
             own = shard
-            parts.append(Packed.read(n, b.column("body")[i].as_buffer()))
+            keys, counts, side = Packed.read(n, b.column("body")[i].as_buffer())
+            parts.append((keys, counts.astype(np.uint32), side))  # as they were sent
+            del keys, counts, side
             rows += n
             if rows > limit:
                 parts = [_merged(parts)]
@@ -536,7 +533,7 @@ def _count_grams(vocab: tuple, shards: int, pairs: list[tuple[int, str, int]] |
         level = None if pairs is None else Grams(pairs, shards, words.words)
         held = Packed(lambda k: _gram_shard(k, shards))
         end = _end_id(words)
-        for _, _, names, code, first in spelt(batches, True, _together(shards)):
+        for _, _, names, code, first in spelt(batches, True, TOGETHER):
             own, side = words.ids(names)[code], None
             ctx = _contexts(own, first, end)
             del names, code
@@ -625,7 +622,7 @@ def _score(vocab: tuple, levels: list[list[tuple[int, str, int]]], shards: int):
         words = Vocabulary(*vocab)
         pairs, *triples = (Grams(x, shards, words.words) for x in levels)
         end = _end_id(words)
-        for doc_id, held_out, names, code, first in spelt(batches, together=_together(shards)):
+        for doc_id, held_out, names, code, first in spelt(batches, together=TOGETHER):
             ids = words.ids(names)
             counts = _known(words, ids)
             own = ids[code]
@@ -671,12 +668,12 @@ def score_texts(docs: DataFrame, folder: str | None = None, order: int = 2) -> D
         F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False)))
     texts = materialise(texts.mapInArrow(_spell, _SPELT), "spelt")  # words are split and hashed once
 
-    def dealt(run: Callable, n: int = n) -> DataFrame:
+    def dealt(run: Callable, shards: int) -> DataFrame:
         """Every shard by itself in a partition: a task that had several would hold their rows at once."""
-        return texts.mapInArrow(run, Packed.SCHEMA).repartitionById(n, "shard").sortWithinPartitions("shard")
+        return texts.mapInArrow(run, Packed.SCHEMA).repartitionById(shards, "shard").sortWithinPartitions("shard")
 
-    # one row for each shard; words are few and looked up often, so their shards are fewer
-    few = -(-n // 4)
+    # one row for each shard; a lookup visits them all, so they are fewer than partitions
+    few, n = -(-n // 4), -(-n // 2)
     words = materialise(dealt(_count_words(few), few).mapInArrow(_write_words(folder, few), _VOCAB), "words").collect()
     vocab = (sorted(tuple(r) for r in words), few)
     size = sum(r[2] for r in vocab[0])
@@ -686,7 +683,7 @@ def score_texts(docs: DataFrame, folder: str | None = None, order: int = 2) -> D
     for stem in ("pairs", "triples")[:order - 1]:
         if contexts * size >= 1 << 64:
             raise ValueError("more than 2**64 possible n-grams of seen contexts and words")
-        found = materialise(dealt(_count_grams(vocab, n, *levels)).mapInArrow(
+        found = materialise(dealt(_count_grams(vocab, n, *levels), n).mapInArrow(
             _write_grams(folder, stem, vocab, contexts, len(levels) == order - 2, n, *levels), _TRIE), stem).collect()
         levels.append(sorted(tuple(r) for r in found))
         contexts = sum(r[2] for r in found)

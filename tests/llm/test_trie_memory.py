@@ -130,9 +130,10 @@ def test_slices_taken_together_score_the_same(tmp_path, monkeypatch):
             contexts = sum(r[2] for r in levels[-1])
         return pa.Table.from_batches(list(lm._score(vocab, levels, 5)(iter(rows)))).to_pylist()
 
+    monkeypatch.setattr(lm, "TOGETHER", 1)
     alone = scores()
     for together in (2, 3, 100):
-        monkeypatch.setattr(lm, "_together", lambda shards, k=together: k)
+        monkeypatch.setattr(lm, "TOGETHER", together)
         assert scores() == alone
     assert [r["doc_id"] for r in alone] == [3, None, 5, 7, 7, 9, 11, 12]
     assert [r["n_tokens"] for r in alone] == [5, 1, 1, 5, 5, 3, 8, 2]
