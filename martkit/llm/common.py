@@ -29,10 +29,10 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
+def materialise(df: DataFrame, tag: str, options: dict[str, str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back (cuts the lineage)."""
     path = scratch(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

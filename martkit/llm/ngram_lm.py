@@ -85,6 +85,11 @@ def _from_planes(raw: np.ndarray, kind: type) -> np.ndarray:
 
 _SPELT = "doc_id array<bigint>, held_out array<boolean>, first array<bigint>, names binary, code binary"
 
+# A row has megabytes, compressed already: written as they are, a few rows to a row group.  Else a task's rows make one
+# page, which writers and readers hold several times, in buffers outside the heap too.
+_SPELT_FILES = {"compression": "none", "parquet.block.size": str(TEXT_BYTES), "parquet.block.size.row.check.min": "1",
+                "parquet.page.size.row.check.min": "1"}
+
 
 def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each slice of texts: its distinct tokens' hashes, which of them each token is, first tokens."""
@@ -666,7 +671,7 @@ def score_texts(docs: DataFrame, folder: str | None = None, order: int = 2) -> D
     folder = folder or scratch(spark, "ngram-trie")
     texts = doc_text(docs).withColumn("held_out", F.coalesce(
         F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == 0, F.lit(False)))
-    texts = materialise(texts.mapInArrow(_spell, _SPELT), "spelt")  # words are split and hashed once
+    texts = materialise(texts.mapInArrow(_spell, _SPELT), "spelt", _SPELT_FILES)  # words are split and hashed once
 
     def dealt(run: Callable, shards: int) -> DataFrame:
         """Every shard by itself in a partition: a task that had several would hold their rows at once."""

@@ -4,6 +4,7 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from martkit.llm import ngram_lm as lm
@@ -137,3 +138,12 @@ def test_slices_taken_together_score_the_same(tmp_path, monkeypatch):
         assert scores() == alone
     assert [r["doc_id"] for r in alone] == [3, None, 5, 7, 7, 9, 11, 12]
     assert [r["n_tokens"] for r in alone] == [5, 1, 1, 5, 5, 3, 8, 2]
+
+
+def test_spelt_rows_are_written_as_they_are_a_few_together(spark):
+    rows = spark.range(12).selectExpr("cast(repeat(cast(id AS string), 1048576) AS binary) AS names").coalesce(1)
+    back = lm.materialise(rows, "spelt", lm._SPELT_FILES)
+    assert sorted(len(r.names) for r in back.collect()) == [1 << 20] * 10 + [2 << 20] * 2
+    file, = back.inputFiles()
+    meta = pq.ParquetFile(file.removeprefix("file://")).metadata
+    assert meta.num_row_groups >= 4 and meta.row_group(0).column(0).compression == "UNCOMPRESSED"
